@@ -15,3 +15,183 @@ WITH s AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, point_id, label
 FROM r WHERE rank <= 5 AND score >= 0.35
 """
+
+# ---------------------------------------------------------------- SQL building blocks
+
+# The same white-space class, control class and replacements as
+# vellum.functions.text, written for DuckDB (RE2).
+WS = (
+    r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+NON_WS = "[^" + WS[1:]
+TOKEN_PATTERN = f"{WS}*{NON_WS}+|{WS}+"
+
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '\\A{WS}+|{WS}+\\z', '', 'g')"
+
+
+def normalize(x: str, nfc: bool = True) -> str:
+    t = f"nfc_normalize({x})" if nfc else x
+    t = f"regexp_replace({t}, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g')"
+    t = f"translate({t}, {lit('’‘“”–—')}, {lit(chr(39) * 2 + chr(34) * 2 + '--')})"
+    t = f"regexp_replace({t}, '[ \\t]+', ' ', 'g')"
+    t = f"regexp_replace({t}, '\\n{{3,}}', {lit(chr(10) * 2)}, 'g')"
+    t = f"regexp_replace({t}, '(?m)^{WS}+$', '', 'g')"
+    return strip(t)
+
+
+def tokens(x: str) -> str:
+    return f"regexp_extract_all({x}, {lit(TOKEN_PATTERN)})"
+
+
+def windows(x: str, size: int, overlap: int) -> str:
+    """Token windows of a text as a list (empty for an empty text)."""
+    step = size - overlap
+    return (
+        f"(SELECT CASE WHEN len(tk) = 0 THEN []::VARCHAR[] ELSE list_transform(generate_series(0, len(tk) - 1, {step}), "
+        f"lambda s: array_to_string(tk[s + 1:s + {size}], '')) END FROM (SELECT {tokens(x)} AS tk))"
+    )
+
+
+def noisy(x: str) -> str:
+    pairs = [("é", "é"), (". ", ".”  \t" + "\x07" + " "), (", ", " – ‘"), ("\n", "\n \n\n\n \n")]
+    for a, b in pairs:
+        b_sql = " || ".join(lit(part) if part != "\x07" else "chr(7)" for part in _split_keep(b, "\x07"))
+        x = f"replace({x}, {lit(a)}, {b_sql})"
+    return f"({lit('　 ')} || {x} || {lit(chr(13) + chr(10) + ' ')})"
+
+
+def _split_keep(s: str, ch: str) -> list[str]:
+    out, cur = [], ""
+    for c in s:
+        if c == ch:
+            if cur:
+                out.append(cur)
+            out.append(c)
+            cur = ""
+        else:
+            cur += c
+    if cur:
+        out.append(cur)
+    return out
+
+
+def lines(x: str) -> str:
+    """Stripped, non-empty lines of a text."""
+    return f"list_filter(list_transform(string_split({x}, chr(10)), lambda l: {strip('l')}), lambda l: length(l) > 0)"
+
+
+def ordered_join(order: str, val: str, sep: str) -> str:
+    return f"string_agg({val}, {sep} ORDER BY {order})"
+
+
+SQL["normalize_text"] = f"""
+SELECT doc_id, {normalize(noisy('text'))} AS text, CAST(length({normalize(noisy('text'))}) AS INTEGER) AS char_count
+FROM documents
+"""
+
+SQL["min_length"] = f"""
+SELECT doc_id, CAST(len(ls) AS INTEGER) AS lines, CAST(len(list_filter(ls, lambda l: length(l) >= 60)) AS INTEGER) AS long_lines
+FROM (SELECT doc_id, {lines('text')} AS ls FROM documents)
+"""
+
+SQL["file_hashes"] = "SELECT doc_id, sha256(text) AS sha256, md5(text) AS md5 FROM documents"
+
+SQL["token_chunks"] = f"""
+WITH w AS (SELECT doc_id, source, sha256(text) AS file_hash, {windows('text', 500, 50)} AS ws FROM documents),
+u AS (SELECT doc_id, source, file_hash, unnest(ws) AS t, generate_subscripts(ws, 1) - 1 AS chunk FROM w)
+SELECT doc_id, source, CAST(chunk AS INTEGER) AS chunk, CAST(len({tokens('t')}) AS INTEGER) AS tokens, file_hash, md5(t) AS text_md5
+FROM u
+"""
+
+
+def point_id(file_hash: str, chunk_id: str) -> str:
+    key = f"md5({file_hash} || '_' || CAST({chunk_id} AS VARCHAR))"
+    return f"(('0x' || right({key}, 16))::UBIGINT & 9223372036854775807::UBIGINT)::BIGINT"
+
+
+SQL["chunk_metadata"] = f"""
+WITH pg AS (
+  SELECT conv_id AS doc, CAST(turn + 1 AS INTEGER) AS page, text,
+         CAST(count(*) OVER (PARTITION BY conv_id) AS INTEGER) AS total_pages
+  FROM conversations
+), b AS (
+  SELECT 'conversations/' || CAST(doc AS VARCHAR) || '.Pdf' AS path, md5(CAST(doc AS VARCHAR) || '/conv') AS file_hash,
+         page AS block_no, page, total_pages, {windows('text', 60, 10)} AS ws
+  FROM pg
+), pc AS (
+  SELECT path, file_hash, block_no, page, total_pages, unnest(ws) AS t, generate_subscripts(ws, 1) AS piece_no FROM b
+), kept AS (
+  SELECT *, {strip('t')} AS s FROM pc
+), k2 AS (
+  SELECT * FROM kept WHERE length(s) >= 60
+), num AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY path ORDER BY block_no, piece_no) - 1 AS INTEGER) AS chunk_id,
+         CAST(count(*) OVER (PARTITION BY path) AS INTEGER) AS total_chunks
+  FROM k2
+)
+SELECT {point_id('file_hash', 'chunk_id')} AS point_id,
+       regexp_extract(path, '([^/]*)$', 1) AS filename, path AS filepath, 'pdf' AS file_type, file_hash, chunk_id,
+       CAST(length(s) AS INTEGER) AS char_count, page, total_pages, total_chunks, md5(s) AS text_md5
+FROM num
+"""
+
+SQL["page_blocks"] = f"""
+WITH pg AS (
+  SELECT conv_id, CAST(turn + 1 AS INTEGER) AS page, {normalize('text')} AS text,
+         CAST(count(*) OVER (PARTITION BY conv_id) AS INTEGER) AS total_pages
+  FROM conversations
+)
+SELECT conv_id, page, total_pages, text FROM pg WHERE length(text) >= 60
+"""
+
+SQL["concat_pages"] = f"""
+WITH d AS (
+  SELECT conv_id, string_agg(text || chr(10), '' ORDER BY turn) AS text
+  FROM conversations WHERE text IS NOT NULL AND text <> '' GROUP BY conv_id
+)
+SELECT conv_id, length({strip('text')}) = 0 AS blank, CAST(length(text) AS INTEGER) AS char_count, md5(text) AS text_md5 FROM d
+"""
+
+SQL["section_blocks"] = f"""
+WITH l AS (
+  SELECT doc_id, unnest(ls) AS t, generate_subscripts(ls, 1) - 1 AS pos FROM (SELECT doc_id, {lines('text')} AS ls FROM documents)
+), a AS (
+  SELECT *, length(t) < 40 AS hd,
+         max(CASE WHEN NOT length(t) < 40 THEN pos END) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS last_non
+  FROM l
+), b AS (
+  SELECT *, CASE WHEN hd AND (CASE WHEN last_non IS NULL THEN (pos + 1) % 2 = 0 ELSE (pos - last_non) % 2 = 1 END)
+                 THEN 1 ELSE 0 END AS bd
+  FROM a
+), c AS (
+  SELECT *, sum(bd) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS sec FROM b
+), body AS (
+  SELECT doc_id, sec, {ordered_join('pos', 't', 'chr(10)')} AS body FROM c WHERE bd = 0 GROUP BY doc_id, sec
+), heads AS (
+  SELECT doc_id, sec, t AS heading FROM c WHERE bd = 1
+), s AS (
+  SELECT body.doc_id, body.sec, heading, {normalize(strip('body'))} AS body FROM body LEFT JOIN heads USING (doc_id, sec)
+), k AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sec) AS idx FROM s WHERE length(body) >= 60
+)
+SELECT doc_id, coalesce(heading, 'Sección ' || CAST(idx AS VARCHAR)) AS section, CAST(idx AS INTEGER) AS section_idx, body AS text FROM k
+"""
+
+SQL["table_rows_text"] = f"""
+WITH c AS (
+  SELECT n_regionkey AS doc, 0 AS tbl, n_nationkey AS row, u.col, {strip('u.t')} AS t
+  FROM nation JOIN region ON n_regionkey = r_regionkey,
+       (SELECT unnest([0, 1, 2, 3]) AS col) AS cc,
+       LATERAL (SELECT cc.col AS col, [n_name, CAST(n_nationkey AS VARCHAR), ' ' || r_name, '  '][cc.col + 1] AS t) AS u
+), r AS (
+  SELECT doc, tbl, row, {ordered_join('col', 't', "' | '")} AS t FROM c WHERE length(t) > 0 GROUP BY doc, tbl, row
+)
+SELECT doc AS region, CAST(tbl AS INTEGER) AS tbl, {ordered_join('row', 't', 'chr(10)')} AS text FROM r GROUP BY doc, tbl
+"""

@@ -35,3 +35,140 @@ def q_search_topk(spark, sf_dir) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_topk": q_search_topk,
 }
+
+
+# ---------------------------------------------------------------- text, hashing, token windows
+
+from vellum.functions import identity, text as tx  # noqa: E402
+from vellum.operators import blocks, chunking  # noqa: E402
+
+# Noise injected into `documents` so every clean-up step has work
+# (the table itself has no control characters, curly quotes, tab runs or
+# decomposed accents).
+NOISE = [
+    ("é", "é"),
+    (". ", ".”  \t\x07 "),
+    (", ", " – ‘"),
+    ("\n", "\n \n\n\n \n"),
+]
+
+
+def noisy_text(c="text"):
+    x = F.col(c)
+    for a, b in NOISE:
+        x = F.replace(x, F.lit(a), F.lit(b))
+    return F.concat(F.lit("　 "), x, F.lit("\r\n "))
+
+
+def q_normalize_text(spark, sf_dir):
+    """Clean-up of every document (with injected noise)."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", tx.normalize_text(noisy_text()).alias("text")).withColumn(
+        "char_count", F.length("text").cast("int")
+    )
+
+
+def q_min_length(spark, sf_dir):
+    """T2 (+X7): per document, stripped non-blank lines and those >= 60 chars."""
+    d = table(spark, sf_dir, "documents")
+    lines = blocks.non_blank_lines("text")
+    return d.select(
+        "doc_id",
+        F.size(lines).cast("int").alias("lines"),
+        F.size(F.filter(lines, lambda l: tx.long_enough(l))).cast("int").alias("long_lines"),
+    )
+
+
+def q_file_hashes(spark, sf_dir):
+    """Content hashes of every document."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", identity.file_sha256("text").alias("sha256"), identity.file_md5("text").alias("md5"))
+
+
+def q_token_chunks(spark, sf_dir):
+    """T3, T4 (G1 payload): 500-token windows every 450 tokens of every document."""
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "text", identity.file_sha256("text").alias("file_hash")
+    )
+    w = chunking.token_window_chunks(d, "text", keep=["doc_id", "source", "file_hash"])
+    return w.select("doc_id", "source", "chunk", "tokens", "file_hash", F.md5("text").alias("text_md5"))
+
+
+def doc_paths(d):
+    """A file path per document: documents/<lang>/<source>_<doc_id>.<LANG>."""
+    return F.concat(F.lit("documents/"), F.col("lang"), F.lit("/"), F.col("source"), F.lit("_"),
+                    F.col("doc_id").cast("string"), F.lit("."), F.upper(F.col("lang")))
+
+
+def q_chunk_metadata(spark, sf_dir):
+    """Conversation turns as pages of a file, token windows as
+    pieces, numbered across pages; payload and deterministic point ids."""
+    c = table(spark, sf_dir, "conversations")
+    pages = blocks.page_blocks(
+        c.select(F.col("conv_id").alias("doc"), (F.col("turn") + 1).alias("page"), "text"), normalize=False, min_len=0
+    )
+    b = pages.select(
+        F.concat(F.lit("conversations/"), F.col("doc").cast("string"), F.lit(".Pdf")).alias("path"),
+        F.md5(F.concat(F.col("doc").cast("string"), F.lit("/conv"))).alias("file_hash"),
+        F.col("page").cast("int").alias("block_no"),
+        F.col("page").cast("int").alias("page"),
+        "total_pages",
+        "text",
+    )
+    splitter = lambda col: chunking.token_windows(col, 60, 10)
+    ch = chunking.chunk_blocks(b, "2024-01-01T00:00:00", splitter=splitter)
+    return ch.select(
+        identity.point_id("file_hash", "chunk_id").alias("point_id"),
+        "filename", "filepath", "file_type", "file_hash", "chunk_id", "char_count",
+        "page", "total_pages", "total_chunks", F.md5("text").alias("text_md5"),
+    )
+
+
+def q_page_blocks(spark, sf_dir):
+    """Conversation turns as pages; normalised, >= 60 chars, numbers kept."""
+    c = table(spark, sf_dir, "conversations")
+    p = blocks.page_blocks(c.select(F.col("conv_id").alias("doc"), (F.col("turn") + 1).alias("page"), "text"))
+    return p.select(F.col("doc").alias("conv_id"), F.col("page").cast("int").alias("page"), "total_pages", "text")
+
+
+def q_concat_pages(spark, sf_dir):
+    """X3 + X4: G1 document text from its pages, with the blank-document flag."""
+    c = table(spark, sf_dir, "conversations")
+    docs = blocks.concat_pages(c.select(F.col("conv_id").alias("doc"), F.col("turn").alias("page"), "text"))
+    ok, blank = blocks.empty_document_filter(docs)
+    return ok.withColumn("blank", F.lit(False)).unionByName(blank.withColumn("blank", F.lit(True))).select(
+        F.col("doc").alias("conv_id"), "blank", F.length("text").cast("int").alias("char_count"), F.md5("text").alias("text_md5")
+    )
+
+
+def q_section_blocks(spark, sf_dir):
+    """Document lines as paragraphs, a line under 40 chars is a heading."""
+    d = table(spark, sf_dir, "documents")
+    el = d.select("doc_id", F.posexplode(blocks.non_blank_lines("text")).alias("pos", "text"))
+    el = el.withColumn("is_heading", F.length("text") < 40)
+    return blocks.section_blocks(el, doc="doc_id")
+
+
+def q_table_rows_text(spark, sf_dir):
+    """Nations as table rows (name, key, region, a blank cell), one table per region."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    nr = n.join(r, n.n_regionkey == r.r_regionkey)
+    cells = nr.select(
+        F.col("n_regionkey").alias("doc"), F.lit(0).alias("tbl"), F.col("n_nationkey").alias("row"),
+        F.posexplode(F.array(F.col("n_name"), F.col("n_nationkey").cast("string"), F.concat(F.lit(" "), F.col("r_name")), F.lit("  "))).alias("col", "text"),
+    )
+    return blocks.table_rows_text(cells).select(F.col("doc").alias("region"), "tbl", "text")
+
+
+QUERIES.update({
+    "normalize_text": q_normalize_text,
+    "min_length": q_min_length,
+    "file_hashes": q_file_hashes,
+    "token_chunks": q_token_chunks,
+    "chunk_metadata": q_chunk_metadata,
+    "page_blocks": q_page_blocks,
+    "concat_pages": q_concat_pages,
+    "section_blocks": q_section_blocks,
+    "table_rows_text": q_table_rows_text,
+})
