@@ -195,3 +195,95 @@ WITH c AS (
 )
 SELECT doc AS region, CAST(tbl AS INTEGER) AS tbl, {ordered_join('row', 't', 'chr(10)')} AS text FROM r GROUP BY doc, tbl
 """
+
+# ---------------------------------------------------------------- incremental ingest over documents
+
+FILES = """files AS (
+  SELECT doc_id, 'documents/' || lang || '/' || source || '_' || CAST(doc_id AS VARCHAR) || '.txt' AS path, text, md5(text) AS file_hash
+  FROM documents
+), prev AS (
+  SELECT doc_id, path, t AS text, md5(t) AS file_hash FROM (
+    SELECT f.doc_id, f.path, CASE WHEN l.quality = 1 THEN f.text ELSE f.text || ' (v0)' END AS t
+    FROM files f JOIN labels l USING (doc_id))
+)"""
+
+
+def chunks_cte(name: str, src: str) -> str:
+    """Chunks of the files in CTE ``src`` (one block each, 500/50 token windows)."""
+    return f"""{name}_w AS (
+  SELECT path, file_hash, {windows('text', 500, 50)} AS ws FROM {src}
+), {name}_p AS (
+  SELECT path, file_hash, unnest(ws) AS t, generate_subscripts(ws, 1) AS piece_no FROM {name}_w
+), {name}_k AS (
+  SELECT path, file_hash, piece_no, {strip('t')} AS s FROM {name}_p
+), {name} AS (
+  SELECT regexp_extract(path, '([^/]*)$', 1) AS filename, path AS filepath, file_hash,
+         CAST(row_number() OVER (PARTITION BY path ORDER BY piece_no) - 1 AS INTEGER) AS chunk_id,
+         CAST(length(s) AS INTEGER) AS char_count,
+         CAST(count(*) OVER (PARTITION BY path) AS INTEGER) AS total_chunks, s AS text
+  FROM {name}_k WHERE length(s) >= 60
+)"""
+
+
+def points_cte(name: str, chunks: str) -> str:
+    return f"{name} AS (SELECT {point_id('file_hash', 'chunk_id')} AS point_id, * FROM {chunks})"
+
+
+def last_wins_cte(name: str, src: str) -> str:
+    return f"{name} AS (SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY filepath DESC) = 1)"
+
+
+RUN = f"""{FILES},
+todo AS (SELECT * FROM files f WHERE NOT EXISTS (SELECT 1 FROM prev p WHERE p.path = f.path AND p.file_hash = f.file_hash)),
+skipped AS (SELECT * FROM files f WHERE EXISTS (SELECT 1 FROM prev p WHERE p.path = f.path AND p.file_hash = f.file_hash)),
+{chunks_cte('ch', 'todo')},
+errs AS (SELECT path, 'no valid chunks after extraction' AS error FROM todo WHERE path NOT IN (SELECT filepath FROM ch)),
+outcome AS (
+  SELECT f.path, f.file_hash,
+         CASE WHEN s.path IS NOT NULL THEN 'skipped' WHEN e.path IS NOT NULL THEN 'error' ELSE 'processed' END AS status,
+         CAST(CASE WHEN s.path IS NULL AND e.path IS NULL THEN coalesce(c.n, 0) ELSE 0 END AS BIGINT) AS chunks,
+         CASE WHEN s.path IS NULL THEN e.error END AS error
+  FROM files f LEFT JOIN skipped s USING (path) LEFT JOIN errs e USING (path)
+  LEFT JOIN (SELECT filepath AS path, count(*) AS n FROM ch GROUP BY 1) c USING (path)
+)"""
+
+SQL["known_hashes"] = f"""WITH {FILES}, {chunks_cte('pc', 'prev')}
+SELECT DISTINCT file_hash FROM pc WHERE file_hash IS NOT NULL"""
+
+SQL["drop_known"] = f"""WITH {FILES}, {chunks_cte('pc', 'prev')}
+SELECT doc_id, path, file_hash FROM files WHERE file_hash NOT IN (SELECT file_hash FROM pc)"""
+
+SQL["changed_files"] = f"""WITH {RUN}
+SELECT doc_id, path, 'process' AS status FROM todo UNION ALL SELECT doc_id, path, 'skip' AS status FROM skipped"""
+
+SQL["last_wins"] = f"""WITH {FILES}, {chunks_cte('ac', 'files')}, {points_cte('ap', 'ac')}, {last_wins_cte('lw', 'ap')}
+SELECT point_id, filepath, chunk_id, total_chunks FROM lw"""
+
+SQL["stale_points"] = f"""WITH {FILES}, {chunks_cte('pc', 'prev')}, {points_cte('pp', 'pc')}
+SELECT point_id, filepath, file_hash FROM pp
+WHERE NOT EXISTS (SELECT 1 FROM files f WHERE f.path = pp.filepath AND f.file_hash = pp.file_hash)"""
+
+SQL["upsert_points"] = f"""WITH {RUN}, {chunks_cte('pc', 'prev')}, {points_cte('pp', 'pc')}, {last_wins_cte('old', 'pp')},
+{points_cte('np', 'ch')}, {last_wins_cte('new', 'np')}
+SELECT point_id, filepath, file_hash, chunk_id FROM old WHERE point_id NOT IN (SELECT point_id FROM new)
+UNION ALL SELECT point_id, filepath, file_hash, chunk_id FROM new"""
+
+SQL["update_state"] = f"""WITH {RUN},
+ok AS (SELECT path, file_hash FROM todo WHERE path NOT IN (SELECT path FROM errs))
+SELECT coalesce(p.path, ok.path) AS path, coalesce(ok.file_hash, p.file_hash) AS file_hash
+FROM (SELECT path, file_hash FROM prev) p FULL OUTER JOIN ok ON p.path = ok.path"""
+
+SQL["quarantine"] = f"""WITH {RUN}
+SELECT path, regexp_extract(path, '([^/]*)$', 1) AS filename, error,
+       regexp_extract(path, '([^/]*)\\.txt$', 1) || '__20241201_143435.txt' AS quarantine_name
+FROM errs"""
+
+SQL["file_outcome"] = f"WITH {RUN} SELECT path, status, chunks, error FROM outcome"
+
+SQL["run_summary"] = f"""WITH {RUN}
+SELECT count(*) AS total, count(*) FILTER (WHERE status = 'processed') AS processed,
+       count(*) FILTER (WHERE status = 'skipped') AS skipped, count(*) FILTER (WHERE status = 'error') AS errors,
+       CAST(coalesce(sum(chunks), 0) AS BIGINT) AS chunks
+FROM outcome"""
+
+SQL["chunks_per_file"] = f"WITH {RUN} SELECT filepath, count(*) AS chunks FROM ch GROUP BY filepath"

@@ -172,3 +172,141 @@ QUERIES.update({
     "section_blocks": q_section_blocks,
     "table_rows_text": q_table_rows_text,
 })
+
+
+# ---------------------------------------------------------------- incremental ingest over documents
+#
+# The documents table plays a folder of text files.  Documents that have a
+# `labels` row were indexed by an earlier run: the state holds their hash, of
+# the same text when quality = 1 and of an earlier version (text + " (v0)")
+# otherwise, and the store holds the points of those earlier versions.
+
+from vellum.operators import dedup, embed, report  # noqa: E402
+from vellum.sources.store import quarantine_rows, upsert_merge  # noqa: E402
+
+RUN_AT = "2024-12-01T14:34:35"
+
+
+def doc_files(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    path = F.concat(F.lit("documents/"), F.col("lang"), F.lit("/"), F.col("source"), F.lit("_"),
+                    F.col("doc_id").cast("string"), F.lit(".txt"))
+    return d.select("doc_id", path.alias("path"), "text", identity.file_md5("text").alias("file_hash"))
+
+
+def previous_files(spark, sf_dir):
+    f = doc_files(spark, sf_dir)
+    lab = table(spark, sf_dir, "labels")
+    text = F.when(F.col("quality") == 1, F.col("text")).otherwise(F.concat(F.col("text"), F.lit(" (v0)")))
+    return f.join(lab, "doc_id").select("doc_id", "path", text.alias("text")).withColumn("file_hash", identity.file_md5("text"))
+
+
+def doc_chunks(files):
+    """Each file is one block; 500-token windows (50 overlap) are its pieces."""
+    b = files.select("path", "file_hash", F.lit(0).alias("block_no"), "text")
+    splitter = lambda c: chunking.token_windows(c, 500, 50)
+    return chunking.chunk_blocks(b, RUN_AT, splitter=splitter)
+
+
+def doc_points(files):
+    return doc_chunks(files).withColumn("point_id", identity.point_id("file_hash", "chunk_id"))
+
+
+def _run(spark, sf_dir):
+    """One G2 run over the documents: (files, skipped, chunks, errors, state)."""
+    files = doc_files(spark, sf_dir)
+    state = previous_files(spark, sf_dir).select("path", "file_hash")
+    todo, skipped = dedup.changed_files(files, state)
+    chunks = doc_chunks(todo)
+    errors = chunking.require_chunks(todo.select("path"), chunks).select(
+        "path", F.lit("no valid chunks after extraction").alias("error")
+    )
+    return files, skipped, todo, chunks, errors, state
+
+
+def q_known_hashes(spark, sf_dir):
+    """D3: content hashes held by the store of the earlier run."""
+    return dedup.known_hashes(doc_points(previous_files(spark, sf_dir)))
+
+
+def q_drop_known(spark, sf_dir):
+    """Files whose content is not in the store yet."""
+    known = dedup.known_hashes(doc_points(previous_files(spark, sf_dir)))
+    return dedup.drop_known(doc_files(spark, sf_dir), known).select("doc_id", "path", "file_hash")
+
+
+def q_changed_files(spark, sf_dir):
+    """Files to process (new or changed) and files skipped (same hash)."""
+    files = doc_files(spark, sf_dir)
+    todo, skipped = dedup.changed_files(files, previous_files(spark, sf_dir))
+    return todo.select("doc_id", "path", F.lit("process").alias("status")).unionByName(
+        skipped.select("doc_id", "path", F.lit("skip").alias("status"))
+    )
+
+
+def q_last_wins(spark, sf_dir):
+    """One row per point id of all documents; copies keep the last path."""
+    pts = dedup.last_wins(doc_points(doc_files(spark, sf_dir)))
+    return pts.select("point_id", "filepath", "chunk_id", "total_chunks")
+
+
+def q_stale_points(spark, sf_dir):
+    """Stored points of files whose content changed since."""
+    store = doc_points(previous_files(spark, sf_dir))
+    state = doc_files(spark, sf_dir).select("path", "file_hash")
+    return dedup.stale_points(store, state).select("point_id", "filepath", "file_hash")
+
+
+def q_upsert_points(spark, sf_dir):
+    """The store after upserting the points of new and changed files."""
+    old = dedup.last_wins(doc_points(previous_files(spark, sf_dir)))
+    _, _, todo, chunks, _, _ = _run(spark, sf_dir)
+    new = chunks.withColumn("point_id", identity.point_id("file_hash", "chunk_id"))
+    cols = ["point_id", "filepath", "file_hash", "chunk_id"]
+    return upsert_merge(old.select(*cols), new.select(*cols))
+
+
+def q_update_state(spark, sf_dir):
+    """The state after the run (failed files keep their old entry)."""
+    files, skipped, todo, chunks, errors, state = _run(spark, sf_dir)
+    ok = todo.join(errors, "path", "left_anti")
+    return dedup.update_state(state, ok)
+
+
+def q_quarantine(spark, sf_dir):
+    """Failed files with their error and quarantine name."""
+    *_, errors, _ = _run(spark, sf_dir)
+    return quarantine_rows(errors, RUN_AT.replace("T", " ")).drop("failed_at")
+
+
+def q_file_outcome(spark, sf_dir):
+    """Per-file status and chunk count."""
+    files, skipped, todo, chunks, errors, _ = _run(spark, sf_dir)
+    return report.file_outcome(files, skipped, chunks, errors).select("path", "status", "chunks", "error")
+
+
+def q_run_summary(spark, sf_dir):
+    """R2: totals of the run."""
+    files, skipped, todo, chunks, errors, _ = _run(spark, sf_dir)
+    return report.run_summary(report.file_outcome(files, skipped, chunks, errors))
+
+
+def q_chunks_per_file(spark, sf_dir):
+    """Chunks written per file."""
+    *_, chunks, _, _ = _run(spark, sf_dir)
+    return report.chunks_per_file(chunks)
+
+
+QUERIES.update({
+    "known_hashes": q_known_hashes,
+    "drop_known": q_drop_known,
+    "changed_files": q_changed_files,
+    "last_wins": q_last_wins,
+    "stale_points": q_stale_points,
+    "upsert_points": q_upsert_points,
+    "update_state": q_update_state,
+    "quarantine": q_quarantine,
+    "file_outcome": q_file_outcome,
+    "run_summary": q_run_summary,
+    "chunks_per_file": q_chunks_per_file,
+})
