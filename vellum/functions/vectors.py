@@ -26,19 +26,25 @@ def cosine_score(a: Column | str, b: Column | str) -> Column:
     return F.when(den > 0, dot(a, b) / den).otherwise(F.lit(0.0))
 
 
-def l2_normalize(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Divide by the Euclidean norm (computed once per row); a zero vector
-    stays zero.  Result is ``array<float>``."""
-    out = out or col
-    tmp = f"__norm_{col}"
-    return (
-        df.withColumn(tmp, norm(col))
-        .withColumn(
-            out,
-            F.transform(
-                F.col(col),
-                lambda x: F.when(F.col(tmp) > 0, x.cast("double") / F.col(tmp)).otherwise(F.lit(0.0)).cast("float"),
-            ),
-        )
-        .drop(tmp)
+def bind(expr: Column, fn) -> Column:
+    """Evaluate ``expr`` once per row and hand it to ``fn`` as a lambda
+    variable.  Catalyst would otherwise inline a column referenced inside a
+    lambda body and recompute it for every array element."""
+    return F.element_at(F.transform(F.array(expr), fn), 1)
+
+
+def unit(v: Column | str) -> Column:
+    """E3 as a column: ``v / |v|`` as ``array<float>``; a zero vector stays zero.
+    The norm is computed once per row."""
+    return bind(
+        _col(v),
+        lambda a: bind(
+            norm(a),
+            lambda n: F.transform(a, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0)).cast("float")),
+        ),
     )
+
+
+def l2_normalize(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """Divide by the Euclidean norm; a zero vector stays zero (array<float>)."""
+    return df.withColumn(out or col, unit(col))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from vellum.functions.text import passage_text, query_text
-from vellum.functions.vectors import l2_normalize
+from vellum.functions.vectors import bind, unit
 
 # A word is a run of letters or digits.
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
@@ -31,21 +31,24 @@ def _col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
-def hashed_counts(text: Column | str, dim: int) -> Column:
-    """Signed bucket counts of the words of a text, ``array<double>`` of ``dim``."""
+def hashed_vector(text: Column | str, dim: int) -> Column:
+    """Unit-length signed bucket counts of the words of a text (``array<float>``
+    of ``dim``).  Every intermediate array is bound once to a lambda variable."""
     words = F.filter(F.split(F.lower(_col(text)), WORD_SPLIT), lambda w: w != "")
     codes = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"))
 
     def counts(hs):
         pos = F.transform(F.filter(hs, lambda h: F.floor(h / dim) % 2 == 0), lambda h: h % dim)
         neg = F.transform(F.filter(hs, lambda h: F.floor(h / dim) % 2 == 1), lambda h: h % dim)
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda i: (F.size(F.filter(pos, lambda b: b == i)) - F.size(F.filter(neg, lambda b: b == i))).cast("double"),
+        return bind(
+            F.struct(pos.alias("p"), neg.alias("n")),
+            lambda pn: F.transform(
+                F.sequence(F.lit(0), F.lit(dim - 1)),
+                lambda i: (F.size(F.filter(pn["p"], lambda b: b == i)) - F.size(F.filter(pn["n"], lambda b: b == i))).cast("double"),
+            ),
         )
 
-    # bind the hash array once to a lambda variable so it is computed once per row
-    return F.element_at(F.transform(F.array(codes), counts), 1)
+    return unit(bind(codes, counts))
 
 
 class HashingEncoder:
@@ -58,8 +61,7 @@ class HashingEncoder:
     def embed(self, df: DataFrame, text: str = "text", out: str = "vector", is_query: bool = False,
               query_prefix: bool = True) -> DataFrame:
         t = query_text(text, query_prefix) if is_query else passage_text(text, self.model_name)
-        x = df.withColumn(out, hashed_counts(t, self.dim))
-        return l2_normalize(x, out)
+        return df.withColumn(out, hashed_vector(t, self.dim))
 
 
 class ModelEncoder:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.functions.text import preview
+from vellum.functions.text import preview, strip_ws
 
 DEFAULT_BROADCAST_LIMIT = 256 << 20  # bytes of query matrix shipped to every task
 POINTS_PER_BUCKET = 200_000  # block path: points per cogroup bucket
@@ -292,10 +292,9 @@ def parse_filter_arg(arg: Column | str) -> Column:
 
 
 def clean_queries(queries: DataFrame, text: str = "query") -> DataFrame:
-    """Q5 input rule: trimmed text; ``exit`` / ``quit`` (any case) and empty
-    lines are not queries."""
-    t = F.trim(F.col(text))
-    return queries.withColumn(text, t).where(~F.lower(F.col(text)).isin("exit", "quit") & (F.length(t) > 0))
+    """Q5 input rule: white space stripped; ``exit`` / ``quit`` (any case) are
+    not queries."""
+    return queries.withColumn(text, strip_ws(text)).where(~F.lower(F.col(text)).isin("exit", "quit"))
 
 
 def empty_queries(queries: DataFrame, hits: DataFrame, query_id: str = "query_id") -> DataFrame:

@@ -287,3 +287,131 @@ SELECT count(*) AS total, count(*) FILTER (WHERE status = 'processed') AS proces
 FROM outcome"""
 
 SQL["chunks_per_file"] = f"WITH {RUN} SELECT filepath, count(*) AS chunks FROM ch GROUP BY filepath"
+
+# ---------------------------------------------------------------- encoding and search
+
+QUERY_PREFIX = "Represent this query for searching relevant passages: "
+PASSAGE_PREFIX = "Represent this passage for searching relevant queries: "
+
+
+def hashed_vector(x: str, dim: int = 64) -> str:
+    """Signed feature hashing of the words of ``x``, L2-normalised, FLOAT[]."""
+    words = f"list_filter(string_split_regex(lower({x}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
+    codes = f"list_transform({words}, lambda w: ('0x' || substr(md5(w), 1, 8))::UBIGINT::BIGINT)"
+    counts = (
+        f"list_transform(range({dim}), lambda i: CAST(len(list_filter(hs, lambda h: h % {dim} = i AND (h // {dim}) % 2 = 0))"
+        f" - len(list_filter(hs, lambda h: h % {dim} = i AND (h // {dim}) % 2 = 1)) AS DOUBLE))"
+    )
+    return (
+        f"(SELECT list_transform(c, lambda v: CAST(CASE WHEN nrm > 0 THEN v / nrm ELSE 0 END AS FLOAT)) FROM "
+        f"(SELECT c, sqrt(list_sum(list_transform(c, lambda v: v * v))) AS nrm FROM "
+        f"(SELECT {counts} AS c FROM (SELECT {codes} AS hs))))"
+    )
+
+
+CORPUS = f"""{FILES}, {chunks_cte('ac', 'files')}, {points_cte('ap', 'ac')}, {last_wins_cte('lw', 'ap')},
+pts AS (SELECT *, {hashed_vector('text')} AS vector FROM lw)"""
+
+SQL["embed_passages"] = f"""WITH {FILES}, {chunks_cte('ac', 'files')},
+v AS (SELECT filepath, chunk_id, {hashed_vector('text')} AS vec FROM ac),
+u AS (SELECT filepath, chunk_id, unnest(vec) AS w, generate_subscripts(vec, 1) - 1 AS dim FROM v)
+SELECT filepath, chunk_id, CAST(dim AS INTEGER) AS dim, round(CAST(w AS DOUBLE), 6) AS weight FROM u WHERE w <> 0"""
+
+SQL["embed_search"] = f"""WITH {CORPUS},
+qv AS (SELECT item_id AS query_id, {hashed_vector(lit(QUERY_PREFIX) + ' || text')} AS vec FROM benchmark),
+sc AS (SELECT q.query_id, p.point_id, p.filepath, p.chunk_id, list_dot_product(q.vec::DOUBLE[], p.vector::DOUBLE[]) AS score
+       FROM qv q CROSS JOIN pts p),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS rank FROM sc)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, point_id, filepath, chunk_id
+FROM r WHERE rank <= 5 AND score >= 0.35"""
+
+BATCH = f"""{CORPUS},
+bq AS (
+  SELECT item_id AS query_id, text AS query, CASE WHEN length(text) < 150 THEN 3 ELSE 5 END AS top,
+         CASE WHEN NOT length(text) < 150 THEN CAST(0.35 AS DOUBLE) END AS threshold, CAST(NULL AS VARCHAR) AS filter
+  FROM benchmark
+), dq AS (
+  SELECT -1 - f.doc_id AS query_id, string_split(f.text, chr(10))[1] AS query, 5 AS top, CAST(0.35 AS DOUBLE) AS threshold,
+         'filename=' || regexp_extract(f.path, '([^/]*)$', 1) AS filter
+  FROM files f JOIN labels l USING (doc_id) WHERE l.quality = 1
+), qs AS (
+  SELECT query_id, {strip('query')} AS query, top, threshold, filter,
+         CASE WHEN instr(filter, '=') > 0 THEN substr(filter, instr(filter, '=') + 1) END AS fname
+  FROM (SELECT * FROM bq UNION ALL SELECT * FROM dq)
+  WHERE lower({strip('query')}) NOT IN ('exit', 'quit')
+), qv AS (
+  SELECT *, {hashed_vector(lit(QUERY_PREFIX) + ' || query')} AS vec FROM qs
+), sc AS (
+  SELECT q.query_id, q.top, q.threshold, p.point_id, p.filename, p.chunk_id, p.total_chunks, p.char_count, p.text,
+         list_dot_product(q.vec::DOUBLE[], p.vector::DOUBLE[]) AS score
+  FROM qv q JOIN pts p ON (q.fname IS NULL OR p.filename = q.fname)
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS rank FROM sc
+), hits AS (
+  SELECT * FROM r WHERE rank <= top AND (threshold IS NULL OR score >= threshold)
+)"""
+
+SQL["batch_search"] = f"""WITH {BATCH}
+SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, point_id, filename, chunk_id FROM hits"""
+
+
+def preview_sql(x: str, n: int, flatten: bool = False) -> str:
+    head = f"substr({x}, 1, {n})"
+    if flatten:
+        head = f"replace({head}, chr(10), ' ')"
+    return f"({head} || CASE WHEN length({x}) > {n} THEN '...' ELSE '' END)"
+
+
+SQL["result_view_g1"] = f"""WITH {BATCH}
+SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, filename AS source, chunk_id AS chunk,
+       {preview_sql('text', 600)} AS preview FROM hits"""
+
+SQL["result_view_g2"] = f"""WITH {BATCH}
+SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, coalesce(filename, 'N/A') AS filename,
+       CAST(NULL AS VARCHAR) AS page_info, CAST(NULL AS VARCHAR) AS section,
+       coalesce(CAST(chunk_id AS VARCHAR), '?') || '/' || coalesce(CAST(total_chunks AS VARCHAR), '?') AS chunk_info,
+       CAST(coalesce(char_count, 0) AS INTEGER) AS char_count, {preview_sql("coalesce(text, '')", 300, True)} AS preview
+FROM hits"""
+
+SQL["empty_queries"] = f"""WITH {BATCH}
+SELECT query_id, query FROM qs WHERE query_id NOT IN (SELECT query_id FROM hits)"""
+
+SQL["parse_filter_arg"] = """
+SELECT doc_id, arg, CASE WHEN instr(arg, '=') > 0 THEN substr(arg, instr(arg, '=') + 1) END AS value
+FROM (SELECT doc_id, CASE WHEN lang = 'en' THEN 'filename=' || source || '=x' ELSE source END AS arg FROM documents)"""
+
+
+def name_sql(p: str) -> str:
+    return f"regexp_extract({p}, '([^/]*)$', 1)"
+
+
+def suffix_sql(p: str) -> str:
+    return f"regexp_extract({name_sql(p)}, '^.+(\\.[^.]+)$', 1)"
+
+
+SQL["text_preview"] = f"""WITH {FILES}, pp AS (
+  SELECT *, CASE WHEN lang = 'fr' THEN path || '.PDF' WHEN lang = 'de' THEN regexp_replace(path, '\\.txt$', '')
+                 WHEN lang = 'es' THEN regexp_replace(path, '/([^/]*)$', '/.\\1') ELSE path END AS p
+  FROM files JOIN (SELECT doc_id, lang FROM documents) USING (doc_id)
+)
+SELECT doc_id, {preview_sql('text', 600)} AS preview600, {preview_sql('text', 300, True)} AS preview300,
+       {name_sql('p')} AS filename, substr({name_sql('p')}, 1, length({name_sql('p')}) - length({suffix_sql('p')})) AS stem,
+       {suffix_sql('p')} AS suffix, lower(regexp_replace({suffix_sql('p')}, '^\\.', '')) AS file_type,
+       CAST(length({lit(PASSAGE_PREFIX)} || text) AS INTEGER) AS passage_len, CAST(length(text) AS INTEGER) AS plain_len,
+       substr({lit(QUERY_PREFIX)} || text, 1, 60) AS query_head
+FROM pp"""
+
+SQL["l2_normalize"] = """
+WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * (label + 1)) AS v FROM embeddings),
+n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x::DOUBLE * x::DOUBLE))) AS nrm FROM s),
+u AS (SELECT vec_id, unnest(list_transform(v, lambda x: CAST(CASE WHEN nrm > 0 THEN x::DOUBLE / nrm ELSE 0 END AS FLOAT))) AS x,
+             generate_subscripts(v, 1) - 1 AS dim FROM n)
+SELECT vec_id, CAST(dim AS INTEGER) AS dim, round(CAST(x AS DOUBLE), 6) AS x FROM u"""
+
+SQL["cosine_score"] = """
+WITH d AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings),
+m AS (SELECT label, dim, avg(x) AS m FROM d GROUP BY ALL),
+c AS (SELECT label, list(m ORDER BY dim) AS centroid FROM m GROUP BY label)
+SELECT vec_id, label, round(list_cosine_similarity(embedding::DOUBLE[], centroid), 6) AS cosine,
+       round(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]), 6) AS self_dot
+FROM embeddings JOIN c USING (label)"""

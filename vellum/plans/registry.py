@@ -310,3 +310,158 @@ QUERIES.update({
     "run_summary": q_run_summary,
     "chunks_per_file": q_chunks_per_file,
 })
+
+
+# ---------------------------------------------------------------- encoding and search over documents
+
+from vellum.functions import vectors  # noqa: E402
+
+DIM = 64
+
+
+def corpus_points(spark, sf_dir):
+    """E1 + D6 + D7: encoded chunk points of every document (copies: last path)."""
+    pts = dedup.last_wins(doc_points(doc_files(spark, sf_dir)))
+    return embed.embed_passages(pts, embed.HashingEncoder(DIM))
+
+
+def q_embed_passages(spark, sf_dir):
+    """Hashed passage vectors of every chunk, as (chunk, dimension, weight)."""
+    ch = embed.embed_passages(doc_chunks(doc_files(spark, sf_dir)), embed.HashingEncoder(DIM))
+    x = ch.select("filepath", "chunk_id", F.posexplode("vector").alias("dim", "w"))
+    return x.where(F.col("w") != 0).select(
+        "filepath", "chunk_id", F.col("dim").cast("int").alias("dim"), F.round(F.col("w").cast("double"), 6).alias("weight")
+    )
+
+
+def benchmark_queries(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark")
+    return b.select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+
+
+def q_embed_search(spark, sf_dir):
+    """E2 + Q1 + Q2: every benchmark text searches the document chunks, top 5, >= 0.35."""
+    pts = corpus_points(spark, sf_dir)
+    qs = embed.embed_queries(benchmark_queries(spark, sf_dir), embed.HashingEncoder(DIM))
+    hits = search.topk(pts, qs, 5, threshold=0.35, payload=["filepath", "chunk_id"])
+    return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "point_id", "filepath", "chunk_id")
+
+
+def batch_queries(spark, sf_dir):
+    """Q5 input: benchmark texts (short ones as G1 does: k=3, no threshold;
+    longer: k=5, 0.35) and, for documents labelled quality 1, their first line
+    searched inside their own file (``filename=<name>``)."""
+    b = table(spark, sf_dir, "benchmark")
+    short = F.length("text") < 150
+    bq = b.select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query"),
+        F.when(short, 3).otherwise(5).alias("top"), F.when(~short, F.lit(0.35)).alias("threshold"),
+        F.lit(None).cast("string").alias("filter"),
+    )
+    f = doc_files(spark, sf_dir).join(table(spark, sf_dir, "labels").where("quality = 1"), "doc_id")
+    dq = f.select(
+        (-1 - F.col("doc_id")).alias("query_id"), F.split("text", "\n")[0].alias("query"), F.lit(5).alias("top"),
+        F.lit(0.35).alias("threshold"), F.concat(F.lit("filename="), tx.file_name("path")).alias("filter"),
+    )
+    return search.clean_queries(bq.unionByName(dq))
+
+
+def batch_hits(spark, sf_dir, payload):
+    pts = corpus_points(spark, sf_dir)
+    qs = batch_queries(spark, sf_dir).withColumn("fname", search.parse_filter_arg("filter"))
+    qs = embed.embed_queries(qs, embed.HashingEncoder(DIM))
+    return search.topk(pts, qs, "top", threshold="threshold", query_filter="fname", point_filter="filename", payload=payload)
+
+
+def q_batch_search(spark, sf_dir):
+    """Q5, Q3, Q4: many queries with their own k, threshold and filename filter."""
+    hits = batch_hits(spark, sf_dir, ["filename", "chunk_id"])
+    return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "point_id", "filename", "chunk_id")
+
+
+def q_result_view_g1(spark, sf_dir):
+    """Q6: G1 result cards (source, chunk, 600-character preview)."""
+    hits = batch_hits(spark, sf_dir, ["filename", "chunk_id", "text"])
+    return search.result_view_g1(hits.withColumnRenamed("filename", "source").withColumnRenamed("chunk_id", "chunk"))
+
+
+def q_result_view_g2(spark, sf_dir):
+    """Q7: G2 result cards."""
+    hits = batch_hits(spark, sf_dir, ["filename", "chunk_id", "total_chunks", "char_count", "text"])
+    hits = hits.withColumn("page", F.lit(None).cast("int")).withColumn("total_pages", F.lit(None).cast("int"))
+    return search.result_view_g2(hits.withColumn("section", F.lit(None).cast("string")))
+
+
+def q_empty_queries(spark, sf_dir):
+    """Q8: queries of the batch that found nothing."""
+    hits = batch_hits(spark, sf_dir, None)
+    return search.empty_queries(batch_queries(spark, sf_dir), hits).select("query_id", "query")
+
+
+def q_parse_filter_arg(spark, sf_dir):
+    """Q4: ``key=value`` arguments built from documents (English ones carry a
+    second '=', others have no '=' at all)."""
+    d = table(spark, sf_dir, "documents")
+    arg = F.when(F.col("lang") == "en", F.concat(F.lit("filename="), F.col("source"), F.lit("=x"))).otherwise(F.col("source"))
+    return d.select("doc_id", arg.alias("arg"), search.parse_filter_arg(arg).alias("value"))
+
+
+def q_text_preview(spark, sf_dir):
+    """Previews, file-name parts and encoder prefixes."""
+    f = doc_files(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    # vary the path shape by language: plain, double suffix, no suffix, hidden file
+    p = (
+        F.when(F.col("lang") == "fr", F.concat(F.col("path"), F.lit(".PDF")))
+        .when(F.col("lang") == "de", F.regexp_replace("path", r"\.txt$", ""))
+        .when(F.col("lang") == "es", F.regexp_replace("path", r"/([^/]*)$", "/.$1"))
+        .otherwise(F.col("path"))
+    )
+    return f.select(
+        "doc_id",
+        tx.preview("text", 600).alias("preview600"),
+        tx.preview("text", 300, flatten=True).alias("preview300"),
+        tx.file_name(p).alias("filename"), tx.file_stem(p).alias("stem"), tx.file_suffix(p).alias("suffix"),
+        tx.file_type(p).alias("file_type"),
+        F.length(tx.passage_text("text", "BAAI/bge-large-en-v1.5")).cast("int").alias("passage_len"),
+        F.length(tx.passage_text("text", "nomic-ai/nomic-embed-text-v1.5")).cast("int").alias("plain_len"),
+        F.substring(tx.query_text("text"), 1, 60).alias("query_head"),
+    )
+
+
+def q_l2_normalize(spark, sf_dir):
+    """Embeddings scaled by (label + 1) and normalised back, per component."""
+    e = table(spark, sf_dir, "embeddings")
+    scaled = e.select("vec_id", F.transform("embedding", lambda x: x.cast("double") * (F.col("label") + 1)).alias("v"))
+    n = vectors.l2_normalize(scaled, "v")
+    return n.select("vec_id", F.posexplode("v").alias("dim", "x")).select(
+        "vec_id", F.col("dim").cast("int").alias("dim"), F.round(F.col("x").cast("double"), 6).alias("x")
+    )
+
+
+def q_cosine_score(spark, sf_dir):
+    """Cosine of every embedding with the mean vector of its label."""
+    e = table(spark, sf_dir, "embeddings")
+    dims = e.select("label", F.posexplode("embedding").alias("dim", "x"))
+    mean = dims.groupBy("label", "dim").agg(F.avg("x").alias("m"))
+    cent = mean.groupBy("label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda s: s["m"]).alias("centroid")
+    )
+    j = e.join(cent, "label")  # 10 centroids: the planner broadcasts them
+    return j.select(
+        "vec_id", "label", F.round(vectors.cosine_score("embedding", "centroid"), 6).alias("cosine"),
+        F.round(vectors.dot("embedding", "embedding"), 6).alias("self_dot"),
+    )
+
+
+QUERIES.update({
+    "embed_passages": q_embed_passages,
+    "embed_search": q_embed_search,
+    "batch_search": q_batch_search,
+    "result_view_g1": q_result_view_g1,
+    "result_view_g2": q_result_view_g2,
+    "empty_queries": q_empty_queries,
+    "parse_filter_arg": q_parse_filter_arg,
+    "text_preview": q_text_preview,
+    "l2_normalize": q_l2_normalize,
+    "cosine_score": q_cosine_score,
+})
