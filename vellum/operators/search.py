@@ -225,13 +225,7 @@ def topk(
     else:
         cands = _block_scan(q, p, kmax, filter_codes, matrix_bytes, broadcast_limit_bytes, points_per_bucket)
 
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("point_id"))
-    hits = (
-        cands.withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= F.lit(kmax))
-        .where(F.col("rank") <= F.col("k"))
-        .select(*out_cols)
-    )
+    hits = final_topk(cands, kmax)
     if payload:
         # hits hold at most n_q * kmax rows (bounded by the check above), so the
         # broadcast side is small and the points side streams without a shuffle
@@ -253,23 +247,54 @@ def _broadcast_scan(spark, q: DataFrame, p: DataFrame, kmax: int, filter_codes)
     return p.mapInPandas(scan, _CAND_SCHEMA)
 
 
-def _block_scan(q, p, kmax, filter_codes, matrix_bytes, limit, per_bucket) -> DataFrame:
+def _block_scan(q, p, kmax, filter_codes, matrix_bytes, limit, per_bucket, keys=None, bucket_counts=None) -> DataFrame:
+    """Cogroup scoring.  ``keys`` (e.g. an IVF cell) must already be columns of
+    both sides; points of one key are split into ``ceil(n / per_bucket)``
+    buckets (``bucket_counts`` gives n per key; otherwise one global count) and
+    queries are hashed into blocks under ``limit`` bytes, so every group holds
+    at most one query block and one bounded point bucket."""
+    keys = keys or []
     n_qb = max(1, math.ceil(matrix_bytes / limit))
-    n_p = p.count()
-    n_pb = max(1, math.ceil(n_p / per_bucket))
-    qx = q.withColumn("__qb", F.pmod(F.xxhash64("__qid"), F.lit(n_qb))).withColumn(
-        "__pb", F.explode(F.sequence(F.lit(0), F.lit(n_pb - 1)))
+    if bucket_counts is None:
+        n_p = p.count()
+        p = p.withColumn("__nb", F.lit(int(max(1, math.ceil(n_p / per_bucket)))))
+        q = q.withColumn("__nb", F.lit(int(max(1, math.ceil(n_p / per_bucket)))))
+    else:
+        # one row per key (bounded by the number of keys): broadcast to both sides
+        def nb():  # fresh attributes per side, so the two joins stay independent
+            return bucket_counts.select(
+                *[F.col(c).alias(c) for c in keys],
+                F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(per_bucket))).cast("int").alias("__nb"),
+            )
+
+        p = p.join(F.broadcast(nb()), keys)
+        q = q.join(F.broadcast(nb()), keys)
+    # grouping keys must have one type on both sides (int hashes differ from bigint)
+    qx = q.withColumn("__qb", F.pmod(F.xxhash64("__qid"), F.lit(n_qb)).cast("int")).withColumn(
+        "__pb", F.explode(F.sequence(F.lit(0), F.col("__nb").cast("int") - 1))
     )
-    px = p.withColumn("__pb", F.pmod(F.xxhash64("__pid"), F.lit(n_pb))).withColumn(
-        "__qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1)))
+    px = p.withColumn("__pb", F.pmod(F.xxhash64("__pid"), F.col("__nb")).cast("int")).withColumn(
+        "__qb", F.explode(F.sequence(F.lit(0), F.lit(int(n_qb - 1))))
     )
+    g = [*keys, "__qb", "__pb"]
 
     def pair(qdf: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
         qb = _QueryBlock(qdf, kmax, filter_codes)
         bs, bi = _score_partition(qb, [pdf], filter_codes)
         return _emit(qb, bs, bi)
 
-    return qx.groupBy("__qb", "__pb").cogroup(px.groupBy("__qb", "__pb")).applyInPandas(pair, _CAND_SCHEMA)
+    return qx.groupBy(*g).cogroup(px.groupBy(*g)).applyInPandas(pair, _CAND_SCHEMA)
+
+
+def final_topk(cands: DataFrame, kmax: int) -> DataFrame:
+    """Exact per-query top-k over candidate rows ``(query_id, point_id, score, k)``."""
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("point_id"))
+    return (
+        cands.withColumn("rank", F.row_number().over(w))
+        .where(F.col("rank") <= F.lit(kmax))
+        .where(F.col("rank") <= F.col("k"))
+        .select("query_id", "rank", "score", "point_id")
+    )
 
 
 # ---------------------------------------------------------------- small operators

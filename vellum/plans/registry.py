@@ -465,3 +465,101 @@ QUERIES.update({
     "l2_normalize": q_l2_normalize,
     "cosine_score": q_cosine_score,
 })
+
+
+# ---------------------------------------------------------------- operators without a SQL oracle
+
+from vellum.operators import ann  # noqa: E402
+from vellum.operators.extract import extract_blocks  # noqa: E402
+from vellum.plans import indexing  # noqa: E402
+from vellum.session import scratch_path  # noqa: E402
+from vellum.sources import files as src  # noqa: E402
+
+
+def q_ann_topk(spark, sf_dir):
+    """Q9: IVF (16 k-means cells, 4 probed) top-5 of every embedding."""
+    pts = points_from_embeddings(spark, sf_dir)
+    qs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    idx = ann.build_ivf(pts, 16)
+    hits = ann.ann_topk(idx, qs, 5, nprobe=4)
+    return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "point_id")
+
+
+def q_recursive_chunks(spark, sf_dir):
+    """T5: recursive character chunks (512 / 52) of every document."""
+    d = table(spark, sf_dir, "documents")
+    x = d.select("doc_id", F.posexplode(chunking.recursive_chunks("text")).alias("chunk", "text"))
+    return x.select("doc_id", F.col("chunk").cast("int").alias("chunk"), F.length("text").cast("int").alias("char_count"),
+                    F.md5("text").alias("text_md5"))
+
+
+def mixed_files(spark, sf_dir):
+    """Documents as .txt files, web pages as .html files and conversations as
+    .json files (a type without a decoder)."""
+    docs = doc_files(spark, sf_dir).select("path", F.col("text").alias("content"))
+    pages = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"), F.col("html").alias("content"))
+    conv = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns")).select(
+        F.concat(F.lit("conversations/"), F.col("conv_id").cast("string"), F.lit(".json")).alias("path"),
+        F.col("turns").cast("string").alias("content"))
+    allf = docs.unionByName(pages).unionByName(conv)
+    return src.with_hash(src.files_from_table(allf, F.col("path"), F.col("content")))
+
+
+DECODERS = {"txt": src.TextDecoder(heading_below=40), "html": src.HtmlDecoder()}
+
+
+def q_extract_blocks(spark, sf_dir):
+    """Dispatch on file type, blocks and per-file errors."""
+    blocks, errors = extract_blocks(mixed_files(spark, sf_dir), DECODERS)
+    b = blocks.select("path", "block_no", "section", "page", F.length("text").cast("int").alias("char_count"),
+                      F.md5("text").alias("text_md5"), F.lit(None).cast("string").alias("error"))
+    e = errors.select("path", F.lit(None).cast("int").alias("block_no"), F.lit(None).cast("string").alias("section"),
+                      F.lit(None).cast("int").alias("page"), F.lit(None).cast("int").alias("char_count"),
+                      F.lit(None).cast("string").alias("text_md5"), "error")
+    return b.unionByName(e)
+
+
+def q_index_documents(spark, sf_dir):
+    """G2 end to end (S1 stand-in, D2, D5, X1, T5, T6, T7, T8, E1, D6, R1):
+    per-file outcome of one run over documents, pages and conversations,
+    with the labelled documents already in the state."""
+    files = mixed_files(spark, sf_dir)
+    state = previous_files(spark, sf_dir).select("path", "file_hash")
+    plan = indexing.plan_index(files, state, decoders=DECODERS, encoder=embed.HashingEncoder(DIM),
+                               cfg=indexing.IndexConfig(indexed_at=RUN_AT))
+    return plan.outcome.select("path", "status", "chunks", "error")
+
+
+def q_token_ingest(spark, sf_dir):
+    """G1 end to end (D1, D4, X3, X4, T3, T4, E1): conversations as paged
+    files; conversations whose first turn is by the assistant count as known."""
+    c = table(spark, sf_dir, "conversations")
+    path = F.concat(F.lit("conversations/"), F.col("conv_id").cast("string"), F.lit(".pdf"))
+    doc_hash = c.groupBy("conv_id").agg(
+        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"]), "\f"), 256).alias("file_hash"))
+    pages = c.join(doc_hash, "conv_id").select(path.alias("path"), (F.col("turn") + 1).alias("page"), "text", "file_hash")
+    first = c.where("turn = 0 and role = 'assistant'").join(doc_hash, "conv_id").select("file_hash")
+    points, empty = indexing.plan_token_ingest(pages, first, encoder=embed.HashingEncoder(DIM))
+    return points.select("path", "source", "chunk", "tokens", "file_hash", F.md5("text").alias("text_md5"))
+
+
+def q_discover_files(spark, sf_dir):
+    """Documents written by Spark as one text file per document, then
+    listed back recursively by suffix (any case) and hashed (D2)."""
+    root = scratch_path(spark, "corpus")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d.repartition("doc_id").write.partitionBy("doc_id").text(root)
+    f = src.with_hash(src.discover_files(spark, root, (".TXT",)))
+    doc = F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint")
+    return f.select(doc.alias("doc_id"), "file_type", "length", "file_hash")
+
+
+QUERIES.update({
+    "ann_topk": q_ann_topk,
+    "recursive_chunks": q_recursive_chunks,
+    "extract_blocks": q_extract_blocks,
+    "index_documents": q_index_documents,
+    "token_ingest": q_token_ingest,
+    "discover_files": q_discover_files,
+})
