@@ -1,67 +1,122 @@
 """The distributed extraction job - files in, blocks and errors out.
 
-Files are routed to their decoder by ``file_type`` (a pushed-down filter per
-type).  Paged decoders feed ``page_blocks``; element decoders feed blank-line
-removal, dense positions and ``section_blocks``.  A file never aborts the
-job: an unsupported type, a decoder failure or a file without any block
-becomes an error row.
+Every file row is decoded, turned into blocks and (later) chunked inside the
+row (``vellum.operators.per_file``): no window and no shuffle between reading
+a file and numbering its chunks.  The decoder is chosen by ``file_type``; a
+file never aborts the job - an unsupported type, a decoder failure or a file
+without any block becomes the file's ``error``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vellum.functions.text import MIN_CHUNK_LENGTH
-from vellum.operators import blocks as B
+from vellum.operators import per_file
+from vellum.sources.files import UdfDecoder
 
-BLOCK_COLUMNS = ["path", "file_hash", "block_no", "page", "total_pages", "section", "section_idx", "text"]
+BLOCK = T.StructType([
+    T.StructField("page", T.IntegerType()),
+    T.StructField("total_pages", T.IntegerType()),
+    T.StructField("section", T.StringType()),
+    T.StructField("section_idx", T.IntegerType()),
+    T.StructField("text", T.StringType()),
+])
+NO_TEXT = "no extractable text (scanned without OCR?)"
 
 
-def _empty_blocks(spark):
-    return spark.createDataFrame(
-        [], "path string, file_hash string, block_no int, page int, total_pages int, section string, section_idx int, text string"
-    )
+def _as_blocks(arr, kind: str):
+    if kind == "pages":
+        return F.transform(arr, lambda b: F.struct(
+            b["page"].alias("page"), b["total_pages"].alias("total_pages"), F.lit(None).cast("string").alias("section"),
+            F.lit(None).cast("int").alias("section_idx"), b["text"].alias("text")))
+    return F.transform(arr, lambda b: F.struct(
+        F.lit(None).cast("int").alias("page"), F.lit(None).cast("int").alias("total_pages"), b["section"].alias("section"),
+        b["section_idx"].alias("section_idx"), b["text"].alias("text")))
 
 
-def extract_blocks(files: DataFrame, decoders: dict, min_len: int = MIN_CHUNK_LENGTH) -> tuple[DataFrame, DataFrame]:
-    """``files(path, file_type, file_hash, content)`` -> ``(blocks, errors)``.
-
-    blocks: ``path, file_hash, block_no, page, total_pages, section,
-    section_idx, text`` (page fields for paged types, section fields for
-    element types); errors: ``path, error``."""
-    spark = files.sparkSession
-    keep = ["path", "file_hash"]
-    out = _empty_blocks(spark)
-    errors = files.select("path", F.lit(None).cast("string").alias("error")).limit(0)
-    for ftype, dec in decoders.items():
-        f = files.where(F.col("file_type") == ftype)
-        rows, errs = dec.decode(f, keep)
-        errors = errors.unionByName(errs)
+def decode_files(files: DataFrame, decoders: dict, min_len: int = MIN_CHUNK_LENGTH) -> DataFrame:
+    """``files(path, file_type, file_hash, content)`` -> one row per file:
+    ``path, file_hash, blocks array<struct<page, total_pages, section,
+    section_idx, text>>, error``.  Row-local: no shuffle."""
+    ftype = F.col("file_type")
+    items = F.lit(None).cast(T.ArrayType(T.StructType([T.StructField("style", T.StringType()), T.StructField("text", T.StringType())])))
+    derr = F.lit(None).cast("string")
+    blocks = F.lit(None).cast(T.ArrayType(BLOCK))
+    # Python decoders run once per file of their type, native ones are expressions
+    x = files
+    for name, dec in decoders.items():
+        if isinstance(dec, UdfDecoder):
+            # the UDF sees only files of its type (others pass null)
+            x = x.withColumn(f"__d_{name}", dec.items_and_error(F.when(ftype == name, F.col("content"))))
+    for name, dec in decoders.items():
+        if isinstance(dec, UdfDecoder):
+            it, er = F.col(f"__d_{name}.items"), F.col(f"__d_{name}.error")
+        else:
+            it, er = dec.items(F.col("content")), F.lit(None).cast("string")
+        items = F.when(ftype == name, it).otherwise(items)
+        derr = F.when(ftype == name, er).otherwise(derr)
+    x = x.select("path", "file_hash", "file_type", items.alias("__items"), derr.alias("__derr"))
+    for name, dec in decoders.items():
+        mine = F.when(ftype == name, F.col("__items"))  # Python helpers get null for other types
         if dec.kind == "pages":
-            pb = B.page_blocks(rows, doc="path", page="page", text="text", min_len=min_len)
-            blk = pb.select(
-                "path", "file_hash", F.col("page").cast("int").alias("block_no"), F.col("page").cast("int").alias("page"),
-                "total_pages", F.lit(None).cast("string").alias("section"), F.lit(None).cast("int").alias("section_idx"), "text",
-            )
+            b = _as_blocks(per_file.page_blocks_array(F.transform(mine, lambda i: i["text"]), min_len), "pages")
         else:
-            el = B.drop_blank_elements(rows)
-            el = B.dense_positions(el, doc="path", pos="pos")
-            el = el.withColumn("is_heading", B.is_heading("style"))
-            sec = B.section_blocks(el, doc="path", pos="pos", heading="is_heading", min_len=min_len)
-            hashes = f.select("path", "file_hash")
-            blk = sec.join(hashes, "path").select(
-                "path", "file_hash", F.col("section_idx").alias("block_no"), F.lit(None).cast("int").alias("page"),
-                F.lit(None).cast("int").alias("total_pages"), "section", "section_idx", "text",
-            )
-        out = out.unionByName(blk)
-    unsupported = files.where(~F.col("file_type").isin(list(decoders))).select(
-        "path", F.concat(F.lit("unsupported format: ."), F.col("file_type")).alias("error")
+            b = _as_blocks(per_file.section_blocks_array(mine, min_len), "elements")
+        blocks = F.when(ftype == name, b).otherwise(blocks)
+    x = x.withColumn("blocks", blocks)
+    supported = ftype.isin(list(decoders))
+    error = (
+        F.when(~supported, F.concat(F.lit("unsupported format: ."), ftype))
+        .when(F.col("__derr").isNotNull(), F.col("__derr"))
+        .when(F.coalesce(F.size("blocks"), F.lit(0)) <= 0, F.lit(NO_TEXT))
+    )
+    return x.select("path", "file_hash", F.when(error.isNull(), F.col("blocks")).alias("blocks"), error.alias("error"))
+
+
+def extract_blocks(files: DataFrame, decoders: dict, min_len: int = MIN_CHUNK_LENGTH) -> tuple[DataFrame, DataFrame]:
+    """Rows form of ``decode_files``: (blocks ``path, file_hash, block_no,
+    page, total_pages, section, section_idx, text``; errors ``path, error``)."""
+    d = decode_files(files, decoders, min_len)
+    b = d.where(F.col("error").isNull()).select("path", "file_hash", F.explode("blocks").alias("b"))
+    blocks = b.select(
+        "path", "file_hash", F.coalesce(F.col("b.page"), F.col("b.section_idx")).alias("block_no"),
+        "b.page", "b.total_pages", "b.section", "b.section_idx", "b.text",
+    )
+    return blocks, d.where(F.col("error").isNotNull()).select("path", "error")
+
+
+NO_CHUNKS = "no valid chunks after extraction"
+
+
+def chunk_files(decoded: DataFrame, size: int, overlap: int, min_len: int = MIN_CHUNK_LENGTH, splitter=None) -> DataFrame:
+    """T5-T8 per file row: ``path, file_hash, chunks array<struct<page,
+    total_pages, section, section_idx, text>>, error`` (a file whose blocks
+    give no chunk gets the T8 error).  ``splitter`` (``array<string>`` ->
+    ``array<array<string>>``) replaces the recursive splitter."""
+    fields = ["page", "total_pages", "section", "section_idx"]
+    ch = per_file.chunk_blocks_array(F.col("blocks"), size, overlap, min_len, fields=fields, splitter=splitter)
+    # A partition-local sort (no shuffle) keeps decoding and splitting in two
+    # projections, so the splitter's Arrow UDF reads a plain column instead of
+    # an expression over the decoding UDFs (which Spark cannot chain).
+    x = decoded.sortWithinPartitions("path").select("path", "file_hash", "error", F.when(F.col("error").isNull(), ch).alias("chunks"))
+    err = F.coalesce(F.col("error"), F.when(F.size("chunks") <= 0, F.lit(NO_CHUNKS)))
+    return x.select("path", "file_hash", F.when(err.isNull(), F.col("chunks")).alias("chunks"), err.alias("error"))
+
+
+def chunk_rows(chunked: DataFrame, indexed_at: str) -> DataFrame:
+    """One row per chunk with the payload fields; ``chunk_id`` is the
+    position in the file's chunk array, ``total_chunks`` its size."""
+    from vellum.functions.text import file_name, file_type
+
+    x = chunked.where(F.col("error").isNull()).select(
+        "path", "file_hash", F.size("chunks").cast("int").alias("total_chunks"), F.posexplode("chunks").alias("chunk_id", "c")
     )
-    decoded = files.where(F.col("file_type").isin(list(decoders))).select("path")
-    no_text = (
-        decoded.join(errors.select("path"), "path", "left_anti")
-        .join(out.select("path").distinct(), "path", "left_anti")
-        .select("path", F.lit("no extractable text (scanned without OCR?)").alias("error"))
+    return x.select(
+        file_name("path").alias("filename"), F.col("path").alias("filepath"), file_type("path").alias("file_type"),
+        "file_hash", F.col("chunk_id").cast("int").alias("chunk_id"), F.length("c.text").cast("int").alias("char_count"),
+        F.lit(indexed_at).alias("indexed_at"), "c.page", "c.total_pages", "c.section", "c.section_idx",
+        "total_chunks", F.col("c.text").alias("text"),
     )
-    return out, errors.unionByName(unsupported).unionByName(no_text)

@@ -20,8 +20,8 @@ from vellum.functions.identity import point_id
 from vellum.functions.text import MIN_CHUNK_LENGTH
 from vellum.operators import blocks as B
 from vellum.operators import chunking, dedup, embed
-from vellum.operators.extract import extract_blocks
-from vellum.operators.report import file_outcome, run_summary
+from vellum.operators.extract import chunk_files, chunk_rows, decode_files
+from vellum.operators.report import run_summary
 from vellum.session import shared_dir
 from vellum.sources.files import default_decoders, with_hash
 from vellum.sources.store import VectorStore, quarantine_rows
@@ -41,6 +41,7 @@ class IndexConfig:
 class IndexPlan:
     files: DataFrame
     skipped: DataFrame
+    per_file: DataFrame  # path, file_hash, chunks array, error (one row per processed file)
     chunks: DataFrame
     points: DataFrame
     errors: DataFrame
@@ -51,7 +52,11 @@ class IndexPlan:
 def plan_index(files: DataFrame, state: DataFrame, *, decoders=None, encoder=None, cfg: IndexConfig | None = None,
                splitter=None) -> IndexPlan:
     """G2 as DataFrames: files(path, file_type, content[, file_hash]) and the
-    previous state -> chunks, points, errors, per-file outcome, next state."""
+    previous state -> chunks, points, errors, per-file outcome, next state.
+
+    Shuffles: the change test against the state (anti/semi join, broadcast
+    when the state is small) and the outcome/state joins on the unique path.
+    Decoding, blocks, chunking and numbering are row-local per file."""
     cfg = cfg or IndexConfig()
     decoders = decoders if decoders is not None else default_decoders()
     encoder = encoder or embed.HashingEncoder()
@@ -59,26 +64,42 @@ def plan_index(files: DataFrame, state: DataFrame, *, decoders=None, encoder=Non
     if "file_hash" not in files.columns:
         files = with_hash(files, "md5")
     todo, skipped = dedup.changed_files(files, state, cfg.skip_already_indexed)
-    blocks, errors = extract_blocks(todo, decoders, cfg.min_chunk_length)
-    split = splitter or (lambda c: chunking.recursive_chunks(c, cfg.chunk_size, cfg.chunk_overlap))
-    chunks = chunking.chunk_blocks(blocks, indexed_at, min_len=cfg.min_chunk_length, splitter=split)
-    bad = errors.select("path").distinct()
-    no_chunks = chunking.require_chunks(todo.select("path").join(bad, "path", "left_anti"), chunks).select(
-        "path", F.lit("no valid chunks after extraction").alias("error")
-    )
-    errors = errors.unionByName(no_chunks)
+    decoded = decode_files(todo, decoders, cfg.min_chunk_length)
+    per_file = chunk_files(decoded, cfg.chunk_size, cfg.chunk_overlap, cfg.min_chunk_length, splitter)
+    return _finish(files, skipped, per_file, state, encoder, indexed_at)
+
+
+def _finish(files, skipped, per_file, state, encoder, indexed_at) -> IndexPlan:
+    chunks = chunk_rows(per_file, indexed_at)
     points = encoder.embed(chunks, "text", "vector").withColumn("point_id", point_id("file_hash", "chunk_id"))
-    ok = todo.join(errors.select("path").distinct(), "path", "left_anti")
-    outcome = file_outcome(files, skipped, chunks, errors)
-    new_state = dedup.update_state(state, ok)
-    return IndexPlan(files, skipped, chunks, points, errors, outcome, new_state)
+    errors = per_file.where(F.col("error").isNotNull()).select("path", "error")
+    outcome = outcome_from(files, skipped, per_file)
+    ok = per_file.where(F.col("error").isNull()).select("path", "file_hash")
+    return IndexPlan(files, skipped, per_file, chunks, points, errors, outcome, dedup.update_state(state, ok))
+
+
+def outcome_from(files: DataFrame, skipped: DataFrame, per_file: DataFrame) -> DataFrame:
+    """R1 from per-file rows (chunk counts are array sizes: no aggregation)."""
+    pf = per_file.select("path", F.coalesce(F.size("chunks"), F.lit(0)).alias("__n"), F.col("error").alias("__err"))
+    x = files.select("path", "file_hash").join(skipped.select("path", F.lit(True).alias("__skip")), "path", "left")
+    x = x.join(pf, "path", "left")
+    status = (
+        F.when(F.col("__skip"), F.lit("skipped")).when(F.col("__err").isNotNull(), F.lit("error")).otherwise(F.lit("processed"))
+    )
+    return x.select(
+        "path", "file_hash", status.alias("status"),
+        F.when(status == "processed", F.col("__n")).otherwise(F.lit(0)).cast("bigint").alias("chunks"),
+        F.when(status == "error", F.col("__err")).alias("error"),
+    )
 
 
 def run_index(store: VectorStore, files: DataFrame, *, decoders=None, encoder=None, cfg: IndexConfig | None = None,
               splitter=None, failed_at: str | None = None) -> dict:
     """Execute G2 against ``store``: upsert points, quarantine failures, then
     save the state (after the points, so a crash in between only repeats work
-    with the same ids).  Returns the run summary as a dict."""
+    with the same ids).  The per-file chunk table is checkpointed once to the
+    shared folder: points, errors and the outcome all read it.  Returns the
+    run summary as a dict."""
     t0 = time.time()
     cfg = cfg or IndexConfig()
     encoder = encoder or embed.HashingEncoder(store.dim)
@@ -86,17 +107,17 @@ def run_index(store: VectorStore, files: DataFrame, *, decoders=None, encoder=No
     shared_dir(spark)
     state = store.load_state()
     plan = plan_index(files, state, decoders=decoders, encoder=encoder, cfg=cfg, splitter=splitter)
-    points = plan.points.checkpoint()  # read by the upsert and the outcome; cut once
-    errors = plan.errors.checkpoint()
-    outcome = file_outcome(plan.files, plan.skipped, points, errors).checkpoint()
-    store.upsert(points.select(*[c for c in store.scan().columns]))
-    store.quarantine(errors.select("path", "error"), failed_at)
+    per_file = plan.per_file.checkpoint()
+    indexed_at = cfg.indexed_at or datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
+    plan = _finish(plan.files, plan.skipped, per_file, state, encoder, indexed_at)
+    store.upsert(plan.points.select(*store.scan().columns))
+    store.quarantine(plan.errors, failed_at)
     if cfg.remove_stale:
         remove_stale(store, plan.new_state)
+    outcome = plan.outcome.checkpoint()
     ok = outcome.where(F.col("status") == "processed").select("path", "file_hash")
     store.save_state(dedup.update_state(state, ok))
-    summary = run_summary(outcome, time.time() - t0).first().asDict()
-    return summary
+    return run_summary(outcome, time.time() - t0).first().asDict()
 
 
 def remove_stale(store: VectorStore, state: DataFrame) -> None:

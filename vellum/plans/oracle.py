@@ -415,3 +415,8 @@ c AS (SELECT label, list(m ORDER BY dim) AS centroid FROM m GROUP BY label)
 SELECT vec_id, label, round(list_cosine_similarity(embedding::DOUBLE[], centroid), 6) AS cosine,
        round(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]), 6) AS self_dot
 FROM embeddings JOIN c USING (label)"""
+
+# the row-local forms compute the same tables
+SQL["page_blocks_per_file"] = SQL["page_blocks"]
+SQL["section_blocks_per_file"] = SQL["section_blocks"]
+SQL["chunk_metadata_per_file"] = SQL["chunk_metadata"]

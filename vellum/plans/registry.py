@@ -563,3 +563,59 @@ QUERIES.update({
     "token_ingest": q_token_ingest,
     "discover_files": q_discover_files,
 })
+
+
+# ---------------------------------------------------------------- per-file (row-local) forms, same oracles
+
+from vellum.operators import per_file  # noqa: E402
+
+
+def q_page_blocks_per_file(spark, sf_dir):
+    """X2 row-local: a conversation is one file row holding its turns as pages."""
+    c = table(spark, sf_dir, "conversations")
+    docs = c.groupBy("conv_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"]).alias("pages"))
+    b = docs.select("conv_id", F.explode(per_file.page_blocks_array(F.col("pages"))).alias("b"))
+    return b.select("conv_id", F.col("b.page").alias("page"), F.col("b.total_pages").alias("total_pages"), F.col("b.text").alias("text"))
+
+
+def q_section_blocks_per_file(spark, sf_dir):
+    """X5-X7 row-local: each document row's lines are its paragraphs (a line
+    under 40 characters after stripping is a heading)."""
+    d = table(spark, sf_dir, "documents")
+    els = F.transform(F.split("text", "\n"), lambda l: F.struct(
+        F.when(F.length(tx.strip_ws(l)) < 40, F.lit("Heading 1")).otherwise(F.lit("Normal")).alias("style"), l.alias("text")))
+    b = d.select("doc_id", F.explode(per_file.section_blocks_array(els)).alias("b"))
+    return b.select("doc_id", F.col("b.section").alias("section"), F.col("b.section_idx").alias("section_idx"), F.col("b.text").alias("text"))
+
+
+def q_chunk_metadata_per_file(spark, sf_dir):
+    """T6, T7, D6 row-local: conversation pages cut into 60/10 token windows,
+    numbered inside the file row (same result as ``chunk_metadata``)."""
+    from vellum.operators.extract import chunk_rows
+
+    c = table(spark, sf_dir, "conversations")
+    docs = c.groupBy("conv_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"]).alias("pages"))
+    blocks = F.transform(F.col("pages"), lambda t, i: F.struct(
+        (i + 1).cast("int").alias("page"), F.size("pages").cast("int").alias("total_pages"),
+        F.lit(None).cast("string").alias("section"), F.lit(None).cast("int").alias("section_idx"), t.alias("text")))
+    splitter = lambda arr: F.transform(arr, lambda t: chunking.token_windows(t, 60, 10))
+    ch = per_file.chunk_blocks_array(blocks, fields=["page", "total_pages", "section", "section_idx"], splitter=splitter)
+    pf = docs.select(
+        F.concat(F.lit("conversations/"), F.col("conv_id").cast("string"), F.lit(".Pdf")).alias("path"),
+        F.md5(F.concat(F.col("conv_id").cast("string"), F.lit("/conv"))).alias("file_hash"),
+        ch.alias("chunks"), F.lit(None).cast("string").alias("error"))
+    rows = chunk_rows(pf, RUN_AT)
+    return rows.select(
+        identity.point_id("file_hash", "chunk_id").alias("point_id"),
+        "filename", "filepath", "file_type", "file_hash", "chunk_id", "char_count",
+        "page", "total_pages", "total_chunks", F.md5("text").alias("text_md5"),
+    )
+
+
+QUERIES.update({
+    "page_blocks_per_file": q_page_blocks_per_file,
+    "section_blocks_per_file": q_section_blocks_per_file,
+    "chunk_metadata_per_file": q_chunk_metadata_per_file,
+})

@@ -101,10 +101,15 @@ class TextDecoder(Decoder):
     def __init__(self, heading_below: int = 0):
         self.heading_below = heading_below
 
+    def _style(self, line: Column) -> Column:
+        return F.when(F.length(F.trim(line)) < self.heading_below, F.lit("Heading 1")).otherwise(F.lit("Normal"))
+
+    def items(self, content: Column) -> Column:
+        return F.transform(F.split(content.cast("string"), "\n"), lambda l: F.struct(self._style(l).alias("style"), l.alias("text")))
+
     def decode(self, files, keep):
         x = files.select(*keep, F.posexplode(F.split(_as_text(), "\n")).alias("pos", "text"))
-        style = F.when(F.length(F.trim("text")) < self.heading_below, F.lit("Heading 1")).otherwise(F.lit("Normal"))
-        return x.withColumn("style", style), _no_errors(files)
+        return x.withColumn("style", self._style(F.col("text"))), _no_errors(files)
 
 
 # HTML entities decoded by the HTML decoder.
@@ -120,8 +125,9 @@ class HtmlDecoder(Decoder):
 
     kind = "elements"
 
-    def decode(self, files, keep):
-        h = _as_text()
+    @staticmethod
+    def _lines(content: Column) -> Column:
+        h = content.cast("string")
         body = F.coalesce(F.nullif(F.regexp_extract(h, r"(?is)<body[^>]*>(.*)</body>", 1), F.lit("")), h)
         body = F.regexp_replace(body, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "")
         body = F.regexp_replace(body, r"(?i)<h([1-6])\b[^>]*>", "\n\u0001$1")
@@ -129,11 +135,22 @@ class HtmlDecoder(Decoder):
         body = F.regexp_replace(body, r"<[^>]*>", "")
         for a, b in HTML_ENTITIES:
             body = F.replace(body, F.lit(a), F.lit(b))
-        x = files.select(*keep, F.posexplode(F.split(body, "\n")).alias("pos", "text"))
-        is_h = F.startswith(F.col("text"), F.lit("\u0001"))
-        style = F.when(is_h, F.concat(F.lit("Heading "), F.substring("text", 2, 1))).otherwise(F.lit("Normal"))
-        text = F.when(is_h, F.expr("substring(text, 3)")).otherwise(F.col("text"))
-        return x.select(*keep, "pos", style.alias("style"), text.alias("text")), _no_errors(files)
+        return F.split(body, "\n")
+
+    @staticmethod
+    def _item(line: Column) -> Column:
+        is_h = F.startswith(line, F.lit("\u0001"))
+        style = F.when(is_h, F.concat(F.lit("Heading "), F.substring(line, 2, 1))).otherwise(F.lit("Normal"))
+        text = F.when(is_h, F.substring(line, F.lit(3), F.length(line))).otherwise(line)
+        return F.struct(style.alias("style"), text.alias("text"))
+
+    def items(self, content: Column) -> Column:
+        return F.transform(self._lines(content), self._item)
+
+    def decode(self, files, keep):
+        x = files.select(*keep, F.posexplode(self._lines(F.col("content"))).alias("pos", "__l"))
+        it = self._item(F.col("__l"))
+        return x.select(*keep, "pos", it["style"].alias("style"), it["text"].alias("text")), _no_errors(files)
 
 
 class UdfDecoder(Decoder):
@@ -144,7 +161,8 @@ class UdfDecoder(Decoder):
     def __init__(self, parse: Callable[[bytes], list], kind: str = "pages"):
         self.parse, self.kind = parse, kind
 
-    def decode(self, files, keep):
+    def items_and_error(self, content: Column) -> Column:
+        """``struct<items, error>`` for one file (Arrow batch UDF)."""
         parse, kind = self.parse, self.kind
         item = T.StructType([T.StructField("style", T.StringType()), T.StructField("text", T.StringType())])
         out_t = T.StructType([T.StructField("items", T.ArrayType(item)), T.StructField("error", T.StringType())])
@@ -152,6 +170,10 @@ class UdfDecoder(Decoder):
         def run(s: pd.Series) -> pd.DataFrame:
             items, errors = [], []
             for b in s:
+                if b is None:  # a file of another type
+                    items.append(None)
+                    errors.append(None)
+                    continue
                 try:
                     got = parse(bytes(b))
                     if kind == "pages":
@@ -164,11 +186,13 @@ class UdfDecoder(Decoder):
                     errors.append(f"{type(e).__name__}: {e}")
             return pd.DataFrame({"items": items, "error": errors})
 
-        udf = F.pandas_udf(run, out_t)
-        x = files.select(*keep, udf(F.col("content")).alias("__d"))
+        return F.pandas_udf(run, out_t)(content)
+
+    def decode(self, files, keep):
+        x = files.select(*keep, self.items_and_error(F.col("content")).alias("__d"))
         errors = x.where(F.col("__d.error").isNotNull()).select("path", F.col("__d.error").alias("error"))
         ok = x.where(F.col("__d.error").isNull()).select(*keep, F.posexplode("__d.items").alias("pos", "__i"))
-        if kind == "pages":
+        if self.kind == "pages":
             rows = ok.select(*keep, (F.col("pos") + 1).alias("page"), F.col("__i.text").alias("text"))
         else:
             rows = ok.select(*keep, "pos", F.col("__i.style").alias("style"), F.col("__i.text").alias("text"))
