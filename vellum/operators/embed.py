@@ -38,13 +38,18 @@ def hashed_vector(text: Column | str, dim: int) -> Column:
     codes = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"))
 
     def counts(hs):
-        pos = F.transform(F.filter(hs, lambda h: F.floor(h / dim) % 2 == 0), lambda h: h % dim)
-        neg = F.transform(F.filter(hs, lambda h: F.floor(h / dim) % 2 == 1), lambda h: h % dim)
+        # signed bucket of each word; count of bucket i = size - size without i
+        # (array_remove is a native loop, so no lambda runs per word and bucket)
+        pos = F.transform(F.filter(hs, lambda h: F.floor(h / dim) % 2 == 0), lambda h: (h % dim).cast("int"))
+        neg = F.transform(F.filter(hs, lambda h: F.floor(h / dim) % 2 == 1), lambda h: (h % dim).cast("int"))
         return bind(
             F.struct(pos.alias("p"), neg.alias("n")),
             lambda pn: F.transform(
                 F.sequence(F.lit(0), F.lit(dim - 1)),
-                lambda i: (F.size(F.filter(pn["p"], lambda b: b == i)) - F.size(F.filter(pn["n"], lambda b: b == i))).cast("double"),
+                lambda i: (
+                    (F.size(pn["p"]) - F.size(F.array_remove(pn["p"], i)))
+                    - (F.size(pn["n"]) - F.size(F.array_remove(pn["n"], i)))
+                ).cast("double"),
             ),
         )
 

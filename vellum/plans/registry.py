@@ -202,10 +202,17 @@ def previous_files(spark, sf_dir):
 
 
 def doc_chunks(files):
-    """Each file is one block; 500-token windows (50 overlap) are its pieces."""
-    b = files.select("path", "file_hash", F.lit(0).alias("block_no"), "text")
-    splitter = lambda c: chunking.token_windows(c, 500, 50)
-    return chunking.chunk_blocks(b, RUN_AT, splitter=splitter)
+    """Each file is one block; 500-token windows (50 overlap) are its pieces,
+    numbered inside the file row (no shuffle)."""
+    from vellum.operators.extract import chunk_rows
+
+    blocks = F.array(F.struct(
+        F.lit(None).cast("int").alias("page"), F.lit(None).cast("int").alias("total_pages"),
+        F.lit(None).cast("string").alias("section"), F.lit(None).cast("int").alias("section_idx"), F.col("text").alias("text")))
+    splitter = lambda arr: F.transform(arr, lambda t: chunking.token_windows(t, 500, 50))
+    ch = per_file.chunk_blocks_array(blocks, fields=["page", "total_pages", "section", "section_idx"], splitter=splitter)
+    pf = files.select("path", "file_hash", ch.alias("chunks"), F.lit(None).cast("string").alias("error"))
+    return chunk_rows(pf, RUN_AT)
 
 
 def doc_points(files):
