@@ -129,7 +129,8 @@ def remove_stale(store: VectorStore, state: DataFrame) -> None:
     keep.withColumn("bucket", F.pmod(F.col("point_id"), F.lit(store.buckets)).cast("int")).write.mode(
         "overwrite"
     ).partitionBy("bucket").parquet(path)
-    store.spark.read.parquet(path).write.mode("overwrite").partitionBy("bucket").parquet(store.points_path)
+    store.spark.read.schema(store._schema()).parquet(path).write.mode("overwrite").partitionBy("bucket").parquet(
+        store.points_path)
 
 
 # ---------------------------------------------------------------- G1

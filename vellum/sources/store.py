@@ -99,6 +99,14 @@ class VectorStore:
     def meta(self) -> dict:
         return json.loads(self.spark.read.text(self.meta_path).first()[0])
 
+    def _schema(self) -> T.StructType:
+        base = T.StructType.fromJson(json.loads(self.meta()["schema"]))
+        return base.add("bucket", T.IntegerType())
+
+    def _read(self) -> DataFrame:
+        """The points table with its declared schema (an empty store has no files)."""
+        return self.spark.read.schema(self._schema()).parquet(self.points_path)
+
     @property
     def dim(self) -> int:
         return int(self.meta()["dim"])
@@ -106,11 +114,11 @@ class VectorStore:
     # ------------------------------------------------------------ S5 / S11
     def scan(self, columns: list[str] | None = None) -> DataFrame:
         """All points (file splits replace paginated scrolling); pruned to ``columns``."""
-        df = self.spark.read.parquet(self.points_path)
+        df = self._read()
         return df.select(*columns) if columns else df.drop("bucket")
 
     def count(self) -> int:
-        return self.spark.read.parquet(self.points_path).count()
+        return self._read().count()
 
     # ------------------------------------------------------------ S4 + S6
     def _checked(self, points: DataFrame) -> DataFrame:
@@ -131,16 +139,16 @@ class VectorStore:
 
     def upsert(self, points: DataFrame, dedup: bool = True) -> None:
         """Insert or replace by ``point_id`` (last path wins inside the batch)."""
-        schema_cols = self.spark.read.parquet(self.points_path).columns
+        schema_cols = self._schema().fieldNames()
         new = last_wins(points) if dedup else points
         new = self._checked(new).withColumn("bucket", F.pmod(F.col("point_id"), F.lit(self.buckets)).cast("int"))
         new = new.select(*schema_cols)
-        old = self.spark.read.parquet(self.points_path)
+        old = self._read()
         touched = new.select("bucket").distinct()  # at most `buckets` rows
         keep = old.join(F.broadcast(touched), "bucket", "left_semi").join(new.select("point_id"), "point_id", "left_anti")
         stage = scratch_path(self.spark, "upsert")
         self._layout(keep.unionByName(new)).write.mode("overwrite").partitionBy("bucket").parquet(stage)
-        staged = self.spark.read.parquet(stage).select(*schema_cols)
+        staged = self.spark.read.schema(self._schema()).parquet(stage).select(*schema_cols)
         self._layout(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "bucket"
         ).parquet(self.points_path)
