@@ -20,6 +20,8 @@ WS = (
     r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# The same white space as a plain character set (for the native trim).
+WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
 # Control characters removed by the clean-up (tab, LF, CR stay).
 CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 # Typographic quotes and dashes, and their ASCII replacements.
@@ -60,8 +62,9 @@ def nfc(c: Column | str) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    """Python ``str.strip()``: Unicode white space off both ends."""
-    return F.regexp_replace(_col(c), rf"\A{WS}+|{WS}+\z", "")
+    """Python ``str.strip()``: Unicode white space off both ends (native
+    ``trim(BOTH <set> FROM x)``, no regex)."""
+    return F.trim(_col(c), F.lit(WS_CHARS))
 
 
 def normalize_text(c: Column | str, *, with_nfc: bool = True) -> Column:

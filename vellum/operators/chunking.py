@@ -31,6 +31,9 @@ NON_WS = "[^" + WS[1:]
 # A token is a run of white space followed by a run of anything else, or
 # trailing white space alone: lossless, and re-tokenising a window gives it back.
 TOKEN_PATTERN = f"{WS}*{NON_WS}+|{WS}+"
+# The same tokens for Java with possessive quantifiers: the two classes are
+# complements, so nothing is ever given back and backtracking is pure cost.
+_JAVA_TOKEN_PATTERN = f"{WS}*+{NON_WS}++|{WS}++"
 
 
 def _col(c):
@@ -41,7 +44,7 @@ class RegexTokenizer:
     """Default tokenizer: lossless regex tokens (an offline stand-in for BPE)."""
 
     def encode(self, text: Column | str) -> Column:
-        return F.regexp_extract_all(_col(text), F.lit(TOKEN_PATTERN), 0)
+        return F.regexp_extract_all(_col(text), F.lit(_JAVA_TOKEN_PATTERN), 0)
 
     def decode(self, tokens: Column) -> Column:
         return F.array_join(tokens, "")
