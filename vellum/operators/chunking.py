@@ -41,7 +41,13 @@ def _col(c):
 
 
 class RegexTokenizer:
-    """Default tokenizer: lossless regex tokens (an offline stand-in for BPE)."""
+    """Default tokenizer: lossless regex tokens (an offline stand-in for BPE).
+
+    ``stable``: re-encoding the decoded text of consecutive tokens gives the
+    same tokens back (every token but trailing white space starts a new match
+    at its own white space), so a window's token count is its length."""
+
+    stable = True
 
     def encode(self, text: Column | str) -> Column:
         return F.regexp_extract_all(_col(text), F.lit(_JAVA_TOKEN_PATTERN), 0)
@@ -56,7 +62,10 @@ class RegexTokenizer:
 class BpeTokenizer:
     """Plug-in BPE tokenizer (tiktoken encoding) through Arrow batch UDFs.
 
-    Needs the encoding's vocabulary file to be available offline."""
+    Needs the encoding's vocabulary file to be available offline.  Decoding
+    and re-encoding a window can change the count, so T3 re-encodes."""
+
+    stable = False
 
     def __init__(self, encoding: str = "cl100k_base"):
         import tiktoken  # noqa: F401  (fail early when missing)
@@ -117,11 +126,17 @@ def token_window_chunks(
         n > 0,
         F.transform(
             F.sequence(F.lit(0), n - 1, F.lit(step)),
-            lambda s: tok.decode(F.slice(F.col("__toks"), s + 1, F.lit(size))),
+            lambda s: F.struct(
+                tok.decode(F.slice(F.col("__toks"), s + 1, F.lit(size))).alias("text"),
+                F.least(n - s, F.lit(size)).cast("int").alias("tokens"),
+            ),
         ),
-    ).otherwise(F.array().cast("array<string>"))
-    out = x.select(*keep, F.posexplode(windows).alias("chunk", "text"))
-    return out.withColumn("tokens", tok.count("text")).withColumn("chunk", F.col("chunk").cast("int"))
+    ).otherwise(F.array().cast("array<struct<text:string,tokens:int>>"))
+    out = x.select(*keep, F.posexplode(windows).alias("chunk", "w"))
+    out = out.select(*keep, F.col("chunk").cast("int").alias("chunk"), F.col("w.text").alias("text"), F.col("w.tokens").alias("tokens"))
+    if not getattr(tok, "stable", False):
+        out = out.withColumn("tokens", tok.count("text"))  # T3: re-encode the decoded window
+    return out
 
 
 # ---------------------------------------------------------------- recursive splitter

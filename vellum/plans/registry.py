@@ -322,14 +322,18 @@ QUERIES.update({
 # ---------------------------------------------------------------- encoding and search over documents
 
 from vellum.functions import vectors  # noqa: E402
+from vellum.session import shared_dir  # noqa: E402
 
 DIM = 64
 
 
 def corpus_points(spark, sf_dir):
-    """E1 + D6 + D7: encoded chunk points of every document (copies: last path)."""
+    """E1 + D6 + D7: encoded chunk points of every document (copies: last
+    path), materialised once with ``checkpoint()`` in the shared folder as a
+    stored collection would be (the search reads it twice: vectors, payload)."""
+    shared_dir(spark)
     pts = dedup.last_wins(doc_points(doc_files(spark, sf_dir)))
-    return embed.embed_passages(pts, embed.HashingEncoder(DIM))
+    return embed.embed_passages(pts, embed.HashingEncoder(DIM)).checkpoint()
 
 
 def q_embed_passages(spark, sf_dir):
