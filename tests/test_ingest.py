@@ -110,3 +110,23 @@ def test_upsert_idempotent(spark):
         raise AssertionError("size check did not fire")
     except Exception as e:  # noqa: BLE001
         assert "vector size" in str(e)
+
+
+def test_token_ingest_g1(spark):
+    from vellum.plans.indexing import run_token_ingest, token_store_schema
+
+    store = VectorStore(spark, scratch_path(spark, "g1"), buckets=4).ensure(64, token_store_schema())
+    body = "Una frase de prueba para el indice de fragmentos por tokens. " * 40
+    pages = spark.createDataFrame(
+        [("a.pdf", 1, body, "h-a"), ("a.pdf", 2, body, "h-a"), ("blank.pdf", 1, "   ", "h-b")],
+        "path string, page int, text string, file_hash string")
+    r1 = run_token_ingest(store, pages, failed_at="2024-01-01 00:00:00")
+    assert r1 == {"chunks": store.count(), "empty": 1} and r1["chunks"] > 1
+    ids = [r["point_id"] for r in store.scan(["point_id"]).collect()]
+    assert len(set(ids)) == len(ids) and all(len(i) == 36 for i in ids)
+    # same content at another path is known: nothing new
+    again = pages.withColumn("path", F.concat(F.lit("copy/"), F.col("path")))
+    r2 = run_token_ingest(store, again)
+    assert r2["chunks"] == 0 and store.count() == r1["chunks"]
+    q = {r["filename"] for r in store.load_quarantine().collect()}
+    assert q == {"blank.pdf"}

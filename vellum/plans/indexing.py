@@ -79,18 +79,18 @@ def _finish(files, skipped, per_file, state, encoder, indexed_at) -> IndexPlan:
 
 
 def outcome_from(files: DataFrame, skipped: DataFrame, per_file: DataFrame) -> DataFrame:
-    """R1 from per-file rows (chunk counts are array sizes: no aggregation)."""
-    pf = per_file.select("path", F.coalesce(F.size("chunks"), F.lit(0)).alias("__n"), F.col("error").alias("__err"))
-    x = files.select("path", "file_hash").join(skipped.select("path", F.lit(True).alias("__skip")), "path", "left")
-    x = x.join(pf, "path", "left")
-    status = (
-        F.when(F.col("__skip"), F.lit("skipped")).when(F.col("__err").isNotNull(), F.lit("error")).otherwise(F.lit("processed"))
-    )
-    return x.select(
-        "path", "file_hash", status.alias("status"),
-        F.when(status == "processed", F.col("__n")).otherwise(F.lit(0)).cast("bigint").alias("chunks"),
-        F.when(status == "error", F.col("__err")).alias("error"),
+    """R1 from per-file rows.  The files are exactly the skipped ones plus the
+    processed ones (``changed_files`` splits them), so the outcome is a union,
+    not a join, and chunk counts are array sizes, not an aggregation."""
+    sk = skipped.select("path", "file_hash", F.lit("skipped").alias("status"), F.lit(0).cast("bigint").alias("chunks"),
+                        F.lit(None).cast("string").alias("error"))
+    done = per_file.select(
+        "path", "file_hash",
+        F.when(F.col("error").isNull(), F.lit("processed")).otherwise(F.lit("error")).alias("status"),
+        F.when(F.col("error").isNull(), F.size("chunks")).otherwise(F.lit(0)).cast("bigint").alias("chunks"),
+        "error",
     )
+    return sk.unionByName(done)
 
 
 def run_index(store: VectorStore, files: DataFrame, *, decoders=None, encoder=None, cfg: IndexConfig | None = None,
@@ -158,3 +158,30 @@ def plan_token_ingest(pages: DataFrame, known: DataFrame, *, encoder=None, token
 
 def failed_names(errors: DataFrame, failed_at: str) -> DataFrame:
     return quarantine_rows(errors, failed_at)
+
+
+def token_store_schema():
+    """G1 point: uuid id, vector and the flat payload (text, source, chunk, tokens, file_hash)."""
+    from pyspark.sql import types as T
+
+    return T.StructType([
+        T.StructField("point_id", T.StringType()), T.StructField("vector", T.ArrayType(T.FloatType())),
+        T.StructField("text", T.StringType()), T.StructField("source", T.StringType()),
+        T.StructField("chunk", T.IntegerType()), T.StructField("tokens", T.IntegerType()),
+        T.StructField("file_hash", T.StringType()),
+    ])
+
+
+def run_token_ingest(store: VectorStore, pages: DataFrame, *, encoder=None, tokenizer=None,
+                     failed_at: str | None = None) -> dict:
+    """Execute G1: skip contents whose hash the store already holds (the set is
+    read once, before the run), append the new chunks under random ids and
+    quarantine documents without text.  ``pages``: path, page, text, file_hash."""
+    shared_dir(pages.sparkSession)
+    known = dedup.known_hashes(store.scan(["file_hash"])).checkpoint()
+    points, empty = plan_token_ingest(pages, known, encoder=encoder or embed.HashingEncoder(store.dim), tokenizer=tokenizer)
+    points = points.checkpoint()
+    cols = [c for c in store.scan().columns if c != "point_id"]
+    store.append(points.select(*cols))
+    store.quarantine(empty.select("path", F.lit("document without extractable text").alias("error")), failed_at)
+    return {"chunks": points.count(), "empty": empty.count()}

@@ -420,3 +420,14 @@ FROM embeddings JOIN c USING (label)"""
 SQL["page_blocks_per_file"] = SQL["page_blocks"]
 SQL["section_blocks_per_file"] = SQL["section_blocks"]
 SQL["chunk_metadata_per_file"] = SQL["chunk_metadata"]
+
+SQL["g1_search"] = f"""WITH {FILES},
+w AS (SELECT path, regexp_extract(path, '([^/]*)$', 1) AS source, sha256(text) AS file_hash, {windows('text', 500, 50)} AS ws FROM files),
+u AS (SELECT path, source, file_hash, unnest(ws) AS t, CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS chunk FROM w),
+pts AS (SELECT {point_id('md5(path)', 'chunk')} AS point_id, source, chunk, t AS text, {hashed_vector('t')} AS vector FROM u),
+qv AS (SELECT item_id AS query_id, {hashed_vector('text')} AS vec FROM benchmark),
+sc AS (SELECT q.query_id, p.point_id, p.source, p.chunk, p.text, list_dot_product(q.vec::DOUBLE[], p.vector::DOUBLE[]) AS score
+       FROM qv q CROSS JOIN pts p),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS rank FROM sc)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, source, chunk, {preview_sql('text', 600)} AS preview
+FROM r WHERE rank <= 3"""

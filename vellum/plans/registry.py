@@ -630,3 +630,24 @@ QUERIES.update({
     "section_blocks_per_file": q_section_blocks_per_file,
     "chunk_metadata_per_file": q_chunk_metadata_per_file,
 })
+
+
+def g1_points(spark, sf_dir):
+    """G1 collection: 500/50 token windows of every document with the G1
+    payload; each chunk gets its own id (copies are all kept, as G1 does)."""
+    f = doc_files(spark, sf_dir).select("path", "text", identity.file_sha256("text").alias("file_hash"))
+    w = chunking.token_window_chunks(f.withColumn("source", tx.file_name("path")), "text", keep=["path", "source", "file_hash"])
+    w = w.withColumn("point_id", identity.point_id(F.md5("path"), "chunk"))
+    shared_dir(spark)
+    return embed.embed_passages(w, embed.HashingEncoder(DIM, "nomic-ai/nomic-embed-text-v1.5")).checkpoint()
+
+
+def q_g1_search(spark, sf_dir):
+    """G1 search (E2 without prefix, Q1 with k = 3 and no threshold, Q6 view)."""
+    pts = g1_points(spark, sf_dir)
+    qs = embed.embed_queries(benchmark_queries(spark, sf_dir), embed.HashingEncoder(DIM), with_prefix=False)
+    hits = search.topk(pts, qs, 3, payload=["source", "chunk", "text"])
+    return search.result_view_g1(hits)
+
+
+QUERIES["g1_search"] = q_g1_search

@@ -158,9 +158,8 @@ class VectorStore:
     def append(self, points: DataFrame) -> None:
         """S7 (G1): every row gets a fresh random UUID, so nothing is replaced."""
         rows = self._checked(points).withColumn("point_id", F.expr("uuid()"))
-        rows.withColumn("bucket", F.pmod(F.xxhash64("point_id"), F.lit(self.buckets)).cast("int")).write.mode(
-            "append"
-        ).partitionBy("bucket").parquet(self.points_path)
+        rows = rows.withColumn("bucket", F.pmod(F.xxhash64("point_id"), F.lit(self.buckets)).cast("int"))
+        rows.select(*self._schema().fieldNames()).write.mode("append").partitionBy("bucket").parquet(self.points_path)
 
     # ------------------------------------------------------------ S8
     def load_state(self) -> DataFrame:
