@@ -431,3 +431,22 @@ sc AS (SELECT q.query_id, p.point_id, p.source, p.chunk, p.text, list_dot_produc
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS rank FROM sc)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, source, chunk, {preview_sql('text', 600)} AS preview
 FROM r WHERE rank <= 3"""
+
+SQL["store_roundtrip"] = f"""WITH {FILES}, {chunks_cte('pc', 'prev')}, {points_cte('pp', 'pc')}, {last_wins_cte('old', 'pp')},
+{chunks_cte('ac', 'files')}, {points_cte('ap', 'ac')}, {last_wins_cte('new', 'ap')},
+merged AS (
+  SELECT point_id, filepath, file_hash, chunk_id, total_chunks FROM old WHERE point_id NOT IN (SELECT point_id FROM new)
+  UNION ALL SELECT point_id, filepath, file_hash, chunk_id, total_chunks FROM new
+)
+SELECT *, (SELECT count(*) FROM merged) AS points FROM merged"""
+
+SQL["store_append"] = f"""WITH d AS (
+  SELECT conv_id, md5(CAST(conv_id AS VARCHAR)) AS file_hash,
+         string_agg(text || chr(10), '' ORDER BY turn) AS text
+  FROM conversations WHERE text IS NOT NULL AND text <> '' GROUP BY conv_id
+), ok AS (SELECT * FROM d WHERE length({strip('text')}) > 0),
+w AS (SELECT conv_id, file_hash, {windows('text', 500, 50)} AS ws FROM ok),
+u AS (SELECT conv_id, file_hash, unnest(ws) AS t, CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS chunk FROM w)
+SELECT CAST(conv_id AS VARCHAR) || '.pdf' AS source, chunk, CAST(len({tokens('t')}) AS INTEGER) AS tokens, file_hash,
+       36 AS id_len
+FROM u"""

@@ -651,3 +651,45 @@ def q_g1_search(spark, sf_dir):
 
 
 QUERIES["g1_search"] = q_g1_search
+
+
+# ---------------------------------------------------------------- the physical store
+
+from vellum.sources.store import VectorStore  # noqa: E402
+
+
+def q_store_roundtrip(spark, sf_dir):
+    """Create a store in the shared folder, upsert the
+    encoded chunk points of the earlier run, then of all documents (ids
+    repeat, last path wins), and scan it back."""
+    store = VectorStore(spark, scratch_path(spark, "store"), buckets=16).ensure(DIM)
+    cols = store.scan().columns
+
+    def points(files):
+        p = dedup.last_wins(doc_points(files))
+        return embed.embed_passages(p, embed.HashingEncoder(DIM)).select(*cols)
+
+    store.upsert(points(previous_files(spark, sf_dir)))
+    store.upsert(points(doc_files(spark, sf_dir)))
+    n = store.count()
+    return store.scan(["point_id", "filepath", "file_hash", "chunk_id", "total_chunks"]).withColumn(
+        "points", F.lit(n).cast("bigint"))
+
+
+def q_store_append(spark, sf_dir):
+    """S7 + G1 run: conversations as paged files appended under random ids;
+    read back without the ids."""
+    from vellum.plans.indexing import run_token_ingest, token_store_schema
+
+    store = VectorStore(spark, scratch_path(spark, "g1store"), buckets=8).ensure(DIM, token_store_schema())
+    c = table(spark, sf_dir, "conversations")
+    path = F.concat(F.lit("conversations/"), F.col("conv_id").cast("string"), F.lit(".pdf"))
+    pages = c.select(path.alias("path"), (F.col("turn") + 1).alias("page"), "text",
+                     F.md5(F.col("conv_id").cast("string")).alias("file_hash"))
+    run_token_ingest(store, pages, failed_at=RUN_AT.replace("T", " "))
+    return store.scan(["point_id", "source", "chunk", "tokens", "file_hash"]).select(
+        "source", "chunk", "tokens", "file_hash", F.length("point_id").cast("int").alias("id_len"))
+
+
+QUERIES["store_roundtrip"] = q_store_roundtrip
+QUERIES["store_append"] = q_store_append

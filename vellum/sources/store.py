@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from vellum.functions.text import file_name, file_stem, file_suffix
 from vellum.operators.dedup import last_wins
-from vellum.session import scratch_path
+from vellum.session import scratch_path, shared_dir
 
 DEFAULT_BUCKETS = 64
 
@@ -142,7 +142,9 @@ class VectorStore:
         schema_cols = self._schema().fieldNames()
         new = last_wins(points) if dedup else points
         new = self._checked(new).withColumn("bucket", F.pmod(F.col("point_id"), F.lit(self.buckets)).cast("int"))
-        new = new.select(*schema_cols)
+        # read three times below (touched buckets, replaced ids, new rows): cut once
+        shared_dir(self.spark)
+        new = new.select(*schema_cols).checkpoint()
         old = self._read()
         touched = new.select("bucket").distinct()  # at most `buckets` rows
         keep = old.join(F.broadcast(touched), "bucket", "left_semi").join(new.select("point_id"), "point_id", "left_anti")
