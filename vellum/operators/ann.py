@@ -74,9 +74,8 @@ def ann_topk(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int = 4
     )
     hits = search.final_topk(cands, kmax)
     if payload:
-        pay = index.points.select(F.col(point_id).cast("bigint").alias("point_id"), *[c for c in payload if c != point_id])
-        hits = pay.join(F.broadcast(hits), "point_id").select("query_id", "rank", "score", "point_id",
-                                                              *[c for c in payload if c != point_id])
+        small = n_q * (max(dim, 1) * 8 + 48) <= broadcast_limit_bytes
+        hits = search.attach_payload(hits, index.points, point_id, payload, proven_small=small)
     return hits
 
 

@@ -72,7 +72,7 @@ def _best_k(s: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndar
 class _QueryBlock:
     """Query matrix plus per-query k, threshold and filter code."""
 
-    def __init__(self, pdf: pd.DataFrame, kmax: int, filter_codes: dict | None):
+    def __init__(self, pdf: pd.DataFrame, kmax: int, filter_codes: dict | None = None):
         self.ids = pdf["__qid"].to_numpy(np.int64)
         n = len(self.ids)
         self.mat = np.stack(pdf["__qvec"].to_numpy()).astype(np.float64) if n else np.zeros((0, 0))
@@ -81,14 +81,12 @@ class _QueryBlock:
         self.thr = np.where(np.isnan(thr), -np.inf, thr)
         self.kmax = kmax
         if "__qfilter" in pdf.columns:
-            codes = filter_codes if filter_codes is not None else {}
-            self.fcode = np.array(
-                [_NO_FILTER if v is None or (isinstance(v, float) and math.isnan(v)) else codes.get(v, _NO_MATCH)
-                 for v in pdf["__qfilter"].tolist()],
-                dtype=np.int64,
-            )
+            # filter values are coded from this block's own queries (no driver-side dictionary)
+            vals = [None if v is None or (isinstance(v, float) and math.isnan(v)) else v for v in pdf["__qfilter"].tolist()]
+            self.codes = {v: i for i, v in enumerate(sorted({v for v in vals if v is not None}))}
+            self.fcode = np.array([_NO_FILTER if v is None else self.codes[v] for v in vals], dtype=np.int64)
         else:
-            self.fcode = None
+            self.codes, self.fcode = None, None
 
 
 def _score_partition(qb: _QueryBlock, batches, filter_codes: dict | None):
@@ -105,8 +103,7 @@ def _score_partition(qb: _QueryBlock, batches, filter_codes: dict | None):
         pids = b["__pid"].to_numpy(np.int64)
         pmat = np.stack(b["__pvec"].to_numpy()).astype(np.float64)
         if qb.fcode is not None:
-            codes = filter_codes or {}
-            pcode = np.array([codes.get(v, _NO_MATCH - 1) for v in b["__pfilter"].tolist()], dtype=np.int64)
+            pcode = np.array([qb.codes.get(v, _NO_MATCH) for v in b["__pfilter"].tolist()], dtype=np.int64)
         step = max(1, _SCORE_CELLS // max(1, len(pids)))
         for lo in range(0, n, step):
             hi = min(n, lo + step)
@@ -214,11 +211,6 @@ def topk(
     p = points.select(*pcols)
 
     filter_codes = None
-    if query_filter is not None:
-        # distinct filter values: at most one per query, so bounded like the queries
-        vals = [r[0] for r in q.where(F.col("__qfilter").isNotNull()).select("__qfilter").distinct().collect()]
-        filter_codes = {v: i for i, v in enumerate(sorted(vals))}
-
     matrix_bytes = n_q * (max(dim, 1) * 8 + 48)
     if matrix_bytes <= broadcast_limit_bytes:
         cands = _broadcast_scan(spark, q, p, kmax, filter_codes)
@@ -227,13 +219,21 @@ def topk(
 
     hits = final_topk(cands, kmax)
     if payload:
-        # hits hold at most n_q * kmax rows (bounded by the check above), so the
-        # broadcast side is small and the points side streams without a shuffle
-        pay = points.select(F.col(point_id).cast("bigint").alias("point_id"), *[c for c in payload if c != point_id])
-        hits = pay.join(F.broadcast(hits), "point_id").select(*out_cols, *[c for c in payload if c != point_id])
+        hits = attach_payload(hits, points, point_id, payload, proven_small=matrix_bytes <= broadcast_limit_bytes)
     return hits
 
 
+def attach_payload(hits: DataFrame, points: DataFrame, point_id: str, payload: list[str], proven_small: bool) -> DataFrame:
+    """Join payload columns of the hit points.  When the query side passed the
+    size check, hits hold at most ``queries x k`` small rows: they are
+    broadcast and the points stream without a shuffle.  Otherwise the planner
+    chooses (AQE broadcasts at run time only under its measured threshold)."""
+    cols = [c for c in payload if c != point_id]
+    pay = points.select(F.col(point_id).cast("bigint").alias("point_id"), *cols)
+    side = F.broadcast(hits) if proven_small else hits
+    return pay.join(side, "point_id").select("query_id", "rank", "score", "point_id", *cols)
+
+
 def _broadcast_scan(spark, q: DataFrame, p: DataFrame, kmax: int, filter_codes) -> DataFrame:
     qpdf = q.toPandas()  # bounded by broadcast_limit_bytes (checked by the caller)
     block = spark.sparkContext.broadcast((qpdf, kmax, filter_codes))

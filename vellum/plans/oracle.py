@@ -331,7 +331,7 @@ bq AS (
          CASE WHEN NOT length(text) < 150 THEN CAST(0.35 AS DOUBLE) END AS threshold, CAST(NULL AS VARCHAR) AS filter
   FROM benchmark
 ), dq AS (
-  SELECT -1 - f.doc_id AS query_id, string_split(f.text, chr(10))[1] AS query, 5 AS top, CAST(0.35 AS DOUBLE) AS threshold,
+  SELECT -1 - f.doc_id AS query_id, f.text AS query, 5 AS top, CAST(0.35 AS DOUBLE) AS threshold,
          'filename=' || regexp_extract(f.path, '([^/]*)$', 1) AS filter
   FROM files f JOIN labels l USING (doc_id) WHERE l.quality = 1
 ), qs AS (
@@ -398,7 +398,7 @@ SELECT doc_id, {preview_sql('text', 600)} AS preview600, {preview_sql('text', 30
        {name_sql('p')} AS filename, substr({name_sql('p')}, 1, length({name_sql('p')}) - length({suffix_sql('p')})) AS stem,
        {suffix_sql('p')} AS suffix, lower(regexp_replace({suffix_sql('p')}, '^\\.', '')) AS file_type,
        CAST(length({lit(PASSAGE_PREFIX)} || text) AS INTEGER) AS passage_len, CAST(length(text) AS INTEGER) AS plain_len,
-       substr({lit(QUERY_PREFIX)} || text, 1, 60) AS query_head
+       md5({lit(QUERY_PREFIX)} || text) AS query_md5
 FROM pp"""
 
 SQL["l2_normalize"] = """

@@ -360,7 +360,7 @@ def q_embed_search(spark, sf_dir):
 
 def batch_queries(spark, sf_dir):
     """Q5 input: benchmark texts (short ones as G1 does: k=3, no threshold;
-    longer: k=5, 0.35) and, for documents labelled quality 1, their first line
+    longer: k=5, 0.35) and, for documents labelled quality 1, their whole text
     searched inside their own file (``filename=<name>``)."""
     b = table(spark, sf_dir, "benchmark")
     short = F.length("text") < 150
@@ -371,7 +371,7 @@ def batch_queries(spark, sf_dir):
     )
     f = doc_files(spark, sf_dir).join(table(spark, sf_dir, "labels").where("quality = 1"), "doc_id")
     dq = f.select(
-        (-1 - F.col("doc_id")).alias("query_id"), F.split("text", "\n")[0].alias("query"), F.lit(5).alias("top"),
+        (-1 - F.col("doc_id")).alias("query_id"), F.col("text").alias("query"), F.lit(5).alias("top"),
         F.lit(0.35).alias("threshold"), F.concat(F.lit("filename="), tx.file_name("path")).alias("filter"),
     )
     return search.clean_queries(bq.unionByName(dq))
@@ -435,7 +435,7 @@ def q_text_preview(spark, sf_dir):
         tx.file_type(p).alias("file_type"),
         F.length(tx.passage_text("text", "BAAI/bge-large-en-v1.5")).cast("int").alias("passage_len"),
         F.length(tx.passage_text("text", "nomic-ai/nomic-embed-text-v1.5")).cast("int").alias("plain_len"),
-        F.substring(tx.query_text("text"), 1, 60).alias("query_head"),
+        F.md5(tx.query_text("text")).alias("query_md5"),
     )
 
 
