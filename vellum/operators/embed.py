@@ -34,8 +34,7 @@ def _col(c):
 def hashed_vector(text: Column | str, dim: int) -> Column:
     """Unit-length signed bucket counts of the words of a text (``array<float>``
     of ``dim``).  Every intermediate array is bound once to a lambda variable."""
-    words = F.filter(F.split(F.lower(_col(text)), WORD_SPLIT), lambda w: w != "")
-    codes = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"))
+    codes = F.transform(words(text), lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"))
 
     def counts(hs):
         # signed bucket of each word; count of bucket i = size - size without i
@@ -56,17 +55,112 @@ def hashed_vector(text: Column | str, dim: int) -> Column:
     return unit(bind(codes, counts))
 
 
+def words(text: Column | str) -> Column:
+    """Lower-cased runs of letters or digits (native)."""
+    return F.filter(F.split(F.lower(_col(text)), WORD_SPLIT), lambda w: w != "")
+
+
+def _bucket_series(dim: int):
+    import hashlib
+
+    def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cache: dict[str, int] = {}  # word -> signed bucket, kept across the task's batches
+        for s in it:
+            out = []
+            for ws in s:
+                if ws is None:
+                    out.append(None)
+                    continue
+                idx = []
+                for w in ws:
+                    b = cache.get(w)
+                    if b is None:
+                        h = int(hashlib.md5(w.encode("utf-8")).hexdigest()[:8], 16)
+                        b = (h % dim) + (dim if (h // dim) % 2 else 0)
+                        if len(cache) < 1_000_000:
+                            cache[w] = b
+                    idx.append(b)
+                c = np.bincount(np.asarray(idx, dtype=np.int64), minlength=2 * dim).astype(np.float64)
+                v = c[:dim] - c[dim:]
+                n = np.sqrt(np.dot(v, v))  # integer counts: exact whatever the order
+                out.append((v / n if n > 0 else v).astype(np.float32))
+            yield pd.Series(out)
+
+    return run
+
+
+def _arrow_buckets(dim: int, out: str):
+    import hashlib
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        cache: dict[str, int] = {}
+        for rb in batches:
+            n = rb.num_rows
+            wl = rb.column(rb.schema.get_field_index("__words"))
+            lengths = pc.fill_null(pc.list_value_length(wl), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = pc.list_flatten(wl)
+            counts = np.zeros(n * 2 * dim, dtype=np.float64)
+            if len(flat):
+                enc = pc.dictionary_encode(flat).combine_chunks() if isinstance(flat, pa.ChunkedArray) else pc.dictionary_encode(flat)
+                uniq = enc.dictionary.to_pylist()
+                ub = np.empty(len(uniq), dtype=np.int64)
+                for i, w in enumerate(uniq):
+                    b = cache.get(w)
+                    if b is None:
+                        h = int(hashlib.md5(w.encode("utf-8")).hexdigest()[:8], 16)
+                        b = (h % dim) + (dim if (h // dim) % 2 else 0)
+                        if len(cache) < 1_000_000:
+                            cache[w] = b
+                    ub[i] = b
+                rows = np.repeat(np.arange(n, dtype=np.int64), lengths)
+                counts = np.bincount(rows * 2 * dim + ub[enc.indices.to_numpy(zero_copy_only=False)], minlength=n * 2 * dim)
+                counts = counts.astype(np.float64)
+            c = counts.reshape(n, 2 * dim)
+            v = c[:, :dim] - c[:, dim:]
+            norm = np.sqrt((v * v).sum(axis=1, keepdims=True))  # integer counts: exact
+            v = np.where(norm > 0, v / np.where(norm > 0, norm, 1.0), 0.0).astype(np.float32)
+            vec = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32)), pa.array(v.reshape(-1)))
+            cols = [rb.column(i) for i in range(rb.num_columns) if rb.schema.field(i).name != "__words"]
+            names = [f.name for f in rb.schema if f.name != "__words"]
+            yield pa.RecordBatch.from_arrays(cols + [vec], names=names + [out])
+
+    return run
+
+
 class HashingEncoder:
-    """Default encoder: signed feature hashing to ``dim`` buckets, unit length."""
+    """Default encoder: signed feature hashing to ``dim`` buckets, unit length.
 
-    def __init__(self, dim: int = 64, model_name: str = "feature-hashing"):
+    Words come from a native split; ``native=True`` also hashes and counts
+    with array functions (one expression, SQL-reproducible), the default
+    hands the word arrays to an Arrow batch UDF that caches each word's bucket
+    for the task and counts with ``bincount``.  Both give the same floats."""
+
+    def __init__(self, dim: int = 64, model_name: str = "feature-hashing", native: bool = False):
         self.dim = dim
         self.model_name = model_name
+        self.native = native
+
+    def vector(self, text: Column) -> Column:
+        if self.native:
+            return hashed_vector(text, self.dim)
+        udf = F.pandas_udf(_bucket_series(self.dim), ArrayType(FloatType()))
+        return udf(words(text))
 
     def embed(self, df: DataFrame, text: str = "text", out: str = "vector", is_query: bool = False,
               query_prefix: bool = True) -> DataFrame:
         t = query_text(text, query_prefix) if is_query else passage_text(text, self.model_name)
-        return df.withColumn(out, hashed_vector(t, self.dim))
+        if self.native:
+            return df.withColumn(out, self.vector(t))
+        # Arrow batches end to end: words are split natively, then hashed once
+        # per distinct word of the batch and counted with numpy (no Python
+        # object per word).
+        keep = [c for c in df.columns if c != out]
+        x = df.select(*keep, words(t).alias("__words"))
+        schema = x.drop("__words").schema.add(out, ArrayType(FloatType()))
+        return x.mapInArrow(_arrow_buckets(self.dim, out), schema)
 
 
 class ModelEncoder:
