@@ -13,19 +13,44 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 4) -> dict[str, str]:
+    """Settings for a large cluster (about 100 TB of input).
+
+    * shuffle partitions: about 3 waves of tasks; AQE coalesces small ones
+      and splits skewed ones (advisory 256 MiB), so the number is an upper bound;
+    * file splits of 256 MiB for Parquet scans (one task reads one split);
+    * Arrow batches of 2,048 rows: the numpy scoring block and the text UDFs
+      hold one batch at a time (memory per Python worker stays small);
+    * broadcast joins only under 64 MiB of measured size (AQE decides at run
+      time); the search kernel has its own, explicit 256 MiB check;
+    * ``spark.checkpoint.dir`` must be set by the deployment to shared storage.
+    """
+    slots = executors * cores_per_executor
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": str(3 * slots),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def local_session(cores: int | str = "*", app: str = "vellum") -> SparkSession:
-    """A local session tuned like the cluster profile (AQE on, UI off)."""
+    """A local session with the cluster profile scaled down (UI off)."""
+    b = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    for k, v in cluster_conf(1, 8).items():
+        b = b.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
+        b.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(64 << 20))
+        .config("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
