@@ -12,10 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.operators import search
+from vellum.sources.tables import read_parquet
+
+
+# tables whose rows carry real work (texts, vectors): spread small scans over the cores
+WORK_TABLES = {"documents", "pages", "conversations", "embeddings"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return read_parquet(spark, path) if name in WORK_TABLES else spark.read.parquet(path)
 
 
 def points_from_embeddings(spark, sf_dir) -> DataFrame:
