@@ -18,6 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellum.functions.arrays import keep_rows, posexplode_rows
 from vellum.functions.vectors import bind, dot
 from vellum.operators import search
 
@@ -53,7 +54,9 @@ def probe_cells(queries: DataFrame, centres: list[list[float]], nprobe: int, vec
         ),
     )
     best = F.slice(F.array_sort(ranked), 1, nprobe)
-    return queries.withColumn("__probe", F.explode(best)).withColumn("cell", F.col("__probe.cell")).drop("__probe")
+    cols = [F.col(c) for c in queries.columns]
+    x = queries.select(*cols, posexplode_rows(best, "__i", "__probe")).where(keep_rows("__i"))
+    return x.withColumn("cell", F.col("__probe.cell")).drop("__probe", "__i")
 
 
 def ann_topk(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int = 4, threshold=None,

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from vellum.functions.text import MIN_CHUNK_LENGTH, WS, strip_ws
+from vellum.functions.arrays import keep_rows, posexplode_rows
+from vellum.functions.text import JAVA_NON_WS, JAVA_WS, MIN_CHUNK_LENGTH, WS, strip_ws
 from vellum.operators.windows import running_agg
 
 # G1 windows are 500 tokens with 50 tokens of overlap.
@@ -33,7 +34,7 @@ NON_WS = "[^" + WS[1:]
 TOKEN_PATTERN = f"{WS}*{NON_WS}+|{WS}+"
 # The same tokens for Java with possessive quantifiers: the two classes are
 # complements, so nothing is ever given back and backtracking is pure cost.
-_JAVA_TOKEN_PATTERN = f"{WS}*+{NON_WS}++|{WS}++"
+_JAVA_TOKEN_PATTERN = f"{JAVA_WS}*+{JAVA_NON_WS}++|{JAVA_WS}++"
 
 
 def _col(c):
@@ -132,7 +133,7 @@ def token_window_chunks(
             ),
         ),
     ).otherwise(F.array().cast("array<struct<text:string,tokens:int>>"))
-    out = x.select(*keep, F.posexplode(windows).alias("chunk", "w"))
+    out = x.select(*keep, posexplode_rows(windows, "chunk", "w")).where(keep_rows("chunk"))
     out = out.select(*keep, F.col("chunk").cast("int").alias("chunk"), F.col("w.text").alias("text"), F.col("w.tokens").alias("tokens"))
     if not getattr(tok, "stable", False):
         out = out.withColumn("tokens", tok.count("text"))  # T3: re-encode the decoded window
@@ -250,7 +251,8 @@ def chunk_blocks(
     split = splitter or (lambda c: recursive_chunks(c, size, overlap))
     opt = [c for c in ("page", "total_pages", "section", "section_idx") if c in blocks.columns]
     x = blocks.select("path", "file_hash", "block_no", *opt, kept_pieces(split(F.col("text")), min_len).alias("__p"))
-    x = x.select("path", "file_hash", "block_no", *opt, F.posexplode("__p").alias("piece_no", "text"))
+    x = x.select("path", "file_hash", "block_no", *opt, posexplode_rows(F.col("__p"), "piece_no", "text"))
+    x = x.where(keep_rows("piece_no"))
     x = number_chunks(x)
     return x.select(
         file_name("path").alias("filename"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.functions.text import MIN_CHUNK_LENGTH
+from vellum.functions.arrays import keep_rows, posexplode_rows
 from vellum.operators import per_file
 from vellum.sources.files import UdfDecoder
 
@@ -80,7 +81,8 @@ def extract_blocks(files: DataFrame, decoders: dict, min_len: int = MIN_CHUNK_LE
     """Rows form of ``decode_files``: (blocks ``path, file_hash, block_no,
     page, total_pages, section, section_idx, text``; errors ``path, error``)."""
     d = decode_files(files, decoders, min_len)
-    b = d.where(F.col("error").isNull()).select("path", "file_hash", F.explode("blocks").alias("b"))
+    b = d.where(F.col("error").isNull()).select("path", "file_hash", posexplode_rows(F.col("blocks"), "i", "b"))
+    b = b.where(keep_rows("i"))
     blocks = b.select(
         "path", "file_hash", F.coalesce(F.col("b.page"), F.col("b.section_idx")).alias("block_no"),
         "b.page", "b.total_pages", "b.section", "b.section_idx", "b.text",
@@ -112,8 +114,8 @@ def chunk_rows(chunked: DataFrame, indexed_at: str) -> DataFrame:
     from vellum.functions.text import file_name, file_type
 
     x = chunked.where(F.col("error").isNull()).select(
-        "path", "file_hash", F.size("chunks").cast("int").alias("total_chunks"), F.posexplode("chunks").alias("chunk_id", "c")
-    )
+        "path", "file_hash", F.size("chunks").cast("int").alias("total_chunks"), posexplode_rows(F.col("chunks"), "chunk_id", "c")
+    ).where(keep_rows("chunk_id"))
     return x.select(
         file_name("path").alias("filename"), F.col("path").alias("filepath"), file_type("path").alias("file_type"),
         "file_hash", F.col("chunk_id").cast("int").alias("chunk_id"), F.length("c.text").cast("int").alias("char_count"),

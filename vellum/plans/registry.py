@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from vellum.operators import search
 from vellum.sources.tables import read_parquet
+from vellum.functions.arrays import keep_rows, posexplode_rows
 
 
 # tables whose rows carry real work (texts, vectors): spread small scans over the cores
@@ -150,7 +151,7 @@ def q_concat_pages(spark, sf_dir):
 def q_section_blocks(spark, sf_dir):
     """Document lines as paragraphs, a line under 40 chars is a heading."""
     d = table(spark, sf_dir, "documents")
-    el = d.select("doc_id", F.posexplode(blocks.non_blank_lines("text")).alias("pos", "text"))
+    el = d.select("doc_id", posexplode_rows(blocks.non_blank_lines("text"), "pos", "text")).where(keep_rows("pos"))
     el = el.withColumn("is_heading", F.length("text") < 40)
     return blocks.section_blocks(el, doc="doc_id")
 
@@ -592,7 +593,7 @@ def q_page_blocks_per_file(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     docs = c.groupBy("conv_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"]).alias("pages"))
-    b = docs.select("conv_id", F.explode(per_file.page_blocks_array(F.col("pages"))).alias("b"))
+    b = docs.select("conv_id", posexplode_rows(per_file.page_blocks_array(F.col("pages")), "i", "b")).where(keep_rows("i"))
     return b.select("conv_id", F.col("b.page").alias("page"), F.col("b.total_pages").alias("total_pages"), F.col("b.text").alias("text"))
 
 
@@ -602,7 +603,7 @@ def q_section_blocks_per_file(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     els = F.transform(F.split("text", "\n"), lambda l: F.struct(
         F.when(F.length(tx.strip_ws(l)) < 40, F.lit("Heading 1")).otherwise(F.lit("Normal")).alias("style"), l.alias("text")))
-    b = d.select("doc_id", F.explode(per_file.section_blocks_array(els)).alias("b"))
+    b = d.select("doc_id", posexplode_rows(per_file.section_blocks_array(els), "i", "b")).where(keep_rows("i"))
     return b.select("doc_id", F.col("b.section").alias("section"), F.col("b.section_idx").alias("section_idx"), F.col("b.text").alias("text"))
 
 

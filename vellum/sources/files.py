@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellum.functions.arrays import keep_rows, posexplode_rows
 from vellum.functions.identity import file_md5
 from vellum.functions.text import file_name, file_type
 
@@ -148,7 +149,7 @@ class HtmlDecoder(Decoder):
         return F.transform(self._lines(content), self._item)
 
     def decode(self, files, keep):
-        x = files.select(*keep, F.posexplode(self._lines(F.col("content"))).alias("pos", "__l"))
+        x = files.select(*keep, posexplode_rows(self._lines(F.col("content")), "pos", "__l")).where(keep_rows("pos"))
         it = self._item(F.col("__l"))
         return x.select(*keep, "pos", it["style"].alias("style"), it["text"].alias("text")), _no_errors(files)
 
