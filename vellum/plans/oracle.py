@@ -450,3 +450,25 @@ u AS (SELECT conv_id, file_hash, unnest(ws) AS t, CAST(generate_subscripts(ws, 1
 SELECT CAST(conv_id AS VARCHAR) || '.pdf' AS source, chunk, CAST(len({tokens('t')}) AS INTEGER) AS tokens, file_hash,
        36 AS id_len
 FROM u"""
+
+# each document was written as one text file: its text and a newline
+SQL["discover_files"] = """
+SELECT doc_id, 'txt' AS file_type, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length, md5(text || chr(10)) AS file_hash
+FROM documents"""
+
+SQL["token_ingest"] = f"""WITH h AS (
+  SELECT conv_id, sha256(string_agg(text, chr(12) ORDER BY turn)) AS file_hash FROM conversations GROUP BY conv_id
+), known AS (
+  SELECT DISTINCT h.file_hash FROM conversations c JOIN h USING (conv_id) WHERE c.turn = 0 AND c.role = 'assistant'
+), pg AS (
+  SELECT 'conversations/' || CAST(c.conv_id AS VARCHAR) || '.pdf' AS path, c.turn + 1 AS page, c.text, h.file_hash
+  FROM conversations c JOIN h USING (conv_id) WHERE h.file_hash NOT IN (SELECT file_hash FROM known)
+), d AS (
+  SELECT path, string_agg(text || chr(10), '' ORDER BY page) AS text FROM pg WHERE text IS NOT NULL AND text <> '' GROUP BY path
+), dh AS (SELECT DISTINCT path, file_hash FROM pg),
+ok AS (SELECT d.path, d.text, dh.file_hash FROM d JOIN dh USING (path) WHERE length({strip('d.text')}) > 0),
+w AS (SELECT path, file_hash, {windows('text', 500, 50)} AS ws FROM ok),
+u AS (SELECT path, file_hash, unnest(ws) AS t, CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS chunk FROM w)
+SELECT path, regexp_extract(path, '([^/]*)$', 1) AS source, chunk, CAST(len({tokens('t')}) AS INTEGER) AS tokens, file_hash,
+       md5(t) AS text_md5
+FROM u"""
