@@ -472,3 +472,79 @@ u AS (SELECT path, file_hash, unnest(ws) AS t, CAST(generate_subscripts(ws, 1) -
 SELECT path, regexp_extract(path, '([^/]*)$', 1) AS source, chunk, CAST(len({tokens('t')}) AS INTEGER) AS tokens, file_hash,
        md5(t) AS text_md5
 FROM u"""
+
+# ---------------------------------------------------------------- X1 extraction job
+
+
+def sections_sql(lines: str) -> str:
+    """CTEs turning rows ``(doc, pos, t, hd)`` (stripped, non-blank, dense pos)
+    into ``secs(doc, section, section_idx, text)``."""
+    return f"""sa AS (
+  SELECT *, max(CASE WHEN NOT hd THEN pos END) OVER (PARTITION BY doc ORDER BY pos ROWS UNBOUNDED PRECEDING) AS last_non
+  FROM {lines}
+), sb AS (
+  SELECT *, CASE WHEN hd AND (CASE WHEN last_non IS NULL THEN (pos + 1) % 2 = 0 ELSE (pos - last_non) % 2 = 1 END)
+                 THEN 1 ELSE 0 END AS bd
+  FROM sa
+), sc AS (
+  SELECT *, sum(bd) OVER (PARTITION BY doc ORDER BY pos ROWS UNBOUNDED PRECEDING) AS sec FROM sb
+), sbody AS (
+  SELECT doc, sec, {ordered_join('pos', 't', 'chr(10)')} AS body FROM sc WHERE bd = 0 GROUP BY doc, sec
+), sheads AS (
+  SELECT doc, sec, t AS heading FROM sc WHERE bd = 1
+), ss AS (
+  SELECT sbody.doc, sbody.sec, heading, {normalize(strip('body'))} AS body FROM sbody LEFT JOIN sheads USING (doc, sec)
+), sk AS (
+  SELECT *, row_number() OVER (PARTITION BY doc ORDER BY sec) AS idx FROM ss WHERE length(body) >= 60
+), secs AS (
+  SELECT doc, coalesce(heading, 'Sección ' || CAST(idx AS VARCHAR)) AS section, CAST(idx AS INTEGER) AS section_idx, body AS text
+  FROM sk
+)"""
+
+
+_BLOCK_TAGS = "p|div|li|br|tr|td|th|ul|ol|nav|article|footer|header|section|table|title|h[1-6]"
+_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+             ("&apos;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+
+
+def html_lines(x: str) -> str:
+    b = f"coalesce(nullif(regexp_extract({x}, '(?is)<body[^>]*>(.*)</body>', 1), ''), {x})"
+    b = f"regexp_replace({b}, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', '', 'g')"
+    b = f"regexp_replace({b}, '(?i)<h([1-6])\\b[^>]*>', chr(10) || chr(1) || '\\1', 'g')"
+    b = f"regexp_replace({b}, '(?i)</?({_BLOCK_TAGS})\\b[^>]*>', chr(10), 'g')"
+    b = f"regexp_replace({b}, '<[^>]*>', '', 'g')"
+    for a, c in _ENTITIES:
+        b = f"replace({b}, {lit(a)}, {lit(c)})"
+    return f"string_split({b}, chr(10))"
+
+
+SQL["extract_blocks"] = f"""WITH mf AS (
+  SELECT 'documents/' || lang || '/' || source || '_' || CAST(doc_id AS VARCHAR) || '.txt' AS path, text AS content, 'txt' AS ft
+  FROM documents
+  UNION ALL SELECT 'pages/' || CAST(page_id AS VARCHAR) || '.html', html, 'html' FROM pages
+  UNION ALL SELECT 'conversations/' || CAST(conv_id AS VARCHAR) || '.json', CAST(count(*) AS VARCHAR), 'json'
+  FROM conversations GROUP BY conv_id
+), raw AS (
+  SELECT path, unnest(ls) AS l, generate_subscripts(ls, 1) AS rpos
+  FROM (SELECT path, string_split(content, chr(10)) AS ls FROM mf WHERE ft = 'txt'
+        UNION ALL SELECT path, {html_lines('content')} FROM mf WHERE ft = 'html')
+), el AS (
+  SELECT path, rpos,
+         CASE WHEN starts_with(l, chr(1)) THEN true
+              WHEN path LIKE '%.txt' THEN length(trim(l)) < 40 ELSE false END AS hd,
+         {strip("CASE WHEN starts_with(l, chr(1)) THEN substr(l, 3) ELSE l END")} AS t
+  FROM raw
+), lines AS (
+  SELECT path AS doc, CAST(row_number() OVER (PARTITION BY path ORDER BY rpos) - 1 AS BIGINT) AS pos, t, hd
+  FROM el WHERE length(t) > 0
+), {sections_sql('lines')},
+blk AS (
+  SELECT doc AS path, section_idx AS block_no, section,
+         CAST(length(text) AS INTEGER) AS char_count, md5(text) AS text_md5, CAST(NULL AS VARCHAR) AS error
+  FROM secs
+), err AS (
+  SELECT path, CASE WHEN ft = 'json' THEN 'unsupported format: .json' ELSE 'no extractable text (scanned without OCR?)' END AS e
+  FROM mf WHERE ft = 'json' OR path NOT IN (SELECT path FROM blk)
+)
+SELECT * FROM blk
+UNION ALL SELECT path, 0, NULL, 0, NULL, e FROM err"""
