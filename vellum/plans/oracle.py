@@ -548,3 +548,14 @@ blk AS (
 )
 SELECT * FROM blk
 UNION ALL SELECT path, 0, NULL, 0, NULL, e FROM err"""
+
+SQL["ann_topk_all_cells"] = """
+WITH s AS (
+  SELECT q.vec_id AS query_id, p.vec_id AS point_id, p.label,
+         list_dot_product(q.embedding::DOUBLE[], p.embedding::DOUBLE[]) AS score
+  FROM embeddings q CROSS JOIN embeddings p
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, point_id, label FROM r WHERE rank <= 5
+"""

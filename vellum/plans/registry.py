@@ -701,3 +701,16 @@ def q_store_append(spark, sf_dir):
 
 QUERIES["store_roundtrip"] = q_store_roundtrip
 QUERIES["store_append"] = q_store_append
+
+
+def q_ann_topk_all_cells(spark, sf_dir):
+    """Q9 machinery check: IVF with all 16 cells probed and small buckets
+    (cells split over several cogroup groups) returns the exact top 5."""
+    pts = points_from_embeddings(spark, sf_dir)
+    qs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    idx = ann.build_ivf(pts, 16)
+    hits = ann.ann_topk(idx, qs, 5, nprobe=16, points_per_bucket=64, payload=["label"])
+    return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "point_id", "label")
+
+
+QUERIES["ann_topk_all_cells"] = q_ann_topk_all_cells
