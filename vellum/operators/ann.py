@@ -34,8 +34,16 @@ class IvfIndex:
 
 def build_ivf(points: DataFrame, cells: int = 16, *, vector: str = "vector", seed: int = 42, max_iter: int = 20) -> IvfIndex:
     """Fit ``cells`` centres (k-means|| on all points) and assign every point."""
+    from pyspark import StorageLevel
+
     feats = points.withColumn("__f", array_to_vector(F.col(vector)))
-    model = KMeans(k=cells, seed=seed, maxIter=max_iter, featuresCol="__f", predictionCol="cell").fit(feats)
+    # k-means reads its input once per iteration: keep the vectors for the fit
+    # (spilling to disk when memory is short), release them afterwards
+    train = feats.select("__f").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = KMeans(k=cells, seed=seed, maxIter=max_iter, featuresCol="__f", predictionCol="cell").fit(train)
+    finally:
+        train.unpersist()
     centres = [[float(x) for x in c] for c in model.clusterCenters()]
     if len(centres) * len(centres[0]) > MAX_CENTRE_VALUES:
         raise ValueError("too many centre values to ship with the plan; lower `cells`")
