@@ -130,3 +130,19 @@ def test_token_ingest_g1(spark):
     assert r2["chunks"] == 0 and store.count() == r1["chunks"]
     q = {r["filename"] for r in store.load_quarantine().collect()}
     assert q == {"blank.pdf"}
+
+
+def test_plan_is_lazy_and_complete(spark):
+    # every DataFrame of the plan evaluates on its own (no checkpoint needed)
+    rows = [("d/a.txt", LONG), ("d/b.html", HTML), ("d/c.txt", "tiny"), ("d/e.json", "{}")]
+    files = src.with_hash(src.files_from_table(spark.createDataFrame(rows, "p string, c string"), F.col("p"), F.col("c")))
+    state = spark.createDataFrame([], "path string, file_hash string")
+    plan = indexing.plan_index(files, state, decoders=DECODERS, cfg=indexing.IndexConfig(indexed_at="t"))
+    n_points = plan.points.count()
+    out = {r["path"]: (r["status"], r["chunks"]) for r in plan.outcome.collect()}
+    assert out["d/c.txt"] == ("error", 0) and out["d/e.json"] == ("error", 0)
+    assert out["d/a.txt"][0] == "processed" and out["d/b.html"][0] == "processed"
+    assert n_points == out["d/a.txt"][1] + out["d/b.html"][1] == plan.chunks.count()
+    assert {r["path"] for r in plan.new_state.collect()} == {"d/a.txt", "d/b.html"}
+    secs = {r["section"] for r in plan.chunks.where(F.col("filepath") == "d/b.html").collect()}
+    assert secs == {"Title", "Second"}

@@ -19,3 +19,13 @@ def posexplode_rows(arr: Column, pos: str = "pos", val: str = "col") -> Column:
 
 def keep_rows(pos: str = "pos") -> Column:
     return F.col(pos).isNotNull()
+
+
+def arrow_udf(fn, return_type):
+    """An Arrow batch (pandas) UDF that Spark evaluates exactly where it is
+    written.  Marked non-deterministic for the optimizer only (the functions
+    are deterministic, so a retried task gives the same rows): a filter is
+    then never pushed below it and projections around it are not merged, so
+    one UDF's input never contains another UDF inline and nothing is
+    evaluated twice."""
+    return F.pandas_udf(fn, return_type).asNondeterministic()

@@ -14,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from vellum.functions.arrays import arrow_udf
+
 # White space as Python's str.isspace() defines it, as one
 # regex class that Java and RE2 read the same way.
 WS = (
@@ -60,7 +62,7 @@ def nfc(c: Column | str) -> Column:
     (no combining marks, no Hangul), so only the other rows cross into Python."""
     global _nfc_udf
     if _nfc_udf is None:
-        _nfc_udf = F.pandas_udf(_nfc_series, StringType())
+        _nfc_udf = arrow_udf(_nfc_series, StringType())
     c = _col(c)
     needs = c.rlike(r"[^\x{0}-\x{2ff}]")
     return F.coalesce(_nfc_udf(F.when(needs, c)), c)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from vellum.functions.arrays import keep_rows, posexplode_rows
+from vellum.functions.arrays import arrow_udf, keep_rows, posexplode_rows
 from vellum.functions.text import JAVA_NON_WS, JAVA_WS, MIN_CHUNK_LENGTH, WS, strip_ws
 from vellum.operators.windows import running_agg
 
@@ -88,8 +88,8 @@ class BpeTokenizer:
 
         from pyspark.sql.types import IntegerType
 
-        self._enc = F.pandas_udf(enc, ArrayType(IntegerType()))
-        self._dec = F.pandas_udf(dec, StringType())
+        self._enc = arrow_udf(enc, ArrayType(IntegerType()))
+        self._dec = arrow_udf(dec, StringType())
 
     def encode(self, text):
         return self._enc(_col(text))
@@ -209,7 +209,7 @@ def _split_series(size: int, overlap: int):
 
 def recursive_chunks(text: Column | str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
     """T5: ``array<string>`` of chunks of one block (Arrow batch UDF)."""
-    udf = F.pandas_udf(_split_series(size, overlap), ArrayType(StringType()))
+    udf = arrow_udf(_split_series(size, overlap), ArrayType(StringType()))
     return udf(_col(text))
 
 

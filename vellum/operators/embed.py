@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
+from vellum.functions.arrays import arrow_udf
 from vellum.functions.text import passage_text, query_text
 from vellum.functions.vectors import bind, unit
 
@@ -146,7 +147,7 @@ class HashingEncoder:
     def vector(self, text: Column) -> Column:
         if self.native:
             return hashed_vector(text, self.dim)
-        udf = F.pandas_udf(_bucket_series(self.dim), ArrayType(FloatType()))
+        udf = arrow_udf(_bucket_series(self.dim), ArrayType(FloatType()))
         return udf(words(text))
 
     def embed(self, df: DataFrame, text: str = "text", out: str = "vector", is_query: bool = False,
@@ -185,7 +186,7 @@ class ModelEncoder:
                 out = np.concatenate(vecs) if vecs else np.zeros((0, self.dim), np.float32)
                 yield pd.Series(list(out))
 
-        return F.pandas_udf(run, ArrayType(FloatType()))
+        return arrow_udf(run, ArrayType(FloatType()))
 
     def embed(self, df: DataFrame, text: str = "text", out: str = "vector", is_query: bool = False,
               query_prefix: bool = True) -> DataFrame:

@@ -100,10 +100,7 @@ def chunk_files(decoded: DataFrame, size: int, overlap: int, min_len: int = MIN_
     ``array<array<string>>``) replaces the recursive splitter."""
     fields = ["page", "total_pages", "section", "section_idx"]
     ch = per_file.chunk_blocks_array(F.col("blocks"), size, overlap, min_len, fields=fields, splitter=splitter)
-    # A partition-local sort (no shuffle) keeps decoding and splitting in two
-    # projections, so the splitter's Arrow UDF reads a plain column instead of
-    # an expression over the decoding UDFs (which Spark cannot chain).
-    x = decoded.sortWithinPartitions("path").select("path", "file_hash", "error", F.when(F.col("error").isNull(), ch).alias("chunks"))
+    x = decoded.select("path", "file_hash", "error", F.when(F.col("error").isNull(), ch).alias("chunks"))
     err = F.coalesce(F.col("error"), F.when(F.size("chunks") <= 0, F.lit(NO_CHUNKS)))
     return x.select("path", "file_hash", F.when(err.isNull(), F.col("chunks")).alias("chunks"), err.alias("error"))
 

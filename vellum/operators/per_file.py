@@ -21,6 +21,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellum.functions.arrays import arrow_udf
 from vellum.functions.text import MIN_CHUNK_LENGTH, normalize_text, strip_ws
 from vellum.functions.vectors import bind
 from vellum.operators import chunking
@@ -73,7 +74,7 @@ def _split_array_series(size: int, overlap: int):
 def nfc_array(texts: Column) -> Column:
     """NFC of every string of an array; rows made only of code points below
     U+0300 skip the Python step."""
-    udf = F.pandas_udf(_nfc_array_series, T.ArrayType(T.StringType()))
+    udf = arrow_udf(_nfc_array_series, T.ArrayType(T.StringType()))
     needs = F.exists(texts, lambda t: t.rlike(r"[^\x{0}-\x{2ff}]"))
     return F.coalesce(udf(F.when(needs, texts)), texts)
 
@@ -104,7 +105,7 @@ def section_blocks_array(elements: Column, min_len: int = MIN_CHUNK_LENGTH) -> C
         F.transform(elements, lambda e: F.struct(e["style"].alias("style"), strip_ws(e["text"]).alias("text"))),
         lambda e: F.length(e["text"]) > 0,
     )
-    ranges_udf = F.pandas_udf(_ranges_series, _RANGE)
+    ranges_udf = arrow_udf(_ranges_series, _RANGE)
     # Python UDFs cannot sit inside lambdas: call them at the top, then bind
     # their results (and the element array) once to one lambda variable.
     raw = F.transform(kept, lambda e: e["text"])
@@ -138,7 +139,7 @@ def chunk_blocks_array(blocks: Column, size: int = chunking.CHUNK_SIZE, overlap:
     ``array<struct<fields..., text>>`` in (block, piece) order; the chunk id
     is the array position and ``total_chunks`` the array size."""
     fields = fields or []
-    split = splitter or F.pandas_udf(_split_array_series(size, overlap), T.ArrayType(T.ArrayType(T.StringType())))
+    split = splitter or arrow_udf(_split_array_series(size, overlap), T.ArrayType(T.ArrayType(T.StringType())))
     pieces = split(F.transform(blocks, lambda b: b["text"]))
 
     def build(x):

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.functions.arrays import keep_rows, posexplode_rows
+from vellum.functions.arrays import arrow_udf, keep_rows, posexplode_rows
 from vellum.functions.identity import file_md5
 from vellum.functions.text import file_name, file_type
 
@@ -187,7 +187,7 @@ class UdfDecoder(Decoder):
                     errors.append(f"{type(e).__name__}: {e}")
             return pd.DataFrame({"items": items, "error": errors})
 
-        return F.pandas_udf(run, out_t)(content)
+        return arrow_udf(run, out_t)(content)
 
     def decode(self, files, keep):
         x = files.select(*keep, self.items_and_error(F.col("content")).alias("__d"))
