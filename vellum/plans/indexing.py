@@ -113,26 +113,13 @@ def run_index(store: VectorStore, files: DataFrame, *, decoders=None, encoder=No
     store.upsert(plan.points.select(*store.scan().columns))
     store.quarantine(plan.errors, failed_at)
     if cfg.remove_stale:
-        remove_stale(store, plan.new_state)
+        store.remove_stale(plan.new_state)
     outcome = plan.outcome.checkpoint()
     ok = outcome.where(F.col("status") == "processed").select("path", "file_hash")
     store.save_state(dedup.update_state(state, ok))
     return run_summary(outcome, time.time() - t0).first().asDict()
 
 
-def remove_stale(store: VectorStore, state: DataFrame) -> None:
-    """D8 clean-up: drop stored points of paths whose content changed."""
-    stale = dedup.stale_points(store.scan(["point_id", "filepath", "file_hash"]), state)
-    keep = store.scan().join(stale.select("point_id"), "point_id", "left_anti")
-    # rewrite through a staged copy: the table being replaced is also the input
-    path = store.points_path + "__rewrite"
-    keep.withColumn("bucket", F.pmod(F.col("point_id"), F.lit(store.buckets)).cast("int")).write.mode(
-        "overwrite"
-    ).partitionBy("bucket").parquet(path)
-    store.spark.read.schema(store._schema()).parquet(path).write.mode("overwrite").partitionBy("bucket").parquet(
-        store.points_path)
-
-
 # ---------------------------------------------------------------- G1
 
 def plan_token_ingest(pages: DataFrame, known: DataFrame, *, encoder=None, tokenizer=None,

@@ -2,9 +2,12 @@
 
 A store is a folder on shared storage:
 
-* ``points/``     Parquet, partitioned by ``bucket = pmod(point_id, buckets)``;
-                  rows sorted by (file_type, filename, page) inside each file so
-                  filters on those payload fields skip row groups (S4).
+* ``points/``     Parquet, partitioned by ``bucket = pmod(xxhash64(file_hash),
+                  buckets)``: all points of one content share a bucket (ids
+                  derive from the content hash), so an ingest of K files
+                  rewrites at most K buckets; rows sorted by (file_type,
+                  filename, page) inside each file so filters on those
+                  payload fields skip row groups (S4).
 * ``state/``      Parquet ``(path, file_hash)`` (S8).
 * ``quarantine/`` Parquet, appended (S10).
 
@@ -121,6 +124,9 @@ class VectorStore:
         return self._read().count()
 
     # ------------------------------------------------------------ S4 + S6
+    def bucket_of(self, file_hash):
+        return F.pmod(F.xxhash64(file_hash), F.lit(self.buckets)).cast("int")
+
     def _checked(self, points: DataFrame) -> DataFrame:
         dim = self.dim
         bad = F.size("vector") != F.lit(dim)
@@ -141,7 +147,7 @@ class VectorStore:
         """Insert or replace by ``point_id`` (last path wins inside the batch)."""
         schema_cols = self._schema().fieldNames()
         new = last_wins(points) if dedup else points
-        new = self._checked(new).withColumn("bucket", F.pmod(F.col("point_id"), F.lit(self.buckets)).cast("int"))
+        new = self._checked(new).withColumn("bucket", self.bucket_of(F.col("file_hash")))
         # read three times below (touched buckets, replaced ids, new rows): cut once
         shared_dir(self.spark)
         new = new.select(*schema_cols).checkpoint()
@@ -156,11 +162,34 @@ class VectorStore:
         ).parquet(self.points_path)
         _delete(self.spark, stage)
 
+    def remove_stale(self, state: DataFrame) -> None:
+        """D8 clean-up: drop points whose (filepath, file_hash) is not the
+        current state of that path.  Only the buckets holding such points are
+        rewritten; a bucket left empty is removed."""
+        from vellum.operators.dedup import stale_points
+
+        schema_cols = self._schema().fieldNames()
+        stale = stale_points(self._read().select("point_id", "filepath", "file_hash", "bucket"), state)
+        stale = stale.select("point_id", "bucket").checkpoint()
+        touched = [r[0] for r in stale.select("bucket").distinct().collect()]  # at most `buckets` values
+        if not touched:
+            return
+        keep = self._read().where(F.col("bucket").isin(touched)).join(stale.select("point_id"), "point_id", "left_anti")
+        stage = scratch_path(self.spark, "clean")
+        self._layout(keep).write.mode("overwrite").partitionBy("bucket").parquet(stage)
+        staged = self.spark.read.schema(self._schema()).parquet(stage).select(*schema_cols)
+        left = {r[0] for r in staged.select("bucket").distinct().collect()}
+        self._layout(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "bucket").parquet(self.points_path)
+        for b in set(touched) - left:  # every row of the bucket was stale
+            _delete(self.spark, f"{self.points_path}/bucket={b}")
+        _delete(self.spark, stage)
+
     # ------------------------------------------------------------ S7
     def append(self, points: DataFrame) -> None:
         """S7 (G1): every row gets a fresh random UUID, so nothing is replaced."""
         rows = self._checked(points).withColumn("point_id", F.expr("uuid()"))
-        rows = rows.withColumn("bucket", F.pmod(F.xxhash64("point_id"), F.lit(self.buckets)).cast("int"))
+        rows = rows.withColumn("bucket", self.bucket_of(F.col("file_hash")))
         rows.select(*self._schema().fieldNames()).write.mode("append").partitionBy("bucket").parquet(self.points_path)
 
     # ------------------------------------------------------------ S8
