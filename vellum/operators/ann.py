@@ -80,7 +80,7 @@ def ann_topk(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int = 4
     qp = probe_cells(q, index.centres, nprobe, "__qvec")
     p = index.points.select(F.col(point_id).cast("bigint").alias("__pid"), F.col(point_vec).alias("__pvec"), "cell")
     cands = search._block_scan(
-        qp, p, kmax, None, n_q * (max(dim, 1) * 8 + 48), broadcast_limit_bytes, points_per_bucket,
+        qp, p, kmax, n_q * (max(dim, 1) * 8 + 48), broadcast_limit_bytes, points_per_bucket,
         keys=["cell"], bucket_counts=index.cell_counts,
     )
     hits = search.final_topk(cands, kmax)

@@ -72,7 +72,7 @@ def _best_k(s: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndar
 class _QueryBlock:
     """Query matrix plus per-query k, threshold and filter code."""
 
-    def __init__(self, pdf: pd.DataFrame, kmax: int, filter_codes: dict | None = None):
+    def __init__(self, pdf: pd.DataFrame, kmax: int):
         self.ids = pdf["__qid"].to_numpy(np.int64)
         n = len(self.ids)
         self.mat = np.stack(pdf["__qvec"].to_numpy()).astype(np.float64) if n else np.zeros((0, 0))
@@ -89,7 +89,7 @@ class _QueryBlock:
             self.codes, self.fcode = None, None
 
 
-def _score_partition(qb: _QueryBlock, batches, filter_codes: dict | None):
+def _score_partition(qb: _QueryBlock, batches):
     """Running top-k for every query over an iterator of point batches."""
     n = len(qb.ids)
     k = qb.kmax
@@ -210,12 +210,11 @@ def topk(
         pcols.append(F.col(point_filter).cast("string").alias("__pfilter"))
     p = points.select(*pcols)
 
-    filter_codes = None
     matrix_bytes = n_q * (max(dim, 1) * 8 + 48)
     if matrix_bytes <= broadcast_limit_bytes:
-        cands = _broadcast_scan(spark, q, p, kmax, filter_codes)
+        cands = _broadcast_scan(spark, q, p, kmax)
     else:
-        cands = _block_scan(q, p, kmax, filter_codes, matrix_bytes, broadcast_limit_bytes, points_per_bucket)
+        cands = _block_scan(q, p, kmax, matrix_bytes, broadcast_limit_bytes, points_per_bucket)
 
     hits = final_topk(cands, kmax)
     if payload:
@@ -234,20 +233,20 @@ def attach_payload(hits: DataFrame, points: DataFrame, point_id: str, payload: l
     return pay.join(side, "point_id").select("query_id", "rank", "score", "point_id", *cols)
 
 
-def _broadcast_scan(spark, q: DataFrame, p: DataFrame, kmax: int, filter_codes) -> DataFrame:
+def _broadcast_scan(spark, q: DataFrame, p: DataFrame, kmax: int) -> DataFrame:
     qpdf = q.toPandas()  # bounded by broadcast_limit_bytes (checked by the caller)
-    block = spark.sparkContext.broadcast((qpdf, kmax, filter_codes))
+    block = spark.sparkContext.broadcast((qpdf, kmax))
 
     def scan(batches):
-        qdf, km, codes = block.value
-        qb = _QueryBlock(qdf, km, codes)
-        bs, bi = _score_partition(qb, batches, codes)
+        qdf, km = block.value
+        qb = _QueryBlock(qdf, km)
+        bs, bi = _score_partition(qb, batches)
         yield _emit(qb, bs, bi)
 
     return p.mapInPandas(scan, _CAND_SCHEMA)
 
 
-def _block_scan(q, p, kmax, filter_codes, matrix_bytes, limit, per_bucket, keys=None, bucket_counts=None) -> DataFrame:
+def _block_scan(q, p, kmax, matrix_bytes, limit, per_bucket, keys=None, bucket_counts=None) -> DataFrame:
     """Cogroup scoring.  ``keys`` (e.g. an IVF cell) must already be columns of
     both sides; points of one key are split into ``ceil(n / per_bucket)``
     buckets (``bucket_counts`` gives n per key; otherwise one global count) and
@@ -279,8 +278,8 @@ def _block_scan(q, p, kmax, filter_codes, matrix_bytes, limit, per_bucket, keys=
     g = [*keys, "__qb", "__pb"]
 
     def pair(qdf: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
-        qb = _QueryBlock(qdf, kmax, filter_codes)
-        bs, bi = _score_partition(qb, [pdf], filter_codes)
+        qb = _QueryBlock(qdf, kmax)
+        bs, bi = _score_partition(qb, [pdf])
         return _emit(qb, bs, bi)
 
     return qx.groupBy(*g).cogroup(px.groupBy(*g)).applyInPandas(pair, _CAND_SCHEMA)
