@@ -69,8 +69,8 @@ def test_file_name_parts(spark):
 
 
 def test_prefixes(spark):
-    assert one(spark, "t", lambda c: tx.passage_text(c, "BAAI/bge-large-en-v1.5")) == tx.PASSAGE_PREFIX + "t"
-    assert one(spark, "t", lambda c: tx.passage_text(c, "nomic-embed")) == "t"
+    assert one(spark, "t", lambda c: tx.passage_text(c, "example/bge-large")) == tx.PASSAGE_PREFIX + "t"
+    assert one(spark, "t", lambda c: tx.passage_text(c, "example/text-encoder")) == "t"
     assert one(spark, "t", tx.query_text) == tx.QUERY_PREFIX + "t"
 
 

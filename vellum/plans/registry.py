@@ -440,8 +440,8 @@ def q_text_preview(spark, sf_dir):
         tx.preview("text", 300, flatten=True).alias("preview300"),
         tx.file_name(p).alias("filename"), tx.file_stem(p).alias("stem"), tx.file_suffix(p).alias("suffix"),
         tx.file_type(p).alias("file_type"),
-        F.length(tx.passage_text("text", "BAAI/bge-large-en-v1.5")).cast("int").alias("passage_len"),
-        F.length(tx.passage_text("text", "nomic-ai/nomic-embed-text-v1.5")).cast("int").alias("plain_len"),
+        F.length(tx.passage_text("text", "example/bge-large")).cast("int").alias("passage_len"),
+        F.length(tx.passage_text("text", "example/text-encoder")).cast("int").alias("plain_len"),
         F.md5(tx.query_text("text")).alias("query_md5"),
     )
 
@@ -647,7 +647,7 @@ def g1_points(spark, sf_dir):
     w = chunking.token_window_chunks(f.withColumn("source", tx.file_name("path")), "text", keep=["path", "source", "file_hash"])
     w = w.withColumn("point_id", identity.point_id(F.md5("path"), "chunk"))
     shared_dir(spark)
-    return embed.embed_passages(w, embed.HashingEncoder(DIM, "nomic-ai/nomic-embed-text-v1.5")).checkpoint()
+    return embed.embed_passages(w, embed.HashingEncoder(DIM, "example/text-encoder")).checkpoint()
 
 
 def q_g1_search(spark, sf_dir):
