@@ -70,8 +70,8 @@ def nfc(c: Column | str) -> Column:
 
 def strip_ws(c: Column | str) -> Column:
     """Python ``str.strip()``: Unicode white space off both ends (native
-    ``trim(BOTH <set> FROM x)``, no regex)."""
-    return F.trim(_col(c), F.lit(WS_CHARS))
+    ``btrim(x, <set>)``, no regex)."""
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def normalize_text(c: Column | str, *, with_nfc: bool = True) -> Column:
