@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from vellum.functions.arrays import keep_rows, posexplode_rows
 from vellum.functions.vectors import bind, dot
 from vellum.operators import search
+from vellum.session import shared_dir
 
 MAX_CENTRE_VALUES = 4_000_000
 
@@ -75,6 +76,8 @@ def ann_topk(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int = 4
     """Approximate ``k`` best points per query among the points of its
     ``nprobe`` closest cells.  Output as ``search.topk``."""
     q = search._prepare_queries(queries, query_id, query_vec, k, threshold, None)
+    shared_dir(index.points.sparkSession)
+    q = q.checkpoint()  # read by the size check and by the probe
     stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("__qvec")).alias("dim"), F.max("__k").alias("kmax")).first()
     n_q, dim, kmax = int(stats["n"]), int(stats["dim"] or 0), int(stats["kmax"] or 0)
     qp = probe_cells(q, index.centres, nprobe, "__qvec")

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.functions.text import preview, strip_ws
+from vellum.session import shared_dir
 
 DEFAULT_BROADCAST_LIMIT = 256 << 20  # bytes of query matrix shipped to every task
 POINTS_PER_BUCKET = 200_000  # block path: points per cogroup bucket
@@ -190,6 +191,9 @@ def topk(
     if (query_filter is None) != (point_filter is None):
         raise ValueError("query_filter and point_filter go together")
     q = _prepare_queries(queries, query_id, query_vec, k, threshold, query_filter)
+    # the query side is read by the size check and by the scan: encode it once
+    shared_dir(points.sparkSession)
+    q = q.checkpoint()
     stats = q.agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.size("__qvec")).alias("dim"),
