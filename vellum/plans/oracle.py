@@ -559,3 +559,44 @@ WITH s AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, point_id, label FROM r WHERE rank <= 5
 """
+
+
+MIXED = """mf AS (
+  SELECT 'documents/' || lang || '/' || source || '_' || CAST(doc_id AS VARCHAR) || '.txt' AS path, text AS content, 'txt' AS ft
+  FROM documents
+  UNION ALL SELECT 'pages/' || CAST(page_id AS VARCHAR) || '.html', html, 'html' FROM pages
+  UNION ALL SELECT 'conversations/' || CAST(conv_id AS VARCHAR) || '.json', CAST(count(*) AS VARCHAR), 'json'
+  FROM conversations GROUP BY conv_id
+)"""
+
+SQL["index_documents_windows"] = f"""WITH {FILES}, {MIXED},
+mh AS (SELECT *, md5(content) AS file_hash FROM mf),
+skipped AS (SELECT m.* FROM mh m JOIN prev p ON p.path = m.path AND p.file_hash = m.file_hash),
+todo AS (SELECT * FROM mh WHERE path NOT IN (SELECT path FROM skipped)),
+raw AS (
+  SELECT path, unnest(ls) AS l, generate_subscripts(ls, 1) AS rpos
+  FROM (SELECT path, string_split(content, chr(10)) AS ls FROM todo WHERE ft = 'txt'
+        UNION ALL SELECT path, {html_lines('content')} FROM todo WHERE ft = 'html')
+), el AS (
+  SELECT path, rpos,
+         CASE WHEN starts_with(l, chr(1)) THEN true
+              WHEN path LIKE '%.txt' THEN length(trim(l)) < 40 ELSE false END AS hd,
+         {strip("CASE WHEN starts_with(l, chr(1)) THEN substr(l, 3) ELSE l END")} AS t
+  FROM raw
+), lines AS (
+  SELECT path AS doc, CAST(row_number() OVER (PARTITION BY path ORDER BY rpos) - 1 AS BIGINT) AS pos, t, hd
+  FROM el WHERE length(t) > 0
+), {sections_sql('lines')},
+pw AS (SELECT doc AS path, {windows('text', 500, 50)} AS ws FROM secs),
+pc AS (SELECT path, unnest(ws) AS w FROM pw),
+cnt AS (SELECT path, count(*) AS n FROM pc WHERE length({strip('w')}) >= 60 GROUP BY path),
+hasblk AS (SELECT DISTINCT doc AS path FROM secs)
+SELECT path, 'skipped' AS status, CAST(0 AS BIGINT) AS chunks, CAST(NULL AS VARCHAR) AS error FROM skipped
+UNION ALL
+SELECT t.path,
+       CASE WHEN t.ft = 'json' OR h.path IS NULL OR coalesce(c.n, 0) = 0 THEN 'error' ELSE 'processed' END,
+       CAST(CASE WHEN t.ft = 'json' OR h.path IS NULL OR coalesce(c.n, 0) = 0 THEN 0 ELSE c.n END AS BIGINT),
+       CASE WHEN t.ft = 'json' THEN 'unsupported format: .json'
+            WHEN h.path IS NULL THEN 'no extractable text (scanned without OCR?)'
+            WHEN coalesce(c.n, 0) = 0 THEN 'no valid chunks after extraction' END
+FROM todo t LEFT JOIN hasblk h USING (path) LEFT JOIN cnt c USING (path)"""

@@ -714,3 +714,17 @@ def q_ann_topk_all_cells(spark, sf_dir):
 
 
 QUERIES["ann_topk_all_cells"] = q_ann_topk_all_cells
+
+
+def q_index_documents_windows(spark, sf_dir):
+    """G2 plan wiring (D5, X1, T4 as the splitter, T6-T8, R1): the same run as
+    ``index_documents`` with 500/50 token windows cutting the blocks."""
+    files = mixed_files(spark, sf_dir)
+    state = previous_files(spark, sf_dir).select("path", "file_hash")
+    splitter = lambda arr: F.transform(arr, lambda t: chunking.token_windows(t, 500, 50))
+    plan = indexing.plan_index(files, state, decoders=DECODERS, encoder=embed.HashingEncoder(DIM),
+                               cfg=indexing.IndexConfig(indexed_at=RUN_AT), splitter=splitter)
+    return plan.outcome.select("path", "status", "chunks", "error")
+
+
+QUERIES["index_documents_windows"] = q_index_documents_windows
