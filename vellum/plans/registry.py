@@ -11,10 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.operators import search
-from vellum.sources.tables import read_parquet
+from vellum.functions import identity, vectors
+from vellum.functions import text as tx
 from vellum.functions.arrays import keep_rows, posexplode_rows
-
+from vellum.operators import ann, blocks, chunking, dedup, embed, per_file, report, search
+from vellum.operators.extract import extract_blocks
+from vellum.plans import indexing
+from vellum.session import scratch_path, shared_dir
+from vellum.sources import files as src
+from vellum.sources.store import VectorStore, quarantine_rows, upsert_merge
+from vellum.sources.tables import read_parquet
 
 # tables whose rows carry real work (texts, vectors): spread small scans over the cores
 WORK_TABLES = {"documents", "pages", "conversations", "embeddings"}
@@ -46,8 +52,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # ---------------------------------------------------------------- text, hashing, token windows
 
-from vellum.functions import identity, text as tx  # noqa: E402
-from vellum.operators import blocks, chunking  # noqa: E402
 
 # Noise injected into `documents` so every clean-up step has work
 # (the table itself has no control characters, curly quotes, tab runs or
@@ -188,8 +192,6 @@ QUERIES.update({
 # the same text when quality = 1 and of an earlier version (text + " (v0)")
 # otherwise, and the store holds the points of those earlier versions.
 
-from vellum.operators import dedup, embed, report  # noqa: E402
-from vellum.sources.store import quarantine_rows, upsert_merge  # noqa: E402
 
 RUN_AT = "2024-12-01T14:34:35"
 
@@ -328,8 +330,6 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- encoding and search over documents
 
-from vellum.functions import vectors  # noqa: E402
-from vellum.session import shared_dir  # noqa: E402
 
 DIM = 64
 
@@ -487,11 +487,6 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- operators without a SQL oracle
 
-from vellum.operators import ann  # noqa: E402
-from vellum.operators.extract import extract_blocks  # noqa: E402
-from vellum.plans import indexing  # noqa: E402
-from vellum.session import scratch_path  # noqa: E402
-from vellum.sources import files as src  # noqa: E402
 
 
 def q_ann_topk(spark, sf_dir):
@@ -586,7 +581,6 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- per-file (row-local) forms, same oracles
 
-from vellum.operators import per_file  # noqa: E402
 
 
 def q_page_blocks_per_file(spark, sf_dir):
@@ -663,7 +657,6 @@ QUERIES["g1_search"] = q_g1_search
 
 # ---------------------------------------------------------------- the physical store
 
-from vellum.sources.store import VectorStore  # noqa: E402
 
 
 def q_store_roundtrip(spark, sf_dir):
