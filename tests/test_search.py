@@ -92,3 +92,22 @@ def test_result_views(spark):
     assert r["preview"] == "x " * 150 + "..."
     g1 = search.result_view_g1(h.withColumnRenamed("filename", "source").withColumnRenamed("chunk_id", "chunk")).first()
     assert g1["preview"] == ("x\n" * 200)[:600] + "..." if len("x\n" * 200) > 600 else g1["preview"] == "x\n" * 200
+
+
+def test_ivf_probe_paths_agree(spark):
+    rnd = np.random.default_rng(5)
+    v = rnd.normal(size=(120, 6)).astype(np.float32)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    p = pts(spark, [(int(i), v[i].tolist(), "f") for i in range(120)])
+    q = qs(spark, [(int(i), v[i].tolist()) for i in range(0, 120, 5)])
+    idx = ann.build_ivf(p, 5)
+    lit = sorted(map(tuple, ann.probe_cells(q, idx.centres, 2).select("query_id", "cell").collect()))
+    old = ann.MAX_LITERAL_VALUES
+    try:
+        ann.MAX_LITERAL_VALUES = 0  # force the broadcast + Arrow path
+        udf = sorted(map(tuple, ann.probe_cells(q, idx.centres, 2).select("query_id", "cell").collect()))
+        full = ann.ann_topk(idx, q, 3, nprobe=5)
+        assert ann.recall_at_k(full, search.topk(p, q, 3)).first()["recall"] == 1.0
+    finally:
+        ann.MAX_LITERAL_VALUES = old
+    assert lit == udf and len(lit) == 2 * 24

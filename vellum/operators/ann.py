@@ -13,17 +13,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions.arrays import keep_rows, posexplode_rows
+from pyspark.sql.types import ArrayType, IntegerType
+
+from vellum.functions.arrays import arrow_udf, keep_rows, posexplode_rows
 from vellum.functions.vectors import bind, dot
 from vellum.operators import search
 from vellum.session import shared_dir
 
-MAX_CENTRE_VALUES = 4_000_000
+MAX_CENTRE_VALUES = 4_000_000  # centres shipped as one broadcast value (checked size)
+MAX_LITERAL_VALUES = 16_384  # up to this many, centres are literals in the plan
 
 
 @dataclass
@@ -54,18 +59,40 @@ def build_ivf(points: DataFrame, cells: int = 16, *, vector: str = "vector", see
 
 
 def probe_cells(queries: DataFrame, centres: list[list[float]], nprobe: int, vector: str = "vector") -> DataFrame:
-    """Each query row repeated for its ``nprobe`` closest centres (``cell``)."""
-    lit_centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
-    ranked = bind(
-        F.col(vector),
-        lambda q: F.transform(
-            lit_centres, lambda c, i: F.struct((-dot(q, c)).alias("neg"), i.cast("int").alias("cell"))
-        ),
-    )
-    best = F.slice(F.array_sort(ranked), 1, nprobe)
+    """Each query row repeated for its ``nprobe`` closest centres (``cell``),
+    ties by the lower cell number.  Small indexes compare against literal
+    centres natively; larger ones use an Arrow UDF over a broadcast matrix."""
+    if len(centres) * len(centres[0]) <= MAX_LITERAL_VALUES:
+        lit_centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
+        ranked = bind(
+            F.col(vector),
+            lambda q: F.transform(
+                lit_centres, lambda c, i: F.struct((-dot(q, c)).alias("neg"), i.cast("int").alias("cell"))
+            ),
+        )
+        best = F.transform(F.slice(F.array_sort(ranked), 1, nprobe), lambda s: s["cell"])
+    else:
+        best = _probe_udf(queries.sparkSession, centres, nprobe)(F.col(vector))
     cols = [F.col(c) for c in queries.columns]
-    x = queries.select(*cols, posexplode_rows(best, "__i", "__probe")).where(keep_rows("__i"))
-    return x.withColumn("cell", F.col("__probe.cell")).drop("__probe", "__i")
+    x = queries.select(*cols, posexplode_rows(best, "__i", "cell")).where(keep_rows("__i"))
+    return x.withColumn("cell", F.col("cell").cast("int")).drop("__i")
+
+
+def _probe_udf(spark, centres, nprobe):
+    bc = spark.sparkContext.broadcast(np.asarray(centres, dtype=np.float64))
+
+    def run(s: pd.Series) -> pd.Series:
+        c = bc.value
+        q = np.stack(s.to_numpy()).astype(np.float64) if len(s) else np.zeros((0, c.shape[1]))
+        scores = q @ c.T
+        cells = np.arange(c.shape[0])
+        out = []
+        for row in scores:
+            order = np.lexsort((cells, -row))[:nprobe]
+            out.append(order.astype(np.int32))
+        return pd.Series(out)
+
+    return arrow_udf(run, ArrayType(IntegerType()))
 
 
 def ann_topk(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int = 4, threshold=None,
