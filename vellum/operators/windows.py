@@ -40,14 +40,19 @@ def running_agg(
     val = F.col(value) if isinstance(value, str) else value
     rb = "__rb"
     x = df.withColumn("__v", val).withColumn(rb, F.floor(F.col(pos) / F.lit(block)))
+    # 1. running value inside each (key, range): one exchange on (key, range)
+    within = Window.partitionBy(*keys, rb).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("__within", agg("__v").over(within))
+    # 2. range totals from the same partitioning (no new exchange; the exchange
+    #    below is shared with step 4, so the input is computed once)
     ranges = x.groupBy(*keys, rb).agg(agg("__v").alias("__rv"))
+    # 3. totals of the earlier ranges of the key: one small row per range
     before = Window.partitionBy(*keys).orderBy(rb).rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("__before", agg("__rv").over(before))
     if total:
         ranges = ranges.withColumn(total, agg("__rv").over(Window.partitionBy(*keys)))
-    within = Window.partitionBy(*keys, rb).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumn("__within", agg("__v").over(within))
     keep = [*keys, rb, "__before"] + ([total] if total else [])
+    # 4. back onto the rows by (key, range): the row side is already partitioned so
     x = x.join(ranges.select(*keep), [*keys, rb])
     if how == "sum":
         res = F.coalesce(F.col("__before"), F.lit(0)) + F.col("__within")
