@@ -1,4 +1,4 @@
-"""The corpus pipeline: each stage reads what the one before kept.
+"""The corpus pipeline: each stage works on all that the one before kept.
 
 ``run`` applies the stages to ``documents``; every stage's result is written
 as Parquet into the shared folder and read back as the next one's documents.
@@ -8,8 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import decontaminate, mixing, simhash
+from vellum.llm import decontaminate, mixing, simhash, token_output, toxicity
 from vellum.llm.common import read_table, written
+from vellum.llm.queries import word_tokenizer
+from vellum.session import scratch_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that ordinal regression finds toxic go."""
+    return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,9 +34,22 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-STAGES = [("near_dedup", near_dedup), ("decontamination", decontamination), ("source_mix", source_mix)]
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix as range-coded token ids; returns what the files hold of each row."""
+    path = scratch_path(spark, "corpus-tokens")
+    token_output.write_tokens(docs, path, word_tokenizer())
+    return token_output.digest(spark, path)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("source_mix", source_mix),
+    ("token_ids", token_ids),
+]
 
-#: SimHash groups need graph components: tested against a brute-force version.
+#: The model, the groups and the tokenizer are beyond SQL: tested against a brute-force version.
 ORACLE_SQL = None
 
 

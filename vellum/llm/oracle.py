@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from math import ceil
+
+from vellum.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES
+
 LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"coalesce(regexp_extract_all(" + LOW + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
 
@@ -22,3 +26,81 @@ select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesc
        coalesce(s, sha256('')) items_sha256, n_hit is not null contaminated
 from d left join words using (doc_id) left join found using (doc_id)
 """
+
+SQL["op3_line_dedup"] = """
+with d as (select doc_id, text, string_split(text, chr(10)) ls from documents),
+l as (select doc_id, i, trim(ls[i + 1], ' ' || chr(9) || chr(13) || chr(11) || chr(12)) x from (select *, unnest(range(len(ls))) i from d)),
+p as (select doc_id, i, x, row_number() over (partition by doc_id order by i) p from l where x <> ''),
+w as (select doc_id, p, i a, lead(i, 1) over q b, lead(i, 2) over q c, x, lead(x, 1) over q y, lead(x, 2) over q z
+      from p window q as (partition by doc_id order by p)),
+r as (select *, row_number() over (partition by x, y, z order by doc_id, p) n from w where z is not null),
+gone as (select distinct doc_id, unnest([a, b, c]) i from r where n > 1),
+runs as (select doc_id, count(*) n_runs from (select doc_id, p - lag(p) over (partition by doc_id order by p) gap from r where n > 1) where gap is null or gap > 3 group by doc_id),
+kept as (select d.doc_id, string_agg(ls[i + 1], chr(10) order by i) t from (select *, unnest(range(len(ls))) i from d) d anti join gone g on g.doc_id = d.doc_id and g.i = d.i group by d.doc_id),
+cut as (select doc_id, count(*) n from gone group by doc_id)
+select doc_id, coalesce(len(ls), 0)::bigint n_lines, coalesce(n, 0)::bigint n_removed, coalesce(n_runs, 0)::bigint n_runs,
+       sha256(coalesce(t, '')) kept_sha256
+from d left join kept using (doc_id) left join cut using (doc_id) left join runs using (doc_id)
+"""
+
+
+def _seats(rows: str, parent: str, key: str) -> str:
+    """The highest quotients, seat by seat."""
+    return f"""select *, (select count(*) from (
+        select {parent}, {key}, row_number() over (partition by {parent} order by ideal / (seat - 0.5) desc, {key}) rk, seats
+        from (select *, unnest(range(1, (ideal + n + 2)::bigint)) seat from (select *, count(*) over (partition by {parent}) n from {rows}))) s
+        where rk <= s.seats and s.{key} = r.{key} and s.{parent} = r.{parent}) won from {rows} r"""
+
+
+SQL["op8_mix"] = f"""
+with sized as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint size, coalesce('0' || source, '1') k,
+      ('0x' || substr(md5('mix/' || coalesce(doc_id::varchar, 'null')), 1, 12))::bigint draw from documents),
+s0 as (select k, sum(size)::bigint words, (row_number() over (order by k) - 1) % 3 + 1 w from sized group by k),
+s1 as (select *, 3 * words cap, sum(words) over () total from s0),
+s2 as (select *, cap / w <= (total - coalesce(sum(cap) over q, 0)) / (sum(w) over () - coalesce(sum(w) over q, 0)) is_full
+       from s1 window q as (order by cap / w, k rows between unbounded preceding and 1 preceding)),
+s3 as (select k, words, total, case when is_full then cap::double else
+       w * ((total - sum(case when is_full then cap else 0 end) over ()) / (sum(w) over () - sum(case when is_full then w else 0 end) over ())) end target from s2),
+s4 as (select *, 0 root, target / 8 ideal, round(total / 8)::bigint seats, greatest(1, ceil(words / 50000))::bigint shards from s3),
+src as materialized ({_seats("s4", "root", "k")}),
+placed as (select z.*, shards, words source_size, target, draw % shards shard from sized z join src using (k)),
+sh as (select k, shard, sum(size)::bigint t, shard // 1024 g from placed group by k, shard),
+g0 as (select k, g, sum(t)::bigint gt from sh group by k, g),
+g1 as (select g0.*, won seats, coalesce(won * (gt / nullif(words, 0)), 0.0) ideal from g0 join src using (k)),
+gr as materialized ({_seats("g1", "k", "g")}),
+p0 as (select sh.*, sh.k || '/' || sh.g kg, won seats, coalesce(won * (t / nullif(gt, 0)), 0.0) ideal from sh join gr on gr.k = sh.k and gr.g = sh.g),
+p1 as materialized ({_seats("p0", "kg", "shard")}),
+p2 as (select k, shard, t, greatest(1, round(t / 8))::bigint n, won from p1),
+p3 as (select k, shard, t, n, least(won, 3 * n) won, ('0x' || substr(md5('mix/run/' || k || '/' || shard), 1, 12))::bigint % n f from p2),
+laid as (select z.*, t, n, won, f, sum(size) over (partition by k, shard order by draw, doc_id nulls last, size rows unbounded preceding) - size s0 from placed z join p3 using (k, shard)),
+e as (select *, (f * t) // n lo, ((f + won % n) * t) // n hi from laid)
+select doc_id, size, source_size, target,
+       ((won // n) * size + greatest(0, least(size, hi - t - s0)) + greatest(0, least(size, least(hi, t) - s0)) - greatest(0, least(size, lo - s0)))::bigint taken
+from e
+"""
+
+
+def _phrase(label: str, phrase: str) -> str:
+    p = phrase.split()
+    same = " and ".join(f"w[i + {j + 1}] = '{x}'" for j, x in enumerate(p))
+    return f"select doc_id, i, '{label}' label from (select doc_id, w, unnest(range(len(w))) i from d where list_contains(w, '{max(p, key=len)}')) where {same}"
+
+
+def _template(label: str, text: str) -> str:
+    t = text.split()
+    s = sorted(set(t))
+    block = f"len(list_intersect(w[i + 1:i + {2 * len(t)}], {s}))"
+    return f"select doc_id, '{label}' label, max({block}) / {len(s)} share from (select doc_id, w, unnest(range(0, len(w) + 1, {len(t)})) i from d) group by doc_id having max({block}) >= {ceil(CONTAINMENT * len(s) - 1e-9)}"
+
+
+SQL["op9_licenses"] = f"""
+with d as (select doc_id, {WORDS.format("text")} w from documents),
+places as ({" union all ".join(_phrase(*p) for p in PHRASES.items())}),
+met as ({" union all ".join(_template(*t) for t in TEMPLATES)}),
+base as (select doc_id, count(*) n, min(i) a, max(i) b, string_agg(distinct label, ',' order by label) l from places group by doc_id),
+every as (select doc_id, string_agg(distinct label, ',' order by label) l from (select doc_id, label from places union all select doc_id, label from met) group by doc_id),
+share as (select doc_id, max(share) s from met group by doc_id)
+select doc_id, len(w)::bigint n_words, coalesce(n, 0)::bigint n_base, a::bigint first_word, b::bigint last_word,
+       coalesce(base.l, '') base_labels, coalesce(every.l, '') labels, case when n > 0 then 1.0 else coalesce(s, 0.0) end::double score
+from d left join base using (doc_id) left join every using (doc_id) left join share using (doc_id)
+"""

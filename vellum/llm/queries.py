@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import decontaminate, embedding_dedup, mixing, simhash
+from vellum.llm import decontaminate, embedding_dedup, licenses, line_dedup, mixing, quality, simhash, suffix_dedup, token_output, toxicity
 from vellum.llm.common import read_table
+from vellum.session import scratch_path
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +18,46 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def word_tokenizer() -> str:
+    """Path of the public word tokenizer (installed on every node)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all texts written as range-coded blocks and read back."""
+    path = scratch_path(spark, "tokens")
+    token_output.write_tokens(read_table(spark, sf_dir, "documents"), path, word_tokenizer())
+    return token_output.digest(spark, path)
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later runs of 3 or more equal lines go."""
+    r = line_dedup.drop_repeated_runs(read_table(spark, sf_dir, "documents"), run=3)
+    return r.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 50 bytes that start in an earlier document go."""
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 10 words of the benchmark in every document."""
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many documents as the labelled share of good ones, drawn by importance."""
+    return quality.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document."""
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -29,14 +65,20 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases, and templates contained to 0.8 or more in a text block."""
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cosine of 0.98 or more between vectors of one label."""
     return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"), least=0.98)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_simhash": op1_simhash,
-    "op5_decontaminate": op5_decontaminate,
-    "op8_mix": op8_mix,
-    "op10_embedding_dedup": op10_embedding_dedup,
+    f.__name__: f
+    for f in (
+        op1_simhash, op2_token_ids, op3_line_dedup, op4_suffix_dedup, op5_decontaminate,
+        op6_quality, op7_toxicity, op8_mix, op9_licenses, op10_embedding_dedup,
+    )
 }
