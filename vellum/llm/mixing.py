@@ -26,6 +26,7 @@ SHARD = 50_000  # words
 GROUP = 1024  # shards
 MOST = 3  # times a source is repeated at most
 SEED = "mix"
+ADDED = ("size", "source_size", "target", "taken", "passes", "a", "b", "c", "d")
 
 
 def n_words(text: str = "text") -> Column:
@@ -85,9 +86,8 @@ def allocate(docs: DataFrame) -> DataFrame:
     each for itself; an empty table gives an empty result.  The added columns
     replace columns of these names, other columns stay.
     """
-    added = ("size", "source_size", "target", "taken", "passes", "a", "b", "c", "d")
     k = F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1"))
-    own = [c for c in docs.columns if c not in added]
+    own = [c for c in docs.columns if c.lower() not in ADDED]
     sized = docs.select(*own, n_words().alias("size"), k.alias("__k"), draw(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("__draw"))
     sized = written(sized, "sized")
     sources = targets(sized.groupBy(F.col("__k").alias("k")).agg(F.sum("size").alias("words")))
@@ -126,7 +126,7 @@ def mix(docs: DataFrame) -> DataFrame:
     """The mixed documents, in the columns of ``docs``: a row for each whole
     pass, and one with the words taken once more (whole, or cut at block
     edges).  Documents of which nothing is taken are left out."""
-    d = allocate(docs.withColumns({f"__own_{c}": F.col(c) for c in docs.columns if c in ("size", "target", "taken", "passes")}))
+    d = allocate(docs.withColumns({f"__own_{c}": F.col(c) for c in docs.columns if c.lower() in ADDED}))
     whole = F.expr("passes + cast(taken - passes * size = size as long)")
     pieces = F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     cut = F.transform(F.array(pieces), lambda w: F.concat(F.array_join(F.slice(w, (F.col("a") + 1).cast("int"), (F.col("b") - F.col("a")).cast("int")), ""),

@@ -225,6 +225,7 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Data
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """``docs`` without all but the smallest doc_id of each group (repeated rows
     of one doc_id: one of them).  Columns as they are."""
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     g = simhash_groups(docs, shingle, distance)
-    kept = g.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi").dropDuplicates(["doc_id"])
+    kept = g.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("__key"))
+    return docs.withColumn("__key", key).join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

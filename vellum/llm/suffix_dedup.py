@@ -9,21 +9,20 @@ needs, by bucket-pointer refinement:
   made of those at offsets 0 and h, so no rank has to be looked up elsewhere.
   Of the suffixes, each window of ``LENGTH`` bytes keeps the one whose
   identifier is smallest (its anchor): equal windows keep equal anchors, and
-  one suffix in about sixteen remains.  Buckets that lie in one document are
-  finished and leave.
-* The others are refined by what follows at later offsets (and, for an anchor,
-  before it): the context, all windows of this anchor, parts a bucket into
-  buckets of equal contexts.  In such a bucket the first document keeps the
-  string, and all others lose it as a whole.
-* Only buckets that were parted have windows that may still agree: each context
-  is cut into its windows, whose identifiers at full depth are the last
-  refinement.  Every distinct context is looked at once, however many copies
-  it has, and gives its result back to the places it stands for.
-
-Buckets are counted in Spark tasks by identifier.  Within each batch the
-places of a shared bucket are already known to be shared: one of them goes on
-to stand for the rest, so a passage of a third of all documents sends a row a
-batch, not a row a document, and later steps are sums and joins by string.
+  one suffix in about sixteen remains.
+* Tasks count the buckets.  One that lies in a single document is finished.
+  The others are refined by the identifier of the anchor's whole context (all
+  windows that keep this anchor): in a bucket of equal contexts the first
+  document keeps the string and all others lose it as a whole.
+* Only buckets that fell into several contexts have windows that may still
+  agree.  The bytes of those contexts are fetched, one place each, and refined
+  in earnest: ranks of 8 bytes, then of 16, 32 and 50, each by sorting on the
+  ranks before at a later offset.
+
+Places of one batch with one context are merged before anything is sent, and
+what they lose is known at once.  A bucket with more than ``HOT`` contexts in a
+batch (the edge of a passage of very many documents) is not gathered at all:
+its windows go, one by one, through a sum by string.
 """
 
 from __future__ import annotations
@@ -33,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,25 +45,38 @@ U = np.uint64
 _rng = np.random.default_rng(20)
 LETTER = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 STEP = {h: U(int(_rng.integers(1 << 62, 1 << 63)) * 2 + 1) for h in (1, 2, 4, 8, 16, 20)}
+HOT = 64  # contexts of a bucket in one batch
+CHUNK = 1 << 22  # context bytes refined at once, unless one bucket has more
 WEIGHTS = _rng.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * U(2) + U(1)
 
 
-def _identifiers(data: np.ndarray, gram: int) -> np.ndarray:
-    """Bucket identifier at depth ``gram`` of every suffix (doubling; the rest
-    of a depth that is no power of two is put on at its offset)."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> U(32))) * U(0xD6E8FEB86659FD93)
+    return x ^ (x >> U(32))
+
+
+def _identifiers(data: np.ndarray) -> dict[int, np.ndarray]:
+    """Bucket identifiers of every suffix at depths 1, 2, 4, ... (doubling)."""
     at = {1: LETTER[data]}
     h = 1
-    while 2 * h <= gram:
+    while 2 * h <= LENGTH:
         x = at[h]
         at[2 * h] = x[: max(0, len(x) - h)] * STEP[h] + x[h:]
         h *= 2
-    out, depth = at[h], h
-    while depth < gram:
-        h = 1 << ((gram - depth).bit_length() - 1)
-        n = max(0, len(data) - depth - h + 1)
-        out, depth = out[:n] * STEP[20] + at[h][depth : depth + n], depth + h
-    out = (out ^ (out >> U(32))) * U(0xD6E8FEB86659FD93)
-    return out ^ (out >> U(32))
+    return at
+
+
+def _deepened(at: dict[int, np.ndarray], depth: int, where: np.ndarray | None = None) -> np.ndarray:
+    """Identifiers at another depth, of all suffixes or of some: those of its
+    powers of two, put together at their offsets."""
+    n = len(at[1]) - depth + 1
+    out, done = None, 0
+    while done < depth:
+        h = 1 << ((depth - done).bit_length() - 1)
+        x = at[h][done : done + n] if where is None else at[h][where + done]
+        out = x if out is None else out * STEP[20] + x
+        done += h
+    return _mixed(out)
 
 
 def _smallest(x: np.ndarray, width: int) -> np.ndarray:
@@ -76,23 +89,28 @@ def _smallest(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def anchors(data: np.ndarray, start: np.ndarray, end: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+def anchors(data: np.ndarray, start: np.ndarray, end: np.ndarray):
     """Of texts that lie one after another in ``data``: for each anchor its
-    text, bucket identifier, first window (from ``start``) and last minus first."""
-    n = len(data) - length + 1
+    text, bucket identifier, context identifier, first window (from ``start``)
+    and last minus first."""
+    n = len(data) - LENGTH + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
-        return none, none.astype(U), none, none
-    ids = _identifiers(data, gram)
+        return none, none.astype(U), none.astype(U), none, none
+    at = _identifiers(data)
+    ids = _deepened(at, GRAM)
     ranked = (ids & U(0xFFFFFFFF00000000)) | np.arange(len(ids), dtype=U)
-    own = (_smallest(ranked, length - gram + 1) & U(0xFFFFFFFF)).astype(np.int64)[:n]
+    own = (_smallest(ranked, LENGTH - GRAM + 1) & U(0xFFFFFFFF)).astype(np.int64)[:n]
     text = np.repeat(np.arange(len(start)), end - start)[:n]
-    valid = np.flatnonzero(np.arange(n) + length <= end[text])
+    valid = np.flatnonzero(np.arange(n) + LENGTH <= end[text])
     own, text = own[valid], text[valid]
     new = np.r_[True, (own[1:] != own[:-1]) | (text[1:] != text[:-1])] if len(valid) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    last = np.r_[first[1:], len(valid)] - 1 if len(first) else first
-    return text[first], ids[own[first]], valid[first] - start[text[first]], valid[last] - valid[first]
+    i = np.flatnonzero(new)
+    j = np.r_[i[1:], len(valid)] - 1 if len(i) else i
+    more = valid[j] - valid[i]
+    # two overlapping windows and their distance say what the whole context is
+    context = _mixed(_deepened(at, LENGTH, valid[i]) * STEP[1] + _deepened(at, LENGTH, valid[j]) * STEP[2] + more.astype(U))
+    return text[i], ids[own[i]], context, valid[i] - start[text[i]], more
 
 
 def _pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -121,176 +139,271 @@ def _pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
 def _all_anchors(texts: pa.Array):
     parts = []
     for rows, data, start, end, off in _pieces(texts):
-        t, ids, first, more = anchors(data, start, end)
-        parts.append((rows[t], ids, first + off[t], more))
+        t, ids, context, first, more = anchors(data, start, end)
+        parts.append((rows[t], ids, context, first + off[t], more))
     if not parts:
         none = np.zeros(0, np.int64)
-        return none, none.astype(U), none, none
+        return none, none.astype(U), none.astype(U), none, none
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-SENT = pa.schema([("part", pa.int64()), ("known", pa.bool_()), ("doc_ids", pa.binary()), ("hs", pa.binary()), ("low", pa.binary()), ("mid", pa.binary()), ("doc", pa.binary()), ("at", pa.binary()), ("more", pa.binary())])
-SENT_DDL = "part long, known boolean, doc_ids binary, hs binary, low binary, mid binary, doc binary, at binary, more binary"
-FLAG = 0x80
+def _packed(x: np.ndarray, kind: str) -> bytes:
+    """Numbers byte plane by byte plane: the high ones compress."""
+    return np.ascontiguousarray(x.astype(kind)).view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _new(*keys: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before in some key."""
+    out = np.zeros(len(keys[0]), bool)
+    if len(out):
+        out[0] = True
+        for k in keys:
+            out[1:] |= k[1:] != k[:-1]
+    return out
+
+
+def _spread(values: np.ndarray, new: np.ndarray, how) -> np.ndarray:
+    """``how`` (a ufunc) of each group of sorted rows, at every row."""
+    start = np.flatnonzero(new)
+    return how.reduceat(values, start)[np.cumsum(new) - 1] if len(values) else values
+
+
+#: places of a bucket task (``doc`` points into ``doc_ids``) and what is known of places
+SENT = pa.schema([("part", pa.int64()), ("known", pa.bool_()), ("doc_ids", pa.binary()), ("hs", pa.binary()), ("low", pa.binary()), ("mid", pa.binary()),
+                  ("context", pa.binary()), ("doc", pa.binary()), ("at", pa.binary()), ("more", pa.binary())])
+SENT_DDL = "part long, known boolean, doc_ids binary, hs binary, low binary, mid binary, context binary, doc binary, at binary, more binary"
+FOUND = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("kind", pa.int32()), ("at", pa.binary()), ("more", pa.binary()), ("gram", pa.binary())])
+FOUND_DDL = "doc_id long, h long, kind int, at binary, more binary, gram binary"
+LOST, OPEN, OPEN_HOT = 0, 1, 2
+SHARED, VERY = 0x80, 0x40  # flags beside a span of at most LENGTH - GRAM
 
 
-def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order that sorts the keys, start of each group in it, and group of each place."""
-    order = np.argsort(keys, kind="stable")
-    k = keys[order]
-    new = np.r_[True, k[1:] != k[:-1]] if len(k) else np.zeros(0, bool)
-    return order, np.flatnonzero(new), np.cumsum(new) - 1
+def _table(rows: list, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def _by_doc(row, at, more, doc_ids, hs) -> Iterator[tuple]:
-    order, start, _ = _groups(row)
-    end = np.r_[start[1:], len(order)].astype(int) if len(start) else start
-    for s, e in zip(start.tolist(), end.tolist()):
-        k = order[s:e]
-        yield int(doc_ids[row[k[0]]]), int(hs[row[k[0]]]), at[k].astype(np.int32).tobytes(), more[k].astype(np.uint8).tobytes()
+def _results(doc, kind, at, more, gram, doc_ids, hs) -> list[tuple]:
+    """One FOUND row for each document and kind."""
+    order = np.lexsort((at, kind, doc))
+    doc, kind, at, more, gram = (x[order] for x in (doc, kind, at, more, gram))
+    start = np.flatnonzero(_new(doc, kind))
+    out = []
+    for s, e in zip(start.tolist(), [*start[1:].tolist(), len(doc)]):
+        d = doc[s]
+        out.append((int(doc_ids[d]), int(hs[d]), int(kind[s]), at[s:e].astype(np.int32).tobytes(), more[s:e].astype(np.uint8).tobytes(),
+                    gram[s:e].tobytes() if kind[s] == OPEN else b""))
+    return out
 
 
-def shared_anchors(texts: DataFrame, buckets: int) -> DataFrame:
-    """``doc_id``, ``h``, ``at`` and ``more``: the anchors whose initial bucket
-    lies in several documents (places as 32-bit, spans as 8-bit numbers)."""
+def refined_anchors(texts: DataFrame, buckets: int) -> DataFrame:
+    """``doc_id``, ``h``, ``kind``, ``at``, ``more``, ``gram``: the anchors' contexts
+    that a document loses as a whole (LOST) and those of which single windows may
+    still be lost (OPEN: first place of a context in a bucket with several)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_ids, hs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            row, ids, at, more = _all_anchors(batch.column(2))
-            order, start, group = _groups(ids)
-            if not len(order):
+            row, ids, context, at, more = _all_anchors(batch.column(2))
+            if not len(ids):
                 continue
-            r = row[order]
-            several = np.minimum.reduceat(r, start) != np.maximum.reduceat(r, start)
-            known = several[group]
+            order = np.lexsort((doc_ids[row], context, ids))
+            row, ids, context, at, more = (x[order] for x in (row, ids, context, at, more))
+            i = doc_ids[row]
+            bucket, parted = _new(ids), _new(ids, context)
+            shared = _spread(i, bucket, np.minimum) != _spread(i, bucket, np.maximum)
+            very = _spread(parted.astype(np.int64), bucket, np.add) > HOT
+            lost = i > _spread(i, parted, np.minimum)
             out = []
-            k = order[known]
-            for i, h, a, m in _by_doc(row[k], at[k], more[k], doc_ids, hs):
-                one = np.array([i], np.int64).tobytes()
-                out.append((buckets + abs(h) % buckets, True, one, np.array([h], np.int64).tobytes(), b"", b"", b"", a, m))
-            first = np.zeros(len(order), bool)
-            first[start] = True
-            go = first | ~known
-            k = order[go]
-            flag = np.where(known[go], FLAG, 0)
+            kind = np.where(lost, LOST, OPEN_HOT)
+            k = np.flatnonzero(lost | very)
+            for r in _results(row[k], kind[k], at[k], more[k], ids[k], doc_ids, hs):
+                part = buckets + abs(r[1]) % buckets
+                out.append((part, True, np.int64(r[0]).tobytes(), np.int64(r[1]).tobytes(), np.int64(r[2]).tobytes(), b"", b"", b"", r[3], r[4]))
+            # one place of a very common bucket tells the others about it
+            k = np.flatnonzero(~lost & (~very | bucket))
+            flag = np.where(shared[k], SHARED, 0) | np.where(very[k], VERY, 0)
             part = (ids[k] >> U(40)).astype(np.int64) % buckets
-            by, begin, _ = _groups(part)
-            end = np.r_[begin[1:], len(by)]
+            by = np.lexsort((ids[k] & U((1 << 40) - 1), part))
+            begin = np.flatnonzero(_new(part[by]))
             table = doc_ids.tobytes(), hs.tobytes()
-            for s, e in zip(begin.tolist(), end.tolist()):
+            for s, e in zip(begin.tolist(), [*begin[1:].tolist(), len(by)]):
                 j = by[s:e]
-                x = ids[k[j]]
-                out.append((int(part[j[0]]), False, *table, (x & U(0xFFFFFFFF)).astype(np.uint32).tobytes(), ((x >> U(32)) & U(255)).astype(np.uint8).tobytes(),
-                            row[k[j]].astype(np.uint32).tobytes(), at[k[j]].astype(np.int32).tobytes(), (more[k[j]] | flag[j]).astype(np.uint8).tobytes()))
-            for i in range(0, len(out), 256):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[i : i + 256]), SENT)], schema=SENT)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                x = ids[k[j]] & U((1 << 40) - 1)
+                step = np.diff(x, prepend=U(0))  # rising: small steps
+                out.append((int(part[j[0]]), False, *table, _packed(step & U(0xFFFFFFFF), "<u4"), _packed(step >> U(32), "<u1"), context[k[j]].tobytes(),
+                            _packed(row[k[j]], "<u4"), _packed(at[k[j]], "<i4"), _packed(more[k[j]] | flag[j], "<u1")))
+            for n in range(0, len(out), 256):
+                yield _table(out[n : n + 256], SENT)
+
+    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
-
-        def out(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["doc_id", "h", "at", "more"])
-
         for batch in batches:
             rows = []
             for x in batch.to_pylist():
                 if x["known"]:
-                    rows.append((int(np.frombuffer(x["doc_ids"], np.int64)[0]), int(np.frombuffer(x["hs"], np.int64)[0]), x["at"], x["more"]))
+                    one = lambda c: int(np.frombuffer(x[c], np.int64)[0])  # noqa: B023, E731
+                    rows.append((one("doc_ids"), one("hs"), one("low"), x["at"], x["more"], b""))
                 else:
-                    used, doc = np.unique(np.frombuffer(x["doc"], np.uint32), return_inverse=True)
+                    used, doc = np.unique(_unpacked(x["doc"], "<u4"), return_inverse=True)
+                    step = _unpacked(x["low"], "<u4").astype(U) | (_unpacked(x["mid"], "<u1").astype(U) << U(32))
                     held.setdefault(x["part"], []).append((
-                        np.frombuffer(x["low"], np.uint32).astype(U) | (np.frombuffer(x["mid"], np.uint8).astype(U) << U(32)), doc,
-                        np.frombuffer(x["at"], np.int32), np.frombuffer(x["more"], np.uint8),
+                        np.cumsum(step, dtype=U), np.frombuffer(x["context"], U), doc, _unpacked(x["at"], "<i4"), _unpacked(x["more"], "<u1"),
                         np.frombuffer(x["doc_ids"], np.int64)[used], np.frombuffer(x["hs"], np.int64)[used],
                     ))
             if rows:
-                yield out(rows)
-        for parts in held.values():
-            sizes = np.cumsum([0, *(len(p[4]) for p in parts)])
-            ids, at, more, doc_ids, hs = (np.concatenate([p[i] for p in parts]) for i in (0, 2, 3, 4, 5))
-            doc = np.concatenate([p[1] + s for p, s in zip(parts, sizes)])
-            order, start, group = _groups(ids)
-            d, flag = doc[order], more[order] >= FLAG
-            shared = (np.minimum.reduceat(d, start) != np.maximum.reduceat(d, start)) | np.maximum.reduceat(flag, start)
-            k = order[shared[group] & ~flag]
-            rows = list(_by_doc(doc[k], at[k], more[k], doc_ids, hs))
-            for i in range(0, len(rows), 4096):
-                yield out(rows[i : i + 4096])
+                yield _table(rows, FOUND)
+        for part, pieces in held.items():
+            sizes = np.cumsum([0, *(len(p[5]) for p in pieces)])
+            ids, context, at, flags, doc_ids, hs = (np.concatenate([p[c] for p in pieces]) for c in (0, 1, 3, 4, 5, 6))
+            doc = np.concatenate([p[2] + s for p, s in zip(pieces, sizes)])
+            order = np.lexsort((context, ids))
+            ids, context, at, flags, doc = (x[order] for x in (ids, context, at, flags, doc))
+            i = doc_ids[doc]
+            bucket, parted = _new(ids), _new(ids, context)
+            shared = (_spread(i, bucket, np.minimum) != _spread(i, bucket, np.maximum)) | (_spread(flags & SHARED, bucket, np.maximum) > 0)
+            very = _spread(flags & VERY, bucket, np.maximum) > 0
+            several = (_spread(parted.astype(np.int64), bucket, np.add) > 1) | very
+            lost = i > _spread(i, parted, np.minimum)
+            told = (flags & VERY) > 0  # went ahead from its own batch
+            k = np.flatnonzero(~told & (lost | (shared & several)))
+            kind = np.where(lost, LOST, np.where(very, OPEN_HOT, OPEN))
+            gram = ids | (U(part) << U(40))
+            rows = _results(doc[k], kind[k], at[k], flags[k] & 0x3F, gram[k], doc_ids, hs)
+            for n in range(0, len(rows), 4096):
+                yield _table(rows[n : n + 4096], FOUND)
 
     n = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets)
-    return texts.mapInArrow(send, SENT_DDL).repartition(n, "part").mapInArrow(count, "doc_id long, h long, at binary, more binary")
+    return texts.mapInArrow(send, SENT_DDL).repartition(n, "part").mapInArrow(refine, FOUND_DDL)
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with lists of places -> a row for each shared anchor."""
-    for batch in batches:
-        texts, doc_ids, hs = batch.column(2), batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        wanted = []
-        for i, places in enumerate(batch.column(3).to_pylist()):
-            wanted += [np.frombuffer(p, np.int32).astype(np.int64) | (i << 32) for p in places]
-        wanted = np.concatenate(wanted) if wanted else np.zeros(0, np.int64)
-        for rows, data, start, end, off in _pieces(texts):
-            t, ids, first, more = anchors(data, start, end)
-            keep = np.flatnonzero(np.isin((rows[t] << 32) | (first + off[t]), wanted))
-            for i in range(0, len(keep), 1 << 15):
-                k = keep[i : i + (1 << 15)]
-                size = more[k] + LENGTH
-                upto = np.cumsum(size)
-                from_ = start[t[k]] + first[k]
-                flat = data[np.repeat(from_ - (upto - size), size) + np.arange(upto[-1])]
-                strings = pa.Array.from_buffers(pa.binary(), len(k), [None, pa.py_buffer(np.r_[0, upto].astype(np.int32)), pa.py_buffer(flat)])
-                yield pa.record_batch(
-                    [pa.array(ids[k].view(np.int64)), strings, pa.array(doc_ids[rows[t[k]]]), pa.array(hs[rows[t[k]]]), pa.array((first + off[t])[k])],
-                    ["gram", "context", "doc_id", "h", "at"],
-                )
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``context`` and ``first`` -> identifiers of its windows at full depth."""
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed texts with FOUND lists -> the bytes of each open context."""
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        for at in range(0, batch.num_rows, 2048):
-            b = batch.slice(at, 2048)
-            c = b.column(2)
-            offsets = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1].astype(np.int64)
-            data = np.frombuffer(c.buffers()[2], np.uint8)
-            n = np.diff(offsets) - LENGTH + 1
-            row = np.repeat(np.arange(len(c)), n)
-            k = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            strings = data[(offsets[row] + k)[:, None] + np.arange(LENGTH)].astype(U) + U(1)
-            one, two = (_mixed((strings * w[:LENGTH]).sum(1, dtype=U)) for w in WEIGHTS)
-            c1, c2 = (b.column(i).to_numpy()[row] for i in (0, 1))
-            yield pa.record_batch(
-                [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(c1), pa.array(c2), pa.array(b.column(3).to_numpy()[row]), pa.array(k.astype(np.int32))],
-                ["one", "two", "c1", "c2", "first", "k"],
-            )
+        rows: tuple[list, ...] = ([], [], [], [], [])
+        for doc_id, h, packed, found in zip(*(c.to_pylist() for c in batch.columns[:4])):
+            raw = unpack(packed)
+            for f in found:
+                at, more = np.frombuffer(f["at"], np.int32).tolist(), np.frombuffer(f["more"], np.uint8).tolist()
+                gram = np.frombuffer(f["gram"], np.int64).tolist() if f["kind"] == OPEN else [None] * len(at)
+                for c, v in zip(rows, ([doc_id] * len(at), [h] * len(at), at, gram, [raw[a : a + m + LENGTH] for a, m in zip(at, more)])):
+                    c += v
+            if len(rows[0]) > 20_000:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, OPENED)], ["doc_id", "h", "at", "gram", "context"])
+                rows = ([], [], [], [], [])
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, OPENED)], ["doc_id", "h", "at", "gram", "context"])
+
+
+OPENED = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+OPENED_DDL = "doc_id long, h long, at long, gram long, context binary"
+
+
+def _ranked(keys: np.ndarray, later: np.ndarray) -> np.ndarray:
+    """Bucket numbers of pairs of bucket numbers."""
+    return np.unique(keys * (int(later.max(initial=0)) + 1) + later, return_inverse=True)[1].astype(np.int64)
+
+
+def window_ranks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Numbers of the LENGTH-byte strings at the starts, equal for equal
+    strings: buckets of 8 bytes, refined to 16, 32 and LENGTH by sorting on the
+    bucket numbers at later offsets."""
+    n = len(data) - 7
+    eights = np.zeros(max(0, n), U)
+    for i in range(8):
+        eights |= data[i : i + n].astype(U) << U(8 * i)
+    rank, depth = np.unique(eights, return_inverse=True)[1].astype(np.int64), 8
+    while 2 * depth <= LENGTH:
+        rank, depth = _ranked(rank[: len(rank) - depth], rank[depth:]), 2 * depth
+    return _ranked(rank[starts], rank[starts + LENGTH - depth])
+
+
+def _contexts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all contexts, and row, offset in the row and place of each window."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets -= offsets[0]
+    n = np.diff(offsets) - LENGTH + 1
+    row = np.repeat(np.arange(len(column)), n)
+    k = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    return data, row, k, offsets[row] + k
+
+
+def _refine_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Open contexts, sorted by bucket -> windows that stand in an earlier document."""
+    held: list[pa.RecordBatch] = []
+
+    def done(t: pa.Table) -> pa.RecordBatch:
+        t = t.combine_chunks()
+        doc, gram = t.column("doc_id").to_numpy(), t.column("gram").to_numpy()
+        data, row, k, place = _contexts(t.column("context").combine_chunks() if t.column("context").num_chunks != 1 else t.column("context").chunk(0))
+        order = np.lexsort((doc[row], window_ranks(data, place), gram[row]))
+        rank, g, i = window_ranks(data, place)[order], gram[row][order], doc[row][order]
+        lost = np.sort(order[i > _spread(i, _new(rank, g), np.minimum)])
+        at = t.column("at").to_numpy()[row[lost]] + k[lost]
+        return pa.record_batch([pa.array(doc[row[lost]]), pa.array(t.column("h").to_numpy()[row[lost]]), pa.array(at)], ["doc_id", "h", "at"])
 
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U(32))) * U(0xD6E8FEB86659FD93)
-    return x ^ (x >> U(29))
+    for batch in batches:
+        held.append(batch)
+        if sum(b.column(4).nbytes for b in held) > CHUNK:
+            t = pa.Table.from_batches(held)
+            g = t.column("gram").to_numpy()
+            whole = int(np.searchsorted(g, g[-1]))
+            if whole:
+                yield done(t.slice(0, whole))
+                held = t.slice(whole).combine_chunks().to_batches()
+    if held and sum(b.num_rows for b in held):
+        yield done(pa.Table.from_batches(held))
+
+
+def _hash_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Open contexts -> 128-bit identifiers of their windows."""
+    for batch in batches:
+        for n in range(0, batch.num_rows, 2048):
+            b = batch.slice(n, 2048)
+            data, row, k, place = _contexts(b.column(4))
+            strings = data[place[:, None] + np.arange(LENGTH)].astype(U) + U(1)
+            one, two = (_mixed((strings * w[:LENGTH]).sum(1, dtype=U)).view(np.int64) for w in WEIGHTS)
+            cols = [pa.array(one), pa.array(two), *(pa.array(b.column(c).to_numpy()[row]) for c in (0, 1)), pa.array(b.column(2).to_numpy()[row] + k)]
+            yield pa.record_batch(cols, ["one", "two", "doc_id", "h", "at"])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed, for the way to where they are joined."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        for n in range(0, batch.num_rows, 1024):
+            b = batch.slice(n, 1024)
+            yield pa.record_batch([b.column(0), b.column(1), pa.array([pack(t.as_buffer()) for t in b.column(2)], pa.binary())], ["doc_id", "h", "text"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with covered ranges -> what is left."""
+    """Packed texts with lost ranges -> what is left."""
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         out = []
-        for i in range(batch.num_rows):
-            raw = batch.column(2)[i].as_buffer()
-            r = batch.column(3)[i].values
-            lo, size = r.field(0).to_numpy(), r.field(1).to_numpy()
+        for doc_id, h, packed, found in zip(*(c.to_pylist() for c in batch.columns[:4])):
+            data = memoryview(unpack(packed))
+            lo = np.concatenate([np.frombuffer(f["at"], np.int32) for f in found]).astype(np.int64)
+            hi = lo + np.concatenate([np.frombuffer(f["more"], np.uint8) for f in found]) + LENGTH
             order = np.argsort(lo, kind="stable")
-            lo, hi = lo[order], np.maximum.accumulate((lo + size)[order])
+            lo, hi = lo[order], np.maximum.accumulate(hi[order])
             new = np.flatnonzero(np.r_[True, lo[1:] > hi[:-1]])
             a, z = lo[new], hi[np.r_[new[1:], len(lo)] - 1]
-            data = memoryview(raw)
             kept = b"".join(data[x:y] for x, y in zip([0, *z.tolist()], [*a.tolist(), len(data)]))
-            out.append((int((z - a).sum()), len(new), hashlib.sha256(kept).hexdigest(), kept))
-        n, spans, sha, kept = zip(*out) if out else ((), (), (), ())
-        yield pa.record_batch(
-            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())],
-            ["doc_id", "h", "n_removed", "n_spans", "kept_sha256", "kept"],
-        )
+            out.append((doc_id, h, int((z - a).sum()), len(new), hashlib.sha256(kept).hexdigest(), kept))
+            if len(out) >= 512:
+                yield _table(out, CUT)
+                out = []
+        if out:
+            yield _table(out, CUT)
+
+
+CUT = pa.schema([("id", pa.int64()), ("g", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -306,34 +419,29 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     d = d.withColumn("h", F.xxhash64("text"))
     long = d.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select("doc_id", "h", "text")
     total = long.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shared = shared_anchors(long, 1 + total // BUCKET).groupBy("doc_id", "h").agg(F.collect_list("at").alias("at"))
-    shared = shared.withColumnsRenamed({"doc_id": "id", "h": "g"})
-    near = written(long.join(shared, (F.col("doc_id") == F.col("id")) & (F.col("h") == F.col("g"))).select("doc_id", "h", "text", "at").dropDuplicates(["doc_id", "h"]), "repeat-texts")
-
-    places = written(
-        near.mapInArrow(_contexts, "gram long, context binary, doc_id long, h long, at long")
-        .select("gram", "context", "doc_id", "h", "at", F.xxhash64("context").alias("c1"), F.xxhash64(F.lit("second"), "context").alias("c2")),
-        "contexts",
-    )
-    firsts = written(
-        places.groupBy("c1", "c2").agg(F.min("doc_id").alias("first"), F.first("gram").alias("gram"), F.first("context").alias("context")), "first-contexts"
+    found = written(refined_anchors(long, 1 + total // BUCKET), "refined")
+
+    def with_texts(lists: DataFrame) -> DataFrame:
+        """Packed texts of the documents in ``lists`` and their FOUND rows."""
+        per_doc = lists.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("g")).agg(F.collect_list(F.struct("kind", "at", "more", "gram")).alias("found"))
+        packed = long.mapInArrow(_pack, "doc_id long, h long, text binary")
+        both = packed.join(per_doc, (F.col("doc_id") == F.col("id")) & (F.col("h") == F.col("g")))
+        return both.select("doc_id", "h", "text", "found").dropDuplicates(["doc_id", "h"])
+
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    opened = written(with_texts(found.where(F.col("kind") != LOST)).mapInArrow(_opened, OPENED_DDL), "open-contexts")
+    refined = opened.where("gram is not null").repartition(n, "gram").sortWithinPartitions("gram").mapInArrow(_refine_open, "doc_id long, h long, at long")
+    windows = written(opened.where("gram is null").mapInArrow(_hash_open, "one long, two long, doc_id long, h long, at long"), "common-windows")
+    least = written(windows.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high"), "common-firsts")
+    common = windows.join(least, ["one", "two"]).where("low < doc_id").select("doc_id", "h", "at")
+    # windows as FOUND rows: places as 32-bit numbers (little-endian), spans 0
+    singles = refined.union(common).groupBy("doc_id", "h").agg(F.collect_set("at").alias("at"))
+    little = lambda i: F.lpad(F.hex(i), 8, "0")
+    digits = F.transform("at", lambda i: F.concat(*[F.substring(little(i), 2 * b + 1, 2) for b in (3, 2, 1, 0)]))
+    singles = singles.select(
+        "doc_id", "h", F.lit(LOST).alias("kind"), F.unhex(F.array_join(digits, "")).alias("at"), F.unhex(F.repeat(F.lit("00"), F.size("at"))).alias("more"), F.lit(b"").alias("gram")
     )
-    parted = written(firsts.groupBy("gram").count().where("count > 1").select("gram"), "parted")
-    open_ = firsts.join(parted, "gram", "left_semi").select("c1", "c2", "context", "first")
-    windows = written(open_.mapInArrow(_windows, "one long, two long, c1 long, c2 long, first long, k int"), "windows")
-    least = windows.groupBy("one", "two").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low < high").select("one", "two", "low")
-    less = windows.join(written(least, "shared-windows"), ["one", "two"]).where("low < first")
-    masks = written(less.groupBy("c1", "c2").agg(F.collect_list("k").alias("ks")), "masks")
-
-    span = lambda a, n: F.struct(a.cast("long").alias("a"), n.cast("long").alias("n"))
-    later = places.join(firsts.select("c1", "c2", "first"), ["c1", "c2"]).join(masks, ["c1", "c2"], "left")
-    ranges = later.select(
-        "doc_id", "h",
-        F.when(F.col("doc_id") > F.col("first"), F.array(span(F.col("at"), F.octet_length("context"))))
-        .otherwise(F.transform("ks", lambda k: span(F.col("at") + k, F.lit(LENGTH)))).alias("r"),
-    ).where("r is not null")
-    ranges = ranges.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("g")).agg(F.flatten(F.collect_list("r")).alias("r"))
-    cut = near.select("doc_id", "h", "text").join(ranges, (F.col("doc_id") == F.col("id")) & (F.col("h") == F.col("g"))).select("doc_id", "h", "text", "r")
+    cut = with_texts(found.where(F.col("kind") == LOST).unionByName(singles))
     cut = cut.mapInArrow(_cut, "id long, g long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     heads = d.select("doc_id", "h", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     out = heads.join(cut, (F.col("doc_id") == F.col("id")) & (F.col("h") == F.col("g")), "left")

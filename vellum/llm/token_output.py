@@ -29,12 +29,11 @@ from vellum.llm.common import written
 
 BLOCK = 1 << 20  # ids of a block, unless one document has more
 END = 1  # the id after each document
-HELD_WORDS = 300_000  # words whose ids a Python worker remembers
-JOIN = "|"  # a word of its own between words that are encoded together
+HELD_WORDS = 800_000  # words whose ids a Python worker remembers
 #: The pre-token pattern of the word tokenizer, and what it means for lower-case Latin text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-LATIN_PATTERN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+")
-LATIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+").fullmatch
+LATIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^\\x09-\\x0d\\x20a-z0-9\u00df-\u00f6\u00f8-\u017f]+").findall
+LATIN = re.compile("[\\x09-\\x0d -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*").fullmatch
 
 
 def _byte_letters() -> list[str]:
@@ -49,11 +48,24 @@ BYTE_LETTERS = _byte_letters()
 BLOCKS = "shard int, block int, n_ids long, doc_ids array<long>, counts array<int>, data binary"
 
 
+class _Numbers(dict):
+    """A number for every word; ``fresh`` gets those seen for the first time."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self) + 1
+        self.fresh.append(word)
+        return n
+
+
 class WordIds:
     """Ids of texts under a tokenizer that drops white space and never joins
     characters across it: the ids of a text are those of its words, so each
-    word is encoded once.  Latin words are cut into pre-tokens here, which are
-    fewer still, where the tokenizer has the pattern known above."""
+    word is encoded once.  Latin texts are cut into pre-tokens here, of which
+    there are fewer, where the tokenizer has the pattern known above."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -64,70 +76,48 @@ class WordIds:
         self.vocabulary = self.tokenizer.get_vocab_size()
         cutter = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
         self.known = any(p.get("pattern", {}).get("Regex") == PATTERN for p in cutter.get("pretokenizers", [cutter]))
-        (self.joint,) = self.tokenizer.encode(JOIN, add_special_tokens=False).ids
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.ids, self.lens, self.starts = np.array([END], np.int64), np.array([1]), np.array([0])
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Numbers from len(lens) on are the given words."""
-        texts = [w.decode("utf-8", "surrogatepass") for w in words]
-        found: list = [None] * len(texts)
-        if self.known:
-            pieces, tokenize = self.pieces, self.model.tokenize
-            for i, t in enumerate(texts):
-                if LATIN(t) and "<|" not in t:
-                    ids: list[int] = []
-                    for p in LATIN_PATTERN.findall(t.lower()):
-                        got = pieces.get(p)
-                        if got is None:
-                            letters = p if p.isascii() else "".join(BYTE_LETTERS[c] for c in p.encode())
-                            got = pieces[p] = tuple(x.id for x in tokenize(letters))
-                        ids += got
-                    found[i] = ids
-        plain = [i for i, t in enumerate(texts) if found[i] is None and JOIN not in t]
-        for at in range(0, len(plain), 64):
-            some = plain[at : at + 64]
-            ids = self.tokenizer.encode(f" {JOIN} ".join(texts[i] for i in some), add_special_tokens=False).ids
-            cuts = [-1, *(k for k, x in enumerate(ids) if x == self.joint), len(ids)]
-            if len(cuts) != len(some) + 1:  # some word holds the joint id in another way
-                continue
-            for i, a, b in zip(some, cuts, cuts[1:]):
-                found[i] = ids[a + 1 : b]
-        for i, part in enumerate(found):
-            if part is None:
-                found[i] = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
-        lens = np.fromiter(map(len, found), np.int64, len(found))
-        self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(lens) - lens]
-        flat = np.fromiter(chain.from_iterable(found), np.int64, int(lens.sum()))
-        self.lens, self.ids = np.r_[self.lens, lens], np.r_[self.ids, flat]
+        self.number = _Numbers()
+        self.ids, self.lens, self.starts = np.array([END], np.int32), np.array([1], np.int32), np.array([0], np.int32)
+
+    def _word_ids(self, word: str) -> list[int]:
+        if self.known and word.islower() and word.isalpha() and LATIN(word):  # one pre-token
+            letters = word if word.isascii() else "".join(BYTE_LETTERS[c] for c in word.encode())
+            return [t.id for t in self.model.tokenize(letters)]
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _learn(self) -> None:
+        """Ids of the words that got the last numbers."""
+        found = [self._word_ids(w) for w in self.number.fresh]
+        self.number.fresh = []
+        lens = np.fromiter(map(len, found), np.int32, len(found))
+        self.starts = np.r_[self.starts, (len(self.ids) + np.cumsum(lens) - lens).astype(np.int32)]
+        self.lens = np.r_[self.lens, lens]
+        self.ids = np.r_[self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(lens.sum()))]
+
+    def _words(self, text: str) -> list[str]:
+        if self.known and LATIN(text) and "<|" not in text:
+            return LATIN_PIECES(text.lower())
+        return [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").split()]
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by END, and their number for each text."""
         if len(self.number) > HELD_WORDS:
             self.forget()
-        number, numbers, ends, fresh = self.number, [], [], []
+        number, numbers, ends = self.number.__getitem__, [], []
         for t in texts:
-            words = t.encode("utf-8", "surrogatepass").split() if t else []
-            try:
-                numbers += [number[w] for w in words]
-            except KeyError:
-                for w in words:
-                    if w not in number:
-                        number[w] = len(number) + 1
-                        fresh.append(w)
-                numbers += [number[w] for w in words]
+            if t:
+                numbers += map(number, self._words(t))
             numbers.append(0)
             ends.append(len(numbers))
-        if fresh:
-            self._learn(fresh)
-        w = np.array(numbers, np.int64)
+        if self.number.fresh:
+            self._learn()
+        w = np.array(numbers, np.int32)
         lens = self.lens[w]
-        total = np.cumsum(lens)
-        ids = self.ids[np.repeat(self.starts[w] - (total - lens), lens) + np.arange(total[-1] if len(total) else 0)]
+        total = np.cumsum(lens, dtype=np.int64)
+        ids = self.ids[np.repeat(self.starts[w] - (total - lens), lens) + np.arange(total[-1] if len(total) else 0)].astype(np.int64)
         upto = total[np.array(ends, np.int64) - 1] if ends else np.zeros(0, np.int64)
         return ids, np.diff(upto, prepend=0)
 
