@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from vellum.operators import ann, search
@@ -111,3 +112,32 @@ def test_ivf_probe_paths_agree(spark):
     finally:
         ann.MAX_LITERAL_VALUES = old
     assert lit == udf and len(lit) == 2 * 24
+
+
+def test_rank_does_not_depend_on_layout(spark):
+    """Copies of every vector tie: whatever the partitions and the path, the
+    smaller id comes first and the scores have the same bits."""
+    rnd = np.random.default_rng(4)
+    v = rnd.normal(size=(40, 24))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    rows = [(i + 1000 * c, v[i].tolist(), "f") for i in range(40) for c in (0, 1, 2)]
+    p = pts(spark, rows)
+    q = qs(spark, [(i, v[i].tolist()) for i in range(40)])
+    seen = set()
+    for n in (1, 7, 131):
+        for kw in ({}, {"broadcast_limit_bytes": 4000, "points_per_bucket": 23}):
+            got = search.topk(p.repartition(n), q, 2, **kw).orderBy("query_id", "rank").collect()
+            assert [(r["point_id"] - r["query_id"]) for r in got] == [0, 1000] * 40
+            seen.add(tuple(tuple(r) for r in got))
+    assert len(seen) == 1
+
+
+def test_null_vectors_string_ids_and_empty_queries(spark):
+    p = spark.createDataFrame([("b", [1.0, 0.0], 1), ("a", [1.0, 0.0], 2), ("c", None, 3), (None, [1.0, 0.0], 4)], "point_id string, vector array<float>, label int")
+    q = qs(spark, [(1, [1.0, 0.0]), (2, None)])
+    got = search.topk(p, q, 5, payload=["label"]).orderBy("rank").collect()
+    assert [(r["query_id"], r["point_id"], r["label"]) for r in got] == [(1, "a", 2), (1, "b", 1)]
+    none = search.topk(p, q.limit(0), 5, payload=["label"])
+    assert none.columns == ["query_id", "rank", "score", "point_id", "label"] and none.count() == 0
+    with pytest.raises(Exception, match="one size"):
+        search.topk(p, qs(spark, [(1, [1.0, 0.0, 0.0])]), 5).collect()

@@ -108,14 +108,15 @@ def ann_topk(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int = 4
     stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("__qvec")).alias("dim"), F.max("__k").alias("kmax")).first()
     n_q, dim, kmax = int(stats["n"]), int(stats["dim"] or 0), int(stats["kmax"] or 0)
     qp = probe_cells(q, index.centres, nprobe, "__qvec")
-    p = index.points.select(F.col(point_id).cast("bigint").alias("__pid"), F.col(point_vec).alias("__pvec"), "cell")
+    p = index.points.select(search.point_key(index.points, point_id).alias("__pid"), F.col(point_vec).alias("__pvec"), "cell")
+    p = p.where("__pid is not null and __pvec is not null")
     cands = search._block_scan(
-        qp, p, kmax, n_q * (max(dim, 1) * 8 + 48), broadcast_limit_bytes, points_per_bucket,
+        qp, p, kmax, n_q * (max(dim, 1) * 8 + 48 + search._HIT_BYTES * kmax), broadcast_limit_bytes, points_per_bucket,
         keys=["cell"], bucket_counts=index.cell_counts,
     )
     hits = search.final_topk(cands, kmax)
     if payload:
-        small = n_q * (max(dim, 1) * 8 + 48) <= broadcast_limit_bytes
+        small = n_q * kmax * search._HIT_BYTES <= broadcast_limit_bytes
         hits = search.attach_payload(hits, index.points, point_id, payload, proven_small=small)
     return hits
 

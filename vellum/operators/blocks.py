@@ -46,16 +46,14 @@ def page_blocks(pages: DataFrame, doc: str = "doc", page: str = "page", text: st
     )
 
 
-def concat_pages(pages: DataFrame, doc: str = "doc", page: str = "page", text: str = "text") -> DataFrame:
+def concat_pages(pages: DataFrame, doc: str = "doc", page: str = "page", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """X3 (G1): the document text = every non-empty page text followed by a
-    newline, in page order.  Pages with no text (failed or empty) are skipped."""
-    ok = pages.where(F.col(text).isNotNull() & (F.col(text) != ""))
-    return ok.groupBy(doc).agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct(F.col(page), F.col(text)))), lambda s: F.concat(s[text], F.lit("\n"))),
-            "",
-        ).alias(text)
-    )
+    newline, in page order.  Pages with no text (failed or empty) add nothing; a
+    document of such pages only has an empty text.  ``keep``: columns that are
+    the same on all pages of a document."""
+    full = F.when(F.col(text).isNotNull() & (F.col(text) != ""), F.struct(F.col(page).alias("page"), F.col(text).alias("text")))
+    parts = F.transform(F.array_sort(F.collect_list(full)), lambda s: F.concat(s["text"], F.lit("\n")))
+    return pages.groupBy(doc, *(keep or [])).agg(F.array_join(parts, "").alias(text))
 
 
 def empty_document_filter(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -14,8 +14,10 @@ Exact top-k is a block scan, never a row-pair join:
   same numpy kernel.  No task ever holds more than one query block and one
   point bucket.
 
-Both paths share one kernel, so they return identical rows.  Ties in score are
-broken by the smaller point id; a threshold keeps scores equal to it.
+Both paths share one kernel that ranks by sums of a fixed order, so they return
+identical rows however the points are split.  Ties in score are broken by the
+smaller point id; a threshold keeps scores equal to it.  Rows with a null
+vector or id are not searched; vectors of another size raise an error.
 """
 
 from __future__ import annotations
@@ -36,38 +38,49 @@ POINTS_PER_BUCKET = 200_000  # block path: points per cogroup bucket
 _SCORE_CELLS = 4 << 20  # score-matrix entries computed at once inside a task
 _NO_FILTER = -1
 _NO_MATCH = -2
-_ID_PAD = np.iinfo(np.int64).max
+_SCORE_ROWS = 1 << 14  # candidate pairs scored again at once
+_HIT_BYTES = 64  # of a candidate or hit row, at most
 
 
 # ---------------------------------------------------------------- numpy kernel
 
-def _order_rows(s: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sort every row by score desc, then id asc."""
-    o = np.argsort(ids, axis=1, kind="stable")
-    s, ids = np.take_along_axis(s, o, 1), np.take_along_axis(ids, o, 1)
-    o = np.argsort(-s, axis=1, kind="stable")
-    return np.take_along_axis(s, o, 1), np.take_along_axis(ids, o, 1)
-
-
-def _best_k(s: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Exact per-row top-k of ``s`` (n x m) with ids (n x m), ties by smaller id."""
-    n, m = s.shape
-    if m <= k:
-        pad = k - m
-        s = np.pad(s, ((0, 0), (0, pad)), constant_values=-np.inf)
-        ids = np.pad(ids, ((0, 0), (0, pad)), constant_values=_ID_PAD)
-        return _order_rows(s, ids)
-    idx = np.argpartition(-s, k - 1, axis=1)[:, :k]
-    s_sel = np.take_along_axis(s, idx, 1)
-    i_sel = np.take_along_axis(ids, idx, 1)
-    kth = s_sel.min(axis=1)
-    # argpartition picks tied entries at the k-th score arbitrarily: redo those rows exactly
-    tied = np.isfinite(kth) & ((s == kth[:, None]).sum(1) > (s_sel == kth[:, None]).sum(1))
-    for r in np.nonzero(tied)[0]:
-        cand = np.nonzero(s[r] >= kth[r])[0]
-        o = np.lexsort((ids[r, cand], -s[r, cand]))[:k]
-        s_sel[r], i_sel[r] = s[r, cand[o]], ids[r, cand[o]]
-    return _order_rows(s_sel, i_sel)
+def _sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Dot product of row pairs, added up component by component: the same bits
+    for a pair wherever and with whatever else it is scored."""
+    out = np.zeros(len(a))
+    for i in range(0, len(a), _SCORE_ROWS):
+        if a.shape[1]:
+            out[i : i + _SCORE_ROWS] = np.cumsum(a[i : i + _SCORE_ROWS] * b[i : i + _SCORE_ROWS], axis=1)[:, -1]
+    return out
+
+
+def _ids(col: pd.Series) -> np.ndarray:
+    return col.to_numpy(np.int64) if col.dtype != object else np.array(col.tolist(), dtype=str)
+
+
+def _matrix(col: pd.Series, size: int | None = None) -> np.ndarray:
+    rows = col.tolist()
+    sizes = {len(v) for v in rows}
+    if size is not None and rows and sizes != {size} or len(sizes) > 1:
+        raise ValueError(f"vectors of one search must have one size; found {sorted(sizes | ({size} if size is not None else set()))}")
+    return np.array(rows, dtype=np.float64).reshape(len(rows), -1)
+
+
+class _Best:
+    """The best k (score, id) of every query row so far; ties by smaller id."""
+
+    def __init__(self, k: int):
+        self.k, self.row, self.score, self.id = k, np.zeros(0, np.int64), np.zeros(0), None
+
+    def add(self, row: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        if self.id is not None:
+            row, score, ids = np.r_[self.row, row], np.r_[self.score, score], np.concatenate([self.id, ids])
+        order = np.lexsort((ids, -score, row))
+        row, score, ids = row[order], score[order], ids[order]
+        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
+        at = np.arange(len(row)) - np.repeat(first, np.diff(np.r_[first, len(row)]))
+        keep = at < self.k
+        self.row, self.score, self.id = row[keep], score[keep], ids[keep]
 
 
 class _QueryBlock:
@@ -75,8 +88,8 @@ class _QueryBlock:
 
     def __init__(self, pdf: pd.DataFrame, kmax: int):
         self.ids = pdf["__qid"].to_numpy(np.int64)
-        n = len(self.ids)
-        self.mat = np.stack(pdf["__qvec"].to_numpy()).astype(np.float64) if n else np.zeros((0, 0))
+        self.mat = _matrix(pdf["__qvec"])
+        self.norm = np.sqrt((self.mat**2).sum(1))
         self.k = pdf["__k"].to_numpy(np.int64)
         thr = pdf["__thr"].to_numpy(np.float64, na_value=np.nan)
         self.thr = np.where(np.isnan(thr), -np.inf, thr)
@@ -90,19 +103,21 @@ class _QueryBlock:
             self.codes, self.fcode = None, None
 
 
-def _score_partition(qb: _QueryBlock, batches):
-    """Running top-k for every query over an iterator of point batches."""
-    n = len(qb.ids)
-    k = qb.kmax
-    best_s = np.full((n, k), -np.inf)
-    best_i = np.full((n, k), _ID_PAD, dtype=np.int64)
+def _score_partition(qb: _QueryBlock, batches) -> _Best:
+    """Running top-k for every query over an iterator of point batches.
+
+    A matrix product, whose last bits depend on its shape, only picks
+    candidates: everything within its rounding error of the k-th score or the
+    threshold.  Those are scored again by ``_sums`` and ranked by that."""
+    n, k = len(qb.ids), qb.kmax
+    best = _Best(k)
     if n == 0:
-        return best_s, best_i
+        return best
     for b in batches:
         if len(b) == 0:
             continue
-        pids = b["__pid"].to_numpy(np.int64)
-        pmat = np.stack(b["__pvec"].to_numpy()).astype(np.float64)
+        pids, pmat = _ids(b["__pid"]), _matrix(b["__pvec"], qb.mat.shape[1])
+        error = 4 * (pmat.shape[1] + 2) * np.finfo(float).eps * qb.norm * np.sqrt((pmat**2).sum(1)).max()
         if qb.fcode is not None:
             pcode = np.array([qb.codes.get(v, _NO_MATCH) for v in b["__pfilter"].tolist()], dtype=np.int64)
         step = max(1, _SCORE_CELLS // max(1, len(pids)))
@@ -112,32 +127,36 @@ def _score_partition(qb: _QueryBlock, batches):
             if qb.fcode is not None:
                 fc = qb.fcode[lo:hi, None]
                 s[~((fc == _NO_FILTER) | (fc == pcode[None, :]))] = -np.inf
-            s[s < qb.thr[lo:hi, None]] = -np.inf
-            ids = np.broadcast_to(pids, s.shape)
-            bs, bi = _best_k(s, ids, k)
-            best_s[lo:hi], best_i[lo:hi] = _best_k(
-                np.concatenate([best_s[lo:hi], bs], 1), np.concatenate([best_i[lo:hi], bi], 1), k
-            )
-    return best_s, best_i
-
-
-def _emit(qb: _QueryBlock, best_s: np.ndarray, best_i: np.ndarray) -> pd.DataFrame:
-    n, k = best_s.shape
-    keep = np.isfinite(best_s) & (np.arange(k)[None, :] < qb.k[:, None])
-    r, c = np.nonzero(keep)
-    return pd.DataFrame(
-        {"query_id": qb.ids[r], "point_id": best_i[r, c], "score": best_s[r, c], "k": qb.k[r].astype(np.int32)}
+            least = qb.thr[lo:hi]
+            if s.shape[1] > k:
+                least = np.maximum(least, -np.partition(-s, k - 1, axis=1)[:, k - 1])
+            r, c = np.nonzero((s >= (least - 2 * error[lo:hi])[:, None]) & np.isfinite(s))
+            exact = _sums(qb.mat[lo + r], pmat[c])
+            keep = exact >= qb.thr[lo + r]
+            best.add(lo + r[keep], exact[keep], pids[c[keep]])
+    return best
+
+
+def _emit(qb: _QueryBlock, best: _Best) -> pd.DataFrame:
+    ids = best.id if best.id is not None else np.zeros(0, np.int64)
+    k = qb.k[best.row].astype(np.int32)
+    return pd.DataFrame({"query_id": qb.ids[best.row], "point_id": ids, "score": best.score, "k": k})
+
+
+def _cand_schema(id_type: T.DataType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("query_id", T.LongType()),
+            T.StructField("point_id", id_type),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("k", T.IntegerType()),
+        ]
     )
 
 
-_CAND_SCHEMA = T.StructType(
-    [
-        T.StructField("query_id", T.LongType()),
-        T.StructField("point_id", T.LongType()),
-        T.StructField("score", T.DoubleType()),
-        T.StructField("k", T.IntegerType()),
-    ]
-)
+def point_key(points: DataFrame, point_id: str) -> Column:
+    """The point id as searched: strings (random ids) as they are, numbers as bigint."""
+    return F.col(point_id) if points.schema[point_id].dataType == T.StringType() else F.col(point_id).cast("bigint")
 
 
 # ---------------------------------------------------------------- Spark plans
@@ -190,7 +209,7 @@ def topk(
     """
     if (query_filter is None) != (point_filter is None):
         raise ValueError("query_filter and point_filter go together")
-    q = _prepare_queries(queries, query_id, query_vec, k, threshold, query_filter)
+    q = _prepare_queries(queries, query_id, query_vec, k, threshold, query_filter).where("__qvec is not null")
     # the query side is read by the size check and by the scan: encode it once
     shared_dir(points.sparkSession)
     q = q.checkpoint()
@@ -198,41 +217,41 @@ def topk(
         F.count(F.lit(1)).alias("n"),
         F.max(F.size("__qvec")).alias("dim"),
         F.max("__k").alias("kmax"),
-        F.min(F.size("__qvec")).alias("dmin"),
+        (F.max(F.octet_length("__qfilter")) if query_filter is not None else F.lit(0)).alias("filter"),
     ).first()
     n_q, dim, kmax = int(stats["n"]), int(stats["dim"] or 0), int(stats["kmax"] or 0)
     spark = points.sparkSession
-    out_cols = ["query_id", "rank", "score", "point_id"]
+    key = point_key(points, point_id)
     if n_q == 0 or kmax <= 0:
-        empty = spark.createDataFrame([], "query_id bigint, rank int, score double, point_id bigint")
-        if payload:
-            empty = empty.join(points.select(F.col(point_id).cast("bigint").alias("point_id"), *payload).limit(0), "point_id")
-        return empty
+        none = points.select(F.lit(0).cast("bigint").alias("query_id"), F.lit(0).alias("rank"), F.lit(0.0).alias("score"), key.alias("point_id"),
+                             *[c for c in payload or [] if c != point_id])
+        return none.limit(0)
 
-    pcols = [F.col(point_id).cast("bigint").alias("__pid"), F.col(point_vec).alias("__pvec")]
+    pcols = [key.alias("__pid"), F.col(point_vec).alias("__pvec")]
     if point_filter is not None:
         pcols.append(F.col(point_filter).cast("string").alias("__pfilter"))
-    p = points.select(*pcols)
+    p = points.select(*pcols).where("__pid is not null and __pvec is not null")
 
-    matrix_bytes = n_q * (max(dim, 1) * 8 + 48)
-    if matrix_bytes <= broadcast_limit_bytes:
+    # what every task holds: the queries, their filters and the running best k
+    block_bytes = n_q * (max(dim, 1) * 8 + 48 + int(stats["filter"] or 0) + _HIT_BYTES * kmax)
+    if block_bytes <= broadcast_limit_bytes:
         cands = _broadcast_scan(spark, q, p, kmax)
     else:
-        cands = _block_scan(q, p, kmax, matrix_bytes, broadcast_limit_bytes, points_per_bucket)
+        cands = _block_scan(q, p, kmax, block_bytes, broadcast_limit_bytes, points_per_bucket)
 
     hits = final_topk(cands, kmax)
     if payload:
-        hits = attach_payload(hits, points, point_id, payload, proven_small=matrix_bytes <= broadcast_limit_bytes)
+        hits = attach_payload(hits, points, point_id, payload, proven_small=n_q * kmax * _HIT_BYTES <= broadcast_limit_bytes)
     return hits
 
 
 def attach_payload(hits: DataFrame, points: DataFrame, point_id: str, payload: list[str], proven_small: bool) -> DataFrame:
-    """Join payload columns of the hit points.  When the query side passed the
-    size check, hits hold at most ``queries x k`` small rows: they are
-    broadcast and the points stream without a shuffle.  Otherwise the planner
+    """Join payload columns of the hit points.  Where ``queries x k`` small rows
+    are under the limit, they are broadcast and the points stream without a
+    shuffle.  Otherwise the planner
     chooses (AQE broadcasts at run time only under its measured threshold)."""
     cols = [c for c in payload if c != point_id]
-    pay = points.select(F.col(point_id).cast("bigint").alias("point_id"), *cols)
+    pay = points.select(point_key(points, point_id).alias("point_id"), *cols)
     side = F.broadcast(hits) if proven_small else hits
     return pay.join(side, "point_id").select("query_id", "rank", "score", "point_id", *cols)
 
@@ -244,10 +263,9 @@ def _broadcast_scan(spark, q: DataFrame, p: DataFrame, kmax: int) -> DataFrame:
     def scan(batches):
         qdf, km = block.value
         qb = _QueryBlock(qdf, km)
-        bs, bi = _score_partition(qb, batches)
-        yield _emit(qb, bs, bi)
+        yield _emit(qb, _score_partition(qb, batches))
 
-    return p.mapInPandas(scan, _CAND_SCHEMA)
+    return p.mapInPandas(scan, _cand_schema(p.schema["__pid"].dataType))
 
 
 def _block_scan(q, p, kmax, matrix_bytes, limit, per_bucket, keys=None, bucket_counts=None) -> DataFrame:
@@ -283,10 +301,9 @@ def _block_scan(q, p, kmax, matrix_bytes, limit, per_bucket, keys=None, bucket_c
 
     def pair(qdf: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
         qb = _QueryBlock(qdf, kmax)
-        bs, bi = _score_partition(qb, [pdf])
-        return _emit(qb, bs, bi)
+        return _emit(qb, _score_partition(qb, [pdf]))
 
-    return qx.groupBy(*g).cogroup(px.groupBy(*g)).applyInPandas(pair, _CAND_SCHEMA)
+    return qx.groupBy(*g).cogroup(px.groupBy(*g)).applyInPandas(pair, _cand_schema(p.schema["__pid"].dataType))
 
 
 def final_topk(cands: DataFrame, kmax: int) -> DataFrame:

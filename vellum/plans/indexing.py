@@ -129,9 +129,7 @@ def plan_token_ingest(pages: DataFrame, known: DataFrame, *, encoder=None, token
     (points without ids, empty documents).  Known hashes are skipped first."""
     encoder = encoder or embed.HashingEncoder()
     pages = dedup.drop_known(pages, known)
-    docs = B.concat_pages(pages.select(doc, "file_hash", page, text).withColumnRenamed(doc, "__doc"), "__doc", page, text)
-    hashes = pages.select(F.col(doc).alias("__doc"), "file_hash").distinct()
-    docs = docs.join(hashes, "__doc")
+    docs = B.concat_pages(pages.select(doc, "file_hash", page, text).withColumnRenamed(doc, "__doc"), "__doc", page, text, keep=["file_hash"])
     ok, empty = B.empty_document_filter(docs, text)
     from vellum.functions.text import file_name
 

@@ -151,10 +151,14 @@ WITH pg AS (
 SELECT conv_id, page, total_pages, text FROM pg WHERE length(text) >= 60
 """
 
+# every seventh file has only empty or null pages; the rule is: a page with text
+# adds text and newline, and a file is blank when nothing but white space came together
+BLANKED = "CASE WHEN conv_id % 7 = 3 THEN CASE WHEN turn % 2 = 0 THEN '' END ELSE text END"
+
 SQL["concat_pages"] = f"""
 WITH d AS (
-  SELECT conv_id, string_agg(text || chr(10), '' ORDER BY turn) AS text
-  FROM conversations WHERE text IS NOT NULL AND text <> '' GROUP BY conv_id
+  SELECT conv_id, coalesce(string_agg(CASE WHEN length(t) > 0 THEN t || chr(10) END, '' ORDER BY turn), '') AS text
+  FROM (SELECT conv_id, turn, {BLANKED} AS t FROM conversations) GROUP BY conv_id
 )
 SELECT conv_id, length({strip('text')}) = 0 AS blank, CAST(length(text) AS INTEGER) AS char_count, md5(text) AS text_md5 FROM d
 """
@@ -456,22 +460,22 @@ SQL["discover_files"] = """
 SELECT doc_id, 'txt' AS file_type, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length, md5(text || chr(10)) AS file_hash
 FROM documents"""
 
-SQL["token_ingest"] = f"""WITH h AS (
-  SELECT conv_id, sha256(string_agg(text, chr(12) ORDER BY turn)) AS file_hash FROM conversations GROUP BY conv_id
+SQL["token_ingest"] = f"""WITH c AS (SELECT conv_id, turn, role, {BLANKED} AS text FROM conversations), h AS (
+  SELECT conv_id, sha256(CAST(conv_id AS VARCHAR) || '/' || sha256(coalesce(string_agg(text, chr(12) ORDER BY turn), ''))) AS file_hash FROM c GROUP BY conv_id
 ), known AS (
-  SELECT DISTINCT h.file_hash FROM conversations c JOIN h USING (conv_id) WHERE c.turn = 0 AND c.role = 'assistant'
-), pg AS (
-  SELECT 'conversations/' || CAST(c.conv_id AS VARCHAR) || '.pdf' AS path, c.turn + 1 AS page, c.text, h.file_hash
-  FROM conversations c JOIN h USING (conv_id) WHERE h.file_hash NOT IN (SELECT file_hash FROM known)
+  SELECT DISTINCT h.file_hash FROM c JOIN h USING (conv_id) WHERE c.turn = 0 AND c.role = 'assistant'
 ), d AS (
-  SELECT path, string_agg(text || chr(10), '' ORDER BY page) AS text FROM pg WHERE text IS NOT NULL AND text <> '' GROUP BY path
-), dh AS (SELECT DISTINCT path, file_hash FROM pg),
-ok AS (SELECT d.path, d.text, dh.file_hash FROM d JOIN dh USING (path) WHERE length({strip('d.text')}) > 0),
-w AS (SELECT path, file_hash, {windows('text', 500, 50)} AS ws FROM ok),
+  SELECT 'conversations/' || CAST(c.conv_id AS VARCHAR) || '.pdf' AS path, h.file_hash,
+         coalesce(string_agg(CASE WHEN length(c.text) > 0 THEN c.text || chr(10) END, '' ORDER BY c.turn), '') AS text
+  FROM c JOIN h USING (conv_id) WHERE h.file_hash NOT IN (SELECT file_hash FROM known) GROUP BY ALL
+),
+w AS (SELECT path, file_hash, {windows('text', 500, 50)} AS ws FROM d WHERE length({strip('text')}) > 0),
 u AS (SELECT path, file_hash, unnest(ws) AS t, CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS chunk FROM w)
 SELECT path, regexp_extract(path, '([^/]*)$', 1) AS source, chunk, CAST(len({tokens('t')}) AS INTEGER) AS tokens, file_hash,
-       md5(t) AS text_md5
-FROM u"""
+       md5(t) AS text_md5, 'indexed' AS status
+FROM u
+UNION ALL
+SELECT path, NULL, NULL, NULL, file_hash, NULL, 'empty' FROM d WHERE length({strip('text')}) = 0"""
 
 # ---------------------------------------------------------------- X1 extraction job
 

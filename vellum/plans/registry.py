@@ -142,9 +142,15 @@ def q_page_blocks(spark, sf_dir):
     return p.select(F.col("doc").alias("conv_id"), F.col("page").cast("int").alias("page"), "total_pages", "text")
 
 
+def with_blank_files(c):
+    """Every seventh conversation becomes a file without text, as a scan is:
+    its pages are empty or null by turns."""
+    return c.withColumn("text", F.when(F.col("conv_id") % 7 == 3, F.when(F.col("turn") % 2 == 0, "")).otherwise(F.col("text")))
+
+
 def q_concat_pages(spark, sf_dir):
     """X3 + X4: G1 document text from its pages, with the blank-document flag."""
-    c = table(spark, sf_dir, "conversations")
+    c = with_blank_files(table(spark, sf_dir, "conversations"))
     docs = blocks.concat_pages(c.select(F.col("conv_id").alias("doc"), F.col("turn").alias("page"), "text"))
     ok, blank = blocks.empty_document_filter(docs)
     return ok.withColumn("blank", F.lit(False)).unionByName(blank.withColumn("blank", F.lit(True))).select(
@@ -547,15 +553,20 @@ def q_index_documents(spark, sf_dir):
 
 def q_token_ingest(spark, sf_dir):
     """G1 end to end (D1, D4, X3, X4, T3, T4, E1): conversations as paged
-    files; conversations whose first turn is by the assistant count as known."""
-    c = table(spark, sf_dir, "conversations")
+    files, some without text (quarantined); conversations whose first turn is
+    by the assistant count as known."""
+    c = with_blank_files(table(spark, sf_dir, "conversations"))
     path = F.concat(F.lit("conversations/"), F.col("conv_id").cast("string"), F.lit(".pdf"))
     doc_hash = c.groupBy("conv_id").agg(
         F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"]), "\f"), 256).alias("file_hash"))
+    doc_hash = doc_hash.withColumn("file_hash", F.sha2(F.concat_ws("/", F.col("conv_id").cast("string"), "file_hash"), 256))
     pages = c.join(doc_hash, "conv_id").select(path.alias("path"), (F.col("turn") + 1).alias("page"), "text", "file_hash")
     first = c.where("turn = 0 and role = 'assistant'").join(doc_hash, "conv_id").select("file_hash")
     points, empty = indexing.plan_token_ingest(pages, first, encoder=embed.HashingEncoder(DIM))
-    return points.select("path", "source", "chunk", "tokens", "file_hash", F.md5("text").alias("text_md5"))
+    points = points.select("path", "source", "chunk", "tokens", "file_hash", F.md5("text").alias("text_md5"), F.lit("indexed").alias("status"))
+    no = lambda kind: F.lit(None).cast(kind)
+    return points.unionByName(empty.select(
+        "path", no("string").alias("source"), no("int").alias("chunk"), no("int").alias("tokens"), "file_hash", no("string").alias("text_md5"), F.lit("empty").alias("status")))
 
 
 def q_discover_files(spark, sf_dir):

@@ -2,26 +2,30 @@
 
 A store is a folder on shared storage:
 
-* ``points/``     Parquet, partitioned by ``bucket = pmod(xxhash64(file_hash),
-                  buckets)``: all points of one content share a bucket (ids
-                  derive from the content hash), so an ingest of K files
-                  rewrites at most K buckets; rows sorted by (file_type,
-                  filename, page) inside each file so filters on those
-                  payload fields skip row groups (S4).
-* ``state/``      Parquet ``(path, file_hash)`` (S8).
-* ``quarantine/`` Parquet, appended (S10).
-
-An upsert rewrites only the buckets its points fall into: the new rows and
-the old rows of those buckets that they do not replace are first written to a
-staging folder (cutting lineage, so a lost executor recomputes nothing from
-the table being replaced), then moved in with dynamic partition overwrite.
-Ids are deterministic, so re-running after a failure converges to the same
-rows.  No table format is required.
+* ``points/v=<n>/`` Parquet, one folder a write, partitioned by ``bucket =
+                  pmod(xxhash64(file_hash), buckets)``: all points of one
+                  content share a bucket (ids derive from the content hash);
+                  rows sorted by (file_type, filename, page) inside each file
+                  so filters on those payload fields skip row groups (S4).
+* ``state/v=<n>/``  Parquet ``(path, file_hash)`` (S8).
+* ``manifest/``     small JSON files, the highest number counts: which buckets
+                  are read from which write, and which state holds.
+* ``quarantine/``   Parquet, appended (S10).
+
+A write puts its files into a folder of its own and becomes visible by one
+new manifest, so readers never see half of it and a crash leaves the old
+contents.  An upsert looks only into the buckets that its points fall into and
+rewrites only those in which it replaces an id; into the others it just adds.
+Ids are deterministic, so running again after a failure gives the same rows.
+The number of buckets is fixed when the store is made.  No table format is
+required; one writer at a time (a second one fails at its manifest).
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +33,7 @@ from pyspark.sql import types as T
 
 from vellum.functions.text import file_name, file_stem, file_suffix
 from vellum.operators.dedup import last_wins
-from vellum.session import scratch_path, shared_dir
+from vellum.session import scratch_path
 
 DEFAULT_BUCKETS = 64
 
@@ -79,41 +83,101 @@ class VectorStore:
     """A named collection of points with one vector size, cosine distance."""
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS, files_per_bucket: int = 2):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.spark, self.root = spark, root.rstrip("/")
+        self._new_buckets, self._meta = buckets, None
         self.files_per_bucket = files_per_bucket
         self.points_path = f"{self.root}/points"
         self.state_path = f"{self.root}/state"
         self.quarantine_path = f"{self.root}/quarantine"
         self.meta_path = f"{self.root}/meta"
+        self.manifest_path = f"{self.root}/manifest"
 
     # ------------------------------------------------------------ S3
     def ensure(self, dim: int, schema: T.StructType | None = None) -> "VectorStore":
-        """Create the collection if absent (vector size fixed here); an existing
-        one is left untouched."""
+        """Create the collection if absent (vector size and number of buckets
+        are fixed here); an existing one is left untouched."""
         if _exists(self.spark, self.meta_path):
             return self
-        schema = schema or point_schema()
-        empty = self.spark.createDataFrame([], schema).withColumn("bucket", F.lit(0))
-        empty.write.mode("overwrite").partitionBy("bucket").parquet(self.points_path)
-        meta = {"dim": dim, "distance": "cosine", "buckets": self.buckets, "schema": schema.json()}
+        meta = {"dim": dim, "distance": "cosine", "buckets": self._new_buckets, "schema": (schema or point_schema()).json()}
         self.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(self.meta_path)
         return self
 
     def meta(self) -> dict:
-        return json.loads(self.spark.read.text(self.meta_path).first()[0])
+        if self._meta is None:
+            self._meta = json.loads(self.spark.read.text(self.meta_path).first()[0])
+        return self._meta
 
-    def _schema(self) -> T.StructType:
-        base = T.StructType.fromJson(json.loads(self.meta()["schema"]))
-        return base.add("bucket", T.IntegerType())
-
-    def _read(self) -> DataFrame:
-        """The points table with its declared schema (an empty store has no files)."""
-        return self.spark.read.schema(self._schema()).parquet(self.points_path)
+    @property
+    def buckets(self) -> int:
+        """As the store was made, whatever this object was given."""
+        return int(self.meta()["buckets"]) if _exists(self.spark, self.meta_path) else self._new_buckets
 
     @property
     def dim(self) -> int:
         return int(self.meta()["dim"])
 
+    def _schema(self) -> T.StructType:
+        base = T.StructType.fromJson(json.loads(self.meta()["schema"]))
+        return base.add("bucket", T.IntegerType())
+
+    # ------------------------------------------------------------ snapshots
+    def _names(self, folder: str) -> list[str]:
+        fs, p = _fs(self.spark, folder)
+        return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+    def manifest(self) -> dict:
+        """``n``, ``points`` (write -> its buckets that count) and ``state``."""
+        found = [f for f in self._names(self.manifest_path) if f.endswith(".json")]
+        if not found:
+            return {"n": 0, "points": {}, "state": None}
+        fs, p = _fs(self.spark, f"{self.manifest_path}/{max(found)}")
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _publish(self, manifest: dict) -> None:
+        n = manifest["n"] + 1
+        fs, part = _fs(self.spark, f"{self.manifest_path}/{n:012d}.part")
+        out = fs.create(part, True)
+        out.write(bytearray(json.dumps(manifest | {"n": n}).encode()))
+        out.close()
+        _, final = _fs(self.spark, f"{self.manifest_path}/{n:012d}.json")
+        if fs.exists(final) or not fs.rename(part, final):
+            raise RuntimeError(f"the store was changed by another writer (manifest {n})")
+
+    def _write(self, rows: DataFrame, replaced: list[int]) -> None:
+        """``rows`` become a new write; the buckets ``replaced`` are read from
+        it alone."""
+        m = self.manifest()
+        version = uuid.uuid4().hex[:12]
+        folder = f"{self.points_path}/v={version}"
+        self._layout(rows.select(*self._schema().fieldNames())).write.partitionBy("bucket").parquet(folder)
+        written = sorted(int(f.split("=")[1]) for f in self._names(folder) if f.startswith("bucket="))
+        points = {v: [b for b in bs if b not in replaced] for v, bs in m["points"].items()}
+        self._publish(m | {"points": {v: bs for v, bs in points.items() if bs} | ({version: written} if written else {})})
+
+    def vacuum(self) -> None:
+        """Delete writes and states that the current manifest doesn't name."""
+        m = self.manifest()
+        live = {f"bucket={b}@{v}" for v, bs in m["points"].items() for b in bs}
+        for v in self._names(self.points_path):
+            for b in self._names(f"{self.points_path}/{v}"):
+                if b.startswith("bucket=") and f"{b}@{v.split('=')[1]}" not in live:
+                    _delete(self.spark, f"{self.points_path}/{v}/{b}")
+        for v in self._names(self.state_path):
+            if v != f"v={m['state']}":
+                _delete(self.spark, f"{self.state_path}/{v}")
+
+    def _read(self, buckets: list[int] | None = None) -> DataFrame:
+        """The points, of all or of some buckets (others' files are not listed)."""
+        paths = [f"{self.points_path}/v={v}/bucket={b}" for v, bs in self.manifest()["points"].items()
+                 for b in bs if buckets is None or b in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], self._schema())
+        return self.spark.read.schema(self._schema()).option("basePath", self.points_path).parquet(*paths).select(*self._schema().fieldNames())
+
     # ------------------------------------------------------------ S5 / S11
     def scan(self, columns: list[str] | None = None) -> DataFrame:
         """All points (file splits replace paginated scrolling); pruned to ``columns``."""
@@ -145,80 +209,74 @@ class VectorStore:
 
     def upsert(self, points: DataFrame, dedup: bool = True) -> None:
         """Insert or replace by ``point_id`` (last path wins inside the batch)."""
-        schema_cols = self._schema().fieldNames()
+        names = self._schema().fieldNames()
         new = last_wins(points) if dedup else points
         new = self._checked(new).withColumn("bucket", self.bucket_of(F.col("file_hash")))
-        # read three times below (touched buckets, replaced ids, new rows): cut once
-        shared_dir(self.spark)
-        new = new.select(*schema_cols).checkpoint()
-        old = self._read()
-        touched = new.select("bucket").distinct()  # at most `buckets` rows
-        keep = old.join(F.broadcast(touched), "bucket", "left_semi").join(new.select("point_id"), "point_id", "left_anti")
+        # read three times below (touched buckets, replaced ids, new rows): written once
         stage = scratch_path(self.spark, "upsert")
-        self._layout(keep.unionByName(new)).write.mode("overwrite").partitionBy("bucket").parquet(stage)
-        staged = self.spark.read.schema(self._schema()).parquet(stage).select(*schema_cols)
-        self._layout(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "bucket"
-        ).parquet(self.points_path)
+        new.select(*names).write.parquet(stage)
+        new = self.spark.read.schema(self._schema()).parquet(stage)
+        touched = [r[0] for r in new.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        old = self._read(touched)
+        ids = new.select("point_id")
+        replaced = [r[0] for r in old.select("point_id", "bucket").join(ids, "point_id", "left_semi").select("bucket").distinct().collect()]
+        keep = self._read(replaced).join(ids, "point_id", "left_anti")
+        self._write(keep.select(*names).unionByName(new), replaced)
         _delete(self.spark, stage)
 
     def remove_stale(self, state: DataFrame) -> None:
         """D8 clean-up: drop points whose (filepath, file_hash) is not the
         current state of that path.  Only the buckets holding such points are
-        rewritten; a bucket left empty is removed."""
+        rewritten."""
         from vellum.operators.dedup import stale_points
 
-        schema_cols = self._schema().fieldNames()
-        stale = stale_points(self._read().select("point_id", "filepath", "file_hash", "bucket"), state)
-        stale = stale.select("point_id", "bucket").checkpoint()
-        touched = [r[0] for r in stale.select("bucket").distinct().collect()]  # at most `buckets` values
-        if not touched:
-            return
-        keep = self._read().where(F.col("bucket").isin(touched)).join(stale.select("point_id"), "point_id", "left_anti")
         stage = scratch_path(self.spark, "clean")
-        self._layout(keep).write.mode("overwrite").partitionBy("bucket").parquet(stage)
-        staged = self.spark.read.schema(self._schema()).parquet(stage).select(*schema_cols)
-        left = {r[0] for r in staged.select("bucket").distinct().collect()}
-        self._layout(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "bucket").parquet(self.points_path)
-        for b in set(touched) - left:  # every row of the bucket was stale
-            _delete(self.spark, f"{self.points_path}/bucket={b}")
+        stale_points(self._read().select("point_id", "filepath", "file_hash", "bucket"), state).select("point_id", "bucket").write.parquet(stage)
+        stale = self.spark.read.schema(self._schema()).parquet(stage).select("point_id", "bucket")
+        touched = [r[0] for r in stale.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        if touched:
+            self._write(self._read(touched).join(stale.select("point_id"), "point_id", "left_anti"), touched)
         _delete(self.spark, stage)
 
     # ------------------------------------------------------------ S7
     def append(self, points: DataFrame) -> None:
         """S7 (G1): every row gets a fresh random UUID, so nothing is replaced."""
         rows = self._checked(points).withColumn("point_id", F.expr("uuid()"))
-        rows = rows.withColumn("bucket", self.bucket_of(F.col("file_hash")))
-        rows.select(*self._schema().fieldNames()).write.mode("append").partitionBy("bucket").parquet(self.points_path)
+        self._write(rows.withColumn("bucket", self.bucket_of(F.col("file_hash"))), [])
 
     # ------------------------------------------------------------ S8
     def load_state(self) -> DataFrame:
-        """Index state ``(path, file_hash)``; missing or unreadable -> empty."""
-        try:
-            if _exists(self.spark, self.state_path):
-                return self.spark.read.parquet(self.state_path).select("path", "file_hash")
-        except Exception:  # noqa: BLE001 - unreadable state means start from scratch
-            pass
+        """Index state ``(path, file_hash)``; missing or unreadable (its files
+        are read through once) -> empty."""
+        version = self.manifest()["state"]
+        if version is not None:
+            try:
+                state = self.spark.read.schema("path string, file_hash string").parquet(f"{self.state_path}/v={version}")
+                state.write.format("noop").mode("overwrite").save()
+                return state
+            except Exception as e:  # noqa: BLE001 - unreadable state means start from scratch
+                warnings.warn(f"index state is unreadable, starting without: {e}", stacklevel=2)
         return self.spark.createDataFrame([], "path string, file_hash string")
 
     def save_state(self, state: DataFrame) -> None:
-        """Replace the whole state (staged first: the new state is usually
-        computed from the old one)."""
-        stage = scratch_path(self.spark, "state")
-        state.select("path", "file_hash").write.mode("overwrite").parquet(stage)
-        self.spark.read.parquet(stage).write.mode("overwrite").parquet(self.state_path)
-        _delete(self.spark, stage)
+        """The state becomes a new folder, then the manifest names it."""
+        version = uuid.uuid4().hex[:12]
+        state.select("path", "file_hash").write.parquet(f"{self.state_path}/v={version}")
+        self._publish(self.manifest() | {"state": version})
 
     # ------------------------------------------------------------ S10
     def quarantine(self, failed: DataFrame, failed_at: str | None = None) -> None:
-        """Append failed files with their error and quarantine name."""
-        quarantine_rows(failed, failed_at).write.mode("append").parquet(self.quarantine_path)
+        """Append failed files with their error and quarantine name; a file that
+        is there with the same error already (a run repeated) is not added."""
+        before = self.load_quarantine().select(F.col("path").alias("p"), F.col("error").alias("e"))
+        new = failed.select("path", "error").distinct().join(before, F.col("path").eqNullSafe(F.col("p")) & F.col("error").eqNullSafe(F.col("e")), "left_anti")
+        quarantine_rows(new, failed_at).write.mode("append").parquet(self.quarantine_path)
 
     def load_quarantine(self) -> DataFrame:
+        schema = "path string, filename string, error string, failed_at timestamp, quarantine_name string"
         if _exists(self.spark, self.quarantine_path):
-            return self.spark.read.parquet(self.quarantine_path)
-        return self.spark.createDataFrame([], "path string, filename string, error string, failed_at timestamp, quarantine_name string")
+            return self.spark.read.schema(schema).parquet(self.quarantine_path)
+        return self.spark.createDataFrame([], schema)
 
 
 def quarantine_rows(failed: DataFrame, failed_at: str | None = None) -> DataFrame:
