@@ -30,12 +30,13 @@ import numpy as np
 MAGIC = b"VTB1"
 LANES = 4096
 LANE = 64  # ids of a lane at least, where a block has few
-SLOTS = 1 << 18
+SLOTS = 1 << 18  # 32-bit hash, upper 18 bits
 REFRESH = 16
 KIND_BITS, ID_BITS, WORD = 12, 20, 32
 SURE = 7
 U = np.uint64
 LOW = U((1 << WORD) - 1)
+NEXT = np.minimum(np.arange(SURE + 1) + 1, SURE).astype(np.uint8)
 
 
 class Model:
@@ -43,9 +44,9 @@ class Model:
 
     def __init__(self, vocabulary: int, lanes: int):
         self.vocabulary = vocabulary
-        self.guess1, self.sure1 = np.zeros(vocabulary, np.int64), np.zeros(vocabulary, np.int64)
-        self.guess2, self.sure2 = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
-        self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.guess1, self.sure1 = np.zeros(vocabulary, np.int32), np.zeros(vocabulary, np.uint8)
+        self.guess2, self.sure2 = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.uint8)
+        self.one, self.two = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
         self.kinds = np.ones((2 * (SURE + 1) ** 2, 3), np.int64)
         self.seen, self.waiting, self.steps = np.zeros(vocabulary, np.int64), [], 0
         self.refresh()
@@ -56,8 +57,9 @@ class Model:
             self.waiting = []
         width = 1 + self.seen * ((1 << ID_BITS) - self.vocabulary) // max(1, int(self.seen.sum()))
         self.id_freq = width.astype(U)
-        self.id_ends = np.cumsum(width)
-        self.id_from = (self.id_ends - width).astype(U)
+        ends = np.cumsum(width)
+        self.id_ends = ends.astype(np.int32)
+        self.id_from = (ends - width).astype(U)
         k = 1 + self.kinds * ((1 << KIND_BITS) - 3) // self.kinds.sum(1, keepdims=True)
         self.kind_freq = k.astype(U).ravel()
         ends = np.cumsum(k, 1)
@@ -66,16 +68,17 @@ class Model:
 
     def look(self) -> np.ndarray:
         """The lanes' contexts: both confidences and whether the guesses agree."""
-        self.slot = ((self.two * 0x9E3779B1 + self.one * 0x85EBCA6B) >> 7) & (SLOTS - 1)
+        self.slot = ((self.two.astype(np.uint32) * np.uint32(0x9E3779B1) + self.one.astype(np.uint32) * np.uint32(0x85EBCA6B)) >> np.uint32(14)).astype(np.int64)
         self.by2, self.by1 = self.guess2[self.slot], self.guess1[self.one]
         self.c2, self.c1 = self.sure2[self.slot], self.sure1[self.one]
-        return (self.c2 * (SURE + 1) + self.c1) * 2 + (self.by2 == self.by1)
+        self.agree = self.by2 == self.by1
+        return ((self.c2 << 4) | (self.c1 << 1) | self.agree).astype(np.int64)
 
     def learn(self, context: np.ndarray, kind: np.ndarray, x: np.ndarray, rare: np.ndarray) -> None:
         for guess, sure, at, by, c in ((self.guess2, self.sure2, self.slot, self.by2, self.c2), (self.guess1, self.sure1, self.one, self.by1, self.c1)):
             right = x == by
             guess[at] = np.where(right | (c > 1), by, x)
-            sure[at] = np.where(right, np.minimum(c + 1, SURE), c >> 1)
+            sure[at] = np.where(right, NEXT[c], c >> 1)
         self.kinds += np.bincount(context * 3 + kind, minlength=self.kinds.size).reshape(self.kinds.shape)
         self.waiting.append(rare)
         self.two, self.one = self.one, x
@@ -102,7 +105,7 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
     n = len(ids)
     lanes = _lanes(n)
     steps = -(-n // lanes)
-    table = np.zeros(lanes * steps, np.int64)
+    table = np.zeros(lanes * steps, np.int32)
     table[:n] = ids
     table = np.ascontiguousarray(table.reshape(lanes, steps).T)
     vocabulary = max(vocabulary, int(ids.max()) + 1 if n else 1)
@@ -111,7 +114,7 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
     words, lane_of = [], []
     for x in table:
         context = model.look()
-        kind = np.where(x == model.by2, 0, np.where(x == model.by1, 1, 2))
+        kind = np.where(x == model.by2, 0, 2 - (x == model.by1))
         k = context * 3 + kind
         r = size >> U(KIND_BITS)
         low += model.kind_from[k] * r
@@ -145,7 +148,7 @@ def decode(block: bytes) -> np.ndarray:
     at = np.cumsum(counts) - counts
     words = np.r_[words, U(0)]
     steps = -(-n // lanes)
-    table = np.empty((steps, lanes), np.int64)
+    table = np.empty((steps, lanes), np.int32)
     model = Model(vocabulary, lanes)
     low, size = np.zeros(lanes, U), np.full(lanes, (1 << 64) - 1, U)
     code = (words[at] << U(WORD)) | words[at + 1]
@@ -153,7 +156,7 @@ def decode(block: bytes) -> np.ndarray:
     for t in range(steps):
         context = model.look()
         r = size >> U(KIND_BITS)
-        v = ((code - low) // r).astype(np.int64)
+        v = ((code - low) // r).astype(np.int32)
         kind = (v >= model.first[context]).astype(np.int64) + (v >= model.second[context])
         k = context * 3 + kind
         low += model.kind_from[k] * r
@@ -161,8 +164,9 @@ def decode(block: bytes) -> np.ndarray:
         x = np.where(kind == 0, model.by2, model.by1)
         e = np.flatnonzero(kind == 2)
         r = size[e] >> U(ID_BITS)
-        rare = np.searchsorted(model.id_ends, ((code[e] - low[e]) // r).astype(np.int64), "right")
+        rare = np.searchsorted(model.id_ends, ((code[e] - low[e]) // r).astype(np.int32), "right")
         x[e] = rare
+        rare = x[e]
         low[e] += model.id_from[rare] * r
         size[e] = model.id_freq[rare] * r
         m = _settle(low, size)
@@ -172,4 +176,4 @@ def decode(block: bytes) -> np.ndarray:
             at[m] += 1
         model.learn(context, kind, x, rare)
         table[t] = x
-    return table.T.reshape(-1)[:n]
+    return table.T.reshape(-1)[:n].astype(np.int64)
