@@ -13,7 +13,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql import types as T
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from vellum.functions.arrays import arrow_udf, keep_rows, posexplode_rows
 from vellum.functions.text import JAVA_NON_WS, JAVA_WS, MIN_CHUNK_LENGTH, WS, strip_ws
@@ -80,27 +81,44 @@ class BpeTokenizer:
             e = tiktoken.get_encoding(name)
             return s.map(lambda t: None if t is None else e.encode(t, disallowed_special=()))
 
-        def dec(s: pd.Series) -> pd.Series:
-            import tiktoken
+        self._enc = arrow_udf(enc, ArrayType(IntegerType()))
 
-            e = tiktoken.get_encoding(name)
-            return s.map(lambda t: None if t is None else e.decode(list(t)))
+    def codec(self):
+        """(text -> ids, ids -> text), made once in every task."""
+        import tiktoken
 
-        from pyspark.sql.types import IntegerType
-
-        self._enc = arrow_udf(enc, ArrayType(IntegerType()))
-        self._dec = arrow_udf(dec, StringType())
+        e = tiktoken.get_encoding(self.encoding)
+        return lambda t: e.encode(t, disallowed_special=()), lambda ids: e.decode(list(ids))
 
     def encode(self, text):
         return self._enc(_col(text))
 
-    def decode(self, tokens):
-        return self._dec(tokens)
-
     def count(self, text):
         return F.size(self.encode(text))
 
 
+def coded_windows(text: Column | str, tokenizer, size: int, overlap: int) -> Column:
+    """T4 + T3 for a tokenizer that runs in Python (it has ``codec()``): one batch
+    UDF from text to ``array<struct<text, tokens>>``; each decoded window is
+    encoded again for its count, as T3 asks."""
+    item = T.StructType([T.StructField("text", T.StringType()), T.StructField("tokens", T.IntegerType())])
+    step = size - overlap
+
+    def cut(s: pd.Series) -> pd.Series:
+        encode, decode = tokenizer.codec()
+
+        def one(t):
+            if t is None:
+                return []
+            ids = encode(t)
+            texts = [decode(ids[i : i + size]) for i in range(0, len(ids), step)]
+            return [{"text": x, "tokens": len(encode(x))} for x in texts]
+
+        return s.map(one)
+
+    return arrow_udf(cut, T.ArrayType(item))(_col(text))
+
+
 def count_tokens(text: Column | str, tokenizer=None) -> Column:
     """Number of tokens of a text (re-encoded)."""
     return (tokenizer or RegexTokenizer()).count(text)
@@ -119,6 +137,9 @@ def token_window_chunks(
     ``chunk`` (0-based), ``text`` (decoded window), ``tokens`` (its count)."""
     tok = tokenizer or RegexTokenizer()
     keep = [c for c in (keep or []) if c != text]
+    if hasattr(tok, "codec"):
+        x = df.select(*keep, posexplode_rows(coded_windows(text, tok, size, overlap), "chunk", "w")).where(keep_rows("chunk"))
+        return x.select(*keep, F.col("chunk").cast("int").alias("chunk"), F.col("w.text").alias("text"), F.col("w.tokens").alias("tokens"))
     step = size - overlap
     toks = tok.encode(text)
     x = df.select(*keep, toks.alias("__toks"))
@@ -279,6 +300,8 @@ def token_windows(text: Column | str, size: int = TOKEN_WINDOW, overlap: int = T
     splitter for ``chunk_blocks``).  The token array is bound once to a lambda
     variable, so the text is tokenised once, not once per window."""
     tok = tokenizer or RegexTokenizer()
+    if hasattr(tok, "codec"):
+        return F.transform(coded_windows(text, tok, size, overlap), lambda w: w["text"])
 
     def cut(toks):
         n = F.size(toks)

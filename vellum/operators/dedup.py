@@ -27,7 +27,9 @@ def drop_known(files: DataFrame, known: DataFrame, col: str = "file_hash") -> Da
 def changed_files(files: DataFrame, state: DataFrame, skip_unchanged: bool = True,
                   path: str = "path", col: str = "file_hash") -> tuple[DataFrame, DataFrame]:
     """(to process, skipped).  A file is skipped when the state holds the
-    same hash for its path; with ``skip_unchanged=False`` nothing is skipped."""
+    same hash for its path; with ``skip_unchanged=False`` nothing is skipped.
+    The state's rows are compared on ``(path, hash)`` alone; keep contents out of
+    ``files`` (see ``indexing.run_index``) where the state can be large."""
     if not skip_unchanged:
         return files, files.limit(0)
     st = state.select(path, col)

@@ -63,7 +63,7 @@ def _matrix(col: pd.Series, size: int | None = None) -> np.ndarray:
     sizes = {len(v) for v in rows}
     if size is not None and rows and sizes != {size} or len(sizes) > 1:
         raise ValueError(f"vectors of one search must have one size; found {sorted(sizes | ({size} if size is not None else set()))}")
-    return np.array(rows, dtype=np.float64).reshape(len(rows), -1)
+    return np.array(rows, dtype=np.float64).reshape(len(rows), len(rows[0])) if rows else np.zeros((0, size or 0))
 
 
 class _Best:
@@ -138,7 +138,7 @@ def _score_partition(qb: _QueryBlock, batches) -> _Best:
 
 
 def _emit(qb: _QueryBlock, best: _Best) -> pd.DataFrame:
-    ids = best.id if best.id is not None else np.zeros(0, np.int64)
+    ids = best.id if best.id is not None else np.zeros(0, object)  # of either kind
     k = qb.k[best.row].astype(np.int32)
     return pd.DataFrame({"query_id": qb.ids[best.row], "point_id": ids, "score": best.score, "k": k})
 

@@ -22,9 +22,9 @@ from vellum.operators import blocks as B
 from vellum.operators import chunking, dedup, embed
 from vellum.operators.extract import chunk_files, chunk_rows, decode_files
 from vellum.operators.report import run_summary
-from vellum.session import shared_dir
-from vellum.sources.files import default_decoders, with_hash
-from vellum.sources.store import VectorStore
+from vellum.session import scratch_path
+from vellum.sources.files import SUPPORTED_SUFFIXES, default_decoders, discover_files, unreadable_files, with_hash
+from vellum.sources.store import VectorStore, delete_path
 
 
 @dataclass
@@ -94,30 +94,60 @@ def outcome_from(files: DataFrame, skipped: DataFrame, per_file: DataFrame) -> D
 
 
 def run_index(store: VectorStore, files: DataFrame, *, decoders=None, encoder=None, cfg: IndexConfig | None = None,
-              splitter=None, failed_at: str | None = None) -> dict:
+              splitter=None, failed_at: str | None = None, unreadable: DataFrame | None = None) -> dict:
     """Execute G2 against ``store``: upsert points, quarantine failures, then
     save the state (after the points, so a crash in between only repeats work
-    with the same ids).  The per-file chunk table is checkpointed once to the
-    shared folder: points, errors and the outcome all read it.  Returns the
-    run summary as a dict."""
+    with the same ids).  Returns the run summary as a dict.
+
+    The change test runs on ``(path, file_hash)`` alone: contents are hashed
+    where they are read and don't take part in it.  Those of changed paths are
+    then read by a semi join on the path, which leaves them in place where
+    Spark can broadcast the changed paths.  The per-file
+    chunk table is written once to the shared folder (points, errors and the
+    outcome read it) and deleted at the end.  ``unreadable``: path and error of
+    files that could not be listed with their contents."""
     t0 = time.time()
     cfg = cfg or IndexConfig()
     encoder = encoder or embed.HashingEncoder(store.dim)
     spark = files.sparkSession
-    shared_dir(spark)
+    stages = {name: scratch_path(spark, name) for name in ("hashes", "files", "outcome")}
     state = store.load_state()
-    plan = plan_index(files, state, decoders=decoders, encoder=encoder, cfg=cfg, splitter=splitter)
-    per_file = plan.per_file.checkpoint()
+    if "file_hash" not in files.columns:
+        files = with_hash(files, "md5")
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(stages[name])
+        return spark.read.schema(df.schema).parquet(stages[name])
+
+    hashes = kept("hashes", files.select("path", "file_hash"))
+    changed, skipped = dedup.changed_files(hashes, state, cfg.skip_already_indexed)
+    todo = files.join(changed.select("path").distinct(), "path", "left_semi") if cfg.skip_already_indexed else files
+    decoded = decode_files(todo, decoders if decoders is not None else default_decoders(), cfg.min_chunk_length)
+    per_file = kept("files", chunk_files(decoded, cfg.chunk_size, cfg.chunk_overlap, cfg.min_chunk_length, splitter))
     indexed_at = cfg.indexed_at or datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
-    plan = _finish(plan.files, plan.skipped, per_file, state, encoder, indexed_at)
+    plan = _finish(hashes, skipped, per_file, state, encoder, indexed_at)
     store.upsert(plan.points.select(*store.scan().columns))
-    store.quarantine(plan.errors, failed_at)
+    errors, outcome = plan.errors, plan.outcome
+    if unreadable is not None:
+        errors = errors.unionByName(unreadable.select("path", "error"))
+        outcome = outcome.unionByName(unreadable.select(
+            "path", F.lit(None).cast("string").alias("file_hash"), F.lit("error").alias("status"), F.lit(0).cast("bigint").alias("chunks"), "error"))
+    store.quarantine(errors, failed_at)
     if cfg.remove_stale:
         store.remove_stale(plan.new_state)
-    outcome = plan.outcome.checkpoint()
+    outcome = kept("outcome", outcome)
     ok = outcome.where(F.col("status") == "processed").select("path", "file_hash")
     store.save_state(dedup.update_state(state, ok))
-    return run_summary(outcome, time.time() - t0).first().asDict()
+    summary = run_summary(outcome, time.time() - t0).first().asDict()
+    for path in stages.values():
+        delete_path(spark, path)
+    return summary
+
+
+def run_index_folder(store: VectorStore, folder: str, *, suffixes=SUPPORTED_SUFFIXES, max_bytes: int | None = None, **kw) -> dict:
+    """G2 over a folder tree: files that can't be read are reported as errors."""
+    spark = store.spark
+    return run_index(store, discover_files(spark, folder, suffixes, max_bytes), unreadable=unreadable_files(spark, folder, suffixes, max_bytes), **kw)
 
 
 # ---------------------------------------------------------------- G1
@@ -158,11 +188,48 @@ def run_token_ingest(store: VectorStore, pages: DataFrame, *, encoder=None, toke
     """Execute G1: skip contents whose hash the store already holds (the set is
     read once, before the run), append the new chunks under random ids and
     quarantine documents without text.  ``pages``: path, page, text, file_hash."""
-    shared_dir(pages.sparkSession)
-    known = dedup.known_hashes(store.scan(["file_hash"])).checkpoint()
+    spark = store.spark
+    stages = {name: scratch_path(spark, name) for name in ("known", "points", "empty")}
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(stages[name])
+        return spark.read.schema(df.schema).parquet(stages[name])
+
+    known = kept("known", dedup.known_hashes(store.scan(["file_hash"])))
     points, empty = plan_token_ingest(pages, known, encoder=encoder or embed.HashingEncoder(store.dim), tokenizer=tokenizer)
-    points = points.checkpoint()
+    points, empty = kept("points", points), kept("empty", empty.select("path"))
     cols = [c for c in store.scan().columns if c != "point_id"]
     store.append(points.select(*cols))
     store.quarantine(empty.select("path", F.lit("document without extractable text").alias("error")), failed_at)
-    return {"chunks": points.count(), "empty": empty.count()}
+    out = {"chunks": points.count(), "empty": empty.count()}
+    for path in stages.values():
+        delete_path(spark, path)
+    return out
+
+
+def run_token_ingest_files(store: VectorStore, files: DataFrame, decoder, *, encoder=None, tokenizer=None,
+                           failed_at: str | None = None, unreadable: DataFrame | None = None) -> dict:
+    """G1 from file rows: hash, skip known contents (on path and hash alone),
+    decode the others to pages, quarantine those that fail, ingest the rest.
+    ``decoder``: a plug-in decoder, or a native one whose items are the pages."""
+    spark = store.spark
+    files = with_hash(files, "sha256")
+    new = dedup.drop_known(files.select("path", "file_hash"), dedup.known_hashes(store.scan(["file_hash"])))
+    todo = files.join(new.select("path"), "path", "left_semi")
+    if hasattr(decoder, "items_and_error"):
+        read = decoder.items_and_error(F.col("content"))
+    else:
+        read = F.struct(decoder.items(F.col("content")).alias("items"), F.lit(None).cast("string").alias("error"))
+    stage = scratch_path(spark, "decoded")
+    todo.select("path", "file_hash", read.alias("d")).select("path", "file_hash", "d.error", F.transform("d.items", lambda i: i["text"]).alias("pages")).write.parquet(stage)
+    decoded = spark.read.parquet(stage)
+    errors = decoded.where(F.col("error").isNotNull()).select("path", "error")
+    if unreadable is not None:
+        errors = errors.unionByName(unreadable.select("path", "error"))
+    store.quarantine(errors, failed_at)
+    pages = decoded.where(F.col("error").isNull()).select("path", "file_hash", F.posexplode_outer("pages").alias("pos", "text"))
+    out = run_token_ingest(store, pages.select("path", "file_hash", (F.coalesce("pos", F.lit(0)) + 1).alias("page"), "text"),
+                           encoder=encoder, tokenizer=tokenizer, failed_at=failed_at)
+    out["errors"] = errors.count()
+    delete_path(spark, stage)
+    return out

@@ -32,26 +32,57 @@ def _suffix_filter(suffixes) -> Column:
     return cond
 
 
+def _read_limit(spark: SparkSession, max_bytes: int | None) -> int:
+    """Largest file that is read: the caller's limit, at most the source's own
+    (beyond which it would stop the whole job)."""
+    own = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str((1 << 31) - 1)))
+    return own if max_bytes is None else min(own, max_bytes)
+
+
+def _listing(spark: SparkSession, folder: str, suffixes) -> DataFrame:
+    return (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).where(_suffix_filter(suffixes))
+    )
+
+
 def discover_files(spark: SparkSession, folder: str, suffixes=SUPPORTED_SUFFIXES, max_bytes: int | None = None,
                    sort: bool = False) -> DataFrame:
-    """Every file below ``folder`` with one of ``suffixes`` (any case):
-    ``path, filename, file_type, length, content``.  ``max_bytes`` filters on
-    the length before contents are read.  ``sort`` orders by path (a range
-    shuffle; the pipeline itself does not need the order)."""
-    df = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .where(_suffix_filter(suffixes))
-    )
-    if max_bytes is not None:
-        df = df.where(F.col("length") <= max_bytes)
-    df = df.select(
+    """Every readable file below ``folder`` with one of ``suffixes`` (any
+    case): ``path, filename, file_type, length, content``.  Files over
+    ``max_bytes`` and files that the source never lists (a name of the path
+    below the folder begins with ``_`` or ``.``) are in ``unreadable_files``.
+    ``sort`` orders by path (a range shuffle; the pipeline itself does not need
+    the order)."""
+    df = _listing(spark, folder, suffixes).where(F.col("length") <= _read_limit(spark, max_bytes)).select(
         "path", file_name("path").alias("filename"), file_type("path").alias("file_type"), "length", "content"
     )
     return df.orderBy("path") if sort else df
 
 
+def unreadable_files(spark: SparkSession, folder: str, suffixes=SUPPORTED_SUFFIXES, max_bytes: int | None = None) -> DataFrame:
+    """S10 input: ``path, error`` for the files of ``suffixes`` below ``folder``
+    that ``discover_files`` leaves out, so a run reports them like other bad
+    files.  Hidden names come from a plain listing of the folder, of which only
+    they are kept."""
+    limit = _read_limit(spark, max_bytes)
+    large = _listing(spark, folder, suffixes).where(F.col("length") > limit).select(
+        "path", F.concat(F.lit("file too large: "), F.col("length").cast("string"), F.lit(f" bytes, limit {limit}")).alias("error")
+    )
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return large
+    top = fs.getFileStatus(root).getPath().toString().rstrip("/") + "/"
+    hidden, files = [], fs.listFiles(root, True)
+    while files.hasNext():
+        path = files.next().getPath().toString()
+        low = path.lower()
+        if any(low.endswith(x.lower()) for x in suffixes) and any(n[:1] in ("_", ".") for n in path[len(top):].split("/")):
+            hidden.append((path, "hidden name: not read by the file source"))
+    return large.unionByName(spark.createDataFrame(hidden, "path string, error string"))
+
+
 def discover_by_suffix(spark: SparkSession, folder: str, suffix: str = ".pdf") -> DataFrame:
     """S2 (G1): as S1 with a single suffix; order unspecified."""
     return discover_files(spark, folder, (suffix,))
@@ -108,9 +139,6 @@ class TextDecoder(Decoder):
     def items(self, content: Column) -> Column:
         return F.transform(F.split(content.cast("string"), "\n"), lambda l: F.struct(self._style(l).alias("style"), l.alias("text")))
 
-    def decode(self, files, keep):
-        x = files.select(*keep, F.posexplode(F.split(_as_text(), "\n")).alias("pos", "text"))
-        return x.withColumn("style", self._style(F.col("text"))), _no_errors(files)
 
 
 # HTML entities decoded by the HTML decoder.
@@ -216,6 +244,15 @@ def optional_pdf_decoder() -> Decoder | None:
     return UdfDecoder(parse, "pages")
 
 
+def table_text(cells: list[list[str]]) -> str:
+    """X8 on the cells of one table, as ``blocks.table_rows_text`` lays them out:
+    blank cells and rows are left out."""
+    from vellum.operators.blocks import CELL_SEP, ROW_SEP
+
+    lines = (CELL_SEP.join(filter(None, map(str.strip, row))) for row in cells)
+    return ROW_SEP.join(filter(None, lines))
+
+
 def optional_docx_decoder() -> Decoder | None:
     """DOCX paragraphs (then tables) through python-docx when installed."""
     try:
@@ -228,14 +265,9 @@ def optional_docx_decoder() -> Decoder | None:
 
         import docx
 
-        d = docx.Document(io.BytesIO(b))
-        out = [((p.style.name if p.style else ""), p.text) for p in d.paragraphs]
-        for t in d.tables:
-            rows = [" | ".join(c.text.strip() for c in r.cells if c.text.strip()) for r in t.rows]
-            rows = [r for r in rows if r]
-            if rows:
-                out.append(("", "\n".join(rows)))
-        return out
+        opened = docx.Document(io.BytesIO(b))
+        body = [(p.style.name if p.style else "", p.text) for p in opened.paragraphs]
+        return body + [("", text) for text in map(table_text, ([[c.text for c in r.cells] for r in t.rows] for t in opened.tables)) if text]
 
     return UdfDecoder(parse, "elements")
 

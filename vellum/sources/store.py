@@ -73,7 +73,7 @@ def _exists(spark, path: str) -> bool:
     return fs.exists(p)
 
 
-def _delete(spark, path: str) -> None:
+def delete_path(spark, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
@@ -165,10 +165,10 @@ class VectorStore:
         for v in self._names(self.points_path):
             for b in self._names(f"{self.points_path}/{v}"):
                 if b.startswith("bucket=") and f"{b}@{v.split('=')[1]}" not in live:
-                    _delete(self.spark, f"{self.points_path}/{v}/{b}")
+                    delete_path(self.spark, f"{self.points_path}/{v}/{b}")
         for v in self._names(self.state_path):
             if v != f"v={m['state']}":
-                _delete(self.spark, f"{self.state_path}/{v}")
+                delete_path(self.spark, f"{self.state_path}/{v}")
 
     def _read(self, buckets: list[int] | None = None) -> DataFrame:
         """The points, of all or of some buckets (others' files are not listed)."""
@@ -222,7 +222,7 @@ class VectorStore:
         replaced = [r[0] for r in old.select("point_id", "bucket").join(ids, "point_id", "left_semi").select("bucket").distinct().collect()]
         keep = self._read(replaced).join(ids, "point_id", "left_anti")
         self._write(keep.select(*names).unionByName(new), replaced)
-        _delete(self.spark, stage)
+        delete_path(self.spark, stage)
 
     def remove_stale(self, state: DataFrame) -> None:
         """D8 clean-up: drop points whose (filepath, file_hash) is not the
@@ -236,7 +236,7 @@ class VectorStore:
         touched = [r[0] for r in stale.select("bucket").distinct().collect()]  # at most `buckets` numbers
         if touched:
             self._write(self._read(touched).join(stale.select("point_id"), "point_id", "left_anti"), touched)
-        _delete(self.spark, stage)
+        delete_path(self.spark, stage)
 
     # ------------------------------------------------------------ S7
     def append(self, points: DataFrame) -> None:
