@@ -17,6 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,15 @@ class WordIds:
     word is encoded once.  Latin texts are cut into pre-tokens here, of which
     there are fewer, where the tokenizer has the pattern known above."""
 
+    _loaded: ClassVar[dict[str, WordIds]] = {}
+
+    @classmethod
+    def shared(cls, path: str) -> WordIds:
+        """One for all tasks of a Python worker."""
+        if path not in cls._loaded:
+            cls._loaded[path] = cls(path)
+        return cls._loaded[path]
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -122,17 +132,13 @@ class WordIds:
         return ids, np.diff(upto, prepend=0)
 
 
-_LOADED: dict[str, WordIds] = {}
-
-
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, block: int = BLOCK) -> None:
     """Writes the ids of every text (null: none) and an end id, in ascending
     doc_id order (null doc_ids first; rows of one doc_id by their text)."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = TaskContext.get().partitionId(), 0
-        encoder = _LOADED.setdefault(tokenizer, None) or WordIds(tokenizer)
-        _LOADED[tokenizer] = encoder
+        encoder = WordIds.shared(tokenizer)
         held: list = []
 
         def out(ids, doc_ids, counts):
