@@ -1,12 +1,13 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from vellum.operators import dedup, report
 from vellum.plans import indexing
 from vellum.session import scratch_path
 from vellum.sources import files as src
-from vellum.sources.store import VectorStore
+from vellum.sources.store import VectorStore, point_schema
 
 LONG = ("Este es un párrafo largo sobre contratos y condiciones generales del servicio. " * 12).strip()
 HTML = ("<html><body><h1>Title</h1><p>" + "Alpha beta gamma delta epsilon. " * 10 + "</p>"
@@ -149,3 +150,77 @@ def test_plan_is_lazy_and_complete(spark):
     ch = plan.chunks.where(F.col("filepath") == "d/b.html").orderBy("chunk_id").collect()
     assert [r["section"] for r in ch] == ["Sección 1", "Second"]
     assert ch[0]["text"].startswith("Title\nAlpha")
+
+
+def test_reopened_store_keeps_its_buckets_and_prunes(spark, tmp_path):
+    """Another bucket count given on opening changes nothing; an upsert reads
+    and rewrites only the buckets of its points; readers see whole writes."""
+    from pyspark.sql import functions as F
+
+    def points(ids, text="x"):
+        rows = [(int(i), [1.0, 0.0], f"p{i}", f"h{i}", text) for i in ids]
+        d = spark.createDataFrame(rows, "point_id bigint, vector array<float>, filepath string, file_hash string, text string")
+        return d.select(*[F.col(f.name) if f.name in d.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in point_schema()])
+
+    root = str(tmp_path / "store")
+    VectorStore(spark, root, buckets=16).ensure(2).upsert(points(range(50)))
+    store = VectorStore(spark, root)
+    assert store.buckets == 16
+    before = store.scan(["point_id", "text"])
+    old = before.collect()
+    store.upsert(points(range(50), "y"))
+    assert store.count() == 50 and {r.text for r in store.scan(["text"]).collect()} == {"y"}
+    assert sorted(before.collect()) == sorted(old)  # an opened snapshot stays readable
+    first = store.manifest()["points"]
+    store.upsert(points([1], "z"))
+    changed = {b for v, bs in store.manifest()["points"].items() if v not in first for b in bs}
+    assert len(changed) == 1 and store.count() == 50
+    store.upsert(points([1000]))  # nothing replaced: its bucket only gets one more write
+    assert store.count() == 51
+    plan = store.scan(["point_id", "filename"]).where("filename = 'a'")._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(filename), EqualTo(filename,a)]" in plan
+    store.vacuum()
+    assert store.count() == 51
+
+
+def test_state_survives_damage_and_quarantine_does_not_repeat(spark, tmp_path):
+    store = VectorStore(spark, str(tmp_path / "s")).ensure(2)
+    assert store.load_state().count() == 0
+    store.save_state(spark.createDataFrame([("a", "1")], "path string, file_hash string"))
+    assert store.load_state().count() == 1
+    folder = f"{store.state_path}/v={store.manifest()['state']}"
+    for name in os.listdir(folder):
+        if name.endswith(".parquet"):
+            with open(f"{folder}/{name}", "wb") as f:
+                f.write(b"damaged")
+            if os.path.exists(f"{folder}/.{name}.crc"):
+                os.remove(f"{folder}/.{name}.crc")
+    with pytest.warns(UserWarning, match="unreadable"):
+        assert store.load_state().count() == 0
+    bad = spark.createDataFrame([("a.pdf", "broken")], "path string, error string")
+    store.quarantine(bad, "2024-01-01 00:00:00")
+    store.quarantine(bad, "2024-01-02 00:00:00")
+    assert store.load_quarantine().count() == 1
+
+
+def test_listing_reports_what_it_cannot_read(spark, tmp_path):
+    from vellum.plans.indexing import run_token_ingest_files, token_store_schema
+    from vellum.sources.files import TextDecoder, discover_files, unreadable_files
+
+    for name in ("a.txt", "_b.TXT", ".c.txt", "_sub/d.txt", ".hid/e.txt", "x y%20z.txt", "big.txt", "blank.txt"):
+        p = tmp_path / "in" / name
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_text("   \n" if name == "blank.txt" else name * (50 if name == "big.txt" else 1))
+    folder = str(tmp_path / "in")
+    read = {r.filename for r in discover_files(spark, folder, (".txt",), max_bytes=100).select("filename").collect()}
+    assert read == {"a.txt", "x y%20z.txt", "blank.txt"}
+    errors = {r.path.split("/in/")[1]: r.error for r in unreadable_files(spark, folder, (".txt",), max_bytes=100).collect()}
+    assert set(errors) == {"_b.TXT", ".c.txt", "_sub/d.txt", ".hid/e.txt", "big.txt"}
+    assert "too large" in errors["big.txt"] and "hidden" in errors["_b.TXT"]
+    store = VectorStore(spark, str(tmp_path / "g1")).ensure(64, token_store_schema())
+    out = run_token_ingest_files(store, discover_files(spark, folder, (".txt",), max_bytes=100), TextDecoder(),
+                                 unreadable=unreadable_files(spark, folder, (".txt",), max_bytes=100))
+    assert out == {"chunks": 2, "empty": 1, "errors": 5}
+    assert store.load_quarantine().count() == 6
+    again = run_token_ingest_files(store, discover_files(spark, folder, (".txt",), max_bytes=100), TextDecoder())
+    assert again["chunks"] == 0

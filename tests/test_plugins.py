@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from vellum.operators import chunking
 from vellum.operators import embed
 from vellum.operators.extract import decode_files
 from vellum.sources import files as src
@@ -51,3 +52,21 @@ def test_udf_decoder_errors_and_pages(spark):
     assert out["bad.pdf"]["error"] == "ValueError: cannot parse" and out["bad.pdf"]["blocks"] is None
     assert out["empty.pdf"]["error"].startswith("no extractable text")
     assert out["n.txt"]["error"] is None and out["n.txt"]["blocks"][0]["section"] == "Sección 1"
+
+
+class PairTokenizer:
+    """Stand-in for a tokenizer that runs in Python: two characters a token."""
+
+    stable = False
+
+    def codec(self):
+        return lambda t: [t[i : i + 2] for i in range(0, len(t), 2)], lambda ids: "".join(ids)
+
+
+def test_python_tokenizer_windows(spark):
+    d = spark.createDataFrame([(1, "abcdefghijk"), (2, ""), (3, None), (4, "ab")], "id int, text string")
+    w = chunking.token_window_chunks(d, "text", keep=["id"], size=3, overlap=1, tokenizer=PairTokenizer())
+    assert sorted(tuple(r) for r in w.collect()) == [
+        (1, 0, "abcdef", 3), (1, 1, "efghij", 3), (1, 2, "ijk", 2), (4, 0, "ab", 1)]
+    got = d.select(chunking.token_windows("text", 3, 1, PairTokenizer()).alias("w")).first()["w"]
+    assert got == ["abcdef", "efghij", "ijk"]

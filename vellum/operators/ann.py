@@ -23,12 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from vellum.functions.arrays import arrow_udf, keep_rows, posexplode_rows
-from vellum.functions.vectors import bind, dot
 from vellum.operators import search
 from vellum.session import shared_dir
 
 MAX_CENTRE_VALUES = 4_000_000  # centres shipped as one broadcast value (checked size)
-MAX_LITERAL_VALUES = 16_384  # up to this many, centres are literals in the plan
 
 
 @dataclass
@@ -38,11 +36,19 @@ class IvfIndex:
     cell_counts: DataFrame  # cell, n
 
 
-def build_ivf(points: DataFrame, cells: int = 16, *, vector: str = "vector", seed: int = 42, max_iter: int = 20) -> IvfIndex:
-    """Fit ``cells`` centres (k-means|| on all points) and assign every point."""
+def build_ivf(points: DataFrame, cells: int = 16, *, vector: str = "vector", seed: int = 42, max_iter: int = 20,
+              centres: list[list[float]] | None = None) -> IvfIndex:
+    """Assign every point to a cell.  The centres are given, or fitted
+    (k-means|| on all points).  ``points`` of the result can be written with
+    ``cell`` as a partition column and searched again (``open_ivf``): a search
+    then reads the probed cells only."""
+    if centres is not None:
+        _check_centres(centres)
+        assigned = probe_cells(points.where(F.col(vector).isNotNull()), centres, 1, vector)
+        return open_ivf(centres, assigned)
     from pyspark import StorageLevel
 
-    feats = points.withColumn("__f", array_to_vector(F.col(vector)))
+    feats = points.where(F.col(vector).isNotNull()).withColumn("__f", array_to_vector(F.col(vector)))
     # k-means reads its input once per iteration: keep the vectors for the fit
     # (spilling to disk when memory is short), release them afterwards
     train = feats.select("__f").persist(StorageLevel.MEMORY_AND_DISK)
@@ -51,28 +57,25 @@ def build_ivf(points: DataFrame, cells: int = 16, *, vector: str = "vector", see
     finally:
         train.unpersist()
     centres = [[float(x) for x in c] for c in model.clusterCenters()]
+    _check_centres(centres)
+    return open_ivf(centres, model.transform(feats).drop("__f").withColumn("cell", F.col("cell").cast("int")))
+
+
+def open_ivf(centres: list[list[float]], points: DataFrame) -> IvfIndex:
+    """An index over points that carry their ``cell`` already (a stored one)."""
+    return IvfIndex(centres, points, points.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _check_centres(centres: list[list[float]]) -> None:
     if len(centres) * len(centres[0]) > MAX_CENTRE_VALUES:
         raise ValueError("too many centre values to ship with the plan; lower `cells`")
-    assigned = model.transform(feats).drop("__f").withColumn("cell", F.col("cell").cast("int"))
-    counts = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    return IvfIndex(centres, assigned, counts)
 
 
 def probe_cells(queries: DataFrame, centres: list[list[float]], nprobe: int, vector: str = "vector") -> DataFrame:
-    """Each query row repeated for its ``nprobe`` closest centres (``cell``),
-    ties by the lower cell number.  Small indexes compare against literal
-    centres natively; larger ones use an Arrow UDF over a broadcast matrix."""
-    if len(centres) * len(centres[0]) <= MAX_LITERAL_VALUES:
-        lit_centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
-        ranked = bind(
-            F.col(vector),
-            lambda q: F.transform(
-                lit_centres, lambda c, i: F.struct((-dot(q, c)).alias("neg"), i.cast("int").alias("cell"))
-            ),
-        )
-        best = F.transform(F.slice(F.array_sort(ranked), 1, nprobe), lambda s: s["cell"])
-    else:
-        best = _probe_udf(queries.sparkSession, centres, nprobe)(F.col(vector))
+    """Each query row repeated for its ``nprobe`` centres of largest dot product
+    (``cell``), ties by the lower cell number.  Products are added up component
+    by component, so a near-tie falls the same way in every batch."""
+    best = _probe_udf(queries.sparkSession, centres, nprobe)(F.col(vector))
     cols = [F.col(c) for c in queries.columns]
     x = queries.select(*cols, posexplode_rows(best, "__i", "cell")).where(keep_rows("__i"))
     return x.withColumn("cell", F.col("cell").cast("int")).drop("__i")
@@ -84,31 +87,38 @@ def _probe_udf(spark, centres, nprobe):
     def run(s: pd.Series) -> pd.Series:
         c = bc.value
         q = np.stack(s.to_numpy()).astype(np.float64) if len(s) else np.zeros((0, c.shape[1]))
-        scores = q @ c.T
-        cells = np.arange(c.shape[0])
-        out = []
-        for row in scores:
-            order = np.lexsort((cells, -row))[:nprobe]
-            out.append(order.astype(np.int32))
-        return pd.Series(out)
+        scores = np.zeros((len(q), c.shape[0]))
+        for j in range(c.shape[1]):
+            scores += q[:, j : j + 1] * c[None, :, j]
+        return pd.Series(list(np.argsort(-scores, axis=1, kind="stable")[:, :nprobe].astype(np.int32)))
 
     return arrow_udf(run, ArrayType(IntegerType()))
 
 
 def ann_topk(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int = 4, threshold=None,
              point_id: str = "point_id", point_vec: str = "vector", query_id: str = "query_id",
-             query_vec: str = "vector", payload: list[str] | None = None,
+             query_vec: str = "vector", query_filter: str | None = None, point_filter: str | None = None,
+             payload: list[str] | None = None,
              broadcast_limit_bytes: int = search.DEFAULT_BROADCAST_LIMIT,
              points_per_bucket: int = search.POINTS_PER_BUCKET) -> DataFrame:
     """Approximate ``k`` best points per query among the points of its
-    ``nprobe`` closest cells.  Output as ``search.topk``."""
-    q = search._prepare_queries(queries, query_id, query_vec, k, threshold, None)
+    ``nprobe`` closest cells; filter and threshold as in ``search.topk``, whose
+    output this has.  Only points of probed cells are read."""
+    if (query_filter is None) != (point_filter is None):
+        raise ValueError("query_filter and point_filter go together")
+    q = search._prepare_queries(queries, query_id, query_vec, k, threshold, query_filter).where("__qvec is not null")
     shared_dir(index.points.sparkSession)
     q = q.checkpoint()  # read by the size check and by the probe
     stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("__qvec")).alias("dim"), F.max("__k").alias("kmax")).first()
     n_q, dim, kmax = int(stats["n"]), int(stats["dim"] or 0), int(stats["kmax"] or 0)
     qp = probe_cells(q, index.centres, nprobe, "__qvec")
-    p = index.points.select(search.point_key(index.points, point_id).alias("__pid"), F.col(point_vec).alias("__pvec"), "cell")
+    shared_dir(index.points.sparkSession)
+    probed = [r[0] for r in qp.select("cell").distinct().collect()]  # at most the number of cells
+    pcols = [search.point_key(index.points, point_id).alias("__pid"), F.col(point_vec).alias("__pvec"), "cell"]
+    if point_filter is not None:
+        pcols.append(F.col(point_filter).cast("string").alias("__pfilter"))
+    points = index.points if len(probed) == len(index.centres) else index.points.where(F.col("cell").isin(probed))
+    p = points.select(*pcols)
     p = p.where("__pid is not null and __pvec is not null")
     cands = search._block_scan(
         qp, p, kmax, n_q * (max(dim, 1) * 8 + 48 + search._HIT_BYTES * kmax), broadcast_limit_bytes, points_per_bucket,

@@ -526,7 +526,7 @@ SQL["extract_blocks"] = f"""WITH mf AS (
   SELECT 'documents/' || lang || '/' || source || '_' || CAST(doc_id AS VARCHAR) || '.txt' AS path, text AS content, 'txt' AS ft
   FROM documents
   UNION ALL SELECT 'pages/' || CAST(page_id AS VARCHAR) || '.html', html, 'html' FROM pages
-  UNION ALL SELECT 'conversations/' || CAST(conv_id AS VARCHAR) || '.json', CAST(count(*) AS VARCHAR), 'json'
+  UNION ALL SELECT 'conversations/' || CAST(conv_id AS VARCHAR) || '.json', coalesce(string_agg(text, chr(10) ORDER BY turn), ''), 'json'
   FROM conversations GROUP BY conv_id
 ), raw AS (
   SELECT path, unnest(ls) AS l, generate_subscripts(ls, 1) AS rpos
@@ -569,7 +569,7 @@ MIXED = """mf AS (
   SELECT 'documents/' || lang || '/' || source || '_' || CAST(doc_id AS VARCHAR) || '.txt' AS path, text AS content, 'txt' AS ft
   FROM documents
   UNION ALL SELECT 'pages/' || CAST(page_id AS VARCHAR) || '.html', html, 'html' FROM pages
-  UNION ALL SELECT 'conversations/' || CAST(conv_id AS VARCHAR) || '.json', CAST(count(*) AS VARCHAR), 'json'
+  UNION ALL SELECT 'conversations/' || CAST(conv_id AS VARCHAR) || '.json', coalesce(string_agg(text, chr(10) ORDER BY turn), ''), 'json'
   FROM conversations GROUP BY conv_id
 )"""
 
@@ -604,3 +604,34 @@ SELECT t.path,
             WHEN h.path IS NULL THEN 'no extractable text (scanned without OCR?)'
             WHEN coalesce(c.n, 0) = 0 THEN 'no valid chunks after extraction' END
 FROM todo t LEFT JOIN hasblk h USING (path) LEFT JOIN cnt c USING (path)"""
+
+SQL["search_copies"] = """
+WITH p AS (SELECT vec_id AS point_id, embedding FROM embeddings UNION ALL SELECT vec_id + 1000000000, embedding FROM embeddings), s AS (
+  SELECT q.vec_id AS query_id, p.point_id, list_dot_product(q.embedding::DOUBLE[], p.embedding::DOUBLE[]) AS score
+  FROM embeddings q CROSS JOIN p
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, point_id FROM r WHERE rank <= 5
+"""
+
+SQL["g1_store_search"] = f"""WITH d AS (
+  SELECT conv_id, coalesce(string_agg(CASE WHEN length(t) > 0 THEN t || chr(10) END, '' ORDER BY turn), '') AS text
+  FROM (SELECT conv_id, turn, {BLANKED} AS t FROM conversations) GROUP BY conv_id
+),
+w AS (SELECT {windows('text', 500, 50)} AS ws FROM d WHERE length({strip('text')}) > 0),
+u AS (SELECT unnest(ws) AS t FROM w),
+pts AS (SELECT t AS text, {hashed_vector('t')} AS vector FROM u),
+qv AS (SELECT item_id AS query_id, {hashed_vector('text')} AS vec FROM benchmark),
+sc AS (SELECT q.query_id, p.text, list_dot_product(q.vec::DOUBLE[], p.vector::DOUBLE[]) AS score FROM qv q CROSS JOIN pts p),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC) AS rank FROM sc)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, md5(text) AS text_md5 FROM r WHERE rank <= 3"""
+
+SQL["ann_topk_given"] = """
+WITH m AS (SELECT label, i, avg(x::DOUBLE) AS x FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY label, i),
+c AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cell, list(x ORDER BY i) AS v FROM m GROUP BY label),
+near AS (SELECT vec_id, embedding, cell, row_number() OVER (PARTITION BY vec_id ORDER BY list_dot_product(embedding::DOUBLE[], v) DESC, cell) AS n
+         FROM embeddings CROSS JOIN c),
+s AS (SELECT q.vec_id AS query_id, p.vec_id AS point_id, list_dot_product(q.embedding::DOUBLE[], p.embedding::DOUBLE[]) AS score
+      FROM near q JOIN near p ON q.cell = p.cell WHERE q.n <= 4 AND p.n = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, point_id FROM r WHERE rank <= 5
+"""

@@ -518,9 +518,9 @@ def mixed_files(spark, sf_dir):
     docs = doc_files(spark, sf_dir).select("path", F.col("text").alias("content"))
     pages = table(spark, sf_dir, "pages").select(
         F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"), F.col("html").alias("content"))
-    conv = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns")).select(
-        F.concat(F.lit("conversations/"), F.col("conv_id").cast("string"), F.lit(".json")).alias("path"),
-        F.col("turns").cast("string").alias("content"))
+    turns = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    conv = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(turns, lambda t: t["text"]), "\n").alias("content"))
+    conv = conv.select(F.concat(F.lit("conversations/"), F.col("conv_id").cast("string"), F.lit(".json")).alias("path"), "content")
     allf = docs.unionByName(pages).unionByName(conv)
     return src.with_hash(src.files_from_table(allf, F.col("path"), F.col("content")))
 
@@ -732,3 +732,41 @@ def q_index_documents_windows(spark, sf_dir):
 
 
 QUERIES["index_documents_windows"] = q_index_documents_windows
+
+
+def q_search_copies(spark, sf_dir):
+    """Q1 on exact copies: every embedding stands twice among the points, the
+    copies in other partitions; of equal scores the smaller id comes first."""
+    e = table(spark, sf_dir, "embeddings")
+    pts = e.select(F.col("vec_id").alias("point_id"), F.col("embedding").alias("vector"))
+    pts = pts.unionByName(pts.withColumn("point_id", F.col("point_id") + 1_000_000_000))
+    hits = search.topk(pts, e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")), 5)
+    return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "point_id")
+
+
+def q_g1_store_search(spark, sf_dir):
+    """G1 end to end on its own store (S7, Q1, Q6): conversations are ingested
+    under random string ids and that very store is searched (without the ids)."""
+    from vellum.plans.indexing import run_token_ingest, token_store_schema
+
+    store = VectorStore(spark, scratch_path(spark, "g1search"), buckets=8).ensure(DIM, token_store_schema())
+    c = with_blank_files(table(spark, sf_dir, "conversations"))
+    path = F.concat(F.lit("conversations/"), F.col("conv_id").cast("string"), F.lit(".pdf"))
+    pages = c.select(path.alias("path"), (F.col("turn") + 1).alias("page"), "text", F.md5(F.col("conv_id").cast("string")).alias("file_hash"))
+    run_token_ingest(store, pages, failed_at=RUN_AT.replace("T", " "))
+    qs = embed.embed_queries(benchmark_queries(spark, sf_dir), embed.HashingEncoder(DIM), with_prefix=False)
+    hits = search.topk(store.scan(), qs, 3, payload=["text"])
+    return hits.select("query_id", "rank", F.round("score", 4).alias("score"), F.md5("text").alias("text_md5"))
+
+
+def q_ann_topk_given(spark, sf_dir):
+    """Q9 with given centres (the mean vector of each label), 4 cells probed."""
+    e = table(spark, sf_dir, "embeddings")
+    means = e.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    rows = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).orderBy("label").collect()  # one row a label
+    idx = ann.build_ivf(points_from_embeddings(spark, sf_dir), centres=[[p["x"] for p in r["v"]] for r in rows])
+    hits = ann.ann_topk(idx, e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")), 5, nprobe=4)
+    return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "point_id")
+
+
+QUERIES.update({"search_copies": q_search_copies, "g1_store_search": q_g1_store_search, "ann_topk_given": q_ann_topk_given})

@@ -7,15 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """Parquet scan.  Splits follow row groups, so a small file written as one
-    row group is one task; when a scan has fewer splits than the cluster has
-    cores it is spread round-robin (deterministic: rows are sorted locally
-    before the exchange) so per-row text work runs on every core.  Large
-    inputs already have one split per ``spark.sql.files.maxPartitionBytes``
-    and are left as they are (no shuffle)."""
+    row group is one task; such a scan is spread round-robin (deterministic:
+    rows are sorted locally before the exchange) so per-row text work runs on
+    every core.  Anything with several splits is left as it is (no shuffle)."""
     df = spark.read.parquet(path)
     try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()  # planning only, nothing is read
     except Exception:  # noqa: BLE001 - sessions without RDD access: leave the scan as is
         return df
-    return df.repartition(target) if splits < target else df
+    return df.repartition(min_partitions or spark.sparkContext.defaultParallelism) if splits <= 1 else df
