@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pytest
 from tests.llm.conftest import MESSY
 
 from vellum.llm import line_dedup, suffix_dedup
@@ -40,7 +42,10 @@ def test_low_entropy_texts_and_overlaps(frame):
     check(frame, rows + [(3, "a" * 200), (100, rows[7][1]), (101, rows[7][1]), (None, rows[7][1])])
 
 
-def test_common_passage_between_different_texts(frame):
+@pytest.mark.parametrize("hot", [64, 1])
+def test_common_passage_between_different_texts(frame, monkeypatch, hot):
+    """With ``HOT`` = 1 every parted bucket goes the way of very common ones."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
     r = random.Random(6)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
     text = lambda n: " ".join(word() for _ in range(n))
@@ -56,11 +61,23 @@ def test_long_texts_are_cut_without_loss(frame, monkeypatch):
 
     whole = suffix_dedup._all_anchors(pa.array([base.encode(), base[100:700].encode()], pa.binary()))
     windows = {0: set(), 1: set()}
-    for row, first, more in zip(whole[0], whole[2], whole[3]):
+    for row, first, more in zip(whole[0], whole[3], whole[4]):
         windows[int(row)] |= set(range(int(first), int(first + more) + 1))
     assert windows == {0: set(range(851)), 1: set(range(551))}
 
 
+def test_window_ranks_are_equal_for_equal_strings_only():
+    r = random.Random(8)
+    data = bytes(r.choice(b"ab") for _ in range(400)) + b"x" + b"ab" * 60 + b"y" + b"ab" * 40
+    starts = np.arange(len(data) - 49)
+    ranks = suffix_dedup.window_ranks(np.frombuffer(data, np.uint8), starts)
+    by_rank, by_string = {}, {}
+    for s, k in zip(starts.tolist(), ranks.tolist()):
+        by_rank.setdefault(k, set()).add(data[s : s + 50])
+        by_string.setdefault(data[s : s + 50], set()).add(k)
+    assert all(len(x) == 1 for x in by_rank.values()) and all(len(x) == 1 for x in by_string.values())
+
+
 def test_empty_table(frame):
     assert suffix_dedup.remove_repeats(frame([])).count() == 0
     assert line_dedup.drop_repeated_runs(frame([])).count() == 0

@@ -39,14 +39,15 @@ from pyspark.sql import functions as F
 from vellum.llm.common import written
 
 LENGTH, GRAM = 50, 20
-PIECE = 1 << 20  # bytes worked on at once
-BUCKET = 64 << 20  # bytes of text a bucket task stands for
+PIECE = 1 << 18  # bytes worked on at once, about
+ROWS = 4096  # documents of a batch
+BUCKET = 16 << 20  # bytes of text a bucket task stands for
 U = np.uint64
 _rng = np.random.default_rng(20)
 LETTER = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 STEP = {h: U(int(_rng.integers(1 << 62, 1 << 63)) * 2 + 1) for h in (1, 2, 4, 8, 16, 20)}
 HOT = 64  # contexts of a bucket in one batch
-CHUNK = 1 << 22  # context bytes refined at once, unless one bucket has more
+CHUNK = 1 << 21  # context bytes refined at once, unless one bucket has more
 WEIGHTS = _rng.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * U(2) + U(1)
 
 
@@ -207,38 +208,43 @@ def refined_anchors(texts: DataFrame, buckets: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_ids, hs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            row, ids, context, at, more = _all_anchors(batch.column(2))
-            if not len(ids):
-                continue
-            order = np.lexsort((doc_ids[row], context, ids))
-            row, ids, context, at, more = (x[order] for x in (row, ids, context, at, more))
-            i = doc_ids[row]
-            bucket, parted = _new(ids), _new(ids, context)
-            shared = _spread(i, bucket, np.minimum) != _spread(i, bucket, np.maximum)
-            very = _spread(parted.astype(np.int64), bucket, np.add) > HOT
-            lost = i > _spread(i, parted, np.minimum)
-            out = []
-            kind = np.where(lost, LOST, OPEN_HOT)
-            k = np.flatnonzero(lost | very)
-            for r in _results(row[k], kind[k], at[k], more[k], ids[k], doc_ids, hs):
-                part = buckets + abs(r[1]) % buckets
-                out.append((part, True, np.int64(r[0]).tobytes(), np.int64(r[1]).tobytes(), np.int64(r[2]).tobytes(), b"", b"", b"", r[3], r[4]))
-            # one place of a very common bucket tells the others about it
-            k = np.flatnonzero(~lost & (~very | bucket))
-            flag = np.where(shared[k], SHARED, 0) | np.where(very[k], VERY, 0)
-            part = (ids[k] >> U(40)).astype(np.int64) % buckets
-            by = np.lexsort((ids[k] & U((1 << 40) - 1), part))
-            begin = np.flatnonzero(_new(part[by]))
-            table = doc_ids.tobytes(), hs.tobytes()
-            for s, e in zip(begin.tolist(), [*begin[1:].tolist(), len(by)]):
-                j = by[s:e]
-                x = ids[k[j]] & U((1 << 40) - 1)
-                step = np.diff(x, prepend=U(0))  # rising: small steps
-                out.append((int(part[j[0]]), False, *table, _packed(step & U(0xFFFFFFFF), "<u4"), _packed(step >> U(32), "<u1"), context[k[j]].tobytes(),
-                            _packed(row[k[j]], "<u4"), _packed(at[k[j]], "<i4"), _packed(more[k[j]] | flag[j], "<u1")))
-            for n in range(0, len(out), 256):
-                yield _table(out[n : n + 256], SENT)
+            for n in range(0, batch.num_rows, ROWS):
+                out = sent(batch.slice(n, ROWS))
+                for i in range(0, len(out), 256):
+                    yield _table(out[i : i + 256], SENT)
+
+    def sent(batch: pa.RecordBatch) -> list[tuple]:
+        doc_ids, hs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        row, ids, context, at, more = _all_anchors(batch.column(2))
+        if not len(ids):
+            return []
+        order = np.lexsort((doc_ids[row], context, ids))
+        row, ids, context, at, more = (x[order] for x in (row, ids, context, at, more))
+        i = doc_ids[row]
+        bucket, parted = _new(ids), _new(ids, context)
+        shared = _spread(i, bucket, np.minimum) != _spread(i, bucket, np.maximum)
+        very = _spread(parted.astype(np.int64), bucket, np.add) > HOT
+        lost = i > _spread(i, parted, np.minimum)
+        out = []
+        kind = np.where(lost, LOST, OPEN_HOT)
+        k = np.flatnonzero(lost | very)
+        for r in _results(row[k], kind[k], at[k], more[k], ids[k], doc_ids, hs):
+            part = buckets + abs(r[1]) % buckets
+            out.append((part, True, np.int64(r[0]).tobytes(), np.int64(r[1]).tobytes(), np.int64(r[2]).tobytes(), b"", b"", b"", r[3], r[4]))
+        # one place of a very common bucket tells the others about it
+        k = np.flatnonzero(~lost & (~very | bucket))
+        flag = np.where(shared[k], SHARED, 0) | np.where(very[k], VERY, 0)
+        part = (ids[k] >> U(40)).astype(np.int64) % buckets
+        by = np.lexsort((ids[k] & U((1 << 40) - 1), part))
+        begin = np.flatnonzero(_new(part[by]))
+        for s, e in zip(begin.tolist(), [*begin[1:].tolist(), len(by)]):
+            j = by[s:e]
+            x = ids[k[j]] & U((1 << 40) - 1)
+            step = np.diff(x, prepend=U(0))  # rising: small steps
+            used, doc = np.unique(row[k[j]], return_inverse=True)
+            out.append((int(part[j[0]]), False, _packed(doc_ids[used], "<i8"), _packed(hs[used], "<i8"), _packed(step & U(0xFFFFFFFF), "<u4"),
+                        _packed(step >> U(32), "<u1"), context[k[j]].tobytes(), _packed(doc, "<u4"), _packed(at[k[j]], "<i4"), _packed(more[k[j]] | flag[j], "<u1")))
+        return out
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -249,18 +255,18 @@ def refined_anchors(texts: DataFrame, buckets: int) -> DataFrame:
                     one = lambda c: int(np.frombuffer(x[c], np.int64)[0])  # noqa: B023, E731
                     rows.append((one("doc_ids"), one("hs"), one("low"), x["at"], x["more"], b""))
                 else:
-                    used, doc = np.unique(_unpacked(x["doc"], "<u4"), return_inverse=True)
                     step = _unpacked(x["low"], "<u4").astype(U) | (_unpacked(x["mid"], "<u1").astype(U) << U(32))
                     held.setdefault(x["part"], []).append((
-                        np.cumsum(step, dtype=U), np.frombuffer(x["context"], U), doc, _unpacked(x["at"], "<i4"), _unpacked(x["more"], "<u1"),
-                        np.frombuffer(x["doc_ids"], np.int64)[used], np.frombuffer(x["hs"], np.int64)[used],
+                        np.cumsum(step, dtype=U), np.frombuffer(x["context"], U), _unpacked(x["doc"], "<u4"), _unpacked(x["at"], "<i4"),
+                        _unpacked(x["more"], "<u1"), _unpacked(x["doc_ids"], "<i8"), _unpacked(x["hs"], "<i8"),
                     ))
             if rows:
                 yield _table(rows, FOUND)
         for part, pieces in held.items():
             sizes = np.cumsum([0, *(len(p[5]) for p in pieces)])
             ids, context, at, flags, doc_ids, hs = (np.concatenate([p[c] for p in pieces]) for c in (0, 1, 3, 4, 5, 6))
-            doc = np.concatenate([p[2] + s for p, s in zip(pieces, sizes)])
+            doc = np.concatenate([p[2] + np.uint32(s) for p, s in zip(pieces, sizes)])
+            pieces.clear()
             order = np.lexsort((context, ids))
             ids, context, at, flags, doc = (x[order] for x in (ids, context, at, flags, doc))
             i = doc_ids[doc]
@@ -341,8 +347,9 @@ def _refine_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = t.combine_chunks()
         doc, gram = t.column("doc_id").to_numpy(), t.column("gram").to_numpy()
         data, row, k, place = _contexts(t.column("context").combine_chunks() if t.column("context").num_chunks != 1 else t.column("context").chunk(0))
-        order = np.lexsort((doc[row], window_ranks(data, place), gram[row]))
-        rank, g, i = window_ranks(data, place)[order], gram[row][order], doc[row][order]
+        rank = window_ranks(data, place)
+        order = np.lexsort((rank, gram[row]))
+        rank, g, i = rank[order], gram[row][order], doc[row][order]
         lost = np.sort(order[i > _spread(i, _new(rank, g), np.minimum)])
         at = t.column("at").to_numpy()[row[lost]] + k[lost]
         return pa.record_batch([pa.array(doc[row[lost]]), pa.array(t.column("h").to_numpy()[row[lost]]), pa.array(at)], ["doc_id", "h", "at"])
