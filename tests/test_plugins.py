@@ -54,16 +54,15 @@ def test_udf_decoder_errors_and_pages(spark):
     assert out["n.txt"]["error"] is None and out["n.txt"]["blocks"][0]["section"] == "Sección 1"
 
 
-class PairTokenizer:
-    """Stand-in for a tokenizer that runs in Python: two characters a token."""
-
-    stable = False
+def test_python_tokenizer_windows(spark):
+    """A stand-in for a tokenizer that runs in Python: two characters a token."""
 
-    def codec(self):
-        return lambda t: [t[i : i + 2] for i in range(0, len(t), 2)], lambda ids: "".join(ids)
+    class PairTokenizer:
+        stable = False
 
+        def codec(self):
+            return lambda t: [t[i : i + 2] for i in range(0, len(t), 2)], lambda ids: "".join(ids)
 
-def test_python_tokenizer_windows(spark):
     d = spark.createDataFrame([(1, "abcdefghijk"), (2, ""), (3, None), (4, "ab")], "id int, text string")
     w = chunking.token_window_chunks(d, "text", keep=["id"], size=3, overlap=1, tokenizer=PairTokenizer())
     assert sorted(tuple(r) for r in w.collect()) == [

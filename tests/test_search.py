@@ -95,23 +95,28 @@ def test_result_views(spark):
     assert g1["preview"] == ("x\n" * 200)[:600] + "..." if len("x\n" * 200) > 600 else g1["preview"] == "x\n" * 200
 
 
-def test_ivf_probe_paths_agree(spark):
+def test_ivf_probes_given_centres_and_filters(spark):
     rnd = np.random.default_rng(5)
     v = rnd.normal(size=(120, 6)).astype(np.float32)
     v /= np.linalg.norm(v, axis=1, keepdims=True)
-    p = pts(spark, [(int(i), v[i].tolist(), "f") for i in range(120)])
+    p = pts(spark, [(int(i), v[i].tolist(), "f%d" % (i % 2)) for i in range(120)])
     q = qs(spark, [(int(i), v[i].tolist()) for i in range(0, 120, 5)])
-    idx = ann.build_ivf(p, 5)
-    lit = sorted(map(tuple, ann.probe_cells(q, idx.centres, 2).select("query_id", "cell").collect()))
-    old = ann.MAX_LITERAL_VALUES
-    try:
-        ann.MAX_LITERAL_VALUES = 0  # force the broadcast + Arrow path
-        udf = sorted(map(tuple, ann.probe_cells(q, idx.centres, 2).select("query_id", "cell").collect()))
-        full = ann.ann_topk(idx, q, 3, nprobe=5)
-        assert ann.recall_at_k(full, search.topk(p, q, 3)).first()["recall"] == 1.0
-    finally:
-        ann.MAX_LITERAL_VALUES = old
-    assert lit == udf and len(lit) == 2 * 24
+    centres = v[[3, 50, 77, 90, 110]].astype(float).tolist()
+    idx = ann.build_ivf(p, centres=centres)
+    products = v.astype(float) @ np.array(centres).T
+    near = {i: np.argsort(-products[i], kind="stable")[:2].tolist() for i in range(120)}
+    got = sorted(map(tuple, ann.probe_cells(q, centres, 2).select("query_id", "cell").collect()))
+    assert got == sorted((i, c) for i in range(0, 120, 5) for c in near[i])
+    full = ann.ann_topk(idx, q, 3, nprobe=5)
+    assert ann.recall_at_k(full, search.topk(p, q, 3)).first()["recall"] == 1.0
+    hits_ = ann.ann_topk(idx, q.withColumn("f", F.lit("f1")), 4, nprobe=2, query_filter="f", point_filter="filename").collect()
+    for i in range(0, 120, 5):
+        allowed = [j for j in range(1, 120, 2) if near[j][0] in near[i]]
+        want = sorted(allowed, key=lambda j: (-float(v[i].astype(float) @ v[j].astype(float)), j))[:4]
+        assert [r["point_id"] for r in sorted(hits_, key=lambda r: r["rank"]) if r["query_id"] == i] == want
+    one = ann.ann_topk(idx, q.limit(1), 1, nprobe=1)
+    plan = one._jdf.queryExecution().toString()
+    assert "cell" in plan and one.count() == 1
 
 
 def test_rank_does_not_depend_on_layout(spark):

@@ -371,10 +371,13 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, filena
        {preview_sql('text', 600)} AS preview FROM hits"""
 
 SQL["result_view_g2"] = f"""WITH {BATCH}
-SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, coalesce(filename, 'N/A') AS filename,
-       CAST(NULL AS VARCHAR) AS page_info, CAST(NULL AS VARCHAR) AS section,
-       coalesce(CAST(chunk_id AS VARCHAR), '?') || '/' || coalesce(CAST(total_chunks AS VARCHAR), '?') AS chunk_info,
-       CAST(coalesce(char_count, 0) AS INTEGER) AS char_count, {preview_sql("coalesce(text, '')", 300, True)} AS preview
+SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, CASE WHEN point_id % 5 = 0 THEN 'N/A' ELSE filename END AS filename,
+       CASE WHEN point_id % 6 = 0 THEN CAST(chunk_id + 1 AS VARCHAR) || '/' || CAST(total_chunks AS VARCHAR)
+            WHEN point_id % 3 = 0 THEN CAST(chunk_id + 1 AS VARCHAR) || '/?' END AS page_info,
+       CASE WHEN point_id % 3 = 1 THEN substr(text, 1, 40) END AS section,
+       CASE WHEN point_id % 11 = 0 THEN '?' ELSE CAST(chunk_id AS VARCHAR) END || '/' ||
+       CASE WHEN point_id % 7 = 0 THEN '?' ELSE CAST(total_chunks AS VARCHAR) END AS chunk_info,
+       CAST(CASE WHEN point_id % 13 = 0 THEN 0 ELSE char_count END AS INTEGER) AS char_count, {preview_sql("coalesce(text, '')", 300, True)} AS preview
 FROM hits"""
 
 SQL["empty_queries"] = f"""WITH {BATCH}

@@ -410,10 +410,16 @@ def q_result_view_g1(spark, sf_dir):
 
 
 def q_result_view_g2(spark, sf_dir):
-    """Q7: G2 result cards."""
+    """Q7: G2 result cards.  Which payload fields a hit has goes by its id, so
+    every way of showing them occurs (pages with and without a total, long
+    sections, missing fields)."""
     hits = batch_hits(spark, sf_dir, ["filename", "chunk_id", "total_chunks", "char_count", "text"])
-    hits = hits.withColumn("page", F.lit(None).cast("int")).withColumn("total_pages", F.lit(None).cast("int"))
-    return search.result_view_g2(hits.withColumn("section", F.lit(None).cast("string")))
+    by = lambda n, r=0: F.col("point_id") % n == r
+    return search.result_view_g2(hits.withColumns({
+        "page": F.when(by(3), F.col("chunk_id") + 1), "total_pages": F.when(by(6), F.col("total_chunks")), "section": F.when(by(3, 1), F.col("text")),
+        "filename": F.when(~by(5), F.col("filename")), "total_chunks": F.when(~by(7), F.col("total_chunks")),
+        "chunk_id": F.when(~by(11), F.col("chunk_id")), "char_count": F.when(~by(13), F.col("char_count")),
+    }))
 
 
 def q_empty_queries(spark, sf_dir):
