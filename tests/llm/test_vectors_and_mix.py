@@ -67,22 +67,15 @@ def test_recall_near_the_threshold():
     y -= (x * y).sum(1, keepdims=True) * x
     y /= np.linalg.norm(y, axis=1, keepdims=True)
     y = 0.981 * x + np.sqrt(1 - 0.981**2) * y
-    per_block = 71
-    codes = embedding_dedup.directions(64, per_block)
-    from statistics import NormalDist
-
-    t = NormalDist().inv_cdf(1 - embedding_dedup.CAPS / per_block**2) / 8
+    codes = embedding_dedup.directions(64, 71)
     sets = []
     for v in (x, y):
-        row, f = embedding_dedup.decode(v, codes, t)
-        sets.append([set() for _ in v])
-        for i, k in zip(row.tolist(), f.tolist()):
-            sets[-1][i].add(k)
-        # list decoding finds every filter over the threshold
-        full = np.concatenate([np.add.outer(a, b).reshape(1, -1) for a, b in zip(v[:20, :32] @ codes[0].T, v[:20, 32:] @ codes[1].T)])
-        for i in range(20):
-            assert sets[-1][i] == set(np.flatnonzero(full[i] >= min(full[i].max(), t) - 1e-12).tolist())
-    assert sum(bool(a & b) for a, b in zip(*sets)) / len(x) > 0.99
+        found = embedding_dedup.decode(v, codes, embedding_dedup.CAPS)
+        sets.append([set(r) for r in found.tolist()])
+        # list decoding finds the best of all filters
+        full = np.stack([np.add.outer(a, b).ravel() for a, b in zip(v[:50, :32] @ codes[0].T, v[:50, 32:] @ codes[1].T)])
+        assert [set(r) for r in np.argsort(-full, axis=1)[:, : embedding_dedup.CAPS].tolist()] == sets[-1][:50]
+    assert sum(bool(a & b) for a, b in zip(*sets)) / len(x) > 0.999
 
 
 def test_components_of_long_paths_and_stars(spark):

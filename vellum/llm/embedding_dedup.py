@@ -1,17 +1,15 @@
 """Embedding near-duplicates by spherical-cap filters.
 
 The filter directions are a structured random product code: the dimensions
-are cut into ``BLOCKS`` runs, each with its own seeded set of random unit
-directions, and a filter is one direction of each.  A vector is list-decoded to
-every filter whose inner product exceeds a cap threshold: directions of each
-block are ranked by product, and only combinations whose sum passes are kept.
-Vectors of one label that share a filter are compared in double precision.
-
-Sizes follow the data by one rule: the number of filters grows with the
-largest label, so the expected rows of a filter stay the same, and the
-threshold is the normal quantile that lets a vector pass ``CAPS`` filters on
-average.  Each vector always has its best filter.  Two vectors at cosine 0.98
-share about 0.8 of their caps, which misses about exp(-0.8 * CAPS) of pairs.
+are cut into two halves, each with its own seeded set of random unit
+directions, and a filter is one direction of each.  A vector's cap is as high
+as leaves ``CAPS`` filter directions over it, and it is list-decoded to all of
+those: the directions of each half are ranked by product, and only the pairs
+of ranks (i, j) with i * j <= CAPS can be among the best.  Vectors of one label
+that share a filter are compared in double precision.  Of isotropic pairs at
+cosine 0.981, over 0.999 share one (tested); closer pairs share more.  The number of
+filters grows with the largest label by one rule, so the expected rows of a
+filter stay the same.
 
 Exact copies are aggregated first.  A filter with many rows is cut into
 pieces, compared piece against piece.  A pair that shares several filters is
@@ -21,8 +19,6 @@ counts and no pair is ever emitted; connectivity leaves each task as stars.
 
 from __future__ import annotations
 
-from statistics import NormalDist
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,39 +27,33 @@ from pyspark.sql import functions as F
 from vellum.llm.common import written
 from vellum.llm.graph import components
 
-BLOCKS = 2
-CAPS = 24  # filters a vector passes on average
-ROWS = 24  # rows of an average filter of the largest label
+CAPS = 16  # filter directions over a vector's cap
+ROWS = 16  # rows of an average filter of the largest label
 PIECE = 512  # rows of a filter compared in one block
 SEED = 7
 
 
-def directions(dim: int, per_block: int) -> list[np.ndarray]:
-    """Unit directions of each block, each scaled so that a product direction has norm 1."""
+def directions(dim: int, per_half: int) -> list[np.ndarray]:
+    """Unit directions of both halves, scaled so that a product direction has norm 1."""
     rng = np.random.default_rng(SEED)
     out = []
-    for size in (len(x) for x in np.array_split(np.arange(dim), BLOCKS)):
-        g = rng.standard_normal((per_block, size))
+    for size in (dim - dim // 2, dim // 2):
+        g = rng.standard_normal((per_half, size))
         out.append(g / np.maximum(np.linalg.norm(g, axis=1, keepdims=True), 1e-300) * np.sqrt(size / dim))
     return out
 
 
-def decode(unit: np.ndarray, codes: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row number and filter number of every filter above the threshold, and
-    each row's best filter."""
-    rows, filters = np.arange(len(unit)), np.zeros(len(unit), np.int64)
-    sums, at = np.zeros(len(unit)), 0
-    products = []
-    for c in codes:
-        products.append(unit[:, at : at + c.shape[1]] @ c.T)
-        at += c.shape[1]
-    rest = [sum(p.max(1) for p in products[i + 1 :]) if i + 1 < len(products) else np.zeros(len(unit)) for i in range(len(products))]
-    best = np.minimum(sum(p.max(1) for p in products), threshold) - 1e-12
-    for p, c, left in zip(products, codes, rest):
-        s = sums[:, None] + p[rows]
-        i, j = np.nonzero(s + left[rows][:, None] >= best[rows][:, None])
-        rows, sums, filters = rows[i], s[i, j], filters[i] * len(c) + j
-    return rows, filters
+def decode(unit: np.ndarray, codes: list[np.ndarray], caps: int) -> np.ndarray:
+    """For each row the numbers of its ``caps`` filters of largest product."""
+    per_half, half = len(codes[0]), codes[0].shape[1]
+    caps = min(caps, per_half**2)
+    rank = np.arange(1, per_half + 1)
+    i, j = np.nonzero(np.multiply.outer(rank, rank) <= caps)
+    a, b = unit[:, :half] @ codes[0].T, unit[:, half:] @ codes[1].T
+    best_a, best_b = np.argsort(-a, axis=1, kind="stable")[:, i], np.argsort(-b, axis=1, kind="stable")[:, j]
+    sums = np.take_along_axis(a, best_a, 1) + np.take_along_axis(b, best_b, 1)
+    top = np.argsort(-sums, axis=1, kind="stable")[:, :caps]
+    return np.take_along_axis(best_a * per_half + best_b, top, 1)
 
 
 def _star(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -173,9 +163,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, caps: int = CAPS) -> D
     )
     sizes = classes.groupBy("label", F.size("vector").alias("dim")).count().agg(F.max("count"), F.max("dim")).first()
     most = int(sizes[0] or 1)
-    per_block = max(2, int(np.ceil((most * caps / ROWS) ** (1 / BLOCKS))))
-    share = min(0.5, caps / per_block**BLOCKS)
-    quantile = NormalDist().inv_cdf(1 - share)
+    per_half = max(2, int(np.ceil(np.sqrt(most * caps / ROWS))))
 
     def place(batches):
         codes: dict[int, list[np.ndarray]] = {}
@@ -190,12 +178,10 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, caps: int = CAPS) -> D
                     x = x / scale
                     unit = x / np.sqrt((x * x).sum(1, keepdims=True))
                     if dim not in codes:
-                        codes[dim] = directions(dim, per_block)
-                    row, filt = decode(unit, codes[dim], quantile / np.sqrt(dim))
-                    order = np.lexsort((filt, row))
-                    row, filt = row[order], filt[order]
-                    ends = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(filt))
+                        codes[dim] = directions(dim, per_half)
+                    filt = np.sort(decode(unit, codes[dim], caps), axis=1)
+                    ends = np.arange(part.num_rows + 1, dtype=np.int32) * filt.shape[1]
+                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(filt.ravel()))
                     yield pa.record_batch([part.column("label"), pa.array(np.full(part.num_rows, dim, np.int32)), part.column("rep"), lists], ["label", "dim", "rep", "filters"])
 
     label = dict(classes.dtypes)["label"]

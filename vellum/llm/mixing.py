@@ -106,7 +106,9 @@ def allocate(docs: DataFrame) -> DataFrame:
     parts = shards.join(groups.select("k", "g", "gt", F.col("won").alias("seats")), ["k", "g"])
     parts = sainte_lague(parts.withColumn("ideal", F.coalesce(F.col("seats") * (F.col("t") / F.col("gt")), F.lit(0.0))), ["k", "g"], "shard")
     n = F.greatest(F.lit(1), F.round(F.col("t") / BLOCK)).cast("long")
-    parts = parts.select(F.col("k").alias("__k"), F.col("shard").alias("__shard"), F.col("t").alias("__t"), n.alias("__n"), F.least("won", MOST * n).alias("__won"),
+    # seats stand for BLOCK words, a shard's own blocks may be somewhat shorter or longer
+    blocks = F.coalesce(F.least(F.round(F.col("won") * BLOCK * n / F.nullif("t", F.lit(0))).cast("long"), MOST * n), F.lit(0))
+    parts = parts.select(F.col("k").alias("__k"), F.col("shard").alias("__shard"), F.col("t").alias("__t"), n.alias("__n"), blocks.alias("__won"),
                          F.pmod(draw(F.lit("run"), "k", F.col("shard").cast("string")), n).alias("__from"))
 
     line = Window.partitionBy("__k", "__shard").orderBy("__draw", F.col("doc_id").asc_nulls_last(), "size")

@@ -71,7 +71,7 @@ gr as materialized ({_seats("g1", "k", "g")}),
 p0 as (select sh.*, sh.k || '/' || sh.g kg, won seats, coalesce(won * (t / nullif(gt, 0)), 0.0) ideal from sh join gr on gr.k = sh.k and gr.g = sh.g),
 p1 as materialized ({_seats("p0", "kg", "shard")}),
 p2 as (select k, shard, t, greatest(1, round(t / 8))::bigint n, won from p1),
-p3 as (select k, shard, t, n, least(won, 3 * n) won, ('0x' || substr(md5('mix/run/' || k || '/' || shard), 1, 12))::bigint % n f from p2),
+p3 as (select k, shard, t, n, coalesce(least(round(won * 8 * n / nullif(t, 0))::bigint, 3 * n), 0) won, ('0x' || substr(md5('mix/run/' || k || '/' || shard), 1, 12))::bigint % n f from p2),
 laid as (select z.*, t, n, won, f, sum(size) over (partition by k, shard order by draw, doc_id nulls last, size rows unbounded preceding) - size s0 from placed z join p3 using (k, shard)),
 e as (select *, (f * t) // n lo, ((f + won % n) * t) // n hi from laid)
 select doc_id, size, source_size, target,
