@@ -48,7 +48,7 @@ def sainte_lague(rows: DataFrame, parent: list[str], key: str) -> DataFrame:
     few seats between are ranked.
     """
     all_rows = Window.partitionBy(*parent)
-    slack = (F.count("*").over(all_rows) / 2 + 1) / F.col("seats")
+    slack = F.try_divide(F.count("*").over(all_rows) / 2 + 1, F.col("seats"))
     held = rows.withColumn("slack", F.when(F.col("seats") > 0, slack)).withColumn(
         "sure", F.floor(F.greatest(F.lit(0.0), 1 - F.col("slack")) * F.col("ideal") + 0.5)
     )
@@ -72,7 +72,7 @@ def targets(sources: DataFrame) -> DataFrame:
     s = s.withColumn("full", F.col("cap") / F.col("w") <= left("cap", "words") / left("w", "w"))
     unfilled = lambda c, total: F.sum(total).over(everything) - F.sum(F.when(F.col("full"), F.col(c)).otherwise(0)).over(everything)
     # all sources are full only where there are no words at all
-    level = F.when(~F.col("full"), F.col("w") * (unfilled("cap", "words") / unfilled("w", "w")))
+    level = F.when(~F.col("full"), F.col("w") * F.try_divide(unfilled("cap", "words"), unfilled("w", "w")))
     return s.withColumn("target", F.coalesce(level, F.col("cap").cast("double"))).select("k", "words", "target")
 
 
@@ -102,9 +102,9 @@ def allocate(docs: DataFrame) -> DataFrame:
     shards = placed.groupBy(F.col("__k").alias("k"), F.col("__shard").alias("shard")).agg(F.sum("size").alias("t"))
     shards = written(shards.withColumn("g", F.floor(F.col("shard") / GROUP)), "shards")
     groups = shards.groupBy("k", "g").agg(F.sum("t").alias("gt")).join(sources.select("k", "words", F.col("won").alias("seats")), "k")
-    groups = sainte_lague(groups.withColumn("ideal", F.coalesce(F.col("seats") * (F.col("gt") / F.col("words")), F.lit(0.0))), ["k"], "g")
+    groups = sainte_lague(groups.withColumn("ideal", F.coalesce(F.col("seats") * F.try_divide("gt", "words"), F.lit(0.0))), ["k"], "g")
     parts = shards.join(groups.select("k", "g", "gt", F.col("won").alias("seats")), ["k", "g"])
-    parts = sainte_lague(parts.withColumn("ideal", F.coalesce(F.col("seats") * (F.col("t") / F.col("gt")), F.lit(0.0))), ["k", "g"], "shard")
+    parts = sainte_lague(parts.withColumn("ideal", F.coalesce(F.col("seats") * F.try_divide("t", "gt"), F.lit(0.0))), ["k", "g"], "shard")
     n = F.greatest(F.lit(1), F.round(F.col("t") / BLOCK)).cast("long")
     # seats stand for BLOCK words, a shard's own blocks may be somewhat shorter or longer
     blocks = F.coalesce(F.least(F.round(F.col("won") * BLOCK * n / F.nullif("t", F.lit(0))).cast("long"), MOST * n), F.lit(0))
@@ -136,5 +136,5 @@ def mix(docs: DataFrame) -> DataFrame:
     part = F.expr("taken > passes * size and taken - passes * size < size")
     texts = F.concat(F.array_repeat(F.col("text"), whole.cast("int")), F.when(part, F.array(cut)).otherwise(F.array().cast("array<string>")))
     own = [F.col(f"__own_{c}").alias(c) if f"__own_{c}" in d.columns else F.col(c) for c in docs.columns if c != "text"]
-    mixed = d.where("taken > 0").select(*own, F.explode(texts).alias("text"))
+    mixed = d.where("taken > 0").withColumn("__texts", texts).select(*own, F.explode_outer("__texts").alias("text"))
     return mixed.select(*docs.columns)
