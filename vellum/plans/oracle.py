@@ -200,6 +200,18 @@ WITH c AS (
 SELECT doc AS region, CAST(tbl AS INTEGER) AS tbl, {ordered_join('row', 't', 'chr(10)')} AS text FROM r GROUP BY doc, tbl
 """
 
+SQL["append_tables"] = f"""
+WITH e AS (SELECT n_regionkey AS region, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS pos, length(n_name) < 6 AS is_heading, n_name AS text FROM nation),
+c AS (
+  SELECT n_regionkey AS doc, n_nationkey % 2 AS tbl, n_nationkey AS row,
+         concat_ws(' | ', {strip('n_name')}, CAST(n_nationkey AS VARCHAR), {strip('r_name')}) AS t
+  FROM nation JOIN region ON n_regionkey = r_regionkey
+), t AS (SELECT doc, tbl, {ordered_join('row', 't', 'chr(10)')} AS text FROM c GROUP BY doc, tbl)
+SELECT region, CAST(pos AS INTEGER) AS pos, is_heading, text FROM e
+UNION ALL
+SELECT doc, CAST((SELECT max(pos) FROM e WHERE region = doc) + row_number() OVER (PARTITION BY doc ORDER BY tbl) AS INTEGER), false, text FROM t
+"""
+
 # ---------------------------------------------------------------- incremental ingest over documents
 
 FILES = """files AS (
@@ -478,7 +490,7 @@ SELECT path, regexp_extract(path, '([^/]*)$', 1) AS source, chunk, CAST(len({tok
        md5(t) AS text_md5, 'indexed' AS status
 FROM u
 UNION ALL
-SELECT path, NULL, NULL, NULL, file_hash, NULL, 'empty' FROM d WHERE length({strip('text')}) = 0"""
+SELECT path, '', -1, 0, file_hash, '', 'empty' FROM d WHERE length({strip('text')}) = 0"""
 
 # ---------------------------------------------------------------- X1 extraction job
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vellum.functions import identity, vectors
@@ -166,16 +166,29 @@ def q_section_blocks(spark, sf_dir):
     return blocks.section_blocks(el, doc="doc_id")
 
 
-def q_table_rows_text(spark, sf_dir):
-    """Nations as table rows (name, key, region, a blank cell), one table per region."""
+def nation_cells(spark, sf_dir, tbl):
+    """Nations as table rows (name, key, region, a blank cell) of each region."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    nr = n.join(r, n.n_regionkey == r.r_regionkey)
-    cells = nr.select(
-        F.col("n_regionkey").alias("doc"), F.lit(0).alias("tbl"), F.col("n_nationkey").alias("row"),
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+        F.col("n_regionkey").alias("doc"), tbl.cast("int").alias("tbl"), F.col("n_nationkey").alias("row"),
         F.posexplode(F.array(F.col("n_name"), F.col("n_nationkey").cast("string"), F.concat(F.lit(" "), F.col("r_name")), F.lit("  "))).alias("col", "text"),
     )
-    return blocks.table_rows_text(cells).select(F.col("doc").alias("region"), "tbl", "text")
+
+
+def q_table_rows_text(spark, sf_dir):
+    """One table per region."""
+    return blocks.table_rows_text(nation_cells(spark, sf_dir, F.lit(0))).select(F.col("doc").alias("region"), "tbl", "text")
+
+
+def q_append_tables(spark, sf_dir):
+    """A region's nations as paragraphs (short names are headings), then its
+    tables, one of even and one of odd nations, behind them in table order."""
+    n = table(spark, sf_dir, "nation")
+    pos = F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")) - 1
+    elements = n.select(F.col("n_regionkey").alias("doc"), pos.alias("pos"), (F.length("n_name") < 6).alias("is_heading"), F.col("n_name").alias("text"))
+    out = blocks.append_tables(elements, blocks.table_rows_text(nation_cells(spark, sf_dir, F.col("n_nationkey") % 2)))
+    return out.select(F.col("doc").alias("region"), F.col("pos").cast("int").alias("pos"), "is_heading", "text")
 
 
 QUERIES.update({
@@ -188,6 +201,7 @@ QUERIES.update({
     "concat_pages": q_concat_pages,
     "section_blocks": q_section_blocks,
     "table_rows_text": q_table_rows_text,
+    "append_tables": q_append_tables,
 })
 
 
@@ -570,9 +584,8 @@ def q_token_ingest(spark, sf_dir):
     first = c.where("turn = 0 and role = 'assistant'").join(doc_hash, "conv_id").select("file_hash")
     points, empty = indexing.plan_token_ingest(pages, first, encoder=embed.HashingEncoder(DIM))
     points = points.select("path", "source", "chunk", "tokens", "file_hash", F.md5("text").alias("text_md5"), F.lit("indexed").alias("status"))
-    no = lambda kind: F.lit(None).cast(kind)
     return points.unionByName(empty.select(
-        "path", no("string").alias("source"), no("int").alias("chunk"), no("int").alias("tokens"), "file_hash", no("string").alias("text_md5"), F.lit("empty").alias("status")))
+        "path", F.lit("").alias("source"), F.lit(-1).alias("chunk"), F.lit(0).alias("tokens"), "file_hash", F.lit("").alias("text_md5"), F.lit("empty").alias("status")))
 
 
 def q_discover_files(spark, sf_dir):
