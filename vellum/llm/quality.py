@@ -58,7 +58,10 @@ class Hasher:
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Log of target over raw probability for each bucket, add-one smoothed."""
     good = labels.where("quality = 1").select(F.col("doc_id").alias("id")).distinct().withColumn("good", F.lit(True))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(written(good, "target"), F.col("doc_id") == F.col("id"), "left")
+    # a merge join at every size: the labels grow with the corpus, so a plan that
+    # broadcasts them while they are few would change its costs later
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = texts.join(written(good, "target").hint("merge"), F.col("doc_id") == F.col("id"), "left")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, raw, target = Hasher(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
