@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.session import scratch_path
@@ -29,3 +29,9 @@ def ascii_lower(c):
     that on ASCII texts; others go through ``translate``."""
     c = F.col(c) if isinstance(c, str) else c
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
+
+
+def text_hash(c) -> Column:
+    """64 bits that tell rows of one doc_id, or without one, apart by their text."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(F.xxhash64(c.cast("string")), F.lit(0))

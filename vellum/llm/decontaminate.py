@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import ascii_lower, written
+from vellum.llm.common import ascii_lower, text_hash, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, GRAM = 10, 4
@@ -82,6 +82,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     no hits; other columns are not looked at; a null doc_id or item_id is kept
     as a value of its own (the id is left out of the hash).
     """
+    return _contamination(docs, items, window, gram).drop("h")
+
+
+def _contamination(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFrame:
+    """``contamination`` with ``h``, the hash of the row's text."""
     b = items.select(F.col("item_id"), words().alias("w")).where(F.size("w") > 0)
     b = b.withColumn("n", F.least(F.size("w"), F.lit(window)))
     b = written(b.where("n > 0"), "items")
@@ -93,7 +98,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     known = written(b.select("item_id", F.explode(of_item).alias("x")).select("item_id", "x.n", "x.fp", "x.one", "x.two").distinct(), "item-windows")
     fps = written(known.select("fp").distinct(), "item-fingerprints")
 
-    d = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("h"))
+    d = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), text_hash("text").alias("h"))
     scan = d.select(
         "doc_id", "h",
         F.explode(F.array(let(words(), lambda w: F.struct(F.size(w).alias("n_words"), _fingerprints(w, lengths, window, gram).alias("fps"))))).alias("s"),
@@ -119,13 +124,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     )
     found = found.select(F.col("doc_id").alias("id"), F.col("h").alias("g"), cover.alias("n_hit"), "n_items", F.sha2("items", 256).alias("items_sha256"))
     return scan.select("doc_id", "h", "n_words").join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("g")), "left").select(
-        "doc_id", F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        "doc_id", "h", F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``docs`` without the documents in which any item's window stands."""
-    hit = contamination(docs, items, window, gram).where("contaminated").select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__hit"]), "left_anti")
+    """``docs`` without the rows in whose text any item's window stands."""
+    hit = _contamination(docs, items, window, gram).where("contaminated").select(F.col("doc_id").alias("__hit"), F.col("h").alias("__h")).distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__hit"]) & (text_hash(docs["text"]) == hit["__h"]), "left_anti")

@@ -24,10 +24,10 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import written
+from vellum.llm.common import text_hash, written
 from vellum.llm.graph import components
 
 GOLAY = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
@@ -58,15 +58,17 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, rest: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id`` and ``fp`` (the 64 bits as a signed long) of every row, and the
+    long columns ``rest``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.record_batch([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.record_batch([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], ["doc_id", "fp", *rest])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *rest)
+    return d.mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", "fp", *rest]))
 
 
 @lru_cache(maxsize=4)
@@ -203,6 +205,14 @@ def near_links(fps: DataFrame, distance: int = 2) -> DataFrame:
     return placed.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(compare, "a long, b long")
 
 
+def _classes(f: DataFrame, rep: Column, distance: int) -> DataFrame:
+    """``fp``, ``rep`` (of its rows) and ``class``: equal for linked fingerprints."""
+    classes = written(f.groupBy("fp").agg(rep.alias("rep")), "classes")
+    links = near_links(classes, distance)
+    nodes = components(links, "a", "b")
+    return classes.join(nodes, classes.fp == nodes.node, "left").select("fp", "rep", F.coalesce("component", "fp").alias("class"))
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """One row per input row: ``doc_id``, ``fp`` and ``component_id`` (smallest
     doc_id reachable over links of at most ``distance`` differing bits).
@@ -212,20 +222,22 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Data
     an empty result; a row whose doc_id is null takes part in its group.
     """
     f = written(fingerprints(docs, shingle), "fingerprints")
-    classes = written(f.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    links = near_links(classes, distance)
-    nodes = components(links, "a", "b")
-    known = classes.join(nodes, classes.fp == nodes.node, "left").select("fp", "rep", F.coalesce("component", "fp").alias("class"))
-    known = written(known, "known")
+    known = written(_classes(f, F.min("doc_id"), distance), "known")
     smallest = known.groupBy("class").agg(F.min("rep").alias("component_id"))
     of = known.join(smallest, "class").select("fp", "component_id")
     return f.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """``docs`` without all but the smallest doc_id of each group (repeated rows
-    of one doc_id: one of them).  Columns as they are."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    g = simhash_groups(docs, shingle, distance)
-    kept = g.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("__key"))
-    return docs.withColumn("__key", key).join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    """``docs`` with one row of each group: the smallest doc_id, a null one only
+    where the group has no other.  Rows are told apart by doc_id and text, so
+    different texts of one doc_id, or without one, each stand in their own
+    group; of equal rows one stays.  Columns as they are."""
+    h = text_hash("text")
+    f = fingerprints(docs.select("doc_id", "text", h.alias("h")), shingle, ("h",))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h"))
+    kept = _classes(f, least, distance).groupBy("class").agg(F.min("rep").alias("r"))
+    kept = kept.select(F.col("r.doc_id").alias("__id"), F.col("r.h").alias("__g"))
+    d = docs.withColumns({"__key": F.col("doc_id").cast("long"), "__h": h})
+    d = d.join(kept, F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__g")), "left_semi")
+    return d.dropDuplicates(["__key", "__h"]).drop("__key", "__h")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import written
+from vellum.llm.common import text_hash, written
 
 SAMPLE = 12_000  # labelled texts
 FEATURES = 4096
@@ -123,9 +123,10 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[dict[st
     return {f: float(weights[i]) for f, i in names.items()}, thresholds
 
 
-def score(docs: DataFrame, weights: dict[str, float], thresholds: np.ndarray, least: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, weights: dict[str, float], thresholds: np.ndarray, least: float = 0.5, rest: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, ``severity`` (expected grade, 0 to 2), ``grade`` (most likely)
-    and ``toxic`` (probability of a grade above 0 is ``least`` or more)."""
+    and ``toxic`` (probability of a grade above 0 is ``least`` or more),
+    and the long columns ``rest``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[str, ...]] = {}
@@ -146,12 +147,12 @@ def score(docs: DataFrame, weights: dict[str, float], thresholds: np.ndarray, le
             above = [1 - _sigmoid(t - s) for t in thresholds]
             p = np.stack([1 - above[0], above[0] - above[1], above[1]])
             yield pa.record_batch(
-                [b.column(0), pa.array(above[0] + above[1]), pa.array(p.argmax(0) if len(s) else s.astype(np.int64)), pa.array(above[0] >= least)],
-                ["doc_id", "severity", "grade", "toxic"],
+                [b.column(0), pa.array(above[0] + above[1]), pa.array(p.argmax(0) if len(s) else s.astype(np.int64)), pa.array(above[0] >= least), *b.columns[2:]],
+                ["doc_id", "severity", "grade", "toxic", *rest],
             )
 
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(run, "doc_id long, severity double, grade long, toxic boolean")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *rest)
+    return d.mapInArrow(run, ", ".join(["doc_id long, severity double, grade long, toxic boolean", *(f"{c} long" for c in rest)]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
@@ -163,6 +164,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFram
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """``docs`` without the documents found toxic."""
-    bad = toxicity(docs, labels, size).where("toxic").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    """``docs`` without the rows whose text is found toxic."""
+    bad = score(docs.select("doc_id", "text", text_hash("text").alias("h")), *fit(docs, labels, size), rest=("h",))
+    bad = bad.where("toxic").select(F.col("doc_id").alias("__bad"), F.col("h").alias("__h")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]) & (text_hash(docs["text"]) == bad["__h"]), "left_anti")
