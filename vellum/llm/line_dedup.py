@@ -9,6 +9,10 @@ window that stands somewhere earlier (smaller doc_id, then smaller line) is a
 repeat.  Repeated windows that overlap are one repeated run: a match reaches as
 far both ways as its windows do.  The first place is found by a minimum, so a
 line that stands in a third of all documents never meets itself pairwise.
+
+Windows are also formed by content: fewer than ``RUN`` lines that hold ``WORDS``
+words or more are a window of their own, and with ``short`` a document of fewer
+lines than ``RUN`` is one whatever it holds.
 """
 
 from __future__ import annotations
@@ -20,13 +24,14 @@ from vellum.llm.common import written
 from vellum.llm.decontaminate import let
 
 RUN = 3  # lines
+WORDS = 50  # that make fewer lines a window
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def drop_repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
+def drop_repeated_runs(docs: DataFrame, run: int = RUN, words: int | None = WORDS, short: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_lines``, ``n_removed``,
     ``n_runs`` (maximal removed runs) and ``text`` without the removed lines.
 
@@ -36,22 +41,40 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     has no lines and stays null; an empty one stays empty; rows with the same
     doc_id and text are copies of one row and get its result; a null doc_id
     comes first; an empty table gives no rows; other columns are not looked at.
+
+    A window is ``run`` lines, or fewer that hold ``words`` words between white
+    space (None: only ``run`` lines); with ``short`` all lines of a document that
+    has fewer than ``run`` are one, equal to the same lines of another such one.
     """
     d = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("h"))
     hashes = F.transform(_lines(F.col("text")), lambda x, i: F.struct(i.alias("line"), F.btrim(x, F.lit(" \t\r\x0b\x0c")).alias("x")))
-    hashes = F.transform(F.filter(hashes, lambda s: s["x"] != ""), lambda s: F.struct(s["line"].alias("line"), F.xxhash64(s["x"]).alias("one"), F.xxhash64(F.lit("second"), s["x"]).alias("two")))
+    hashes = F.transform(F.filter(hashes, lambda s: s["x"] != ""), lambda s: F.struct(
+        s["line"].alias("line"), F.xxhash64(s["x"]).alias("one"), F.xxhash64(F.lit("second"), s["x"]).alias("two"),
+        F.lit(0).alias("words") if words is None else F.size(F.split(s["x"], r"[ \t\r\x0b\x0c]+")).alias("words"),
+    ))
 
-    def windows(l: Column) -> Column:
+    def of_lines(l: Column, n: int) -> Column:
         def of(i: Column) -> Column:
-            rows = [F.get(l, i + j) for j in range(run)]
+            rows = [F.get(l, i + j) for j in range(n)]
             return F.struct(
-                i.alias("at"), F.array_min(F.array(*[r["one"] for r in rows])).alias("fp"),
+                i.alias("at"), F.lit(n).alias("n"), F.array_min(F.array(*[r["one"] for r in rows])).alias("fp"),
                 F.array_position(F.array(*[r["one"] for r in rows]), F.array_min(F.array(*[r["one"] for r in rows]))).alias("pick"),
                 F.xxhash64(*[r["one"] for r in rows]).alias("one"), F.xxhash64(F.lit("second"), *[r["two"] for r in rows]).alias("two"),
                 F.array(*[r["line"] for r in rows]).alias("lines"),
             )
 
-        return F.when(F.size(l) >= run, F.transform(F.sequence(F.lit(0), F.greatest(F.size(l) - run, F.lit(0))), of))
+        at = F.sequence(F.lit(0), F.greatest(F.size(l) - n, F.lit(0)))
+        if n < run:
+            full = lambda i: sum((F.get(l, i + j)["words"] for j in range(1, n)), F.get(l, i)["words"]) >= words
+            whole = F.size(l) == n if short else F.lit(False)
+            at = F.filter(at, lambda i: whole if words is None else whole | full(i))
+        return F.when(F.size(l) >= n, F.transform(at, of))
+
+    sizes = range(1 if words is not None or short else run, run + 1)
+
+    def windows(l: Column) -> Column:
+        each = [of_lines(l, n) for n in sizes]
+        return each[0] if len(each) == 1 else F.flatten(F.array_compact(F.array(*each)))
 
     w = d.select("doc_id", "h", F.explode_outer(let(hashes, windows)).alias("w")).where("w is not null").select("doc_id", "h", "w.*").distinct()
     w = written(w.withColumn("at_fp", F.col("at") + F.col("pick").cast("int") - 1).drop("pick"), "line-windows")
@@ -64,10 +87,14 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     first = written(first.where("places > 1").drop("places"), "line-firsts")
     again = near.join(first, ["one", "two"]).where("first < struct(doc_id, h, at)")
     gone = again.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("g")).agg(
-        F.sort_array(F.collect_set("at")).alias("starts"), F.array_distinct(F.flatten(F.collect_set("lines"))).alias("gone")
+        F.sort_array(F.collect_set(F.struct("at", "n"))).alias("starts"), F.array_distinct(F.flatten(F.collect_set("lines"))).alias("gone")
     )
     # a new run begins at a window that doesn't touch the one before it
-    starts = F.size(F.filter(F.transform("starts", lambda s, i: s - F.coalesce(F.get(F.col("starts"), i - 1), F.lit(-run - 1))), lambda gap: gap > run))
+    starts = F.aggregate(
+        "starts", F.struct(F.lit(0).alias("runs"), F.lit(-1).alias("end")),
+        lambda c, x: F.struct((c["runs"] + (x["at"] > c["end"]).cast("int")).alias("runs"), F.greatest(c["end"], x["at"] + x["n"]).alias("end")),
+        lambda c: c["runs"],
+    )
     out = d.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("g")), "left")
     kept = F.array_join(F.filter(_lines(F.col("text")), lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n")
     return out.select(
