@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import written
+from vellum.llm.common import text_hash, written
 
 BUCKETS = 10_000
 HELD_WORDS = 300_000
@@ -92,11 +92,16 @@ def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 buckets, row = hasher(part.column(1).to_pylist())
-                yield pa.record_batch([part.column(0), pa.array(np.bincount(row, ratios[buckets], part.num_rows))], ["doc_id", "log_weight"])
+                # bincount gives integers where there is no word at all
+                weights = np.bincount(row, ratios[buckets], part.num_rows).astype(np.float64)
+                yield pa.record_batch([part.column(0), pa.array(weights), part.column(2)], ["doc_id", "log_weight", "noise"])
 
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    u = (F.pmod(F.xxhash64(F.lit(SEED), F.coalesce("doc_id", F.lit(-1))), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    return d.mapInArrow(run, "doc_id long, log_weight double").withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u)))
+    # a row draws by its id and text: rows without an id, or of one id, are drawn apart
+    noise = F.xxhash64(F.lit(SEED), F.col("doc_id").isNull(), "doc_id", text_hash("text"))
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), noise.alias("noise"))
+    u = (F.pmod("noise", F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    d = d.mapInArrow(run, "doc_id long, log_weight double, noise long")
+    return d.select("doc_id", "log_weight", (F.col("log_weight") - F.log(-F.log(u))).alias("gumbel_key"))
 
 
 def kth_largest(rows: DataFrame, key: str, tie: str, k: int) -> tuple[float, int]:
@@ -125,8 +130,9 @@ def resample(docs: DataFrame, labels: DataFrame, keep: float | None = None) -> D
     and ``kept`` (among the k largest keys).
 
     k is ``keep`` of all rows, rounded; by default the share of good texts
-    among the labelled ones.  Null and empty texts have log weight 0; repeated
-    rows have equal keys (ties at the k-th are all kept); labels without
+    among the labelled ones.  Null and empty texts have log weight 0; rows of
+    equal id and text have equal keys (ties at the k-th are all kept), rows
+    without an id draw by their text; labels without
     quality are left out, and with none all weights are 0 and half is kept; an
     empty table gives no rows; other columns are not looked at.
     """
