@@ -104,3 +104,31 @@ select doc_id, len(w)::bigint n_words, coalesce(n, 0)::bigint n_base, a::bigint
        coalesce(base.l, '') base_labels, coalesce(every.l, '') labels, case when n > 0 then 1.0 else coalesce(s, 0.0) end::double score
 from d left join base using (doc_id) left join every using (doc_id) left join share using (doc_id)
 """
+
+
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII string: eight shifts a character."""
+    start = "list_concat([4294967295::bigint], list_transform(string_split(" + text + ", ''), lambda z: ascii(z)::bigint))"
+    shifts = "list_reduce(list_concat([xor(c, z)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce({start}, lambda c, z: {shifts}), 4294967295)"
+
+
+# 16 words that stand again one period on are in every run: 24 - q >= 16 up to a
+# period of 8, 2 q >= 16 from there
+SQL["op11_periodic_runs"] = f"""
+with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) w, {_crc32("doc_id::varchar")} h from documents),
+e as (select *, len(w) n, case when len(w) > 0 then (h // 10) % len(w) end a from d),
+f as (select *, 1 + (n - a) // (3 + (h // 10) % 8) p from e),
+t as materialized (select doc_id, n, case when h % 10 = 0 and n > 0 then list_transform(range(n), lambda i: w[1 + case when i < a then i else a + (i - a) % p end]) else w end w from f),
+grams as materialized (select doc_id, n, i, md5(array_to_string(w[i + 1:i + 16], ' ')) g from (select *, unnest(range(n - 15)) i from t)),
+pairs as (select x.doc_id, x.i, y.i - x.i q from grams x join grams y on x.doc_id = y.doc_id and x.g = y.g and x.i < y.i and 3 * (y.i - x.i) <= x.n),
+islands as (select doc_id, q, min(i) s, count(*) + 15 m from (select *, i - row_number() over (partition by doc_id, q order by i) k from pairs) group by doc_id, q, k),
+runs as (select doc_id, s, m + q l, min(q) q from islands where m >= greatest(24 - q, 2 * q) group by doc_id, s, m + q),
+gone as (select distinct doc_id, unnest(range(s + q, s + l)) i from runs),
+kept as (select doc_id, string_agg(w[i + 1], ' ' order by i) c from (select doc_id, w, unnest(range(n)) i from t) anti join gone using (doc_id, i) group by doc_id),
+told as (select doc_id, count(*) n_runs, first(s order by l::double / q desc, s, q) s, first(l order by l::double / q desc, s, q) l,
+         first(q order by l::double / q desc, s, q) q, string_agg(s || ',' || l || ',' || q || chr(10), '' order by s, q) lines from runs group by doc_id)
+select doc_id, coalesce(n_runs, 0)::bigint n_runs, s::bigint start, l::bigint length, q::bigint period, (1000 * l // q)::bigint exponent_milli,
+       sha256(coalesce(lines, '')) runs_sha256, sha256(coalesce(c, '')) collapsed_sha256
+from t left join told using (doc_id) left join kept using (doc_id)
+"""

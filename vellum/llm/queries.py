@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
+from itertools import cycle, islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import decontaminate, embedding_dedup, licenses, line_dedup, mixing, quality, simhash, suffix_dedup, token_output, toxicity
+from vellum.llm import decontaminate, embedding_dedup, licenses, line_dedup, mixing, periodic_runs, quality, simhash, suffix_dedup, token_output, toxicity
 from vellum.llm.common import read_table
 from vellum.session import scratch_path
 
@@ -76,10 +78,34 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"), least=0.98)
 
 
+def plant(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A stretch of a tenth of the documents becomes periodic (none without an id)."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + list(islice(cycle(words[a : a + p]), n - a))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of 3 or more periods and 24 or more words."""
+    d = periodic_runs.periodic_runs(read_table(spark, sf_dir, "documents"), least=24, times=3, change=plant)
+    d = d.withColumn("best", periodic_runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return d.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_token_ids, op3_line_dedup, op4_suffix_dedup, op5_decontaminate,
         op6_quality, op7_toxicity, op8_mix, op9_licenses, op10_embedding_dedup,
+        op11_periodic_runs,
     )
 }
