@@ -9,7 +9,7 @@ from itertools import cycle, islice
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import decontaminate, embedding_dedup, licenses, line_dedup, mixing, periodic_runs, quality, simhash, suffix_dedup, token_output, toxicity
+from vellum.llm import decontaminate, embedding_dedup, fingerprints, licenses, line_dedup, mixing, periodic_runs, quality, simhash, suffix_dedup, token_output, toxicity
 from vellum.llm.common import read_table
 from vellum.session import scratch_path
 
@@ -101,11 +101,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text, its edited text and the next text."""
+    d = fingerprints.edited_likeness(read_table(spark, sf_dir, "documents"))
+    return d.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_token_ids, op3_line_dedup, op4_suffix_dedup, op5_decontaminate,
         op6_quality, op7_toxicity, op8_mix, op9_licenses, op10_embedding_dedup,
-        op11_periodic_runs,
+        op11_periodic_runs, op13_fingerprints,
     )
 }
