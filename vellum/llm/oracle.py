@@ -132,3 +132,50 @@ select doc_id, coalesce(n_runs, 0)::bigint n_runs, s::bigint start, l::bigint le
        sha256(coalesce(lines, '')) runs_sha256, sha256(coalesce(c, '')) collapsed_sha256
 from t left join told using (doc_id) left join kept using (doc_id)
 """
+
+
+# states 1 to 4: nothing yet, after s, after u, after a; v: least costs from in front of row i, by state
+SQL["op12_conversation_repair"] = f"""
+with recursive raw as (select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text,
+      {_crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 deal from conversations),
+rows0 as (select conv_id, turn, case when deal = 4 then 'user' else role end role,
+      case deal when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+      from (select *, unnest(range(case deal when 0 then 0 when 3 then 2 else 1 end)) from raw)),
+rows1 as (select *, coalesce(conv_id::varchar, 'null') c, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) cut,
+      row_number() over (partition by conv_id order by turn nulls first, md5(length(role) || ':' || role || ':' || text)) i from rows0),
+rows2 as (select *, case when cut = '' then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+      when right(cut, 1) not in ('.', '!', '?') then 'truncated' end fault, role[1] initial from rows1),
+j as materialized (select *, fault is not null and fault <> 'truncated' forced, case when fault = 'truncated' then 3 else 0 end late from rows2),
+b as (
+  select c, max(i) + 1 i, [0, 6, 3, 0] v from j group by c
+  union all
+  select c, i, list_transform(r, lambda x, s: case s when 1 then least(x, 3 + r[3], 6 + r[4]) when 2 then least(x, 3 + r[3], 6 + r[4])
+      when 3 then least(x, 3 + r[4]) else least(x, 3 + r[3]) end) v
+  from (select j.c, j.i, case when forced then [4 + v[1], 4 + v[2], 4 + v[3], 4 + v[4]] else [
+      least(4 + v[1], 3 + late + v[3], case initial when 's' then late + v[2] when 'u' then late + v[3] else 1e9::int end),
+      least(4 + v[2], 3 + late + v[3], case initial when 'u' then late + v[3] else 1e9::int end),
+      least(4 + v[3], 3 + late + v[4], case initial when 'a' then late + v[4] else 1e9::int end),
+      least(4 + v[4], 3 + late + v[3], case initial when 'u' then late + v[3] else 1e9::int end)] end r
+    from b join j on j.c = b.c and j.i = b.i - 1)),
+g as materialized (select b.c, b.i, b.v, n.v w, role, text, initial, late, [3, 3, 4, 3] fill from b left join j on j.c = b.c and j.i = b.i left join b n on n.c = b.c and n.i = b.i + 1),
+t as (
+  select c, 1 i, 1 s, 0 step, null::varchar letter, null::varchar line from g where i = 1
+  union all
+  select c, case when letter in ('I') then i else i + 1 end, case letter when 'D' then s when 'K' then case initial when 's' then 2 when 'u' then 3 else 4 end else fill[s] end, step + 1, letter,
+      case letter when 'K' then role || ':' || text when 'R' then f || text when 'I' then f end
+  from (select t.c, t.i, t.s, t.step, g.fill, role, text, initial, case t.s when 3 then 'assistant:' else 'user:' end f,
+      case when w is null then case when t.s in (2, 3) then 'I' end when 4 + w[t.s] = v[t.s] then 'D' when 3 + v[fill[t.s]] = v[t.s] then 'I'
+           when late + w[case when initial = 's' and t.s = 1 then 2 when initial = 'u' and t.s <> 3 then 3 when initial = 'a' and t.s = 3 then 4 end] = v[t.s] then 'K' else 'R' end letter
+    from t join g on g.c = t.c and g.i = t.i) where letter is not null),
+told as (select c, coalesce(string_agg(letter, '' order by step), '') audit, sha256(coalesce(string_agg(line, chr(10) order by step), '')) repaired,
+      3 * count(*) filter (letter in ('I', 'R')) + 4 * count(*) filter (letter = 'D') price from t group by c),
+late as (select t.c, sum(late) late from (select c, i - 1 i, letter from t where letter in ('K', 'R')) t join j on j.c = t.c and j.i = t.i group by t.c),
+facts as (select conv_id, c, max(turn) - min(turn) + 1 - count(distinct turn) gaps, count(*) filter (fault = 'blank') blank,
+      count(*) filter (fault = 'duplicate') duplicate, count(*) filter (fault = 'truncated') truncated,
+      count(*) filter (pair not in ('su', 'ua', 'au')) illegal
+      from (select *, lag(initial) over (partition by c order by i) || initial pair from j) group by conv_id, c)
+select k.conv_id, coalesce(gaps, 0)::bigint gaps, coalesce(blank, 0)::bigint blank, coalesce(duplicate, 0)::bigint duplicate, coalesce(truncated, 0)::bigint truncated,
+      coalesce(illegal, 0)::bigint illegal, (coalesce(price, 0) + coalesce(late, 0))::bigint as cost, coalesce(audit, '') audit, coalesce(repaired, sha256('')) repaired_sha256
+from (select distinct conv_id from conversations) k left join facts on facts.conv_id is not distinct from k.conv_id
+left join told using (c) left join late using (c)
+"""

@@ -9,7 +9,7 @@ from itertools import cycle, islice
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import decontaminate, embedding_dedup, fingerprints, licenses, line_dedup, mixing, periodic_runs, quality, simhash, suffix_dedup, token_output, toxicity
+from vellum.llm import conversations, decontaminate, embedding_dedup, fingerprints, licenses, line_dedup, mixing, periodic_runs, quality, simhash, suffix_dedup, token_output, toxicity
 from vellum.llm.common import read_table
 from vellum.session import scratch_path
 
@@ -101,6 +101,22 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults that a checksum of conv_id and turn deals out:
+    rows dropped, emptied, cut, repeated or said by the user."""
+    conv, turn, role, text = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    d = rows.withColumn("deal", F.crc32(F.concat_ws(":", conv, turn).cast("binary")) % 20).where("deal > 0")
+    text = F.when(F.col("deal") == 1, "").when(F.col("deal") == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    d = d.select("conv_id", "turn", F.when(F.col("deal") == 4, "user").otherwise(role).alias("role"), text.alias("text"), "deal")
+    return d.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.when(F.col("deal") == 3, 2).otherwise(1)))).drop("deal", "copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of damaged conversations."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.report(conversations.repair(damaged(rows)), rows.select("conv_id").distinct())
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text, its edited text and the next text."""
     d = fingerprints.edited_likeness(read_table(spark, sf_dir, "documents"))
@@ -112,6 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_simhash, op2_token_ids, op3_line_dedup, op4_suffix_dedup, op5_decontaminate,
         op6_quality, op7_toxicity, op8_mix, op9_licenses, op10_embedding_dedup,
-        op11_periodic_runs, op13_fingerprints,
+        op11_periodic_runs, op12_conversation_repair, op13_fingerprints,
     )
 }
