@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,58 @@ def test_null_vectors_string_ids_and_empty_queries(spark):
     assert none.columns == ["query_id", "rank", "score", "point_id", "label"] and none.count() == 0
     with pytest.raises(Exception, match="one size"):
         search.topk(p, qs(spark, [(1, [1.0, 0.0, 0.0])]), 5).collect()
+
+
+def clustered(n, centres, seed, spread=0.02):
+    rng = np.random.default_rng(seed)
+    c = rng.normal(size=(centres, 16))
+    x = c[rng.integers(0, centres, n)] / np.sqrt((c**2).sum(1)).mean() + rng.normal(size=(n, 16)) * spread
+    return x / np.sqrt((x**2).sum(1))[:, None]
+
+
+def brute(x, q, k, allowed=None, threshold=-np.inf):
+    s = np.cumsum(q[:, None, :] * x[None, :, :], axis=2)[:, :, -1]
+    out = set()
+    for i, row in enumerate(s):
+        ids = [j for j in range(len(x)) if (allowed is None or allowed(i, j)) and row[j] >= threshold]
+        out |= {(i, r + 1, j) for r, j in enumerate(sorted(ids, key=lambda j: (-row[j], j))[:k])}
+    return out
+
+
+def frames(spark, x, q, **columns):
+    p = pd.DataFrame({"point_id": range(len(x)), "vector": list(x), **{c: v for c, v in columns.items() if len(v) == len(x) and c[0] == "p"}})
+    t = pd.DataFrame({"query_id": range(len(q)), "vector": list(q), **{c: v for c, v in columns.items() if len(v) == len(q) and c[0] == "q"}})
+    return spark.createDataFrame(p).repartitionByRange(3, "point_id"), spark.createDataFrame(t)
+
+
+def test_bounds_leave_cells_out_and_keep_the_rows(spark):
+    x = clustered(6000, 30, 1)
+    x[100:110] = x[5]  # copies: equal scores
+    q = np.concatenate([x[::20], clustered(50, 5, 2, spread=1.0)])
+    scored = spark.sparkContext.accumulator(0)
+    points, queries = frames(spark, x, q)
+    got = {(r.query_id, r.rank, r.point_id) for r in search.topk(points, queries, 5, scored=scored).collect()}
+    assert got == brute(x, q, 5)
+    assert scored.value < 0.4 * len(x) * len(q)
+    # vectors without clusters: no harm but the first batch
+    y = np.random.default_rng(3).normal(size=(2000, 16))
+    points, queries = frames(spark, y, y[:200])
+    assert {(r.query_id, r.rank, r.point_id) for r in search.topk(points, queries, 5).collect()} == brute(y, y[:200], 5)
+
+
+@pytest.mark.parametrize("limit", [1 << 28, 20_000])
+def test_filtered_queries_meet_their_points_only(spark, limit):
+    """A third of all points and queries in one value, some values that nobody
+    asks for or that no point has, null filters beside them."""
+    rng = np.random.default_rng(4)
+    x, q = clustered(3000, 10, 5), clustered(400, 10, 6)
+    of = np.where(rng.random(3000) < 0.33, 0, rng.integers(1, 120, 3000))
+    ask = np.where(rng.random(400) < 0.33, 0, rng.integers(1, 140, 400))
+    points, queries = frames(spark, x, q, p_of=[None if i % 50 == 7 else f"f{v}" for i, v in enumerate(of)], q_ask=[None if i % 20 == 3 else f"f{v}" for i, v in enumerate(ask)])
+    scored = spark.sparkContext.accumulator(0)
+    hits = search.topk(points, queries, 4, threshold=0.1, query_filter="q_ask", point_filter="p_of", broadcast_limit_bytes=limit, points_per_bucket=500, scored=scored)
+    allowed = lambda i, j: i % 20 == 3 or (j % 50 != 7 and ask[i] == of[j])
+    got = {(r.query_id, r.rank, r.point_id) for r in hits.collect()}
+    assert got == brute(x, q, 4, allowed, 0.1)
+    own = sum(int((of == ask[i]).sum()) for i in range(400) if i % 20 != 3)
+    assert scored.value <= own + 20 * len(x)

@@ -13,8 +13,15 @@ Exact top-k is a block scan, never a row-pair join:
   meet with ``cogroup`` on ``(query_block, point_bucket)`` and each group runs the
   same numpy kernel.  No task ever holds more than one query block and one
   point bucket.
+* **Routed path** - beyond it, queries with a filter value meet only the points
+  of that value, dealt together by the value; only queries without one take the
+  block path.
 
-Both paths share one kernel that ranks by sums of a fixed order, so they return
+Within a task a query with a filter meets the points of its value only, and for
+many queries a batch of points is parted into cells that are left out where
+their upper bound is below a query's k-th score (see ``_Scorer``).
+
+All paths share one kernel that ranks by sums of a fixed order, so they return
 identical rows however the points are split.  Ties in score are broken by the
 smaller point id; a threshold keeps scores equal to it.  Rows with a null
 vector or id are not searched; vectors of another size raise an error.
@@ -40,6 +47,8 @@ _NO_FILTER = -1
 _NO_MATCH = -2
 _SCORE_ROWS = 1 << 14  # candidate pairs scored again at once
 _HIT_BYTES = 64  # of a candidate or hit row, at most
+BOUND_QUERIES, BOUND_POINTS = 64, 1024  # from which a batch of points is parted into cells
+BOUND_GAIN = 0.8  # share of the pairs that cells may leave to be scored
 
 
 # ---------------------------------------------------------------- numpy kernel
@@ -69,18 +78,23 @@ def _matrix(col: pd.Series, size: int | None = None) -> np.ndarray:
 class _Best:
     """The best k (score, id) of every query row so far; ties by smaller id."""
 
-    def __init__(self, k: int):
+    def __init__(self, k: int, rows: int):
         self.k, self.row, self.score, self.id = k, np.zeros(0, np.int64), np.zeros(0), None
+        self.kth = np.full(rows, -np.inf)  # score of each row's k-th, once it has k
 
     def add(self, row: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        if not len(row):
+            return
         if self.id is not None:
             row, score, ids = np.r_[self.row, row], np.r_[self.score, score], np.concatenate([self.id, ids])
         order = np.lexsort((ids, -score, row))
         row, score, ids = row[order], score[order], ids[order]
-        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
+        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
         at = np.arange(len(row)) - np.repeat(first, np.diff(np.r_[first, len(row)]))
         keep = at < self.k
         self.row, self.score, self.id = row[keep], score[keep], ids[keep]
+        last = at == self.k - 1
+        self.kth[row[last]] = score[last]
 
 
 class _QueryBlock:
@@ -103,38 +117,117 @@ class _QueryBlock:
             self.codes, self.fcode = None, None
 
 
-def _score_partition(qb: _QueryBlock, batches) -> _Best:
-    """Running top-k for every query over an iterator of point batches.
+class _Scorer:
+    """Running top-k of a query block over batches of points.
 
     A matrix product, whose last bits depend on its shape, only picks
     candidates: everything within its rounding error of the k-th score or the
-    threshold.  Those are scored again by ``_sums`` and ranked by that."""
-    n, k = len(qb.ids), qb.kmax
-    best = _Best(k)
-    if n == 0:
-        return best
-    for b in batches:
-        if len(b) == 0:
-            continue
-        pids, pmat = _ids(b["__pid"]), _matrix(b["__pvec"], qb.mat.shape[1])
-        error = 4 * (pmat.shape[1] + 2) * np.finfo(float).eps * qb.norm * np.sqrt((pmat**2).sum(1)).max()
+    threshold.  Those are scored again by ``_sums`` and ranked by that.
+
+    A query with a filter meets only the points of its value.  A batch for many
+    queries without one is parted into cells around some of its own points; by
+    the largest distance r from a cell's centre c no point x of it has
+    q.x > q.c + |q| r, and a cell whose bound is below a query's k-th score so far
+    (or threshold) is left out.  A task in which that saves little stops trying.
+    """
+
+    def __init__(self, qb: _QueryBlock, scored=None):
+        self.qb, self.scored = qb, scored
+        self.best = _Best(qb.kmax, len(qb.ids))
+        self.free = np.arange(len(qb.ids)) if qb.fcode is None else np.flatnonzero(qb.fcode == _NO_FILTER)
+        self.bounds = len(self.free) >= BOUND_QUERIES
         if qb.fcode is not None:
-            pcode = np.array([qb.codes.get(v, _NO_MATCH) for v in b["__pfilter"].tolist()], dtype=np.int64)
+            self.of_code = np.argsort(qb.fcode, kind="stable")
+            self.code_edges = np.searchsorted(qb.fcode[self.of_code], np.arange(len(qb.codes) + 1))
+
+    def batch(self, b: pd.DataFrame) -> None:
+        pids, pmat = _ids(b["__pid"]), _matrix(b["__pvec"], self.qb.mat.shape[1])
+        long = np.sqrt((pmat**2).sum(1)).max() if len(pmat) else 0.0
+        self.error = 4 * (pmat.shape[1] + 2) * np.finfo(float).eps * self.qb.norm * long
+        if len(self.free):
+            if self.bounds and len(pids) >= BOUND_POINTS:
+                self._by_cell(pids, pmat)
+            else:
+                self._score(self.free, pids, pmat)
+        if self.qb.fcode is not None and self.qb.codes:
+            codes = np.array([self.qb.codes.get(v, _NO_MATCH) for v in b["__pfilter"].tolist()], dtype=np.int64)
+            order = np.argsort(codes, kind="stable")
+            order = order[np.searchsorted(codes[order], 0) :]
+            found = []
+            for part in np.split(order, np.flatnonzero(np.diff(codes[order])) + 1) if len(order) else []:
+                code = codes[part[0]]
+                rows = self.of_code[self.code_edges[code] : self.code_edges[code + 1]]
+                found += self._candidates(rows, pids[part], pmat[part])
+            if found:
+                self.best.add(*(np.concatenate(x) for x in zip(*found)))
+
+    def _score(self, rows: np.ndarray, pids: np.ndarray, pmat: np.ndarray) -> None:
+        for found in self._candidates(rows, pids, pmat):
+            self.best.add(*found)
+
+    def _candidates(self, rows, pids, pmat):
+        qb, k = self.qb, self.qb.kmax
         step = max(1, _SCORE_CELLS // max(1, len(pids)))
-        for lo in range(0, n, step):
-            hi = min(n, lo + step)
-            s = qb.mat[lo:hi] @ pmat.T
-            if qb.fcode is not None:
-                fc = qb.fcode[lo:hi, None]
-                s[~((fc == _NO_FILTER) | (fc == pcode[None, :]))] = -np.inf
-            least = qb.thr[lo:hi]
+        for lo in range(0, len(rows), step):
+            some = rows[lo : lo + step]
+            s = qb.mat[some] @ pmat.T
+            if self.scored is not None:
+                self.scored.add(s.size)
+            least = np.maximum(qb.thr[some], self.best.kth[some])
             if s.shape[1] > k:
                 least = np.maximum(least, -np.partition(-s, k - 1, axis=1)[:, k - 1])
-            r, c = np.nonzero((s >= (least - 2 * error[lo:hi])[:, None]) & np.isfinite(s))
-            exact = _sums(qb.mat[lo + r], pmat[c])
-            keep = exact >= qb.thr[lo + r]
-            best.add(lo + r[keep], exact[keep], pids[c[keep]])
-    return best
+            r, c = np.nonzero((s >= (least - 2 * self.error[some])[:, None]) & np.isfinite(s))
+            exact = _sums(qb.mat[some[r]], pmat[c])
+            keep = exact >= qb.thr[some[r]]
+            yield some[r[keep]], exact[keep], pids[c[keep]]
+
+    def _by_cell(self, pids, pmat):
+        qb, rows = self.qb, self.free
+        n = int(math.sqrt(len(pids)))
+        centres = pmat[np.linspace(0, len(pids) - 1, n).astype(int)]
+        cell = ((centres**2).sum(1)[None, :] - 2 * (pmat @ centres.T)).argmin(1)
+        order = np.argsort(cell, kind="stable")
+        edges = np.searchsorted(cell[order], np.arange(n + 1))
+        apart = np.sqrt(((pmat - centres[cell]) ** 2).sum(1))
+        radius = np.array([apart[order[a:b]].max() if a < b else -np.inf for a, b in zip(edges, edges[1:])])
+        count = np.diff(edges)
+        for lo in range(0, len(rows), max(1, _SCORE_CELLS // n)):
+            some = rows[lo : lo + max(1, _SCORE_CELLS // n)]
+            near = qb.mat[some] @ centres.T
+            bound = near + qb.norm[some][:, None] * radius * (1 + 1e-9)
+            home = near.argmax(1)
+            # a query's own cell tells how good the others must be
+            first = _Best(qb.kmax, len(qb.ids))
+            found = self._cells(some, home[:, None] == np.arange(n), order, edges, pids, pmat)
+            if found:
+                first.add(*(np.concatenate(x) for x in zip(*found)))
+            least = np.maximum(qb.thr[some], np.maximum(self.best.kth[some], first.kth[some])) - 4 * self.error[some]
+            open_ = (bound >= least[:, None]) & (home[:, None] != np.arange(n))
+            if (open_ @ count).sum() > BOUND_GAIN * len(some) * len(pids):
+                self.bounds = False
+                self._score(rows[lo:], pids, pmat)
+                return
+            found += self._cells(some, open_, order, edges, pids, pmat)
+            if found:
+                self.best.add(*(np.concatenate(x) for x in zip(*found)))
+
+    def _cells(self, some, which, order, edges, pids, pmat) -> list:
+        """Candidates of the queries ``some`` in the cells that ``which`` marks for each."""
+        found = []
+        for c in np.flatnonzero(which.any(0) & (np.diff(edges) > 0)).tolist():
+            part = order[edges[c] : edges[c + 1]]
+            found += self._candidates(some[which[:, c]], pids[part], pmat[part])
+        return found
+
+
+def _score_partition(qb: _QueryBlock, batches, scored=None) -> _Best:
+    """Running top-k for every query over an iterator of point batches."""
+    scorer = _Scorer(qb, scored)
+    if len(qb.ids):
+        for b in batches:
+            if len(b):
+                scorer.batch(b)
+    return scorer.best
 
 
 def _emit(qb: _QueryBlock, best: _Best) -> pd.DataFrame:
@@ -198,6 +291,7 @@ def topk(
     payload: list[str] | None = None,
     broadcast_limit_bytes: int = DEFAULT_BROADCAST_LIMIT,
     points_per_bucket: int = POINTS_PER_BUCKET,
+    scored=None,
 ) -> DataFrame:
     """Q1 (+Q2, Q3): the ``k`` best points per query by dot product.
 
@@ -205,7 +299,8 @@ def topk(
     query filter value keeps only points whose ``point_filter`` column equals
     it (null = no filter) and is applied *before* the ranking; the threshold
     keeps ``score >= threshold``.  Output: ``query_id, rank, score, point_id``
-    plus the ``payload`` columns of the point.
+    plus the ``payload`` columns of the point.  ``scored`` (an accumulator of the
+    Spark context) counts the pairs of query and point that are scored.
     """
     if (query_filter is None) != (point_filter is None):
         raise ValueError("query_filter and point_filter go together")
@@ -235,9 +330,18 @@ def topk(
     # what every task holds: the queries, their filters and the running best k
     block_bytes = n_q * (max(dim, 1) * 8 + 48 + int(stats["filter"] or 0) + _HIT_BYTES * kmax)
     if block_bytes <= broadcast_limit_bytes:
-        cands = _broadcast_scan(spark, q, p, kmax)
+        cands = _broadcast_scan(spark, q, p, kmax, scored)
+    elif query_filter is None:
+        cands = _block_scan(q, p, kmax, block_bytes, broadcast_limit_bytes, points_per_bucket, scored=scored)
     else:
-        cands = _block_scan(q, p, kmax, block_bytes, broadcast_limit_bytes, points_per_bucket)
+        per_query = block_bytes / n_q
+        cands = _routed_scan(q.where("__qfilter is not null"), p, kmax, per_query, broadcast_limit_bytes, points_per_bucket, scored)
+        free = q.where("__qfilter is null").drop("__qfilter")
+        n_free = free.count()
+        if n_free and n_free * per_query <= broadcast_limit_bytes:
+            cands = cands.unionByName(_broadcast_scan(spark, free, p.drop("__pfilter"), kmax, scored))
+        elif n_free:
+            cands = cands.unionByName(_block_scan(free, p.drop("__pfilter"), kmax, n_free * per_query, broadcast_limit_bytes, points_per_bucket, scored=scored))
 
     hits = final_topk(cands, kmax)
     if payload:
@@ -256,19 +360,19 @@ def attach_payload(hits: DataFrame, points: DataFrame, point_id: str, payload: l
     return pay.join(side, "point_id").select("query_id", "rank", "score", "point_id", *cols)
 
 
-def _broadcast_scan(spark, q: DataFrame, p: DataFrame, kmax: int) -> DataFrame:
+def _broadcast_scan(spark, q: DataFrame, p: DataFrame, kmax: int, scored=None) -> DataFrame:
     qpdf = q.toPandas()  # bounded by broadcast_limit_bytes (checked by the caller)
     block = spark.sparkContext.broadcast((qpdf, kmax))
 
     def scan(batches):
         qdf, km = block.value
         qb = _QueryBlock(qdf, km)
-        yield _emit(qb, _score_partition(qb, batches))
+        yield _emit(qb, _score_partition(qb, batches, scored))
 
     return p.mapInPandas(scan, _cand_schema(p.schema["__pid"].dataType))
 
 
-def _block_scan(q, p, kmax, matrix_bytes, limit, per_bucket, keys=None, bucket_counts=None) -> DataFrame:
+def _block_scan(q, p, kmax, matrix_bytes, limit, per_bucket, keys=None, bucket_counts=None, scored=None) -> DataFrame:
     """Cogroup scoring.  ``keys`` (e.g. an IVF cell) must already be columns of
     both sides; points of one key are split into ``ceil(n / per_bucket)``
     buckets (``bucket_counts`` gives n per key; otherwise one global count) and
@@ -297,13 +401,53 @@ def _block_scan(q, p, kmax, matrix_bytes, limit, per_bucket, keys=None, bucket_c
     px = p.withColumn("__pb", F.pmod(F.xxhash64("__pid"), F.col("__nb")).cast("int")).withColumn(
         "__qb", F.explode(F.sequence(F.lit(0), F.lit(int(n_qb - 1))))
     )
-    g = [*keys, "__qb", "__pb"]
+    return _score_pairs(qx, px, [*keys, "__qb", "__pb"], kmax, scored)
+
+
+def _score_pairs(qx, px, keys: list[str], kmax: int, scored=None) -> DataFrame:
+    """Queries and points that agree in ``keys``, scored group by group."""
 
     def pair(qdf: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
         qb = _QueryBlock(qdf, kmax)
-        return _emit(qb, _score_partition(qb, [pdf]))
-
-    return qx.groupBy(*g).cogroup(px.groupBy(*g)).applyInPandas(pair, _cand_schema(p.schema["__pid"].dataType))
+        return _emit(qb, _score_partition(qb, [pdf], scored))
+
+    return qx.groupBy(*keys).cogroup(px.groupBy(*keys)).applyInPandas(pair, _cand_schema(px.schema["__pid"].dataType))
+
+
+def _routed_scan(q, p, kmax, per_query, limit, per_bucket, scored=None) -> DataFrame:
+    """Queries with a filter meet only the points of their value.
+
+    Values are dealt to slots by hash, each with the points and the queries of
+    its values; the kernel scores value by value.  A value with more points than
+    ``per_bucket``, or with more queries than fit the limit, gets a slot of its
+    own, cut into buckets of points and blocks of queries.  Points of a value
+    that no query asks for are left out before they move."""
+    asked = q.groupBy(F.col("__qfilter").alias("__pfilter")).agg(F.count(F.lit(1)).alias("__nq"))
+    p = p.join(asked.select("__pfilter"), "__pfilter", "left_semi")
+    sizes = p.groupBy("__pfilter").agg(F.count(F.lit(1)).alias("__n")).join(asked, "__pfilter")
+    # two numbers; then one row for each value over a limit: at most points / per_bucket + queries x bytes / limit
+    per_block = max(1, int(limit // per_query))
+    total, many = sizes.agg(F.sum("__n"), F.count_if((F.col("__n") > per_bucket) | (F.col("__nq") > per_block))).first()
+    slots = max(int(q.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(4 * (total or 0) / per_bucket))
+    if many:
+        hot = sizes.where((F.col("__n") > per_bucket) | (F.col("__nq") > per_block)).select(
+            "__pfilter", F.ceil(F.col("__n") / per_bucket).cast("int").alias("__nb"), F.ceil(F.col("__nq") / per_block).cast("int").alias("__nqb"))
+        hot = F.broadcast(hot) if many * _HIT_BYTES <= limit else hot
+        p = p.join(hot, "__pfilter", "left")
+        q = q.join(hot.withColumnRenamed("__pfilter", "__qfilter"), "__qfilter", "left")
+    else:
+        p, q = [d.withColumns({"__nb": F.lit(None).cast("int"), "__nqb": F.lit(None).cast("int")}) for d in (p, q)]
+
+    def placed(d: DataFrame, value: str) -> DataFrame:
+        slot = F.pmod(F.xxhash64(value), F.lit(slots))
+        own = F.pmod(F.xxhash64(value, F.lit("own")), F.lit(1 << 40)) + slots
+        return d.withColumns({"__slot": F.when(F.col("__nb").isNull(), slot).otherwise(own), "__nb": F.coalesce("__nb", F.lit(1)), "__nqb": F.coalesce("__nqb", F.lit(1))})
+
+    qx = placed(q, "__qfilter").withColumn("__qb", F.pmod(F.xxhash64("__qid"), F.col("__nqb")).cast("int"))
+    qx = qx.withColumn("__pb", F.explode(F.sequence(F.lit(0), F.col("__nb") - 1))).drop("__nb", "__nqb")
+    px = placed(p, "__pfilter").withColumn("__pb", F.pmod(F.xxhash64("__pid"), F.col("__nb")).cast("int"))
+    px = px.withColumn("__qb", F.explode(F.sequence(F.lit(0), F.col("__nqb") - 1))).drop("__nb", "__nqb")
+    return _score_pairs(qx, px, ["__slot", "__qb", "__pb"], kmax, scored)
 
 
 def final_topk(cands: DataFrame, kmax: int) -> DataFrame:

@@ -151,14 +151,15 @@ WITH pg AS (
 SELECT conv_id, page, total_pages, text FROM pg WHERE length(text) >= 60
 """
 
-# every seventh file has only empty or null pages; the rule is: a page with text
+# beside every file one that has only empty or null pages; the rule is: a page with text
 # adds text and newline, and a file is blank when nothing but white space came together
-BLANKED = "CASE WHEN conv_id % 7 = 3 THEN CASE WHEN turn % 2 = 0 THEN '' END ELSE text END"
+WITH_BLANK = """(SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1 - conv_id, turn, role, CASE WHEN turn % 2 = 0 THEN '' END FROM conversations)"""
 
 SQL["concat_pages"] = f"""
 WITH d AS (
   SELECT conv_id, coalesce(string_agg(CASE WHEN length(t) > 0 THEN t || chr(10) END, '' ORDER BY turn), '') AS text
-  FROM (SELECT conv_id, turn, {BLANKED} AS t FROM conversations) GROUP BY conv_id
+  FROM (SELECT conv_id, turn, text AS t FROM {WITH_BLANK}) GROUP BY conv_id
 )
 SELECT conv_id, length({strip('text')}) = 0 AS blank, CAST(length(text) AS INTEGER) AS char_count, md5(text) AS text_md5 FROM d
 """
@@ -349,7 +350,7 @@ bq AS (
 ), dq AS (
   SELECT -1 - f.doc_id AS query_id, f.text AS query, 5 AS top, CAST(0.35 AS DOUBLE) AS threshold,
          'filename=' || regexp_extract(f.path, '([^/]*)$', 1) AS filter
-  FROM files f JOIN labels l USING (doc_id) WHERE l.quality = 1
+  FROM files f
 ), qs AS (
   SELECT query_id, {strip('query')} AS query, top, threshold, filter,
          CASE WHEN instr(filter, '=') > 0 THEN substr(filter, instr(filter, '=') + 1) END AS fname
@@ -382,15 +383,19 @@ SQL["result_view_g1"] = f"""WITH {BATCH}
 SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, filename AS source, chunk_id AS chunk,
        {preview_sql('text', 600)} AS preview FROM hits"""
 
-SQL["result_view_g2"] = f"""WITH {BATCH}
-SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, CASE WHEN point_id % 5 = 0 THEN 'N/A' ELSE filename END AS filename,
-       CASE WHEN point_id % 6 = 0 THEN CAST(chunk_id + 1 AS VARCHAR) || '/' || CAST(total_chunks AS VARCHAR)
-            WHEN point_id % 3 = 0 THEN CAST(chunk_id + 1 AS VARCHAR) || '/?' END AS page_info,
-       CASE WHEN point_id % 3 = 1 THEN substr(text, 1, 40) END AS section,
-       CASE WHEN point_id % 11 = 0 THEN '?' ELSE CAST(chunk_id AS VARCHAR) END || '/' ||
-       CASE WHEN point_id % 7 = 0 THEN '?' ELSE CAST(total_chunks AS VARCHAR) END AS chunk_info,
-       CAST(CASE WHEN point_id % 13 = 0 THEN 0 ELSE char_count END AS INTEGER) AS char_count, {preview_sql("coalesce(text, '')", 300, True)} AS preview
-FROM hits"""
+SQL["result_view_g2"] = f"""WITH {BATCH}, cards AS (
+  SELECT query_id, rank, score, filename, chunk_id, total_chunks, char_count, text, NULL AS page, NULL AS total_pages, NULL AS section FROM hits
+  UNION ALL
+  SELECT -1000000000 - k, 1, k / 25, CASE WHEN k % 5 <> 0 THEN n_name END, CASE WHEN k % 11 <> 0 THEN k END, CASE WHEN k % 7 <> 0 THEN k + 1 END,
+         CASE WHEN k % 13 <> 0 THEN k * 10 END, CASE WHEN k % 2 <> 0 THEN repeat(n_name || chr(10), 40) END,
+         CASE WHEN k % 3 = 0 THEN k + 1 END, CASE WHEN k % 6 = 0 THEN k + 2 END, CASE WHEN k % 3 = 1 THEN repeat(n_name, 9) END
+  FROM (SELECT n_name, CAST(n_nationkey AS BIGINT) AS k FROM nation)
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, coalesce(filename, 'N/A') AS filename,
+       CAST(page AS VARCHAR) || '/' || coalesce(CAST(total_pages AS VARCHAR), '?') AS page_info, substr(section, 1, 40) AS section,
+       coalesce(CAST(chunk_id AS VARCHAR), '?') || '/' || coalesce(CAST(total_chunks AS VARCHAR), '?') AS chunk_info,
+       CAST(coalesce(char_count, 0) AS INTEGER) AS char_count, {preview_sql("coalesce(text, '')", 300, True)} AS preview
+FROM cards"""
 
 SQL["empty_queries"] = f"""WITH {BATCH}
 SELECT query_id, query FROM qs WHERE query_id NOT IN (SELECT query_id FROM hits)"""
@@ -475,7 +480,7 @@ SQL["discover_files"] = """
 SELECT doc_id, 'txt' AS file_type, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length, md5(text || chr(10)) AS file_hash
 FROM documents"""
 
-SQL["token_ingest"] = f"""WITH c AS (SELECT conv_id, turn, role, {BLANKED} AS text FROM conversations), h AS (
+SQL["token_ingest"] = f"""WITH c AS {WITH_BLANK}, h AS (
   SELECT conv_id, sha256(CAST(conv_id AS VARCHAR) || '/' || sha256(coalesce(string_agg(text, chr(12) ORDER BY turn), ''))) AS file_hash FROM c GROUP BY conv_id
 ), known AS (
   SELECT DISTINCT h.file_hash FROM c JOIN h USING (conv_id) WHERE c.turn = 0 AND c.role = 'assistant'
@@ -630,7 +635,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, point_
 
 SQL["g1_store_search"] = f"""WITH d AS (
   SELECT conv_id, coalesce(string_agg(CASE WHEN length(t) > 0 THEN t || chr(10) END, '' ORDER BY turn), '') AS text
-  FROM (SELECT conv_id, turn, {BLANKED} AS t FROM conversations) GROUP BY conv_id
+  FROM (SELECT conv_id, turn, text AS t FROM {WITH_BLANK}) GROUP BY conv_id
 ),
 w AS (SELECT {windows('text', 500, 50)} AS ws FROM d WHERE length({strip('text')}) > 0),
 u AS (SELECT unnest(ws) AS t FROM w),

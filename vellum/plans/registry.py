@@ -143,9 +143,10 @@ def q_page_blocks(spark, sf_dir):
 
 
 def with_blank_files(c):
-    """Every seventh conversation becomes a file without text, as a scan is:
-    its pages are empty or null by turns."""
-    return c.withColumn("text", F.when(F.col("conv_id") % 7 == 3, F.when(F.col("turn") % 2 == 0, "")).otherwise(F.col("text")))
+    """All conversations, and beside each a file without text, as a scan is,
+    under an id below zero: its pages are empty or null by turns."""
+    blank = c.withColumns({"conv_id": -1 - F.col("conv_id"), "text": F.when(F.col("turn") % 2 == 0, "")})
+    return c.unionByName(blank)
 
 
 def q_concat_pages(spark, sf_dir):
@@ -387,8 +388,8 @@ def q_embed_search(spark, sf_dir):
 
 def batch_queries(spark, sf_dir):
     """Q5 input: benchmark texts (short ones as G1 does: k=3, no threshold;
-    longer: k=5, 0.35) and, for documents labelled quality 1, their whole text
-    searched inside their own file (``filename=<name>``)."""
+    longer: k=5, 0.35) and the whole text of every document, searched inside
+    its own file (``filename=<name>``)."""
     b = table(spark, sf_dir, "benchmark")
     short = F.length("text") < 150
     bq = b.select(
@@ -396,8 +397,7 @@ def batch_queries(spark, sf_dir):
         F.when(short, 3).otherwise(5).alias("top"), F.when(~short, F.lit(0.35)).alias("threshold"),
         F.lit(None).cast("string").alias("filter"),
     )
-    f = doc_files(spark, sf_dir).join(table(spark, sf_dir, "labels").where("quality = 1"), "doc_id")
-    dq = f.select(
+    dq = doc_files(spark, sf_dir).select(
         (-1 - F.col("doc_id")).alias("query_id"), F.col("text").alias("query"), F.lit(5).alias("top"),
         F.lit(0.35).alias("threshold"), F.concat(F.lit("filename="), tx.file_name("path")).alias("filter"),
     )
@@ -423,17 +423,25 @@ def q_result_view_g1(spark, sf_dir):
     return search.result_view_g1(hits.withColumnRenamed("filename", "source").withColumnRenamed("chunk_id", "chunk"))
 
 
+def made_up_cards(spark, sf_dir):
+    """Hits made up from the nations, so that every way of showing a payload
+    occurs (pages with and without a total, long sections, missing fields)."""
+    n = table(spark, sf_dir, "nation")
+    key, name = F.col("n_nationkey").cast("bigint"), F.col("n_name")
+    by = lambda m, r=0: key % m == r
+    return n.select(
+        (-1_000_000_000 - key).alias("query_id"), F.lit(1).alias("rank"), (key / 25).alias("score"), key.alias("point_id"),
+        F.when(~by(5), name).alias("filename"), F.when(~by(11), key).alias("chunk_id"), F.when(~by(7), key + 1).alias("total_chunks"),
+        F.when(~by(13), key * 10).alias("char_count"), F.when(~by(2), F.repeat(F.concat(name, F.lit("\n")), 40)).alias("text"),
+        F.when(by(3), key + 1).alias("page"), F.when(by(6), key + 2).alias("total_pages"), F.when(by(3, 1), F.repeat(name, 9)).alias("section"),
+    )
+
+
 def q_result_view_g2(spark, sf_dir):
-    """Q7: G2 result cards.  Which payload fields a hit has goes by its id, so
-    every way of showing them occurs (pages with and without a total, long
-    sections, missing fields)."""
+    """Q7: G2 result cards of the batch's hits, and of made-up ones."""
     hits = batch_hits(spark, sf_dir, ["filename", "chunk_id", "total_chunks", "char_count", "text"])
-    by = lambda n, r=0: F.col("point_id") % n == r
-    return search.result_view_g2(hits.withColumns({
-        "page": F.when(by(3), F.col("chunk_id") + 1), "total_pages": F.when(by(6), F.col("total_chunks")), "section": F.when(by(3, 1), F.col("text")),
-        "filename": F.when(~by(5), F.col("filename")), "total_chunks": F.when(~by(7), F.col("total_chunks")),
-        "chunk_id": F.when(~by(11), F.col("chunk_id")), "char_count": F.when(~by(13), F.col("char_count")),
-    }))
+    cards = hits.unionByName(made_up_cards(spark, sf_dir), allowMissingColumns=True)
+    return search.result_view_g2(cards)
 
 
 def q_empty_queries(spark, sf_dir):
