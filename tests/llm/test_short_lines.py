@@ -29,3 +29,11 @@ def test_short_documents_as_one_window(frame):
     assert {i: r[1] for i, r in got.items()} == {1: 0, 2: 1, 3: 0, 4: 2, 5: 0, 6: 0, 7: 0, 8: 0}
     assert {i: r[1] for i, r in run(frame, rows, short=True, words=None).items()} == {i: r[1] for i, r in got.items()}
     assert all(r[1] == 0 for r in run(frame, rows).values())
+
+
+def test_many_removed_lines_of_a_long_document(frame):
+    """Over 5,000 lines, a very long line, all of it repeated."""
+    text = "\n".join([f"line {i} of the long one" for i in range(20_000)] + [LONG * 2000])
+    got = run(frame, [(1, text), (2, text), (3, "\n".join(text.split("\n")[::2]))])
+    assert got[1] == (20_001, 0, 0, text) and got[2] == (20_001, 20_001, 1, "")
+    assert got[3] == (10_001, 1, 1, "\n".join(text.split("\n")[:20_000:2]))

@@ -96,7 +96,9 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN, words: int | None = WORD
         lambda c: c["runs"],
     )
     out = d.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("g")), "left")
-    kept = F.array_join(F.filter(_lines(F.col("text")), lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n")
+    # by a set of line numbers: linear in the lines however many go
+    kept = let(_lines(F.col("text")), lambda l: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(l) - 1), F.col("gone")), lambda i: F.get(l, i)), "\n"))
     return out.select(
         "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines(F.col("text")))).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.when(F.col("gone").isNull(), 0).otherwise(starts).cast("long").alias("n_runs"),

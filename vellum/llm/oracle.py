@@ -27,15 +27,20 @@ select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesc
 from d left join words using (doc_id) left join found using (doc_id)
 """
 
+# windows: 3 lines, or fewer that hold 50 words
 SQL["op3_line_dedup"] = """
 with d as (select doc_id, text, string_split(text, chr(10)) ls from documents),
 l as (select doc_id, i, trim(ls[i + 1], ' ' || chr(9) || chr(13) || chr(11) || chr(12)) x from (select *, unnest(range(len(ls))) i from d)),
-p as (select doc_id, i, x, row_number() over (partition by doc_id order by i) p from l where x <> ''),
-w as (select doc_id, p, i a, lead(i, 1) over q b, lead(i, 2) over q c, x, lead(x, 1) over q y, lead(x, 2) over q z
+p as (select *, len(string_split_regex(x, '[ \\x09\\x0B-\\x0D]+')) c, row_number() over (partition by doc_id order by i) p from l where x <> ''),
+t as (select *, lead(i, 1) over q i2, lead(i, 2) over q i3, lead(x, 1) over q x2, lead(x, 2) over q x3, lead(c, 1) over q c2
       from p window q as (partition by doc_id order by p)),
-r as (select *, row_number() over (partition by x, y, z order by doc_id, p) n from w where z is not null),
-gone as (select distinct doc_id, unnest([a, b, c]) i from r where n > 1),
-runs as (select doc_id, count(*) n_runs from (select doc_id, p - lag(p) over (partition by doc_id order by p) gap from r where n > 1) where gap is null or gap > 3 group by doc_id),
+w as (select doc_id, p, 3 n, [i, i2, i3] lines, [x, x2, x3] xs from t where x3 is not null
+      union all select doc_id, p, 2, [i, i2], [x, x2] from t where c + c2 >= 50
+      union all select doc_id, p, 1, [i], [x] from t where c >= 50),
+r as (select * from (select *, row_number() over (partition by xs order by doc_id, p) k from w) where k > 1),
+gone as (select distinct doc_id, unnest(lines) i from r),
+runs as (select doc_id, count(*) filter (p > coalesce(reach, -1)) n_runs
+      from (select *, max(p + n) over (partition by doc_id order by p, n rows between unbounded preceding and 1 preceding) reach from r) group by doc_id),
 kept as (select d.doc_id, string_agg(ls[i + 1], chr(10) order by i) t from (select *, unnest(range(len(ls))) i from d) d anti join gone g on g.doc_id = d.doc_id and g.i = d.i group by d.doc_id),
 cut as (select doc_id, count(*) n from gone group by doc_id)
 select doc_id, coalesce(len(ls), 0)::bigint n_lines, coalesce(n, 0)::bigint n_removed, coalesce(n_runs, 0)::bigint n_runs,

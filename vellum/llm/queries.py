@@ -35,9 +35,8 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Later runs of 3 or more equal lines go (the rule of its SQL, which knows
-    no windows of fewer lines)."""
-    r = line_dedup.drop_repeated_runs(read_table(spark, sf_dir, "documents"), run=3, words=None)
+    """Later runs of 3 or more equal lines, or of fewer with 50 words, go."""
+    r = line_dedup.drop_repeated_runs(read_table(spark, sf_dir, "documents"))
     return r.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
