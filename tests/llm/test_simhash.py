@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import xxhash
 from pyspark.sql import functions as F
@@ -96,3 +98,25 @@ def test_one_of_each_group_stays_and_empty_table(frame):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, set(roots)))
     assert simhash.simhash_groups(frame([])).count() == 0
     assert simhash.keep_one(frame([])).count() == 0
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    """Stars whose centre is small, large or in between, chained to one another."""
+    from vellum.llm import graph
+
+    monkeypatch.setattr(graph, "DEGREE", 5)
+    r = random.Random(9)
+    edges = [(0, i) for i in range(1, 200)] + [(1000, i) for i in range(300, 400)] + [(450, i) for i in range(400, 500)]
+    edges += [(399, 400), (2000, 2001), (2001, 2002), (2000, 2000)] + [(3000 + i, 3001 + i) for i in range(60)]
+    r.shuffle(edges)
+    got = {x.node: x.component for x in graph.components(spark.createDataFrame(edges, "p long, q long"), "p", "q").collect()}
+    want = {i: 0 for i in range(200)} | {i: 300 for i in [*range(300, 500), 1000]} | {i: 2000 for i in (2000, 2001, 2002)} | {3000 + i: 3000 for i in range(61)}
+    assert got == want
+
+
+def test_of_equal_rows_the_same_one_stays(spark):
+    rows = [(1, "a text of five words", s) for s in "cab"]
+    for _ in range(3):
+        random.shuffle(rows)
+        kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+        assert [tuple(x) for x in kept] == [(1, "a text of five words", "a")]

@@ -202,7 +202,7 @@ def near_links(fps: DataFrame, distance: int = 2) -> DataFrame:
 
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = fps.select("fp").mapInArrow(replicate, "anchor long, fp long, home boolean")
-    return placed.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(compare, "a long, b long")
+    return placed.repartition(n, "anchor").sortWithinPartitions("anchor", "fp").mapInArrow(compare, "a long, b long")
 
 
 def _classes(f: DataFrame, rep: Column, distance: int) -> DataFrame:
@@ -240,4 +240,6 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     kept = kept.select(F.col("r.doc_id").alias("__id"), F.col("r.h").alias("__g"))
     d = docs.withColumns({"__key": F.col("doc_id").cast("long"), "__h": h})
     d = d.join(kept, F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__g")), "left_semi")
-    return d.dropDuplicates(["__key", "__h"]).drop("__key", "__h")
+    # of rows with one id and text the first by all columns that can be ordered
+    first = F.struct(*[c for c, t in docs.dtypes if "map<" not in t and "variant" not in t])
+    return d.groupBy("__key", "__h").agg(F.min_by(F.struct(*docs.columns), first).alias("__r")).select("__r.*")
