@@ -31,6 +31,10 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\r\x0b\x0c"))
+
+
 def drop_repeated_runs(docs: DataFrame, run: int = RUN, words: int | None = WORDS, short: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_lines``, ``n_removed``,
     ``n_runs`` (maximal removed runs) and ``text`` without the removed lines.
@@ -47,10 +51,9 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN, words: int | None = WORD
     has fewer than ``run`` are one, equal to the same lines of another such one.
     """
     d = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("h"))
-    hashes = F.transform(_lines(F.col("text")), lambda x, i: F.struct(i.alias("line"), F.btrim(x, F.lit(" \t\r\x0b\x0c")).alias("x")))
-    hashes = F.transform(F.filter(hashes, lambda s: s["x"] != ""), lambda s: F.struct(
-        s["line"].alias("line"), F.xxhash64(s["x"]).alias("one"), F.xxhash64(F.lit("second"), s["x"]).alias("two"),
-        F.lit(0).alias("words") if words is None else F.size(F.split(s["x"], r"[ \t\r\x0b\x0c]+")).alias("words"),
+    hashes = F.transform(F.filter(F.transform(_lines(F.col("text")), _trimmed), lambda x: x != ""), lambda x: F.struct(
+        F.xxhash64(x).alias("one"), F.xxhash64(F.lit("second"), x).alias("two"),
+        F.lit(0).alias("words") if words is None else F.size(F.split(x, r"[ \t\r\x0b\x0c]+")).alias("words"),
     ))
 
     def of_lines(l: Column, n: int) -> Column:
@@ -60,7 +63,6 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN, words: int | None = WORD
                 i.alias("at"), F.lit(n).alias("n"), F.array_min(F.array(*[r["one"] for r in rows])).alias("fp"),
                 F.array_position(F.array(*[r["one"] for r in rows]), F.array_min(F.array(*[r["one"] for r in rows]))).alias("pick"),
                 F.xxhash64(*[r["one"] for r in rows]).alias("one"), F.xxhash64(F.lit("second"), *[r["two"] for r in rows]).alias("two"),
-                F.array(*[r["line"] for r in rows]).alias("lines"),
             )
 
         at = F.sequence(F.lit(0), F.greatest(F.size(l) - n, F.lit(0)))
@@ -76,19 +78,17 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN, words: int | None = WORD
         each = [of_lines(l, n) for n in sizes]
         return each[0] if len(each) == 1 else F.flatten(F.array_compact(F.array(*each)))
 
-    w = d.select("doc_id", "h", F.explode_outer(let(hashes, windows)).alias("w")).where("w is not null").select("doc_id", "h", "w.*").distinct()
-    w = written(w.withColumn("at_fp", F.col("at") + F.col("pick").cast("int") - 1).drop("pick"), "line-windows")
-    selected = w.select("doc_id", "h", "at_fp", "fp").groupBy("fp").agg(
-        F.min(F.struct("doc_id", "h", "at_fp")).alias("a"), F.max(F.struct("doc_id", "h", "at_fp")).alias("b")
-    )
+    # rows with one doc_id and text give the same windows at the same places
+    w = d.select("doc_id", "h", F.explode_outer(let(hashes, windows)).alias("w")).where("w is not null").select("doc_id", "h", "w.*")
+    place = F.xxhash64("doc_id", "h", F.col("at") + F.col("pick").cast("int"))
+    w = written(w.withColumn("place", place).drop("pick"), "line-windows")
+    selected = w.groupBy("fp").agg(F.min("place").alias("a"), F.max("place").alias("b"))
     shared = written(selected.where("a <> b").select("fp"), "line-fingerprints")
-    near = w.join(shared, "fp", "left_semi")
+    near = written(w.join(shared, "fp", "left_semi").select("doc_id", "h", "at", "n", "one", "two"), "line-matches")
     first = near.groupBy("one", "two").agg(F.min(F.struct("doc_id", "h", "at")).alias("first"), F.count("*").alias("places"))
     first = written(first.where("places > 1").drop("places"), "line-firsts")
     again = near.join(first, ["one", "two"]).where("first < struct(doc_id, h, at)")
-    gone = again.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("g")).agg(
-        F.sort_array(F.collect_set(F.struct("at", "n"))).alias("starts"), F.array_distinct(F.flatten(F.collect_set("lines"))).alias("gone")
-    )
+    gone = again.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("g")).agg(F.sort_array(F.collect_set(F.struct("at", "n"))).alias("starts"))
     # a new run begins at a window that doesn't touch the one before it
     starts = F.aggregate(
         "starts", F.struct(F.lit(0).alias("runs"), F.lit(-1).alias("end")),
@@ -96,7 +96,12 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN, words: int | None = WORD
         lambda c: c["runs"],
     )
     out = d.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("g")), "left")
-    # by a set of line numbers: linear in the lines however many go
+    # the removed of the non-blank lines, numbered among all lines; then all others, in
+    # time linear in the lines however many go
+    among = F.flatten(F.transform("starts", lambda x: F.sequence(x["at"], x["at"] + x["n"] - 1)))
+    numbers = lambda l: F.filter(F.transform(l, lambda x, i: F.when(_trimmed(x) != "", i)), lambda i: i.isNotNull())
+    lost = let(numbers(_lines(F.col("text"))), lambda at: F.transform(F.array_distinct(among), lambda p: F.get(at, p)))
+    out = out.withColumn("gone", F.when(F.col("starts").isNotNull(), lost))
     kept = let(_lines(F.col("text")), lambda l: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(l) - 1), F.col("gone")), lambda i: F.get(l, i)), "\n"))
     return out.select(
