@@ -79,3 +79,20 @@ def test_row_and_per_file_numbering_agree(spark):
     b = spark.createDataFrame(rows, "path string, block_no int, text string").withColumn("file_hash", F.lit("h"))
     a = chunking.chunk_blocks(b, "t").select("filepath", "chunk_id", "total_chunks", "text").collect()
     assert sorted((r[0], r[1], r[2]) for r in a) == [("p1", 0, 2), ("p1", 1, 2), ("p2", 0, 2), ("p2", 1, 2)]
+
+
+def test_native_splitter_equals_the_rule(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(3)
+    rows = [None, "", " ", "a" * 511, "a" * 512, "a" * 513, "x" * 2000, " " * 700, "\n\n" * 400, "é" * 1300 + "\n" + "b " * 800]
+    tokens = ["\n\n", "\n", ". ", "? ", "! ", "; ", ", ", " ", " ", " ", "w", "wordy", "é"]
+    rows += ["".join(r.choice([*tokens, "z" * r.choice([3, 3, 3, 600])]) for _ in range(r.choice([5, 100, 400, 1500]))) for _ in range(80)]
+    d = spark.createDataFrame(list(enumerate(rows)), "id int, text string")
+    d = d.select("id", chunking.recursive_chunks_native("text").alias("n"), chunking.recursive_chunks("text").alias("u"), chunking.recursive_chunks_native("text", 40, 12).alias("small"))
+    for i, native, udf, small in d.collect():
+        want = [] if rows[i] is None else chunking.split_recursive(rows[i])
+        assert native == udf == want
+        assert small == ([] if rows[i] is None else chunking.split_recursive(rows[i], size=40, overlap=12))

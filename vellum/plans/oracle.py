@@ -665,3 +665,35 @@ WITH e AS (SELECT count(*) AS n FROM (
   SELECT row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.embedding::DOUBLE[], p.embedding::DOUBLE[]) DESC, p.vec_id) AS rank
   FROM embeddings q CROSS JOIN embeddings p) WHERE rank <= 5)
 SELECT name, n AS exact_hits, true AS reached FROM e CROSS JOIN (VALUES ('cells'), ('tables'), ('given')) AS t(name)"""
+
+
+def recursive_sql(x: str, size: int = 512, overlap: int = 52) -> str:
+    """The chunks of a text: a fold over the pieces of each separator in turn."""
+    cuts, nothing = "STRUCT(a INTEGER, b INTEGER, o BOOLEAN)[]", "{{'at': {}, 'ws': []::INTEGER[], 'cuts': []::{}}}"
+    flushed = "(CASE WHEN len(c.ws) > 0 THEN list_concat(c.cuts, [{'a': c.ws[1], 'b': c.at, 'o': false}]) ELSE c.cuts END)"
+    full = f"(len(c.ws) > 0 AND c.at - c.ws[1] + e.at > {size})"
+    segs = f"CASE WHEN {x} IS NULL THEN [] ELSE [{{'t': CASE WHEN length({x}) > {size} THEN {x} ELSE {strip(x)} END, 'o': length({x}) > {size}}}] END"
+    for sep in ("\\n\\n", "\\n", ". ", "? ", "! ", "; ", ", ", " "):
+        q = "'" + sep + "'" if "\\" not in sep else " || ".join(["chr(10)"] * (len(sep) // 2))
+        n = len(sep) // 2 if "\\" in sep else len(sep)
+        pieces = f"list_transform(string_split(s.t, {q}), lambda p, i: {nothing.format(f'CAST(length(p) + CASE WHEN i > 1 THEN {n} ELSE 0 END AS INTEGER)', cuts)})"
+        step = f"""CASE WHEN e.at = 0 THEN c
+          WHEN e.at >= {size} THEN {{'at': c.at + e.at, 'ws': []::INTEGER[], 'cuts': list_concat({flushed}, [{{'a': c.at, 'b': c.at + e.at, 'o': true}}])}}
+          ELSE {{'at': c.at + e.at, 'ws': list_append(CASE WHEN {full} THEN list_filter(c.ws, lambda w: c.at - w <= least({overlap}, {size} - e.at)) ELSE c.ws END, c.at),
+                 'cuts': CASE WHEN {full} THEN {flushed} ELSE c.cuts END}} END"""
+        fold = f"list_reduce(list_concat([{nothing.format('0::INTEGER', cuts)}], {pieces}), lambda c, e: {step})"
+        piece = "substr(s.t, z.a + 1, z.b - z.a)"
+        told = f"list_transform({flushed}, lambda z: {{'t': CASE WHEN z.o THEN {piece} ELSE {strip(piece)} END, 'o': z.o}})"
+        segs = f"flatten(list_transform({segs}, lambda s: CASE WHEN s.o AND contains(s.t, {q}) THEN list_transform([{fold}], lambda c: {told})[1] ELSE [s] END))"
+    step = size - overlap
+    windows = f"list_transform(range(0, {step} * CAST(ceil((length(s.t) - {size}) / {step}) AS BIGINT) + 1, {step}), lambda o: {strip(f'substr(s.t, o + 1, {size})')})"
+    return f"list_filter(flatten(list_transform({segs}, lambda s: CASE WHEN s.o THEN {windows} ELSE [s.t] END)), lambda t: t <> '')"
+
+
+SQL["recursive_chunks"] = f"""
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk, CAST(length(t) AS INTEGER) AS char_count, md5(t) AS text_md5
+FROM (SELECT doc_id, unnest(cs) AS t, generate_subscripts(cs, 1) AS i FROM (SELECT doc_id, {recursive_sql('text')} AS cs FROM documents))"""
+
+SQL["recursive_chunks_native"] = SQL["recursive_chunks"]
+
+SQL["index_documents"] = SQL["index_documents_windows"].replace(windows("text", 500, 50), recursive_sql("text"))

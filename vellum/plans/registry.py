@@ -554,14 +554,19 @@ def q_ann_recall(spark, sf_dir):
     return told[0].unionByName(told[1]).unionByName(told[2])
 
 
-def q_recursive_chunks(spark, sf_dir):
+def q_recursive_chunks(spark, sf_dir, split=chunking.recursive_chunks):
     """T5: recursive character chunks (512 / 52) of every document."""
     d = table(spark, sf_dir, "documents")
-    x = d.select("doc_id", F.posexplode(chunking.recursive_chunks("text")).alias("chunk", "text"))
+    x = d.select("doc_id", posexplode_rows(split("text"), "chunk", "text")).where(keep_rows("chunk"))
     return x.select("doc_id", F.col("chunk").cast("int").alias("chunk"), F.length("text").cast("int").alias("char_count"),
                     F.md5("text").alias("text_md5"))
 
 
+def q_recursive_chunks_native(spark, sf_dir):
+    """T5 as one expression, without Python workers."""
+    return q_recursive_chunks(spark, sf_dir, chunking.recursive_chunks_native)
+
+
 def mixed_files(spark, sf_dir):
     """Documents as .txt files, web pages as .html files and conversations as
     .json files (a type without a decoder)."""
@@ -634,6 +639,7 @@ QUERIES.update({
     "ann_lsh": q_ann_lsh,
     "ann_recall": q_ann_recall,
     "recursive_chunks": q_recursive_chunks,
+    "recursive_chunks_native": q_recursive_chunks_native,
     "extract_blocks": q_extract_blocks,
     "index_documents": q_index_documents,
     "token_ingest": q_token_ingest,
