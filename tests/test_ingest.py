@@ -224,3 +224,52 @@ def test_listing_reports_what_it_cannot_read(spark, tmp_path):
     assert store.load_quarantine().count() == 6
     again = run_token_ingest_files(store, discover_files(spark, folder, (".txt",), max_bytes=100), TextDecoder())
     assert again["chunks"] == 0
+
+
+def test_unchanged_files_are_not_opened(spark, tmp_path):
+    folder = str(tmp_path / "docs")
+    for name in ("a.txt", "sub/b b.txt", "c.txt", "d[1].txt"):
+        write(folder, name, LONG + name)
+    write(folder, "tiny.txt", "tiny")
+    store = VectorStore(spark, scratch_path(spark, "store")).ensure(64)
+
+    def go(**kw):
+        cfg = indexing.IndexConfig(indexed_at="2024-01-01T00:00:00", skip_already_indexed=kw.pop("skip", True))
+        s = indexing.run_index_folder(store, folder, suffixes=SUFFIXES, decoders=DECODERS, cfg=cfg, **kw)
+        return s["total"], s["processed"], s["skipped"], s["errors"]
+
+    assert go() == (5, 4, 0, 1)
+    n = store.count()
+    assert go() == (5, 0, 4, 1)  # the failed one is tried again
+    # rewritten within length and time of change: only a run that opens it can tell
+    path = os.path.join(folder, "a.txt")
+    before = os.stat(path)
+    write(folder, "a.txt", (LONG + "a.txt").replace("contratos", "CONTRATOS"))
+    os.utime(path, ns=(before.st_atime_ns, before.st_mtime_ns))
+    assert go() == (5, 0, 4, 1) and store.count() == n
+    assert go(always_hash=True) == (5, 1, 3, 1) and store.count() > n
+    assert go() == (5, 0, 4, 1)
+    # touched, not changed: read once, skipped by its hash, and unopened from then on
+    os.utime(os.path.join(folder, "c.txt"), (1, 1))
+    assert go() == (5, 0, 4, 1)
+    assert {os.path.basename(r.path): r.modified.year for r in store.load_seen().collect()}["c.txt"] == 1970
+    # changed, new and names that look like patterns
+    write(folder, "d[1].txt", LONG + "changed")
+    write(folder, "new.txt", LONG + "new")
+    assert go() == (6, 2, 3, 1)
+    store.vacuum()
+    assert go() == (6, 0, 5, 1) and store.load_seen().count() == 5
+    assert go(skip=False) == (6, 5, 0, 1)
+
+
+def test_only_touched_paths_are_read(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "docs")
+    for i in range(6):
+        write(folder, f"f{i}.txt", LONG + str(i))
+    listing = src.list_files(spark, folder, SUFFIXES)
+    some = listing.where(F.col("path").rlike("f[23]"))
+    files = src.read_files(spark, folder, some, SUFFIXES)
+    assert len(files.inputFiles()) == 2 and files.count() == 2
+    assert src.read_files(spark, folder, some.limit(0), SUFFIXES).count() == 0
+    monkeypatch.setattr(src, "MAX_PATHS", 1)
+    assert sorted(r.filename for r in src.read_files(spark, folder, some, SUFFIXES).collect()) == ["f2.txt", "f3.txt"]

@@ -36,6 +36,14 @@ def changed_files(files: DataFrame, state: DataFrame, skip_unchanged: bool = Tru
     return files.join(st, [path, col], "left_anti"), files.join(st, [path, col], "left_semi")
 
 
+def unopened_files(listing: DataFrame, seen: DataFrame, state: DataFrame, path: str = "path", col: str = "file_hash") -> DataFrame:
+    """D5 by metadata: ``(path, hash)`` of the listed files whose length and time
+    of change are those of the last run that read them, and whose hash then is the
+    state's now: nobody need open them."""
+    same = listing.select(path, "length", "modified").join(seen, [path, "length", "modified"]).select(path, col)
+    return same.join(state.select(path, col), [path, col], "left_semi").distinct()
+
+
 def last_wins(points: DataFrame, key: str = "point_id", order: str = "filepath") -> DataFrame:
     """One row per point id, the one with the greatest ``order`` (the path
     processed last).  ``max_by`` is combined map-side, so many copies of one

@@ -23,7 +23,7 @@ from vellum.operators import chunking, dedup, embed
 from vellum.operators.extract import chunk_files, chunk_rows, decode_files
 from vellum.operators.report import run_summary
 from vellum.session import scratch_path
-from vellum.sources.files import SUPPORTED_SUFFIXES, default_decoders, discover_files, unreadable_files, with_hash
+from vellum.sources.files import SUPPORTED_SUFFIXES, default_decoders, discover_files, list_files, read_files, unreadable_files, with_hash
 from vellum.sources.store import VectorStore, delete_path
 
 
@@ -94,7 +94,8 @@ def outcome_from(files: DataFrame, skipped: DataFrame, per_file: DataFrame) -> D
 
 
 def run_index(store: VectorStore, files: DataFrame, *, decoders=None, encoder=None, cfg: IndexConfig | None = None,
-              splitter=None, failed_at: str | None = None, unreadable: DataFrame | None = None) -> dict:
+              splitter=None, failed_at: str | None = None, unreadable: DataFrame | None = None,
+              listing: DataFrame | None = None, unopened: DataFrame | None = None) -> dict:
     """Execute G2 against ``store``: upsert points, quarantine failures, then
     save the state (after the points, so a crash in between only repeats work
     with the same ids).  Returns the run summary as a dict.
@@ -105,7 +106,12 @@ def run_index(store: VectorStore, files: DataFrame, *, decoders=None, encoder=No
     Spark can broadcast the changed paths.  The per-file
     chunk table is written once to the shared folder (points, errors and the
     outcome read it) and deleted at the end.  ``unreadable``: path and error of
-    files that could not be listed with their contents."""
+    files that could not be listed with their contents.
+
+    With a ``listing`` (path, length, modified) ``files`` are those that the listing
+    shows as new or touched, and ``unopened`` (path, file_hash) the others, which
+    count as skipped.  Then contents are read once, hashed and decoded in the same
+    pass; a file that was touched but not changed is dropped after it."""
     t0 = time.time()
     cfg = cfg or IndexConfig()
     encoder = encoder or embed.HashingEncoder(store.dim)
@@ -119,11 +125,19 @@ def run_index(store: VectorStore, files: DataFrame, *, decoders=None, encoder=No
         df.write.parquet(stages[name])
         return spark.read.schema(df.schema).parquet(stages[name])
 
-    hashes = kept("hashes", files.select("path", "file_hash"))
-    changed, skipped = dedup.changed_files(hashes, state, cfg.skip_already_indexed)
-    todo = files.join(changed.select("path").distinct(), "path", "left_semi") if cfg.skip_already_indexed else files
-    decoded = decode_files(todo, decoders if decoders is not None else default_decoders(), cfg.min_chunk_length)
-    per_file = kept("files", chunk_files(decoded, cfg.chunk_size, cfg.chunk_overlap, cfg.min_chunk_length, splitter))
+    def chunked(todo: DataFrame) -> DataFrame:
+        decoded = decode_files(todo, decoders if decoders is not None else default_decoders(), cfg.min_chunk_length)
+        return kept("files", chunk_files(decoded, cfg.chunk_size, cfg.chunk_overlap, cfg.min_chunk_length, splitter))
+
+    if listing is not None:
+        read = chunked(files)
+        hashes = read.select("path", "file_hash")
+        per_file, skipped = dedup.changed_files(read, state, cfg.skip_already_indexed)
+    else:
+        hashes = kept("hashes", files.select("path", "file_hash"))
+        changed, skipped = dedup.changed_files(hashes, state, cfg.skip_already_indexed)
+        todo = files.join(changed.select("path").distinct(), "path", "left_semi") if cfg.skip_already_indexed else files
+        per_file = chunked(todo)
     indexed_at = cfg.indexed_at or datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
     plan = _finish(hashes, skipped, per_file, state, encoder, indexed_at)
     store.upsert(plan.points.select(*store.scan().columns))
@@ -132,22 +146,45 @@ def run_index(store: VectorStore, files: DataFrame, *, decoders=None, encoder=No
         errors = errors.unionByName(unreadable.select("path", "error"))
         outcome = outcome.unionByName(unreadable.select(
             "path", F.lit(None).cast("string").alias("file_hash"), F.lit("error").alias("status"), F.lit(0).cast("bigint").alias("chunks"), "error"))
+    if unopened is not None:
+        outcome = outcome.unionByName(unopened.select("path", "file_hash", F.lit("skipped").alias("status"), F.lit(0).cast("bigint").alias("chunks"),
+                                                      F.lit(None).cast("string").alias("error")))
     store.quarantine(errors, failed_at)
     if cfg.remove_stale:
         store.remove_stale(plan.new_state)
     outcome = kept("outcome", outcome)
     ok = outcome.where(F.col("status") == "processed").select("path", "file_hash")
-    store.save_state(dedup.update_state(state, ok))
+    seen = None
+    if listing is not None:  # of files that failed nothing is noted, so that they are read again
+        now = listing.join(outcome.where("status <> 'error'").select("path", "file_hash").distinct(), "path")
+        old = store.load_seen()
+        seen = old.join(listing.select("path"), "path", "left_anti").unionByName(now.select(*old.columns))
+    store.save_state(dedup.update_state(state, ok), seen)
     summary = run_summary(outcome, time.time() - t0).first().asDict()
     for path in stages.values():
         delete_path(spark, path)
     return summary
 
 
-def run_index_folder(store: VectorStore, folder: str, *, suffixes=SUPPORTED_SUFFIXES, max_bytes: int | None = None, **kw) -> dict:
-    """G2 over a folder tree: files that can't be read are reported as errors."""
-    spark = store.spark
-    return run_index(store, discover_files(spark, folder, suffixes, max_bytes), unreadable=unreadable_files(spark, folder, suffixes, max_bytes), **kw)
+def run_index_folder(store: VectorStore, folder: str, *, suffixes=SUPPORTED_SUFFIXES, max_bytes: int | None = None,
+                     always_hash: bool = False, cfg: IndexConfig | None = None, **kw) -> dict:
+    """G2 over a folder tree: files that can't be read are reported as errors.
+
+    Files that have the length and time of change of the last run are skipped
+    unopened; ``always_hash`` opens them all (a file rewritten within its length
+    and time of change is noticed only so)."""
+    spark, cfg = store.spark, cfg or IndexConfig()
+    path = scratch_path(spark, "listing")
+    list_files(spark, folder, suffixes, max_bytes).write.parquet(path)
+    listing = spark.read.parquet(path)
+    if always_hash or not cfg.skip_already_indexed or store.manifest().get("seen") is None:
+        files, unopened = discover_files(spark, folder, suffixes, max_bytes), None
+    else:
+        unopened = dedup.unopened_files(listing, store.load_seen(), store.load_state())
+        files = read_files(spark, folder, listing.join(unopened, "path", "left_anti"), suffixes, max_bytes)
+    summary = run_index(store, files, cfg=cfg, unreadable=unreadable_files(spark, folder, suffixes, max_bytes), listing=listing, unopened=unopened, **kw)
+    delete_path(spark, path)
+    return summary
 
 
 # ---------------------------------------------------------------- G1

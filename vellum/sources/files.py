@@ -59,6 +59,30 @@ def discover_files(spark: SparkSession, folder: str, suffixes=SUPPORTED_SUFFIXES
     return df.orderBy("path") if sort else df
 
 
+def list_files(spark: SparkSession, folder: str, suffixes=SUPPORTED_SUFFIXES, max_bytes: int | None = None) -> DataFrame:
+    """``path, length, modified`` of the files ``discover_files`` would read; none is opened."""
+    df = _listing(spark, folder, suffixes).where(F.col("length") <= _read_limit(spark, max_bytes))
+    return df.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+#: paths that are handed to the reader one by one; beyond, the folder is read and joined with them
+MAX_PATHS = 100_000
+
+
+def read_files(spark: SparkSession, folder: str, paths: DataFrame, suffixes=SUPPORTED_SUFFIXES, max_bytes: int | None = None) -> DataFrame:
+    """``discover_files`` for the files ``paths`` (column ``path``) alone.  Up to
+    MAX_PATHS names come to the driver, where the reader's listing stands anyway,
+    and no other file is opened.  More of them, or names that the reader would take
+    for patterns, are found by reading the folder."""
+    some = [r[0] for r in paths.select("path").distinct().limit(MAX_PATHS + 1).collect()]
+    if not some:
+        return discover_files(spark, folder, suffixes, max_bytes).limit(0)
+    if len(some) > MAX_PATHS or any(set(p) & set("*?[]{}\\") for p in some):
+        return discover_files(spark, folder, suffixes, max_bytes).join(paths.select("path").distinct(), "path", "left_semi")
+    df = spark.read.format("binaryFile").load(some)
+    return df.select("path", file_name("path").alias("filename"), file_type("path").alias("file_type"), "length", "content")
+
+
 def unreadable_files(spark: SparkSession, folder: str, suffixes=SUPPORTED_SUFFIXES, max_bytes: int | None = None) -> DataFrame:
     """S10 input: ``path, error`` for the files of ``suffixes`` below ``folder``
     that ``discover_files`` leaves out, so a run reports them like other bad

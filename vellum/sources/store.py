@@ -8,6 +8,7 @@ A store is a folder on shared storage:
                   rows sorted by (file_type, filename, page) inside each file
                   so filters on those payload fields skip row groups (S4).
 * ``state/v=<n>/``  Parquet ``(path, file_hash)`` (S8).
+* ``seen/v=<n>/``   Parquet ``(path, length, modified, file_hash)`` of files read.
 * ``manifest/``     small JSON files, the highest number counts: which buckets
                   are read from which write, and which state holds.
 * ``quarantine/``   Parquet, appended (S10).
@@ -88,6 +89,7 @@ class VectorStore:
         self.files_per_bucket = files_per_bucket
         self.points_path = f"{self.root}/points"
         self.state_path = f"{self.root}/state"
+        self.seen_path = f"{self.root}/seen"
         self.quarantine_path = f"{self.root}/quarantine"
         self.meta_path = f"{self.root}/meta"
         self.manifest_path = f"{self.root}/manifest"
@@ -177,6 +179,9 @@ class VectorStore:
         for v in self._names(self.state_path):
             if v != f"v={m['state']}":
                 delete_path(self.spark, f"{self.state_path}/{v}")
+        for v in self._names(self.seen_path):
+            if v != f"v={m.get('seen')}":
+                delete_path(self.spark, f"{self.seen_path}/{v}")
 
     def _read(self, buckets: list[int] | None = None) -> DataFrame:
         """The points, of all or of some buckets (others' files are not listed)."""
@@ -271,11 +276,24 @@ class VectorStore:
                 warnings.warn(f"index state is unreadable, starting without: {e}", stacklevel=2)
         return self.spark.createDataFrame([], "path string, file_hash string")
 
-    def save_state(self, state: DataFrame) -> None:
-        """The state becomes a new folder, then the manifest names it."""
+    def save_state(self, state: DataFrame, seen: DataFrame | None = None) -> None:
+        """The state (and what was ``seen``) becomes a new folder, then the
+        manifest names it."""
         version = uuid.uuid4().hex[:12]
         state.select("path", "file_hash").write.parquet(f"{self.state_path}/v={version}")
-        self._publish(self.manifest() | {"state": version})
+        names = {"state": version}
+        if seen is not None:
+            seen.select("path", "length", "modified", "file_hash").write.parquet(f"{self.seen_path}/v={version}")
+            names["seen"] = version
+        self._publish(self.manifest() | names)
+
+    def load_seen(self) -> DataFrame:
+        """Length and time of change of every file when it was last read with
+        success, and its hash; empty before the first run over a folder."""
+        version, schema = self.manifest().get("seen"), "path string, length long, modified timestamp, file_hash string"
+        if version is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.seen_path}/v={version}")
 
     # ------------------------------------------------------------ S10
     def quarantine(self, failed: DataFrame, failed_at: str | None = None) -> None:
