@@ -464,6 +464,10 @@ merged AS (
 )
 SELECT *, (SELECT count(*) FROM merged) AS points FROM merged"""
 
+SQL["store_filter"] = f"""WITH {FILES}, {chunks_cte('ac', 'files')}, {points_cte('ap', 'ac')}, {last_wins_cte('lw', 'ap')}
+SELECT point_id, filename, chunk_id, 'txt' AS file_type FROM lw
+WHERE filename IN (SELECT regexp_extract(path, '([^/]*)$', 1) FROM files WHERE doc_id IN (1, 10, 20, 30, 40))"""
+
 SQL["store_append"] = f"""WITH d AS (
   SELECT conv_id, md5(CAST(conv_id AS VARCHAR)) AS file_hash,
          string_agg(text || chr(10), '' ORDER BY turn) AS text

@@ -745,6 +745,18 @@ def q_store_roundtrip(spark, sf_dir):
         "points", F.lit(n).cast("bigint"))
 
 
+def q_store_filter(spark, sf_dir):
+    """A store with declared filter columns (file type as folder),
+    asked for the points of five files by name and type."""
+    store = VectorStore(spark, scratch_path(spark, "filtered"), buckets=8).ensure(DIM)
+    store.declare_filter_columns(partition="file_type")
+    pts = embed.embed_passages(dedup.last_wins(doc_points(doc_files(spark, sf_dir))), embed.HashingEncoder(DIM))
+    store.upsert(pts.select(*store.scan().columns))
+    wanted = doc_files(spark, sf_dir).where(F.col("doc_id").isin(1, 10, 20, 30, 40)).select(tx.file_name("path").alias("n"))
+    names = [r.n for r in wanted.collect()]  # five names at most
+    return store.scan(["point_id", "filename", "chunk_id", "file_type"]).where(F.col("filename").isin(names) & (F.col("file_type") == "txt"))
+
+
 def q_store_append(spark, sf_dir):
     """S7 + G1 run: conversations as paged files appended under random ids;
     read back without the ids."""
@@ -762,6 +774,7 @@ def q_store_append(spark, sf_dir):
 
 QUERIES["store_roundtrip"] = q_store_roundtrip
 QUERIES["store_append"] = q_store_append
+QUERIES["store_filter"] = q_store_filter
 
 
 def q_ann_topk_all_cells(spark, sf_dir):

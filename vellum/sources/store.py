@@ -5,8 +5,9 @@ A store is a folder on shared storage:
 * ``points/v=<n>/`` Parquet, one folder a write, partitioned by ``bucket =
                   pmod(xxhash64(file_hash), buckets)``: all points of one
                   content share a bucket (ids derive from the content hash);
-                  rows sorted by (file_type, filename, page) inside each file
-                  so filters on those payload fields skip row groups (S4).
+                  rows sorted by (file_type, filename, page) inside each file,
+                  with Bloom filters of the declared columns, so filters on
+                  those payload fields skip row groups (S4).
 * ``state/v=<n>/``  Parquet ``(path, file_hash)`` (S8).
 * ``seen/v=<n>/``   Parquet ``(path, length, modified, file_hash)`` of files read.
 * ``manifest/``     small JSON files, the highest number counts: which buckets
@@ -37,6 +38,8 @@ from vellum.operators.dedup import last_wins
 from vellum.session import scratch_path
 
 DEFAULT_BUCKETS = 64
+# Payload fields that the store is asked to filter by.
+FILTER_COLUMNS = ("filename", "file_hash", "page", "indexed_at")
 
 # Fields of a G2 point besides id and vector (payload).
 POINT_FIELDS = [
@@ -140,30 +143,65 @@ class VectorStore:
         found = [f for f in self._names(self.manifest_path) if f.endswith(".json")]
         if not found:
             return {"n": 0, "points": {}, "state": None}
-        fs, p = _fs(self.spark, f"{self.manifest_path}/{max(found)}")
-        stream = fs.open(p)
-        try:
-            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return self._get(f"{self.manifest_path}/{max(found)}")
 
     def _publish(self, manifest: dict) -> None:
         n = manifest["n"] + 1
         fs, part = _fs(self.spark, f"{self.manifest_path}/{n:012d}.part")
-        out = fs.create(part, True)
-        out.write(bytearray(json.dumps(manifest | {"n": n}).encode()))
-        out.close()
+        self._put(f"{self.manifest_path}/{n:012d}.part", manifest | {"n": n})
         _, final = _fs(self.spark, f"{self.manifest_path}/{n:012d}.json")
         if fs.exists(final) or not fs.rename(part, final):
             raise RuntimeError(f"the store was changed by another writer (manifest {n})")
 
+    # ------------------------------------------------------------ S4
+    def declare_filter_columns(self, columns: tuple[str, ...] = FILTER_COLUMNS, partition: str | None = None, row_group_bytes: int | None = None) -> "VectorStore":
+        """Payload columns that searches and scans filter by.
+
+        Files written from now on carry a Bloom filter of each (beside the minima,
+        maxima and page indexes that Parquet keeps anyway), so Spark's reader leaves
+        out row groups without the value; ``row_group_bytes`` makes them smaller.
+        ``partition`` (of few values, as file_type) becomes a folder below the
+        bucket and can be declared before the first write only."""
+        names = set(self._schema().fieldNames()) - {"bucket", "vector"}
+        if unknown := (set(columns) | ({partition} if partition else set())) - names:
+            raise ValueError(f"not a payload column: {sorted(unknown)}")
+        if partition != self.filters().get("partition") and self.manifest()["points"]:
+            raise ValueError("the partition column is fixed by the first write")
+        said = {"columns": list(columns), "partition": partition, "row_group_bytes": row_group_bytes}
+        self._put(f"{self.root}/filters", said)
+        return self
+
+    def filters(self) -> dict:
+        path = f"{self.root}/filters"
+        return self._get(path) if _exists(self.spark, path) else {"columns": [], "partition": None, "row_group_bytes": None}
+
+    def _get(self, path: str) -> dict:
+        fs, p = _fs(self.spark, path)
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _put(self, path: str, value: dict) -> None:
+        fs, p = _fs(self.spark, path)
+        out = fs.create(p, True)
+        out.write(bytearray(json.dumps(value).encode()))
+        out.close()
+
     def _write(self, rows: DataFrame, replaced: list[int]) -> None:
         """``rows`` become a new write; the buckets ``replaced`` are read from
         it alone."""
-        m = self.manifest()
+        m, filters = self.manifest(), self.filters()
         version = uuid.uuid4().hex[:12]
         folder = f"{self.points_path}/v={version}"
-        self._layout(rows.select(*self._schema().fieldNames())).write.partitionBy("bucket").parquet(folder)
+        layout = self._layout(rows.select(*self._schema().fieldNames()))
+        writer = layout.write.partitionBy("bucket", *([filters["partition"]] if filters["partition"] else []))
+        for c in filters["columns"]:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        if filters["row_group_bytes"]:
+            writer = writer.option("parquet.block.size", str(filters["row_group_bytes"]))
+        writer.parquet(folder)
         written = sorted(int(f.split("=")[1]) for f in self._names(folder) if f.startswith("bucket="))
         points = {v: [b for b in bs if b not in replaced] for v, bs in m["points"].items()}
         self._publish(m | {"points": {v: bs for v, bs in points.items() if bs} | ({version: written} if written else {})})
