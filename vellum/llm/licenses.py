@@ -73,6 +73,32 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES
     give repeated results; an empty table gives none; other columns are not
     looked at; a null doc_id is a value like others.
     """
+    s, met = _matches(docs, phrases, templates, containment)
+    met = met.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("g")).agg(F.collect_set("label").alias("more"), F.max("containment").alias("share"))
+
+    out = s.join(met, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("g")), "left")
+    starts = F.transform("places", lambda x: x["at"])
+    base = F.array_distinct(F.transform("places", lambda x: x["label"]))
+    return out.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"), F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, F.coalesce("more", F.array().cast("array<string>")))), ",").alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0))).alias("score"),
+    )
+
+
+def matching_blocks(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+    """Every text block that holds ``containment`` or more of a template's words:
+    ``doc_id``, ``label``, ``first_word`` (number of the block's first word) and
+    ``containment``.  Blocks of a template of n words are 2 n words long and begin
+    every n words, so every stretch of n words lies in one.  Rows as in ``scan``;
+    rows with one doc_id and text give their blocks once for each."""
+    return _matches(docs, PHRASES, templates, containment)[1].drop("h")
+
+
+def _matches(docs: DataFrame, phrases: dict[str, str], templates, containment: float) -> tuple[DataFrame, DataFrame]:
+    """What the words of each row say by themselves, and its matching blocks
+    (``doc_id``, ``h`` of the text, ``label``, ``first_word``, ``containment``)."""
     spark = docs.sparkSession
     texts = [(i, label, text.split()) for i, (label, text) in enumerate(templates)]
     sets = {i: sorted(set(t)) for i, _, t in texts}
@@ -103,24 +129,14 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES
 
     again = d.join(near, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("g"))).select("doc_id", "h", "t", "text")
 
-    def block_share(w: Column, i: int, length: int) -> Column:
-        of = lambda at: F.size(F.array_intersect(F.slice(w, at + 1, 2 * length), _strings(sets[i])))
-        return F.array_max(F.transform(F.sequence(F.lit(0), F.size(w), F.lit(length)), of)) / len(sets[i])
+    def of_template(w: Column, i: int, length: int) -> Column:
+        share = lambda at: F.size(F.array_intersect(F.slice(w, at + 1, 2 * length), _strings(sets[i]))) / len(sets[i])
+        found = F.transform(F.sequence(F.lit(0), F.size(w), F.lit(length)), lambda at: F.struct(at.cast("long").alias("first_word"), share(at).alias("containment")))
+        return F.filter(found, lambda b: b["containment"] >= need[i] / len(sets[i]))
 
-    share, label, enough = F.lit(0.0), F.lit(None).cast("string"), F.lit(containment)
+    found, label = F.lit(None).cast("array<struct<first_word:long,containment:double>>"), F.lit(None).cast("string")
     for i, name, t in texts:
-        share = F.when(F.col("t") == i, let(words(), lambda w: block_share(w, i, len(t)))).otherwise(share)  # noqa: B023
+        found = F.when(F.col("t") == i, let(words(), lambda w: of_template(w, i, len(t)))).otherwise(found)  # noqa: B023
         label = F.when(F.col("t") == i, F.lit(name)).otherwise(label)
-        enough = F.when(F.col("t") == i, F.lit(need[i] / len(sets[i]))).otherwise(enough)
-    met = again.select("doc_id", "h", share.alias("share"), label.alias("label"), enough.alias("enough")).where("share >= enough")
-    met = met.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("g")).agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
-
-    out = s.join(met, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("g")), "left")
-    starts = F.transform("places", lambda x: x["at"])
-    base = F.array_distinct(F.transform("places", lambda x: x["label"]))
-    return out.select(
-        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"),
-        F.array_max(starts).cast("long").alias("last_word"), F.array_join(F.array_sort(base), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union(base, F.coalesce("more", F.array().cast("array<string>")))), ",").alias("labels"),
-        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0))).alias("score"),
-    )
+    met = again.select("doc_id", "h", label.alias("label"), F.explode_outer(found).alias("b")).where("b is not null")
+    return s, met.select("doc_id", "h", "label", "b.first_word", "b.containment")

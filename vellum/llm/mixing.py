@@ -82,13 +82,13 @@ def allocate(docs: DataFrame) -> DataFrame:
     ``c`` to ``d`` (numbered within the document) once more.
 
     Null texts have size 0 and nothing is taken of them; null sources are one
-    source, the last; a null doc_id is drawn like a value; repeated rows count
+    source, the last; a row without doc_id draws by its text; repeated rows count
     each for itself; an empty table gives an empty result.  The added columns
     replace columns of these names, other columns stay.
     """
     k = F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1"))
     own = [c for c in docs.columns if c.lower() not in ADDED]
-    sized = docs.select(*own, n_words().alias("size"), k.alias("__k"), draw(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("__draw"))
+    sized = docs.select(*own, n_words().alias("size"), k.alias("__k"), draw(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null/"), F.md5(F.coalesce(F.col("text"), F.lit("")))))).alias("__draw"))
     sized = written(sized, "sized")
     sources = targets(sized.groupBy(F.col("__k").alias("k")).agg(F.sum("size").alias("words")))
     sources = sources.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("words") / SHARD)))

@@ -59,7 +59,7 @@ def _seats(rows: str, parent: str, key: str) -> str:
 
 SQL["op8_mix"] = f"""
 with sized as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint size, coalesce('0' || source, '1') k,
-      ('0x' || substr(md5('mix/' || coalesce(doc_id::varchar, 'null')), 1, 12))::bigint draw from documents),
+      ('0x' || substr(md5('mix/' || coalesce(doc_id::varchar, 'null/' || md5(coalesce(text, '')))), 1, 12))::bigint draw from documents),
 s0 as (select k, sum(size)::bigint words, (row_number() over (order by k) - 1) % 3 + 1 w from sized group by k),
 s1 as (select *, 3 * words cap, sum(words) over () total from s0),
 s2 as (select *, cap / w <= (total - coalesce(sum(cap) over q, 0)) / (sum(w) over () - coalesce(sum(w) over q, 0)) is_full

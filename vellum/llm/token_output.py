@@ -134,7 +134,9 @@ class WordIds:
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, block: int = BLOCK) -> None:
     """Writes the ids of every text (null: none) and an end id, in ascending
-    doc_id order (null doc_ids first; rows of one doc_id by their text)."""
+    doc_id order (null doc_ids first, by a hash of their text, over as many tasks
+    as they need; rows of another doc_id by their text).  Repeated rows are written
+    each, an empty table gives files without rows, other columns are not looked at."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = TaskContext.get().partitionId(), 0
@@ -163,7 +165,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, block: int = BLOCK)
             yield out(np.concatenate([h[0] for h in held]), sum((h[1] for h in held), []), np.concatenate([h[2] for h in held]))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(blocks, BLOCKS).write.parquet(path)
+    rows = rows.withColumn("h", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).withColumn("place", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange("doc_id", "h", "place").sortWithinPartitions("doc_id", "h", "text")
+    rows.select("doc_id", "text").mapInArrow(blocks, BLOCKS).write.parquet(path)
 
 
 SCHEMA = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("data", pa.binary())])
