@@ -1,4 +1,6 @@
+import json
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -44,6 +46,29 @@ def test_words_have_the_ids_of_the_whole_text():
     assert again.tolist() == ids.tolist()
 
 
+LATIN = st.text(st.sampled_from("''stmdrevelXSTMDREVEL ae09.,!\t\n-ÀàØøŸÿŒœſŉ×÷İı|<é"), max_size=30)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(LATIN, st.text(max_size=12), st.none()), max_size=8))
+def test_any_texts_have_the_ids_of_whole_texts(texts):
+    fast = token_output.WordIds.shared(word_tokenizer())
+    ids, counts = fast(texts)
+    want = [[*fast.tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    assert counts.tolist() == [len(x) for x in want] and ids.tolist() == sum(want, [])
+
+
+def test_tokenizers_of_another_form_encode_whole_texts(tmp_path):
+    for part in ("normalizer", "pre_tokenizer"):
+        form = json.loads(Path(word_tokenizer()).read_text())
+        form[part] = {"normalizer": {"type": "NFC"}, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}[part]
+        (tmp_path / "other.json").write_text(json.dumps(form))
+        other = token_output.WordIds(str(tmp_path / "other.json"))
+        assert not other.known
+        ids, counts = other(["Two Words, it's", None])
+        assert ids.tolist() == [*other.tokenizer.encode("Two Words, it's", add_special_tokens=False).ids, 1, 1] and counts.tolist() == [len(ids) - 1, 1]
+
+
 def test_files_give_back_every_document(spark, frame, tmp_path):
     from tokenizers import Tokenizer
 

@@ -28,7 +28,7 @@ import zlib
 import numpy as np
 
 MAGIC = b"VTB1"
-LANES = 4096
+LANES = 8192
 LANE = 64  # ids of a lane at least, where a block has few
 SLOTS = 1 << 18  # 32-bit hash, upper 18 bits
 REFRESH = 16
@@ -55,16 +55,23 @@ class Model:
         if self.waiting:
             self.seen += np.bincount(np.concatenate(self.waiting), minlength=self.vocabulary)
             self.waiting = []
-        width = 1 + self.seen * ((1 << ID_BITS) - self.vocabulary) // max(1, int(self.seen.sum()))
+        # products with one factor, rounded down: the same in both directions, and never over the sum
+        width = 1 + (self.seen * (((1 << ID_BITS) - self.vocabulary) / max(1, int(self.seen.sum())))).astype(np.int64)
         self.id_freq = width.astype(U)
         ends = np.cumsum(width)
-        self.id_ends = ends.astype(np.int32)
+        self.ends, self.id_of = ends, None
         self.id_from = (ends - width).astype(U)
         k = 1 + self.kinds * ((1 << KIND_BITS) - 3) // self.kinds.sum(1, keepdims=True)
         self.kind_freq = k.astype(U).ravel()
         ends = np.cumsum(k, 1)
         self.kind_from = (ends - k).astype(U).ravel()
-        self.first, self.second = ends[:, 0].copy(), ends[:, 1].copy()
+        self.first, self.second = ends[:, 0].astype(U), ends[:, 1].astype(U)
+
+    def drawn(self, place: np.ndarray) -> np.ndarray:
+        """Ids whose coding ranges hold the places."""
+        if self.id_of is None:
+            self.id_of = np.repeat(np.arange(self.vocabulary, dtype=np.int32), np.diff(self.ends, prepend=0))
+        return self.id_of[np.minimum(place, len(self.id_of) - 1)]
 
     def look(self) -> np.ndarray:
         """The lanes' contexts: both confidences and whether the guesses agree."""
@@ -156,17 +163,16 @@ def decode(block: bytes) -> np.ndarray:
     for t in range(steps):
         context = model.look()
         r = size >> U(KIND_BITS)
-        v = ((code - low) // r).astype(np.int32)
-        kind = (v >= model.first[context]).astype(np.int64) + (v >= model.second[context])
+        v = code - low
+        kind = (v >= model.first[context] * r).astype(np.int64) + (v >= model.second[context] * r)
         k = context * 3 + kind
         low += model.kind_from[k] * r
         size = model.kind_freq[k] * r
         x = np.where(kind == 0, model.by2, model.by1)
         e = np.flatnonzero(kind == 2)
         r = size[e] >> U(ID_BITS)
-        rare = np.searchsorted(model.id_ends, ((code[e] - low[e]) // r).astype(np.int32), "right")
+        rare = model.drawn(((code[e] - low[e]) // r).astype(np.int64))
         x[e] = rare
-        rare = x[e]
         low[e] += model.id_from[rare] * r
         size[e] = model.id_freq[rare] * r
         m = _settle(low, size)

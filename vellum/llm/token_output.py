@@ -13,14 +13,15 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
+from string import ascii_letters
 from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,13 +29,18 @@ from pyspark.sql import functions as F
 from vellum.llm import range_coder
 from vellum.llm.common import written
 
-BLOCK = 1 << 20  # ids of a block, unless one document has more
+BLOCK = 1 << 21  # ids of a block, unless one document has more
 END = 1  # the id after each document
 HELD_WORDS = 800_000  # words whose ids a Python worker remembers
-#: The pre-token pattern of the word tokenizer, and what it means for lower-case Latin text.
+#: What a word tokenizer must do to texts for the short ways below to be right ...
+NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-LATIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^\\x09-\\x0d\\x20a-z0-9\u00df-\u00f6\u00f8-\u017f]+").findall
-LATIN = re.compile("[\\x09-\\x0d -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*").fullmatch
+CUTTER = [
+    {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+SPACE, LETTER, DIGIT, OTHER, FOREIGN = range(5)  # kinds of bytes
+PIECE = 8 << 20  # bytes of texts whose words are cut at once, unless one text has more
 
 
 def _byte_letters() -> list[str]:
@@ -45,7 +51,69 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+def _byte_kinds() -> np.ndarray:
+    kinds = np.full(256, FOREIGN, np.uint8)
+    for kind, letters in ((OTHER, range(0x20, 0x7F)), (SPACE, [*range(9, 14), 0x20]), (DIGIT, b"0123456789"), (LETTER, ascii_letters.encode())):
+        kinds[list(letters)] = kind
+    return kinds
+
+
+def _pairs() -> tuple[np.ndarray, np.ndarray]:
+    """Of the letters U+00C0 to U+017F, two bytes each: kind of the second byte
+    (the signs among them and the letter that gets longer are cut elsewhere),
+    and both bytes in lower case."""
+    letters = [chr(c) for c in range(0xC0, 0x180)]
+    kept = [x.isalpha() and len(x.lower()) == 1 for x in letters]
+    low = [(x.lower() if k else x).encode() for x, k in zip(letters, kept)]
+    return np.where(kept, LETTER, FOREIGN).astype(np.uint8), np.frombuffer(b"".join(low), np.uint8).reshape(-1, 2)
+
+
 BYTE_LETTERS = _byte_letters()
+KINDS = _byte_kinds()
+LOWERED = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+PAIR_KINDS, PAIR_LOWERED = _pairs()
+
+
+def _letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes in lower case, and their kinds."""
+    raw = bytearray(data)
+    low, kind = (np.frombuffer(raw.translate(t.tobytes()), np.uint8) for t in (LOWERED, KINDS))
+    p = np.flatnonzero((data >= 0xC3) & (data <= 0xC5))
+    p = p[p + 1 < len(data)]
+    pair = (data[p].astype(np.int64) - 0xC3) * 64 + (data[p + 1] & 0x3F)
+    kind[p], kind[p + 1] = LETTER, PAIR_KINDS[pair]
+    low[p], low[p + 1] = PAIR_LOWERED[pair].T
+    return low, kind
+
+
+def latin_pieces(data: np.ndarray, kind: np.ndarray, offsets: np.ndarray) -> tuple[pa.StringArray, np.ndarray]:
+    """Pre-tokens of lower-case texts that lie one after another in ``data``,
+    and their number for each text."""
+    n = len(data)
+    first = np.zeros(n + 3, bool)  # a text starts, or all texts have ended
+    first[offsets] = first[n:] = True
+    new = np.ones(n, bool)
+    new[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    new |= first[:n]
+    # an apostrophe that starts a pre-token takes s, t, m, d, re, ve or ll along
+    p = np.flatnonzero((data == ord("'")) & new)
+    p = p[~first[p + 1]]
+    one = data[p + 1]
+    two = np.where(first[p + 2], 0, data[np.minimum(p + 2, n - 1)])
+    short = np.isin(one, list(b"stmd"))
+    long = (np.isin(one, list(b"rv")) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    new[p[short | long] + 1] = False
+    after = np.r_[p[short] + 2, p[long] + 3]
+    after = after[~first[after]]
+    new[after[kind[after] == LETTER]] = True
+    inside = kind != SPACE
+    starts = np.flatnonzero(new & inside)
+    lens = np.add.reduceat(inside.view(np.uint8), starts, dtype=np.int32) if len(starts) else np.zeros(0, np.int32)
+    ends = np.r_[np.int32(0), np.cumsum(lens, dtype=np.int32)]
+    pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data[inside]))
+    return pieces, np.diff(np.searchsorted(starts, offsets))
+
+
 BLOCKS = "shard int, block int, n_ids long, doc_ids array<long>, counts array<int>, data binary"
 
 
@@ -62,11 +130,23 @@ class _Numbers(dict):
         return n
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch whose texts (second column) have about PIECE bytes."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 class WordIds:
     """Ids of texts under a tokenizer that drops white space and never joins
     characters across it: the ids of a text are those of its words, so each
-    word is encoded once.  Latin texts are cut into pre-tokens here, of which
-    there are fewer, where the tokenizer has the pattern known above."""
+    word is encoded once.  Texts of ASCII and Latin letters are cut into pre-tokens
+    here, of which there are fewer.  All this is done where the
+    tokenizer has the normalizer and pre-tokenizer known above; under any
+    other one each text is encoded as a whole."""
 
     _loaded: ClassVar[dict[str, WordIds]] = {}
 
@@ -84,52 +164,79 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
-        cutter = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
-        self.known = any(p.get("pattern", {}).get("Regex") == PATTERN for p in cutter.get("pretokenizers", [cutter]))
+        parts = json.loads(self.tokenizer.to_str())
+        steps = lambda part, name: (parts[part] or {}).get(name, [parts[part]])
+        self.known = (
+            steps("normalizer", "normalizers") == NORMAL and steps("pre_tokenizer", "pretokenizers") == CUTTER
+            and parts["model"]["type"] == "BPE" and not parts["model"]["dropout"] and parts["post_processor"] is None
+            and all(t["content"].startswith("<|") and not (t["normalized"] or t["lstrip"] or t["rstrip"]) for t in parts["added_tokens"])
+        )
         self.forget()
 
     def forget(self) -> None:
         self.number = _Numbers()
         self.ids, self.lens, self.starts = np.array([END], np.int32), np.array([1], np.int32), np.array([0], np.int32)
 
-    def _word_ids(self, word: str) -> list[int]:
-        if self.known and word.islower() and word.isalpha() and LATIN(word):  # one pre-token
-            letters = word if word.isascii() else "".join(BYTE_LETTERS[c] for c in word.encode())
-            return [t.id for t in self.model.tokenize(letters)]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+    def _encoded(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _by_text(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _learn(self) -> None:
+    def _by_model(self, words: list[str]) -> list[list[int]]:
+        """Ids of pre-tokens, past the steps that have been taken already."""
+        letters = (w if w.isascii() else "".join(BYTE_LETTERS[c] for c in w.encode()) for w in words)
+        return [[t.id for t in self.model.tokenize(w)] for w in letters]
+
+    def _learn(self, how) -> None:
         """Ids of the words that got the last numbers."""
-        found = [self._word_ids(w) for w in self.number.fresh]
-        self.number.fresh = []
+        found, self.number.fresh = how(self.number.fresh), []
         lens = np.fromiter(map(len, found), np.int32, len(found))
         self.starts = np.r_[self.starts, (len(self.ids) + np.cumsum(lens) - lens).astype(np.int32)]
         self.lens = np.r_[self.lens, lens]
         self.ids = np.r_[self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(lens.sum()))]
 
-    def _words(self, text: str) -> list[str]:
-        if self.known and LATIN(text) and "<|" not in text:
-            return LATIN_PIECES(text.lower())
-        return [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").split()]
-
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _numbers(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of all texts, 0 after each text, and their number for each."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        offsets -= offsets[0]
+        data, kind = _letters(data)
+        foreign = np.zeros(len(texts), bool)
+        foreign[np.searchsorted(offsets, np.flatnonzero(kind == FOREIGN), "right") - 1] = True
+        foreign |= pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        if foreign.any():
+            mine = np.repeat(~foreign, np.diff(offsets))
+            data, kind, offsets = data[mine], kind[mine], np.r_[0, np.cumsum(np.diff(offsets)[~foreign])]
+        pieces, plain = latin_pieces(data, kind, offsets)
+        coded = pieces.dictionary_encode()
+        number = self.number.__getitem__
+        table = np.fromiter(map(number, coded.dictionary.to_numpy(zero_copy_only=False)), np.int32, len(coded.dictionary))
+        self._learn(self._by_model)
+        # at ASCII white space, which every tokenizer of this kind drops
+        others = [[w.decode() for w in texts[i].as_py().encode().split()] for i in np.flatnonzero(foreign).tolist()]
+        words = [np.fromiter(map(number, x), np.int32, len(x)) for x in others]
+        self._learn(self._by_text)
+        known, rest = iter(np.split(table[coded.indices.to_numpy()], np.cumsum(plain)[:-1])), iter(words)
+        parts = [next(rest if f else known) for f in foreign.tolist()]
+        zero = np.zeros(1, np.int32)
+        return np.concatenate([x for part in parts for x in (part, zero)]), np.array([len(x) + 1 for x in parts], np.int64)
+
+    def __call__(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by END, and their number for each text."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not len(texts):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        if not self.known:
+            each = [[*self._encoded(t.as_py()), END] for t in texts]
+            return np.fromiter(chain.from_iterable(each), np.int32), np.array([len(x) for x in each], np.int64)
         if len(self.number) > HELD_WORDS:
             self.forget()
-        number, numbers, ends = self.number.__getitem__, [], []
-        for t in texts:
-            if t:
-                numbers += map(number, self._words(t))
-            numbers.append(0)
-            ends.append(len(numbers))
-        if self.number.fresh:
-            self._learn()
-        w = np.array(numbers, np.int32)
+        w, counts = self._numbers(texts)
         lens = self.lens[w]
-        total = np.cumsum(lens, dtype=np.int64)
-        ids = self.ids[np.repeat(self.starts[w] - (total - lens), lens) + np.arange(total[-1] if len(total) else 0)].astype(np.int64)
-        upto = total[np.array(ends, np.int64) - 1] if ends else np.zeros(0, np.int64)
-        return ids, np.diff(upto, prepend=0)
+        total = np.cumsum(lens, dtype=np.int32)  # no more ids than an Arrow array has bytes
+        ids = self.ids[np.repeat(self.starts[w] - (total - lens), lens) + np.arange(total[-1], dtype=np.int32)]
+        return ids, np.diff(total[np.cumsum(counts) - 1].astype(np.int64), prepend=0)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, block: int = BLOCK) -> None:
@@ -150,9 +257,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, block: int = BLOCK)
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, SCHEMA)], schema=SCHEMA)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                b = batch.slice(at, 512)
-                ids, counts = encoder(b.column(1).to_pylist())
+            for b in _slices(batch):
+                ids, counts = encoder(b.column(1))
                 held.append((ids, b.column(0).to_pylist(), counts))
                 ends = np.cumsum(np.concatenate([h[2] for h in held]))
                 while len(ends) and ends[-1] >= block:
