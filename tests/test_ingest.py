@@ -92,6 +92,16 @@ def test_run_summary(spark):
     assert (s["total"], s["processed"], s["skipped"], s["errors"], s["chunks"]) == (3, 1, 1, 1, 2)
 
 
+def test_outcome_of_chunks_is_the_outcome(spark):
+    files = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3"), ("d", "4")], "path string, file_hash string")
+    skipped, todo = files.where("path = 'b'"), files.where("path <> 'b'")
+    chunks = spark.createDataFrame([("a",), ("a",), ("d",)], "filepath string")
+    errors = spark.createDataFrame([("c", "none")], "path string, error string")
+    once, slow = report.outcome_of_chunks(todo, skipped, chunks, "none"), report.file_outcome(files, skipped, chunks, errors)
+    assert once.columns == slow.columns and sorted(once.collect()) == sorted(slow.collect())
+    assert report.outcome_of_chunks(todo.limit(0), skipped, chunks.limit(0), "none").count() == 1
+
+
 def test_upsert_idempotent(spark):
     store = VectorStore(spark, scratch_path(spark, "store2"), buckets=4).ensure(2)
     cols = store.scan().columns
@@ -273,3 +283,15 @@ def test_only_touched_paths_are_read(spark, tmp_path, monkeypatch):
     assert src.read_files(spark, folder, some.limit(0), SUFFIXES).count() == 0
     monkeypatch.setattr(src, "MAX_PATHS", 1)
     assert sorted(r.filename for r in src.read_files(spark, folder, some, SUFFIXES).collect()) == ["f2.txt", "f3.txt"]
+
+
+def test_last_wins_by_keys(spark, tmp_path):
+    rows = [(1, "a", "x"), (1, "c", "y"), (1, "b", "z"), (2, None, "n"), (2, "a", "m"), (3, "p", "same"), (3, "p", "same"), (4, "only", None), (None, "a", "k"), (None, "b", "l"), (5, None, "q")]
+    p = spark.createDataFrame(rows, "point_id long, filepath string, text string")
+    p.write.parquet(str(tmp_path / "p"))
+    p = spark.read.parquet(str(tmp_path / "p"))
+    out = dedup.last_wins_by_keys(p)
+    assert out.columns == p.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, dedup.last_wins(p).select(*p.columns).collect()))
+    assert {(r.point_id, r.filepath) for r in out.collect()} == {(1, "c"), (2, "a"), (3, "p"), (4, "only"), (None, "b"), (5, None)}
+    assert dedup.last_wins_by_keys(p.limit(0)).count() == 0

@@ -32,6 +32,20 @@ def file_outcome(files: DataFrame, skipped: DataFrame, chunks: DataFrame, errors
     )
 
 
+def outcome_of_chunks(todo: DataFrame, skipped: DataFrame, chunks: DataFrame, no_chunks: str) -> DataFrame:
+    """R1 of a run in which a file fails only by having no chunk (``no_chunks`` is
+    its error): the same rows as ``file_outcome``, with ``chunks`` evaluated once.
+    ``todo`` and ``skipped`` are the two parts of the files (``changed_files``)."""
+    counts = chunks_per_file(chunks).withColumnRenamed("filepath", "path")
+    failed = F.col("chunks").isNull()
+    done = todo.select("path", "file_hash").join(counts, "path", "left").select(
+        "path", "file_hash", F.when(failed, "error").otherwise("processed").alias("status"),
+        F.coalesce("chunks", F.lit(0)).cast("bigint").alias("chunks"), F.when(failed, F.lit(no_chunks)).alias("error"),
+    )
+    rest = skipped.select("path", "file_hash", F.lit("skipped").alias("status"), F.lit(0).cast("bigint").alias("chunks"), F.lit(None).cast("string").alias("error"))
+    return done.unionByName(rest)
+
+
 def run_summary(outcome: DataFrame, elapsed: float | None = None) -> DataFrame:
     """R2: total, processed, skipped, errors, chunks (and elapsed seconds)."""
     cols = [

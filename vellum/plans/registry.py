@@ -250,6 +250,9 @@ def doc_points(files):
     return doc_chunks(files).withColumn("point_id", identity.point_id("file_hash", "chunk_id"))
 
 
+NO_CHUNKS = "no valid chunks after extraction"
+
+
 def _run(spark, sf_dir):
     """One G2 run over the documents: (files, skipped, chunks, errors, state)."""
     files = doc_files(spark, sf_dir)
@@ -257,7 +260,7 @@ def _run(spark, sf_dir):
     todo, skipped = dedup.changed_files(files, state)
     chunks = doc_chunks(todo)
     errors = chunking.require_chunks(todo.select("path"), chunks).select(
-        "path", F.lit("no valid chunks after extraction").alias("error")
+        "path", F.lit(NO_CHUNKS).alias("error")
     )
     return files, skipped, todo, chunks, errors, state
 
@@ -319,14 +322,14 @@ def q_quarantine(spark, sf_dir):
 
 def q_file_outcome(spark, sf_dir):
     """Per-file status and chunk count."""
-    files, skipped, todo, chunks, errors, _ = _run(spark, sf_dir)
-    return report.file_outcome(files, skipped, chunks, errors).select("path", "status", "chunks", "error")
+    _, skipped, todo, chunks, _, _ = _run(spark, sf_dir)
+    return report.outcome_of_chunks(todo, skipped, chunks, NO_CHUNKS).select("path", "status", "chunks", "error")
 
 
 def q_run_summary(spark, sf_dir):
     """R2: totals of the run."""
-    files, skipped, todo, chunks, errors, _ = _run(spark, sf_dir)
-    return report.run_summary(report.file_outcome(files, skipped, chunks, errors))
+    _, skipped, todo, chunks, _, _ = _run(spark, sf_dir)
+    return report.run_summary(report.outcome_of_chunks(todo, skipped, chunks, NO_CHUNKS))
 
 
 def q_chunks_per_file(spark, sf_dir):

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.functions.text import file_name, file_stem, file_suffix
-from vellum.operators.dedup import last_wins
+from vellum.operators.dedup import last_wins, last_wins_by_keys
 from vellum.session import scratch_path
 
 DEFAULT_BUCKETS = 64
@@ -264,21 +264,26 @@ class VectorStore:
         return df.repartition(F.col("bucket"), salt).sortWithinPartitions("bucket", *order)
 
     def upsert(self, points: DataFrame, dedup: bool = True) -> None:
-        """Insert or replace by ``point_id`` (last path wins inside the batch)."""
+        """Insert or replace by ``point_id`` (last path wins inside the batch).
+
+        The batch is written once as it comes; what to drop of it, and of the old
+        points, is decided on ids alone.  Texts and vectors are shuffled once, to
+        their buckets, while the ids with several rows and the replaced ids are few
+        enough to be broadcast (Spark's own limit); beyond that they are joined too."""
         names = self._schema().fieldNames()
-        new = last_wins(points) if dedup else points
-        new = self._place(self._checked(new))
-        # read three times below (touched buckets, replaced ids, new rows): written once
-        stage = scratch_path(self.spark, "upsert")
-        new.select(*names).write.parquet(stage)
-        new = self.spark.read.schema(self._schema()).parquet(stage)
+        batch, hits = scratch_path(self.spark, "upsert"), scratch_path(self.spark, "replaced")
+        self._place(self._checked(points)).select(*names).write.parquet(batch)
+        new = self.spark.read.schema(self._schema()).parquet(batch)
         touched = None if self.moves else [r[0] for r in new.select("bucket").distinct().collect()]  # at most `buckets` numbers
         old = self._read(touched)
-        ids = new.select("point_id")
-        replaced = [r[0] for r in old.select("point_id", "bucket").join(ids, "point_id", "left_semi").select("bucket").distinct().collect()]
-        keep = self._read(replaced).join(ids, "point_id", "left_anti")
-        self._write(keep.select(*names).unionByName(new), replaced)
-        delete_path(self.spark, stage)
+        old.select("point_id", "bucket").join(new.select("point_id"), "point_id", "left_semi").write.parquet(hits)
+        found = self.spark.read.schema(self._schema()).parquet(hits).select("point_id", "bucket")
+        replaced = [r[0] for r in found.select("bucket").distinct().collect()]
+        keep = self._read(replaced).join(found.select("point_id"), "point_id", "left_anti")
+        fresh = last_wins_by_keys(new) if dedup else new
+        self._write(keep.select(*names).unionByName(fresh.select(*names)), replaced)
+        delete_path(self.spark, batch)
+        delete_path(self.spark, hits)
 
     def remove_stale(self, state: DataFrame) -> None:
         """D8 clean-up: drop points whose (filepath, file_hash) is not the
