@@ -1,8 +1,9 @@
 import hashlib
+import math
 import random
 import re
 
-from tests.llm.conftest import MESSY
+from tests.llm.conftest import LONG, MESSY
 
 from vellum.llm import decontaminate, licenses, quality, toxicity
 
@@ -113,6 +114,52 @@ def test_toxic_texts_are_found_on_held_out_rows(spark, frame):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r.toxic}
 
 
+def slow_severity(text, weights, thresholds):
+    """Expected grade of a text from the fitted weights, in plain Python."""
+    has = {f for w in WORD.findall((text or "").lower()) for f in [w] + [w[:n] + "*" for n in (4, 5, 6) if len(w) >= n]}
+    s = sum(weights.get(f, 0.0) for f in has)
+    upto = [1 / (1 + math.exp(s - t)) for t in thresholds]
+    p = [upto[0], upto[1] - upto[0], 1 - upto[1]]
+    return p[1] + 2 * p[2], p
+
+
+def test_features_and_severity_are_those_of_plain_python(spark, frame):
+    rows, toxic = corpus(seed=21, n=300)
+    messy = [(r[0] and r[0] + 1000, r[1]) for r in MESSY if r[0] is None or r[0] < 5]
+    docs = frame(rows + messy + [(400, LONG), (400, LONG), (401, LONG + " insultx vilena")])
+    labels = labelled(spark, [(i, 1, int(t)) for i, t in enumerate(toxic)])
+    weights, thresholds = toxicity.fit(docs, labels)
+    # features: z-scores over the labelled texts, equal texts once
+    texts = {}
+    for i, t in rows:
+        texts[t] = max(texts.get(t, 0), int(toxic[i]))
+    counts, totals = ({}, {}), [0, 0]
+    for t, y in texts.items():
+        totals[y] += 1
+        for f in {f for w in WORD.findall(t.lower()) for f in [w] + [w[:n] + "*" for n in (4, 5, 6) if len(w) >= n]}:
+            counts[y][f] = counts[y].get(f, 0) + 1
+    n0, n1 = totals
+    want = set()
+    for f in counts[0].keys() | counts[1].keys():
+        a, b = counts[1].get(f, 0), counts[0].get(f, 0)
+        if 3 <= a + b < n0 + n1:
+            share = (a + b) / (n0 + n1)
+            if abs(a / n1 - b / n0) / math.sqrt(share * (1 - share) * (1 / n0 + 1 / n1)) >= toxicity.Z:
+                want.add(f)
+    assert set(weights) == want and thresholds[0] < thresholds[1]
+    got = toxicity.score(docs, weights, thresholds).collect()
+    assert len(got) == docs.count()
+    by_id = {}
+    for r in docs.select("doc_id", "text").collect():
+        by_id.setdefault(r.doc_id, set()).add(r.text)
+    for r in got:
+        (text,) = by_id[r.doc_id]
+        severity, p = slow_severity(text, weights, thresholds)
+        assert abs(r.severity - severity) < 1e-9 and r.toxic == (1 - p[0] >= 0.5)
+        assert p[r.grade] >= max(p) - 1e-9
+    assert {r.toxic for r in got if r.doc_id == 401} == {True} and {r.toxic for r in got if r.doc_id == 400} == {False}
+
+
 def test_nothing_to_learn_from(spark, frame):
     rows = [(1, "a b"), (2, "c")]
     for labels in ([], [(1, 1, 1)], [(1, 0, 0), (2, 1, 0)]):
