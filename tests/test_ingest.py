@@ -295,3 +295,18 @@ def test_last_wins_by_keys(spark, tmp_path):
     assert sorted(map(str, out.collect())) == sorted(map(str, dedup.last_wins(p).select(*p.columns).collect()))
     assert {(r.point_id, r.filepath) for r in out.collect()} == {(1, "c"), (2, "a"), (3, "p"), (4, "only"), (None, "b"), (5, None)}
     assert dedup.last_wins_by_keys(p.limit(0)).count() == 0
+
+
+def test_text_files_as_the_writer_leaves_them(spark, tmp_path):
+    """One file a key: null texts, empty ones, several rows of a key, no key."""
+    rows = [(i, f"text {i}\nläst") for i in range(300)] + [(7, "more"), (300, None), (301, ""), (None, "no key")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    src.write_text_files(df, str(tmp_path / "own"), "id", "text")
+    df.repartition("id").sortWithinPartitions("id", "text").write.partitionBy("id").text(str(tmp_path / "spark"))
+
+    def files(folder):
+        found = src.discover_files(spark, str(tmp_path / folder), (".txt",)).select(F.regexp_extract("path", "id=([^/]*)/", 1), "content").collect()
+        return sorted((r[0], bytes(r[1])) for r in found)
+
+    assert len(files("own")) == 303
+    assert {k: sorted(v.split(b"\n")) for k, v in files("own")} == {k: sorted(v.split(b"\n")) for k, v in files("spark")}

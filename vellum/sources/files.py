@@ -9,9 +9,12 @@ binary formats (PDF, DOCX) whose per-file failures become error rows.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,6 +115,49 @@ def discover_by_suffix(spark: SparkSession, folder: str, suffix: str = ".pdf") -
     return discover_files(spark, folder, (suffix,))
 
 
+#: folders that files are dealt to: their listing is spread over the tasks
+WRITE_FOLDERS = 64
+
+
+def write_text_files(df: DataFrame, root: str, key: str, text: str) -> None:
+    """One text file for each value of ``key`` below ``root``, its rows' ``text`` as
+    lines, as Spark's text writer with ``partitionBy(key)`` leaves them.
+
+    On a mounted (local) folder the tasks write the files themselves, each by one
+    rename, so a repeated task changes nothing: Hadoop's local file system starts a
+    process for the permissions of every file, which takes longer than all else."""
+    rows = df.select(F.pmod(F.xxhash64(key), F.lit(WRITE_FOLDERS)).alias("folder"), F.col(key).alias(key), F.col(text).cast("string").alias("value"))
+    rows = rows.repartition(key)
+    if "://" in root or not root.startswith("/"):
+        return rows.write.partitionBy("folder", key).text(root)
+
+    def write(batches):
+        name, out, n = None, None, 0
+
+        def finish():
+            if out is not None:
+                out.close()
+                os.replace(out.name, os.path.join(os.path.dirname(out.name), "part-00000.txt"))
+
+        try:
+            for b in batches:
+                for folder, value, line in zip(*(c.to_pylist() for c in b.columns)):
+                    if name != (folder, value):
+                        finish()
+                        name, n = (folder, value), n + 1
+                        at = os.path.join(root, f"folder={folder}", f"{key}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+                        os.makedirs(at, exist_ok=True)
+                        out = open(os.path.join(at, f".part-{uuid.uuid4().hex}"), "wb")  # noqa: SIM115 - closed by finish
+                    out.write((line or "").encode() + b"\n")
+            finish()
+        finally:
+            if out is not None:
+                out.close()
+        yield pa.RecordBatch.from_pydict({"files": pa.array([n], pa.int64())})
+
+    rows.sortWithinPartitions(key, "value").mapInArrow(write, "files bigint").agg(F.sum("files")).collect()  # one number
+
+
 def files_from_table(df: DataFrame, path: Column, content: Column) -> DataFrame:
     """Files from a table (path and text or bytes columns), same schema as S1."""
     x = df.select(path.alias("path"), content.alias("content"))
