@@ -44,3 +44,15 @@ def test_html_decoder(spark):
     kept = [(r["style"], r["text"]) for r in items if r["text"].strip()]
     assert kept == [("Normal", "menu"), ("Heading 1", "Big & Bold"), ("Normal", "One <two>"), ("Normal", "three"),
                     ("Heading 3", "Small"), ("Normal", "Four")]
+
+
+def test_files_are_decoded_once(spark):
+    """Blocks and errors as one frame read the pages once; the two frames hold its rows."""
+    from vellum.operators.extract import extract_blocks
+
+    assert plan(registry.q_extract_blocks(spark, SF)).count("ReadSchema: struct<page_id") == 1
+    files = registry.mixed_files(spark, SF)
+    both = extract_blocks(files, registry.DECODERS, together=True)
+    blocks, errors = extract_blocks(files, registry.DECODERS)
+    assert sorted(map(str, both.where("error is null").drop("error").collect())) == sorted(map(str, blocks.collect()))
+    assert sorted(map(str, both.where("error is not null").select("path", "error").collect())) == sorted(map(str, errors.collect()))

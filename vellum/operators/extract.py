@@ -60,13 +60,15 @@ def decode_files(files: DataFrame, decoders: dict, min_len: int = MIN_CHUNK_LENG
         items = F.when(ftype == name, it).otherwise(items)
         derr = F.when(ftype == name, er).otherwise(derr)
     x = x.select("path", "file_hash", "file_type", items.alias("__items"), derr.alias("__derr"))
-    for name, dec in decoders.items():
-        mine = F.when(ftype == name, F.col("__items"))  # Python helpers get null for other types
-        if dec.kind == "pages":
+    # types of one kind go through the Python helpers together
+    for kind in sorted({"pages" if dec.kind == "pages" else "elements" for dec in decoders.values()}):
+        of_kind = ftype.isin([name for name, dec in decoders.items() if (dec.kind == "pages") == (kind == "pages")])
+        mine = F.when(of_kind, F.col("__items"))  # Python helpers get null for other types
+        if kind == "pages":
             b = _as_blocks(per_file.page_blocks_array(F.transform(mine, lambda i: i["text"]), min_len), "pages")
         else:
             b = _as_blocks(per_file.section_blocks_array(mine, min_len), "elements")
-        blocks = F.when(ftype == name, b).otherwise(blocks)
+        blocks = F.when(of_kind, b).otherwise(blocks)
     x = x.withColumn("blocks", blocks)
     supported = ftype.isin(list(decoders))
     error = (
@@ -77,17 +79,21 @@ def decode_files(files: DataFrame, decoders: dict, min_len: int = MIN_CHUNK_LENG
     return x.select("path", "file_hash", F.when(error.isNull(), F.col("blocks")).alias("blocks"), error.alias("error"))
 
 
-def extract_blocks(files: DataFrame, decoders: dict, min_len: int = MIN_CHUNK_LENGTH) -> tuple[DataFrame, DataFrame]:
+def extract_blocks(files: DataFrame, decoders: dict, min_len: int = MIN_CHUNK_LENGTH, together: bool = False):
     """Rows form of ``decode_files``: (blocks ``path, file_hash, block_no,
-    page, total_pages, section, section_idx, text``; errors ``path, error``)."""
+    page, total_pages, section, section_idx, text``; errors ``path, error``).
+    ``together``: both as one frame with ``error``, whose files are decoded once;
+    of the two frames each decodes them."""
     d = decode_files(files, decoders, min_len)
-    b = d.where(F.col("error").isNull()).select("path", "file_hash", posexplode_rows(F.col("blocks"), "i", "b"))
-    b = b.where(keep_rows("i"))
-    blocks = b.select(
+    # a file with an error has no blocks: it keeps one row
+    b = d.select("path", "file_hash", "error", posexplode_rows(F.col("blocks"), "i", "b")).where(keep_rows("i") | F.col("error").isNotNull())
+    rows = b.select(
         "path", "file_hash", F.coalesce(F.col("b.page"), F.col("b.section_idx")).alias("block_no"),
-        "b.page", "b.total_pages", "b.section", "b.section_idx", "b.text",
+        "b.page", "b.total_pages", "b.section", "b.section_idx", "b.text", "error",
     )
-    return blocks, d.where(F.col("error").isNotNull()).select("path", "error")
+    if together:
+        return rows
+    return rows.where(F.col("error").isNull()).drop("error"), d.where(F.col("error").isNotNull()).select("path", "error")
 
 
 NO_CHUNKS = "no valid chunks after extraction"

@@ -589,13 +589,10 @@ DECODERS = {"txt": src.TextDecoder(heading_below=40), "html": src.HtmlDecoder()}
 def q_extract_blocks(spark, sf_dir):
     """Dispatch on file type, blocks and per-file errors (integer columns
     are 0 on error rows)."""
-    blocks, errors = extract_blocks(mixed_files(spark, sf_dir), DECODERS)
-    b = blocks.select("path", F.col("block_no").cast("int").alias("block_no"), "section",
-                      F.length("text").cast("int").alias("char_count"), F.md5("text").alias("text_md5"),
-                      F.lit(None).cast("string").alias("error"))
-    e = errors.select("path", F.lit(0).alias("block_no"), F.lit(None).cast("string").alias("section"),
-                      F.lit(0).alias("char_count"), F.lit(None).cast("string").alias("text_md5"), "error")
-    return b.unionByName(e)
+    rows = extract_blocks(mixed_files(spark, sf_dir), DECODERS, together=True)
+    ok = F.col("error").isNull()
+    return rows.select("path", F.when(ok, F.col("block_no")).otherwise(0).cast("int").alias("block_no"), "section",
+                       F.when(ok, F.length("text")).otherwise(0).cast("int").alias("char_count"), F.md5("text").alias("text_md5"), "error")
 
 
 def q_index_documents(spark, sf_dir):
