@@ -202,3 +202,58 @@ def test_filtered_queries_meet_their_points_only(spark, limit):
     assert got == brute(x, q, 4, allowed, 0.1)
     own = sum(int((of == ask[i]).sum()) for i in range(400) if i % 20 != 3)
     assert scored.value <= own + 20 * len(x)
+
+
+def block_of(x, k=5):
+    return search._QueryBlock(pd.DataFrame({"__qid": range(len(x)), "__qvec": list(x), "__k": k, "__thr": np.nan}), k)
+
+
+def batch_of(x):
+    return pd.DataFrame({"__pid": range(len(x)), "__pvec": list(x)})
+
+
+def found(qb, best):
+    return [tuple(r) for r in search._emit(qb, best)[["query_id", "point_id"]].to_numpy().tolist()]
+
+
+def test_memory_of_a_task_does_not_follow_the_batch():
+    import tracemalloc
+
+    x = np.random.default_rng(7).normal(size=(40_000, 8)).astype(np.float32)
+    qb, b = block_of(x[:2000]), batch_of(x)
+    tracemalloc.start()
+    search._score_partition(qb, [b])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+
+
+@pytest.mark.parametrize("kind, scale", [(np.float32, 1.0), (np.float32, 1e25), (np.float32, 1e-25), (np.float64, 1.0), (np.float64, 1e60)])
+def test_narrow_products_keep_the_rows(kind, scale):
+    rng = np.random.default_rng(8)
+    x = (rng.normal(size=(3000, 8)) * scale).astype(kind)
+    x[700:720] = x[3]
+    y = x.copy()
+    y[50, 2] = np.nan  # links with nothing and harms no other
+    qb = block_of(x[:90])
+    s = np.cumsum(x[:90, None, :].astype(float) * y[None].astype(float), axis=2)[:, :, -1]
+    want = [(i, j) for i in range(90) for j in sorted((j for j in range(3000) if j != 50), key=lambda j: (-s[i, j], j))[:5]]
+    for cuts in (1, 3):
+        parts = np.array_split(np.arange(3000), cuts)
+        assert found(qb, search._score_partition(qb, [batch_of(y).iloc[p] for p in parts])) == want
+
+
+def test_regions_and_copies_of_queries(spark, monkeypatch):
+    """Buckets of two points don't send a query to hundreds of groups."""
+    assert ann._regions({0: 10, 1: 25, 2: 100, 3: 1, 5: 40}, 40) == {0: (0, 1), 1: (0, 1), 2: (1, 3), 3: (4, 1), 5: (5, 1)}
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(900, 6)).astype(np.float32)
+    p, q = frames(spark, v, v[:40])
+    sent = []
+    plain = search._score_pairs
+    monkeypatch.setattr(search, "_score_pairs", lambda qx, px, *a: sent.append(qx.count()) or plain(qx, px, *a))
+    monkeypatch.setattr(ann, "FLAT_CELLS", 4)  # centres that start from points
+    idx = ann.build_ivf(p, 9)
+    got = ann.ann_topk(idx, q, 3, nprobe=9, points_per_bucket=2)
+    assert {(r.query_id, r.rank, r.point_id) for r in got.collect()} == brute(v.astype(float), v[:40].astype(float), 3)
+    assert sent[0] <= 40 * (ann.REGIONS + 9)

@@ -12,7 +12,7 @@ Exact top-k is a block scan, never a row-pair join:
   under the limit, and points into point buckets of bounded size; the two sides
   meet with ``cogroup`` on ``(query_block, point_bucket)`` and each group runs the
   same numpy kernel.  No task ever holds more than one query block and one
-  point bucket.
+  point bucket, both of a size that doesn't depend on the tables.
 * **Routed path** - beyond it, queries with a filter value meet only the points
   of that value, dealt together by the value; only queries without one take the
   block path.
@@ -40,12 +40,15 @@ from pyspark.sql import types as T
 from vellum.functions.text import preview, strip_ws
 from vellum.session import shared_dir
 
-DEFAULT_BROADCAST_LIMIT = 256 << 20  # bytes of query matrix shipped to every task
-POINTS_PER_BUCKET = 200_000  # block path: points per cogroup bucket
-_SCORE_CELLS = 4 << 20  # score-matrix entries computed at once inside a task
+DEFAULT_BROADCAST_LIMIT = 32 << 20  # bytes of queries (a query block) that a task holds
+POINTS_PER_BUCKET = 1 << 15  # block path: points per cogroup bucket
+LEAST_PER_BUCKET = 1 << 12  # buckets are made smaller, down to this, where there are too few for the cores
+_TILE, _TILE_ROWS = 1 << 19, 1024  # score-matrix entries, and queries, scored at once inside a task
 _NO_FILTER = -1
 _NO_MATCH = -2
-_SCORE_ROWS = 1 << 14  # candidate pairs scored again at once
+_SCORE_ROWS = 1 << 12  # candidate pairs scored again at once
+_FEW_PAIRS = 256  # of a filter value: scored one by one, without a matrix product
+_PAIRS = 1 << 16  # such pairs listed at once
 _HIT_BYTES = 64  # of a candidate or hit row, at most
 BOUND_QUERIES, BOUND_POINTS = 64, 1024  # from which a batch of points is parted into cells
 BOUND_GAIN = 0.8  # share of the pairs that cells may leave to be scored
@@ -53,57 +56,77 @@ BOUND_GAIN = 0.8  # share of the pairs that cells may leave to be scored
 
 # ---------------------------------------------------------------- numpy kernel
 
-def _sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Dot product of row pairs, added up component by component: the same bits
-    for a pair wherever and with whatever else it is scored."""
-    out = np.zeros(len(a))
-    for i in range(0, len(a), _SCORE_ROWS):
+def _sums(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Dot product of the rows ``i`` of ``a`` and ``j`` of ``b``, added up component by
+    component: the same bits for a pair wherever and with whatever else it is scored."""
+    out = np.zeros(len(i))
+    for lo in range(0, len(i), _SCORE_ROWS):
         if a.shape[1]:
-            out[i : i + _SCORE_ROWS] = np.cumsum(a[i : i + _SCORE_ROWS] * b[i : i + _SCORE_ROWS], axis=1)[:, -1]
+            x = a[i[lo : lo + _SCORE_ROWS]].astype(np.float64) * b[j[lo : lo + _SCORE_ROWS]]
+            out[lo : lo + _SCORE_ROWS] = np.cumsum(x, axis=1)[:, -1]
     return out
 
 
 def _ids(col: pd.Series) -> np.ndarray:
-    return col.to_numpy(np.int64) if col.dtype != object else np.array(col.tolist(), dtype=str)
+    return col.to_numpy(np.int64) if col.dtype != object else np.array(col.tolist(), dtype=str).astype(object)
 
 
 def _matrix(col: pd.Series, size: int | None = None) -> np.ndarray:
-    rows = col.tolist()
+    """Vectors as rows: of 32 bits where they came so, else of 64."""
+    rows = [np.asarray(v) for v in col.tolist()]
     sizes = {len(v) for v in rows}
     if size is not None and rows and sizes != {size} or len(sizes) > 1:
         raise ValueError(f"vectors of one search must have one size; found {sorted(sizes | ({size} if size is not None else set()))}")
-    return np.array(rows, dtype=np.float64).reshape(len(rows), len(rows[0])) if rows else np.zeros((0, size or 0))
+    if not rows:
+        return np.zeros((0, size or 0), np.float32)
+    out = np.concatenate(rows).reshape(len(rows), -1) if len(rows[0]) else np.zeros((len(rows), 0), np.float32)
+    return out if out.dtype == np.float32 else out.astype(np.float64)
+
+
+def _norms(mat: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.square(mat, dtype=np.float64).sum(1))
 
 
 class _Best:
-    """The best k (score, id) of every query row so far; ties by smaller id."""
+    """The best k (score, id) of every query row so far; ties by smaller id.
+    ``once``: a pair may be added several times and counts once."""
 
-    def __init__(self, k: int, rows: int):
-        self.k, self.row, self.score, self.id = k, np.zeros(0, np.int64), np.zeros(0), None
+    def __init__(self, k: int, rows: int, once: bool = False):
+        self.k, self.once, self.n, self.id = k, once, np.zeros(rows, np.int64), None
+        self.score = np.zeros((rows, k))
         self.kth = np.full(rows, -np.inf)  # score of each row's k-th, once it has k
 
     def add(self, row: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         if not len(row):
             return
-        if self.id is not None:
-            row, score, ids = np.r_[self.row, row], np.r_[self.score, score], np.concatenate([self.id, ids])
-        order = np.lexsort((ids, -score, row))
+        if self.id is None:
+            self.id = np.zeros(self.score.shape, ids.dtype)
+        rows = np.unique(row)
+        held = np.arange(self.k) < self.n[rows][:, None]
+        row, score = np.r_[np.repeat(rows, self.n[rows]), row], np.r_[self.score[rows][held], score]
+        ids = np.concatenate([self.id[rows][held], ids])
+        order = np.lexsort((ids if ids.dtype != object else ids.astype(str), -score, row))
         row, score, ids = row[order], score[order], ids[order]
+        if self.once:
+            new = np.r_[True, (row[1:] != row[:-1]) | (ids[1:] != ids[:-1])]
+            row, score, ids = row[new], score[new], ids[new]
         first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        at = np.arange(len(row)) - np.repeat(first, np.diff(np.r_[first, len(row)]))
+        many = np.diff(np.r_[first, len(row)])
+        at = np.arange(len(row)) - np.repeat(first, many)
         keep = at < self.k
-        self.row, self.score, self.id = row[keep], score[keep], ids[keep]
-        last = at == self.k - 1
-        self.kth[row[last]] = score[last]
+        self.score[row[keep], at[keep]], self.id[row[keep], at[keep]] = score[keep], ids[keep]
+        self.n[rows] = np.minimum(many, self.k)
+        full = rows[many >= self.k]
+        self.kth[full] = self.score[full, self.k - 1]
 
 
 class _QueryBlock:
-    """Query matrix plus per-query k, threshold and filter code."""
+    """Query matrix plus per-query k, threshold, filter code and probed cells or buckets."""
 
     def __init__(self, pdf: pd.DataFrame, kmax: int):
         self.ids = pdf["__qid"].to_numpy(np.int64)
         self.mat = _matrix(pdf["__qvec"])
-        self.norm = np.sqrt((self.mat**2).sum(1))
+        self.norm = _norms(self.mat)
         self.k = pdf["__k"].to_numpy(np.int64)
         thr = pdf["__thr"].to_numpy(np.float64, na_value=np.nan)
         self.thr = np.where(np.isnan(thr), -np.inf, thr)
@@ -115,6 +138,14 @@ class _QueryBlock:
             self.fcode = np.array([_NO_FILTER if v is None else self.codes[v] for v in vals], dtype=np.int64)
         else:
             self.codes, self.fcode = None, None
+        # a list of cells of any length, or the same number of buckets of each table
+        self.cells = pdf["__cells"].tolist() if "__cells" in pdf.columns else None
+        self.keys = _whole(pdf["__keys"]) if "__keys" in pdf.columns else None
+
+
+def _whole(col: pd.Series) -> np.ndarray:
+    rows = col.tolist()
+    return np.concatenate(rows).reshape(len(rows), -1) if rows else np.zeros((0, 0), np.int64)
 
 
 class _Scorer:
@@ -122,18 +153,20 @@ class _Scorer:
 
     A matrix product, whose last bits depend on its shape, only picks
     candidates: everything within its rounding error of the k-th score or the
-    threshold.  Those are scored again by ``_sums`` and ranked by that.
-
-    A query with a filter meets only the points of its value.  A batch for many
-    queries without one is parted into cells around some of its own points; by
-    the largest distance r from a cell's centre c no point x of it has
-    q.x > q.c + |q| r, and a cell whose bound is below a query's k-th score so far
-    (or threshold) is left out.  A task in which that saves little stops trying.
+    threshold.  Those are scored again by ``_sums`` and ranked by that.  The product
+    is made tile by tile, so what a task holds doesn't depend on the batch.
+
+    A query with a filter meets only the points of its value, one with cells or
+    buckets the points that share one.  A batch for many queries without any is
+    parted into cells around some of its own points; by the largest distance r from
+    a cell's centre c no point x of it has q.x > q.c + |q| r, and a cell whose bound
+    is below a query's k-th score so far (or threshold) is left out.  A task in
+    which that saves little stops trying.
     """
 
     def __init__(self, qb: _QueryBlock, scored=None):
-        self.qb, self.scored = qb, scored
-        self.best = _Best(qb.kmax, len(qb.ids))
+        self.qb, self.scored, self.wide = qb, scored, None
+        self.best = _Best(qb.kmax, len(qb.ids), once=qb.keys is not None)
         self.free = np.arange(len(qb.ids)) if qb.fcode is None else np.flatnonzero(qb.fcode == _NO_FILTER)
         self.bounds = len(self.free) >= BOUND_QUERIES
         if qb.fcode is not None:
@@ -141,83 +174,178 @@ class _Scorer:
             self.code_edges = np.searchsorted(qb.fcode[self.of_code], np.arange(len(qb.codes) + 1))
 
     def batch(self, b: pd.DataFrame) -> None:
-        pids, pmat = _ids(b["__pid"]), _matrix(b["__pvec"], self.qb.mat.shape[1])
-        long = np.sqrt((pmat**2).sum(1)).max() if len(pmat) else 0.0
-        self.error = 4 * (pmat.shape[1] + 2) * np.finfo(float).eps * self.qb.norm * long
-        if len(self.free):
-            if self.bounds and len(pids) >= BOUND_POINTS:
-                self._by_cell(pids, pmat)
-            else:
-                self._score(self.free, pids, pmat)
-        if self.qb.fcode is not None and self.qb.codes:
+        self.pids, self.pmat = _ids(b["__pid"]), _matrix(b["__pvec"], self.qb.mat.shape[1])
+        self._measure()
+        codes = None
+        if self.qb.codes:
             codes = np.array([self.qb.codes.get(v, _NO_MATCH) for v in b["__pfilter"].tolist()], dtype=np.int64)
-            order = np.argsort(codes, kind="stable")
-            order = order[np.searchsorted(codes[order], 0) :]
-            found = []
-            for part in np.split(order, np.flatnonzero(np.diff(codes[order])) + 1) if len(order) else []:
-                code = codes[part[0]]
-                rows = self.of_code[self.code_edges[code] : self.code_edges[code + 1]]
-                found += self._candidates(rows, pids[part], pmat[part])
-            if found:
-                self.best.add(*(np.concatenate(x) for x in zip(*found)))
-
-    def _score(self, rows: np.ndarray, pids: np.ndarray, pmat: np.ndarray) -> None:
-        for found in self._candidates(rows, pids, pmat):
-            self.best.add(*found)
-
-    def _candidates(self, rows, pids, pmat):
-        qb, k = self.qb, self.qb.kmax
-        step = max(1, _SCORE_CELLS // max(1, len(pids)))
+        if self.qb.cells is not None:
+            self._cells_met(b["cell"].to_numpy(np.int64), codes)
+        elif self.qb.keys is not None:
+            self._buckets_met(_whole(b["__keys"]))
+        else:
+            if len(self.free):
+                if self.bounds and len(self.pids) >= BOUND_POINTS:
+                    self._by_cell()
+                else:
+                    self._meet(self.free, np.arange(len(self.pids)))
+            if codes is not None:
+                self._values_met(codes)
+
+    def _measure(self) -> None:
+        """Precision of the product and its rounding error, for this batch."""
+        qb, norm = self.qb, _norms(self.pmat)
+        finite = norm[np.isfinite(norm)]
+        long = finite.max() if len(finite) else 0.0
+        self.strange = len(finite) < len(norm) or not np.isfinite(qb.norm).all()
+        most = qb.norm[np.isfinite(qb.norm)].max(initial=0.0)
+        kind = np.float32 if qb.mat.dtype == self.pmat.dtype == np.float32 and most < 1e18 and long < 1e18 else np.float64
+        if kind == qb.mat.dtype:
+            self.q = qb.mat
+        else:  # made once
+            self.wide = self.q = qb.mat.astype(np.float64) if self.wide is None else self.wide
+        self.p = self.pmat if self.pmat.dtype == kind else self.pmat.astype(kind)
+        with np.errstate(invalid="ignore"):
+            self.error = (self.pmat.shape[1] + 2) * (4 * np.finfo(kind).eps * qb.norm * long + np.finfo(kind).tiny)
+
+    def _meet(self, rows: np.ndarray, cols: np.ndarray) -> None:
+        """The queries ``rows`` against the points ``cols`` of the batch."""
+        qb, k, n = self.qb, self.qb.kmax, len(cols)
+        if not n:
+            return
+        if self.scored is not None:
+            self.scored.add(len(rows) * n)
+        p = self.p if n == len(self.p) else self.p[cols]
+        step = max(_TILE_ROWS, _TILE // max(n, 64))
         for lo in range(0, len(rows), step):
-            some = rows[lo : lo + step]
-            s = qb.mat[some] @ pmat.T
-            if self.scored is not None:
-                self.scored.add(s.size)
-            least = np.maximum(qb.thr[some], self.best.kth[some])
-            if s.shape[1] > k:
-                least = np.maximum(least, -np.partition(-s, k - 1, axis=1)[:, k - 1])
-            r, c = np.nonzero((s >= (least - 2 * self.error[some])[:, None]) & np.isfinite(s))
-            exact = _sums(qb.mat[some[r]], pmat[c])
-            keep = exact >= qb.thr[some[r]]
-            yield some[r[keep]], exact[keep], pids[c[keep]]
-
-    def _by_cell(self, pids, pmat):
-        qb, rows = self.qb, self.free
-        n = int(math.sqrt(len(pids)))
-        centres = pmat[np.linspace(0, len(pids) - 1, n).astype(int)]
-        cell = ((centres**2).sum(1)[None, :] - 2 * (pmat @ centres.T)).argmin(1)
+            some, at, w = rows[lo : lo + step], 0, max(64, _TILE // (4 * step))
+            q, error = self.q[some], self.error[some]
+            while at < n:  # the first tiles are narrow: their k-th scores spare the others candidates
+                s = q @ p[at : at + w].T
+                if self.strange:  # not a number would sort last, as the best
+                    s[~np.isfinite(s)] = -np.inf
+                least = self._least(np.maximum(qb.thr[some], self.best.kth[some]), error, s.dtype)
+                hit = s >= least[:, None]
+                many = np.count_nonzero(hit)
+                if many > 4 * k * len(some) and s.shape[1] > k:
+                    kth = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k].astype(np.float64)
+                    hit = s >= np.maximum(least, self._least(kth, error, s.dtype))[:, None]
+                    many = 1
+                if self.strange:
+                    hit &= s > -np.inf
+                if many:
+                    r, c = np.divmod(np.flatnonzero(hit), s.shape[1])
+                    self._add(some[r], cols[at + c])
+                at += w
+                w = min(2 * w, max(64, _TILE // step))
+
+    @staticmethod
+    def _least(score: np.ndarray, error: np.ndarray, kind) -> np.ndarray:
+        """Below it a product can't belong to that score."""
+        return np.nextafter((score - 2 * error).astype(kind), kind.type(-np.inf))
+
+    def _add(self, r: np.ndarray, c: np.ndarray) -> None:
+        """Scores pairs of query row and point as they are ranked."""
+        exact = _sums(self.qb.mat, r, self.pmat, c)
+        keep = (exact >= self.qb.thr[r]) & (exact >= self.best.kth[r])
+        self.best.add(r[keep], exact[keep], self.pids[c[keep]])
+
+    def _values_met(self, codes: np.ndarray) -> None:
+        """Queries with a filter against the points of their value."""
+        order = np.argsort(codes, kind="stable")
+        order = order[np.searchsorted(codes[order], 0) :]
+        if not len(order):
+            return
+        first = np.flatnonzero(np.r_[True, np.diff(codes[order]) > 0])
+        points, value = np.diff(np.r_[first, len(order)]), codes[order[first]]
+        asked = np.diff(self.code_edges)[value]
+        few = points * asked <= _FEW_PAIRS
+        for i in np.flatnonzero(~few):
+            self._meet(self.of_code[self.code_edges[value[i]] : self.code_edges[value[i] + 1]], order[first[i] : first[i] + points[i]])
+        point = np.repeat(few, points)
+        cols, times, lo = order[point], np.repeat(asked, points)[point], np.repeat(self.code_edges[value], points)[point]
+        if self.scored is not None:
+            self.scored.add(int(times.sum()))
+        ends = np.cumsum(times)
+        for a, b in _spans(ends, _PAIRS):
+            t = times[a:b]
+            within = np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)
+            r, c = self.of_code[np.repeat(lo[a:b], t) + within], np.repeat(cols[a:b], t)
+            exact = _sums(self.qb.mat, r, self.pmat, c)
+            keep = (exact >= self.qb.thr[r]) & np.isfinite(exact)
+            self.best.add(r[keep], exact[keep], self.pids[c[keep]])
+
+    def _keyed(self, row: np.ndarray, key: np.ndarray, point: np.ndarray, of_point: np.ndarray) -> None:
+        """Queries ``row`` with ``key`` against the points ``point`` with the key ``of_point``."""
+        qo, po = np.argsort(key, kind="stable"), np.argsort(of_point, kind="stable")
+        key, of_point = key[qo], of_point[po]
+        for x in np.intersect1d(key, of_point):
+            a, b = np.searchsorted(key, [x, x + 1])
+            c, d = np.searchsorted(of_point, [x, x + 1])
+            self._meet(row[qo[a:b]], point[po[c:d]])
+
+    def _cells_met(self, cell: np.ndarray, codes: np.ndarray | None) -> None:
+        rows = np.repeat(np.arange(len(self.qb.cells)), [len(c) for c in self.qb.cells])
+        probed = np.concatenate(self.qb.cells).astype(np.int64)
+        free = np.ones(len(rows), bool) if self.qb.fcode is None else self.qb.fcode[rows] == _NO_FILTER
+        every = np.arange(len(cell))
+        self._keyed(rows[free], probed[free], every, cell)
+        if codes is not None:
+            n, known, own = len(self.qb.codes), codes >= 0, ~free
+            self._keyed(rows[own], probed[own] * n + self.qb.fcode[rows[own]], every[known], cell[known] * n + codes[known])
+
+    def _buckets_met(self, own: np.ndarray) -> None:
+        """``own``: each point's bucket in every table; the queries probe as many of each."""
+        probes = self.qb.keys.shape[1] // own.shape[1]
+        rows, every = np.repeat(np.arange(len(self.qb.ids)), probes), np.arange(len(own))
+        for t in range(own.shape[1]):
+            self._keyed(rows, self.qb.keys[:, t * probes : (t + 1) * probes].ravel().astype(np.int64), every, own[:, t].astype(np.int64))
+
+    def _by_cell(self) -> None:
+        qb, rows, total = self.qb, self.free, len(self.pids)
+        n = int(math.sqrt(total))
+        centres = self.pmat[np.linspace(0, total - 1, n).astype(int)].astype(np.float64)
+        size = (centres**2).sum(1)[None, :]
+        cell, apart = np.zeros(total, np.int64), np.zeros(total)
+        for lo in range(0, total, max(1, _TILE // n)):
+            some = slice(lo, lo + max(1, _TILE // n))
+            x = self.pmat[some].astype(np.float64)
+            cell[some] = (size - 2 * (x @ centres.T)).argmin(1)
+            apart[some] = np.sqrt(((x - centres[cell[some]]) ** 2).sum(1))
         order = np.argsort(cell, kind="stable")
         edges = np.searchsorted(cell[order], np.arange(n + 1))
-        apart = np.sqrt(((pmat - centres[cell]) ** 2).sum(1))
         radius = np.array([apart[order[a:b]].max() if a < b else -np.inf for a, b in zip(edges, edges[1:])])
         count = np.diff(edges)
-        for lo in range(0, len(rows), max(1, _SCORE_CELLS // n)):
-            some = rows[lo : lo + max(1, _SCORE_CELLS // n)]
-            near = qb.mat[some] @ centres.T
+        step = max(1, _TILE // n)
+        for lo in range(0, len(rows), step):
+            some = rows[lo : lo + step]
+            near = qb.mat[some].astype(np.float64) @ centres.T
             bound = near + qb.norm[some][:, None] * radius * (1 + 1e-9)
-            home = near.argmax(1)
             # a query's own cell tells how good the others must be
-            first = _Best(qb.kmax, len(qb.ids))
-            found = self._cells(some, home[:, None] == np.arange(n), order, edges, pids, pmat)
-            if found:
-                first.add(*(np.concatenate(x) for x in zip(*found)))
-            least = np.maximum(qb.thr[some], np.maximum(self.best.kth[some], first.kth[some])) - 4 * self.error[some]
-            open_ = (bound >= least[:, None]) & (home[:, None] != np.arange(n))
-            if (open_ @ count).sum() > BOUND_GAIN * len(some) * len(pids):
+            home = near.argmax(1)[:, None] == np.arange(n)
+            self._cells(some, home, order, edges)
+            least = np.maximum(qb.thr[some], self.best.kth[some]) - 4 * self.error[some]
+            open_ = ~(bound < least[:, None]) & ~home
+            if (open_ @ count).sum() > BOUND_GAIN * len(some) * total:
                 self.bounds = False
-                self._score(rows[lo:], pids, pmat)
+                self._cells(some, ~home, order, edges)
+                self._meet(rows[lo + step :], np.arange(total))
                 return
-            found += self._cells(some, open_, order, edges, pids, pmat)
-            if found:
-                self.best.add(*(np.concatenate(x) for x in zip(*found)))
+            self._cells(some, open_, order, edges)
 
-    def _cells(self, some, which, order, edges, pids, pmat) -> list:
-        """Candidates of the queries ``some`` in the cells that ``which`` marks for each."""
-        found = []
+    def _cells(self, some, which, order, edges) -> None:
+        """The queries ``some`` against the cells that ``which`` marks for each."""
         for c in np.flatnonzero(which.any(0) & (np.diff(edges) > 0)).tolist():
-            part = order[edges[c] : edges[c + 1]]
-            found += self._candidates(some[which[:, c]], pids[part], pmat[part])
-        return found
+            self._meet(some[which[:, c]], order[edges[c] : edges[c + 1]])
+
+
+def _spans(ends: np.ndarray, most: int):
+    """Ranges of rows with about ``most`` items each, by their running total."""
+    a = 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, side="right")))
+        yield a, b
+        a = b
 
 
 def _score_partition(qb: _QueryBlock, batches, scored=None) -> _Best:
@@ -231,9 +359,9 @@ def _score_partition(qb: _QueryBlock, batches, scored=None) -> _Best:
 
 
 def _emit(qb: _QueryBlock, best: _Best) -> pd.DataFrame:
-    ids = best.id if best.id is not None else np.zeros(0, object)  # of either kind
-    k = qb.k[best.row].astype(np.int32)
-    return pd.DataFrame({"query_id": qb.ids[best.row], "point_id": ids, "score": best.score, "k": k})
+    row, at = np.nonzero(np.arange(best.k) < best.n[:, None])
+    ids = best.id[row, at] if best.id is not None else np.zeros(0, object)  # of either kind
+    return pd.DataFrame({"query_id": qb.ids[row], "point_id": ids, "score": best.score[row, at], "k": qb.k[row].astype(np.int32)})
 
 
 def _cand_schema(id_type: T.DataType) -> T.StructType:
@@ -361,47 +489,32 @@ def attach_payload(hits: DataFrame, points: DataFrame, point_id: str, payload: l
 
 
 def _broadcast_scan(spark, q: DataFrame, p: DataFrame, kmax: int, scored=None) -> DataFrame:
-    qpdf = q.toPandas()  # bounded by broadcast_limit_bytes (checked by the caller)
-    block = spark.sparkContext.broadcast((qpdf, kmax))
+    # bounded by broadcast_limit_bytes (checked by the caller); sent as arrays, not as rows of Python objects
+    block = spark.sparkContext.broadcast(_QueryBlock(q.toArrow().to_pandas(), kmax))
 
     def scan(batches):
-        qdf, km = block.value
-        qb = _QueryBlock(qdf, km)
+        qb = block.value
         yield _emit(qb, _score_partition(qb, batches, scored))
 
     return p.mapInPandas(scan, _cand_schema(p.schema["__pid"].dataType))
 
 
-def _block_scan(q, p, kmax, matrix_bytes, limit, per_bucket, keys=None, bucket_counts=None, scored=None) -> DataFrame:
-    """Cogroup scoring.  ``keys`` (e.g. an IVF cell) must already be columns of
-    both sides; points of one key are split into ``ceil(n / per_bucket)``
-    buckets (``bucket_counts`` gives n per key; otherwise one global count) and
-    queries are hashed into blocks under ``limit`` bytes, so every group holds
-    at most one query block and one bounded point bucket."""
-    keys = keys or []
-    n_qb = max(1, math.ceil(matrix_bytes / limit))
-    if bucket_counts is None:
-        n_p = p.count()
-        p = p.withColumn("__nb", F.lit(int(max(1, math.ceil(n_p / per_bucket)))))
-        q = q.withColumn("__nb", F.lit(int(max(1, math.ceil(n_p / per_bucket)))))
-    else:
-        # one row per key (bounded by the number of keys): broadcast to both sides
-        def nb():  # fresh attributes per side, so the two joins stay independent
-            return bucket_counts.select(
-                *[F.col(c).alias(c) for c in keys],
-                F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(per_bucket))).cast("int").alias("__nb"),
-            )
-
-        p = p.join(F.broadcast(nb()), keys)
-        q = q.join(F.broadcast(nb()), keys)
+def smaller(per_bucket: int, points: int, blocks: int, spark) -> int:
+    """Points of a bucket: ``per_bucket``, or fewer where that leaves cores idle."""
+    wanted = max(1, math.ceil(4 * spark.sparkContext.defaultParallelism / blocks))
+    return min(per_bucket, max(LEAST_PER_BUCKET, math.ceil(points / wanted)))
+
+
+def _block_scan(q, p, kmax, matrix_bytes, limit, per_bucket, scored=None) -> DataFrame:
+    """Cogroup scoring: points are dealt by id to buckets and queries to blocks under
+    ``limit`` bytes, so every group holds at most one query block and one bounded
+    point bucket."""
+    n_qb, n_p = max(1, math.ceil(matrix_bytes / limit)), p.count()
+    n_pb = max(1, math.ceil(n_p / smaller(per_bucket, n_p, n_qb, q.sparkSession)))
     # grouping keys must have one type on both sides (int hashes differ from bigint)
-    qx = q.withColumn("__qb", F.pmod(F.xxhash64("__qid"), F.lit(n_qb)).cast("int")).withColumn(
-        "__pb", F.explode(F.sequence(F.lit(0), F.col("__nb").cast("int") - 1))
-    )
-    px = p.withColumn("__pb", F.pmod(F.xxhash64("__pid"), F.col("__nb")).cast("int")).withColumn(
-        "__qb", F.explode(F.sequence(F.lit(0), F.lit(int(n_qb - 1))))
-    )
-    return _score_pairs(qx, px, [*keys, "__qb", "__pb"], kmax, scored)
+    qx = q.withColumn("__qb", F.pmod(F.xxhash64("__qid"), F.lit(n_qb)).cast("int")).withColumn("__pb", F.explode(F.sequence(F.lit(0), F.lit(n_pb - 1))))
+    px = p.withColumn("__pb", F.pmod(F.xxhash64("__pid"), F.lit(n_pb)).cast("int")).withColumn("__qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))))
+    return _score_pairs(qx, px, ["__qb", "__pb"], kmax, scored)
 
 
 def _score_pairs(qx, px, keys: list[str], kmax: int, scored=None) -> DataFrame:
@@ -427,8 +540,9 @@ def _routed_scan(q, p, kmax, per_query, limit, per_bucket, scored=None) -> DataF
     sizes = p.groupBy("__pfilter").agg(F.count(F.lit(1)).alias("__n")).join(asked, "__pfilter")
     # two numbers; then one row for each value over a limit: at most points / per_bucket + queries x bytes / limit
     per_block = max(1, int(limit // per_query))
-    total, many = sizes.agg(F.sum("__n"), F.count_if((F.col("__n") > per_bucket) | (F.col("__nq") > per_block))).first()
-    slots = max(int(q.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(4 * (total or 0) / per_bucket))
+    total, asking, many = sizes.agg(F.sum("__n"), F.sum("__nq"), F.count_if((F.col("__n") > per_bucket) | (F.col("__nq") > per_block))).first()
+    # a slot's points and queries are about a quarter of what a group may hold
+    slots = max(int(q.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(4 * (total or 0) / per_bucket), math.ceil(4 * (asking or 0) / per_block))
     if many:
         hot = sizes.where((F.col("__n") > per_bucket) | (F.col("__nq") > per_block)).select(
             "__pfilter", F.ceil(F.col("__n") / per_bucket).cast("int").alias("__nb"), F.ceil(F.col("__nq") / per_block).cast("int").alias("__nqb"))
