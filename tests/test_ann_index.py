@@ -104,3 +104,15 @@ def test_two_first_writers(spark, tmp_path):
     a.ensure_index([[1.0, 0.0], [0.0, 1.0]], 1)
     b.ensure_index([[1.0, 0.0, 0.0]], 1)
     assert b.dim == 2 and b.buckets == 2
+
+
+def test_blocks_and_buckets_find_the_same(spark):
+    """Queries sent once to each block of points, and once to each probed bucket."""
+    x = np.random.default_rng(3).normal(size=(500, 10)).astype(np.float32)
+    points = vectors(spark, x, name=[f"f{i % 3}" for i in range(500)])
+    queries = points.where("point_id % 5 = 0").select(F.col("point_id").alias("query_id"), "vector", F.when(F.col("point_id") % 3 == 0, "f1").alias("ask"))
+    plan = lsh.LshPlan(10, 4, 5, 6)
+    keyed = lsh.keyed(points, plan)
+    for args in ({}, {"query_filter": "ask", "point_filter": "name", "threshold": 0.1}):
+        routed = hits(lsh.lsh_topk(keyed, plan, queries, 4, **args))
+        assert hits(lsh.lsh_topk(keyed, plan, queries, 4, routed_bytes=0, points_per_bucket=60, broadcast_limit_bytes=20_000, **args)) == routed

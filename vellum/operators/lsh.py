@@ -12,7 +12,9 @@ neighbours of held-out queries.  Every point is indexed.
 
 Queries and points meet by (table, bucket) through the routed scan of
 ``search``, which splits a bucket that many points or queries share, so copies
-of one vector don't land in one task.  A query with a filter is not approximated:
+of one vector don't land in one task.  Queries that would be sent to more buckets
+than there are blocks of points are sent to the blocks instead, once to each, with
+the buckets they probe; the points lie there with theirs.  A query with a filter is not approximated:
 it meets the points of its value, all of them.
 """
 
@@ -24,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, ShortType, StringType
 
 from vellum.functions.arrays import arrow_udf
 from vellum.operators import search
@@ -32,6 +34,7 @@ from vellum.operators.ann import held_out, sample_of, SAMPLE, HELD_OUT
 from vellum.session import shared_dir
 
 TABLES, BITS = (4, 8, 16), (4, 6, 8, 10)  # tried by the fit
+ROUTED_BYTES = 256 << 20  # of queries, repeated for every probed bucket, that are sent to the buckets
 
 
 @dataclass(frozen=True)
@@ -102,13 +105,37 @@ def _keys_udf(plan: LshPlan, probes: int):
         x = np.stack(s.to_numpy()).astype(np.float64)
         if plan.dim and x.shape[1] != plan.dim:
             raise ValueError(f"vectors of one search must have one size; found {sorted({x.shape[1], plan.dim})}")
-        m = margins(x, plan.planes())
-        own = [buckets(m)[t][:, None] for t in range(plan.tables)] if not probes else [probe_order(m[t])[:, :probes] for t in range(plan.tables)]
-        return pd.Series([[f"{t}:{b}" for t in range(plan.tables) for b in own[t][i]] for i in range(len(x))])
+        own = np.concatenate([_probed(x[i : i + _ROWS], plan, probes) for i in range(0, len(x), _ROWS)])
+        return pd.Series([[f"{t}:{b}" for t in range(plan.tables) for b in row[t]] for row in own.tolist()])
 
     return arrow_udf(run, ArrayType(StringType()))
 
 
+_ROWS = 512  # vectors whose buckets are put in order at once
+
+
+def _probed(x: np.ndarray, plan: LshPlan, probes: int) -> np.ndarray:
+    """rows x tables x buckets: a vector's own bucket in each table, or its cheapest ``probes``."""
+    m = margins(x, plan.planes())
+    return buckets(m).T[:, :, None] if not probes else np.stack([probe_order(of)[:, :probes] for of in m], axis=1)
+
+
+def _numbers_udf(plan: LshPlan, probes: int):
+    """``_probed`` as one list of a vector, table after table."""
+    kind = IntegerType() if plan.bits > 15 else ShortType()
+
+    def run(s: pd.Series) -> pd.Series:
+        x, out = s.tolist(), []
+        for i in range(0, len(x), _ROWS):
+            rows = np.stack(x[i : i + _ROWS]).astype(np.float64)
+            if plan.dim and rows.shape[1] != plan.dim:
+                raise ValueError(f"vectors of one search must have one size; found {sorted({rows.shape[1], plan.dim})}")
+            out += list(_probed(rows, plan, probes).reshape(len(rows), -1).astype(np.int32 if plan.bits > 15 else np.int16))
+        return pd.Series(out, dtype=object)
+
+    return arrow_udf(run, ArrayType(kind))
+
+
 def keyed(points: DataFrame, plan: LshPlan, vector: str = "vector") -> DataFrame:
     """``points`` with ``keys``, a bucket of each table: what can be stored beside
     the plan and searched again."""
@@ -119,7 +146,7 @@ def lsh_topk(points: DataFrame, plan: LshPlan, queries: DataFrame, k: int | str
              point_id: str = "point_id", point_vec: str = "vector", query_id: str = "query_id", query_vec: str = "vector",
              query_filter: str | None = None, point_filter: str | None = None, payload: list[str] | None = None,
              broadcast_limit_bytes: int = search.DEFAULT_BROADCAST_LIMIT, points_per_bucket: int = search.POINTS_PER_BUCKET,
-             scored=None) -> DataFrame:
+             routed_bytes: int = ROUTED_BYTES, scored=None) -> DataFrame:
     """Approximate ``k`` best of ``points`` (with ``keys``, see ``keyed``) per query;
     arguments and output as ``search.topk``."""
     if (query_filter is None) != (point_filter is None):
@@ -133,11 +160,19 @@ def lsh_topk(points: DataFrame, plan: LshPlan, queries: DataFrame, k: int | str
         return search.topk(points, queries.limit(0), k, point_id=point_id, point_vec=point_vec, query_id=query_id, query_vec=query_vec, payload=payload)
     key = search.point_key(points, point_id)
     per_query = max(dim, 1) * 8 + 48 + search._HIT_BYTES * kmax
-    p = points.select(key.alias("__pid"), F.col(point_vec).alias("__pvec"), F.explode("keys").alias("__pfilter")).where("__pid is not null")
     free = q.where("__qfilter is null").drop("__qfilter") if query_filter else q
-    asked = free.withColumn("keys", _keys_udf(plan, plan.probes)(F.col("__qvec")))
-    asked = asked.select("__qid", "__qvec", "__k", "__thr", F.explode("keys").alias("__qfilter"))
-    cands = search._routed_scan(asked, p, kmax, per_query, broadcast_limit_bytes, points_per_bucket, scored)
+    sent = plan.tables * plan.probes
+    if n_q * sent * per_query <= routed_bytes or points.count() > sent * points_per_bucket:
+        p = points.select(key.alias("__pid"), F.col(point_vec).alias("__pvec"), F.explode("keys").alias("__pfilter")).where("__pid is not null")
+        asked = free.withColumn("keys", _keys_udf(plan, plan.probes)(F.col("__qvec")))
+        asked = asked.select("__qid", "__qvec", "__k", "__thr", F.explode("keys").alias("__qfilter"))
+        cands = search._routed_scan(asked, p, kmax, per_query, broadcast_limit_bytes, points_per_bucket, scored)
+    else:
+        # both sides carry their buckets as small numbers: 2 bytes each up to 15 bits
+        own = F.transform("keys", lambda x: F.element_at(F.split(x, ":"), 2).cast("int"))
+        p = points.select(key.alias("__pid"), F.col(point_vec).alias("__pvec"), own.alias("__keys")).where("__pid is not null and __pvec is not null")
+        asked = free.withColumn("__keys", _numbers_udf(plan, plan.probes)(F.col("__qvec")))
+        cands = search._block_scan(asked, p, kmax, n_q * (per_query + 4 * sent), broadcast_limit_bytes, points_per_bucket, scored)
     if query_filter:
         own = points.select(key.alias("__pid"), F.col(point_vec).alias("__pvec"), F.col(point_filter).cast("string").alias("__pfilter"))
         own = own.where("__pid is not null and __pvec is not null")
