@@ -56,3 +56,19 @@ def test_files_are_decoded_once(spark):
     blocks, errors = extract_blocks(files, registry.DECODERS)
     assert sorted(map(str, both.where("error is null").drop("error").collect())) == sorted(map(str, blocks.collect()))
     assert sorted(map(str, both.where("error is not null").select("path", "error").collect())) == sorted(map(str, errors.collect()))
+
+
+def test_words_are_counted_in_slices():
+    import pyarrow as pa
+
+    from vellum.operators import embed
+
+    words = [[f"w{i % 13}" for i in range(n)] for n in (0, 3, 900, 5, 0, 40)] + [None]
+    rb = pa.RecordBatch.from_pydict({"id": list(range(7)), "__words": words})
+    whole = pa.Table.from_batches(list(embed._arrow_buckets(8, "v")([rb])))
+    old, embed.SLICE_WORDS = embed.SLICE_WORDS, 10
+    try:
+        parts = list(embed._arrow_buckets(8, "v")([rb]))
+    finally:
+        embed.SLICE_WORDS = old
+    assert len(parts) > 3 and pa.Table.from_batches(parts).to_pydict() == whole.to_pydict()

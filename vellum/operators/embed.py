@@ -26,6 +26,8 @@ from vellum.functions.vectors import bind, unit
 
 # A word is a run of letters or digits.
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
+CACHED_WORDS = 1 << 17  # whose buckets a task remembers
+SLICE_WORDS = 1 << 17  # hashed and counted at once
 
 
 def _col(c):
@@ -90,6 +92,20 @@ def _bucket_series(dim: int):
     return run
 
 
+def _slices(batches):
+    """Batches in parts of at most SLICE_WORDS words (or one row), so that the
+    arrays made for them are small whatever a batch holds."""
+    import pyarrow.compute as pc
+
+    for rb in batches:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(rb.column(rb.schema.get_field_index("__words"))), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        a = 0
+        while a < len(ends):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + SLICE_WORDS, side="right")))
+            yield rb.slice(a, b - a)
+            a = b
+
+
 def _arrow_buckets(dim: int, out: str):
     import hashlib
 
@@ -98,7 +114,7 @@ def _arrow_buckets(dim: int, out: str):
         import pyarrow.compute as pc
 
         cache: dict[str, int] = {}
-        for rb in batches:
+        for rb in _slices(batches):
             n = rb.num_rows
             wl = rb.column(rb.schema.get_field_index("__words"))
             lengths = pc.fill_null(pc.list_value_length(wl), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -113,7 +129,7 @@ def _arrow_buckets(dim: int, out: str):
                     if b is None:
                         h = int(hashlib.md5(w.encode("utf-8")).hexdigest()[:8], 16)
                         b = (h % dim) + (dim if (h // dim) % 2 else 0)
-                        if len(cache) < 1_000_000:
+                        if len(cache) < CACHED_WORDS:
                             cache[w] = b
                     ub[i] = b
                 rows = np.repeat(np.arange(n, dtype=np.int64), lengths)
