@@ -310,3 +310,65 @@ def test_text_files_as_the_writer_leaves_them(spark, tmp_path):
 
     assert len(files("own")) == 303
     assert {k: sorted(v.split(b"\n")) for k, v in files("own")} == {k: sorted(v.split(b"\n")) for k, v in files("spark")}
+
+
+def test_tasks_list_a_mounted_folder_as_the_source_does(spark, tmp_path, monkeypatch):
+    """The driver holds no file of the tree, however its folders are dealt; the rows are those of Spark's reader."""
+    root = tmp_path / "in"
+    names = ["a.txt", "deep/er/est/b.TXT", "deep/c.html", "x y%20z.txt", "k=1/_v=2/d.txt", "_k=1.txt", "é/ü.txt", "no.pdf",
+             "_metadata/m.txt", "_metadata.txt", "_h/e.txt", ".h/f.txt", "_g.txt", "half.txt._COPYING_", "half._COPYING_/n.txt", *(f"many/{i % 7}/{i}.txt" for i in range(60))]
+    for i, name in enumerate(names):
+        write(str(root), name, name * (i % 3 + 1))
+        os.utime(root / name, ns=(0, (10**9 + i) * 10**9 + 123_456_789))
+    write(str(root), "empty.txt", "")
+    (root / "hollow").mkdir()
+    (root / "link").symlink_to(root / "deep", target_is_directory=True)
+    (root / "broken.txt").symlink_to(tmp_path / "nothing")
+    sums = spark.range(3).select(F.col("id").cast("string")).coalesce(1)
+    sums.write.text(str(root / "spark"))  # with Hadoop's sums beside it
+
+    def rows(df):
+        return sorted(map(str, df.select("path", "length", "modificationTime").collect()))
+
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(root)).where(src._suffix_filter(SUFFIXES))
+    contents = sorted((r.path, bytes(r.content)) for r in reader.collect())
+    assert len(contents) > 70
+    for folder, entries in ((str(root), 10_000), (f"file://{root}/", 10_000), (str(root), 1), (str(root), 20)):
+        monkeypatch.setattr(src, "DEAL_ENTRIES", entries)
+        found = src.discover_files(spark, folder, SUFFIXES, sort=True)
+        assert found.inputFiles() == [] and found.columns == ["path", "filename", "file_type", "length", "content"]
+        assert sorted((r.path, bytes(r.content)) for r in found.collect()) == contents
+        assert rows(src._listing(spark, folder, SUFFIXES)) == rows(reader)
+    assert {d for d, _ in src._dealt(str(root), 1)} == {str(root)} and len(src._dealt(str(root), 5)) >= 5
+    monkeypatch.setattr(src, "READ_BYTES", 20)
+    assert sorted((r.path, bytes(r.content)) for r in src.discover_files(spark, str(root), SUFFIXES).collect()) == contents
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        src.discover_files(spark, str(tmp_path / "nowhere"))
+    part = next(p for p in (root / "spark").iterdir() if p.name.startswith("part-"))
+    part.write_text("0\n1\n3\n")  # the sums are those of 0, 1 and 2
+    with pytest.raises(Exception, match="checksum error"):
+        src.discover_files(spark, str(root), SUFFIXES).collect()
+
+
+def test_flat_text_files_take_no_folder_each(spark, tmp_path):
+    rows = [(i, f"text {i}\nläst") for i in range(3000)] + [(7, "more"), (3000, None), (3001, ""), (None, "no key")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    src.write_text_files(df, str(tmp_path / "flat"), "id", "text", flat=True)
+    src.write_text_files(df, str(tmp_path / "own"), "id", "text")
+
+    def files(folder):
+        found = src.discover_files(spark, str(tmp_path / folder), (".TXT",)).select(F.regexp_extract("path", "id=([^/.]*)", 1), "file_type", "content").collect()
+        return sorted((r[0], r[1], bytes(r[2])) for r in found)
+
+    assert len(files("flat")) == 3003 and files("flat") == files("own")
+    assert sum(len(d) for _, d, _ in os.walk(tmp_path / "flat")) <= src.WRITE_FOLDERS
+
+
+def test_discovered_rows_stay_off_the_driver(spark, tmp_path):
+    """Neither a listing that is held nor a size that looks fit to broadcast."""
+    write(str(tmp_path / "in"), "a.txt", LONG)
+    found = src.discover_files(spark, str(tmp_path / "in"), SUFFIXES)
+    plan, names = (x._jdf.queryExecution().optimizedPlan() for x in (found, found.select("filename")))
+    assert "binaryFile" not in plan.toString()
+    assert plan.stats().sizeInBytes() > 1 << 40
+    assert "read(path" in plan.toString() and "read(path" not in names.toString()  # contents that aren't asked for

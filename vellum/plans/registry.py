@@ -629,7 +629,7 @@ def q_discover_files(spark, sf_dir):
     """Documents written by the tasks as one text file per document, then
     listed back recursively by suffix (any case) and hashed (D2)."""
     root = scratch_path(spark, "corpus")
-    src.write_text_files(table(spark, sf_dir, "documents"), root, "doc_id", "text")
+    src.write_text_files(table(spark, sf_dir, "documents"), root, "doc_id", "text", flat=True)
     f = src.with_hash(src.discover_files(spark, root, (".TXT",)))
     doc = F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint")
     return f.select(doc.alias("doc_id"), "file_type", "length", "file_hash")

@@ -1,8 +1,10 @@
 """File sources and decoders (S1, S2, X1 inputs).
 
-``discover_files`` lists a folder tree with the ``binaryFile`` source; the
+``discover_files`` lists a folder tree as the ``binaryFile`` source does; the
 suffix test is on the lower-cased path because ``pathGlobFilter`` is case
-sensitive.  Decoders turn file rows into pages or paragraph elements; each is
+sensitive.  Below a mounted folder the tasks list and read the files, so that
+the driver holds no file's name; elsewhere the source does, whose listing
+stands in the driver.  Decoders turn file rows into pages or paragraph elements; each is
 either a native expression (plain text, HTML) or a plug-in Arrow UDF for
 binary formats (PDF, DOCX) whose per-file failures become error rows.
 """
@@ -11,7 +13,9 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
+import zlib
+from collections import deque
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -42,10 +46,149 @@ def _read_limit(spark: SparkSession, max_bytes: int | None) -> int:
     return own if max_bytes is None else min(own, max_bytes)
 
 
+def _mounted(spark: SparkSession, folder: str) -> str | None:
+    """``folder`` as a path of the operating system; None if it is in another file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toUri().getPath() if fs.getScheme() == "file" else None
+
+
+def _entries(folder: str) -> Iterator[tuple[str, tuple[int, int] | None]]:
+    """What Spark's file sources take in of one folder, one by one: the path, and of
+    a file its length and time of change (ms).  Left out are empty files, hidden
+    names (``_metadata`` folders are entered), links to nothing and what has gone."""
+    try:
+        found = os.scandir(folder)
+    except FileNotFoundError:
+        return
+    with found:
+        for e in found:
+            hidden = e.name.startswith(".") or (e.name.startswith("_") and "=" not in e.name)
+            if (hidden or e.name.endswith("._COPYING_")) and not e.name.startswith(("_metadata", "_common_metadata")):
+                continue
+            try:
+                e.name.encode()
+                at = None if e.is_dir() else e.stat()
+            except (OSError, UnicodeEncodeError):
+                continue
+            if at is None:
+                yield e.path, None
+            elif at.st_size and not hidden:
+                yield e.path, (at.st_size, at.st_mtime_ns // 1_000_000)
+
+
+#: entries that the driver looks at, at most, to deal a tree's folders to the tasks
+DEAL_ENTRIES = 10_000
+
+
+def _dealt(root: str, want: int) -> list[tuple[str, bool]]:
+    """``want`` folders or more, if ``root`` has them in its first DEAL_ENTRIES
+    entries, that make up its tree: each with all below (True) or its own files alone."""
+    whole, alone, looked = deque([root]), [], 0
+    while whole and len(whole) < want:
+        at, below = whole.popleft(), []
+        for path, file in _entries(at):
+            looked += 1
+            if looked > DEAL_ENTRIES:
+                return [(x, False) for x in alone] + [(x, True) for x in (*whole, at)]
+            if file is None:
+                below.append(path)
+        alone.append(at)
+        whole.extend(below)
+    return [(x, False) for x in alone] + [(x, True) for x in whole]
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The files of the folders of ``_dealt``; a task holds one open folder a level."""
+    rows: list[tuple] = []
+
+    def taken() -> pa.RecordBatch:
+        out = [list(c) for c in zip(*rows)]
+        rows.clear()
+        return pa.RecordBatch.from_pydict({"path": pa.array(out[0], pa.string()), "length": pa.array(out[1], pa.int64()), "modified_ms": pa.array(out[2], pa.int64())})
+
+    for b in batches:
+        for folder, whole in zip(*(c.to_pylist() for c in b.columns)):
+            opened = [_entries(folder)]
+            while opened:
+                path, file = next(opened[-1], (None, None))
+                if path is None:
+                    opened.pop()
+                elif file is not None:
+                    rows.append((f"file:{path}", *file))
+                    if len(rows) == 10_000:
+                        yield taken()
+                elif whole:
+                    opened.append(_entries(path))
+    if rows:
+        yield taken()
+
+
 def _listing(spark: SparkSession, folder: str, suffixes) -> DataFrame:
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).where(_suffix_filter(suffixes))
-    )
+    """``path, length, modificationTime`` of the files below ``folder``, listed by the
+    tasks; from the source's own reader (whose rows have the ``content`` too) if the
+    folder isn't mounted, isn't there or may be a pattern."""
+    at = None if set(folder) & set("*?[]{}\\") else _mounted(spark, folder)
+    if at is None or not os.path.isdir(at):
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).where(_suffix_filter(suffixes))
+    most = 4 * spark.sparkContext.defaultParallelism
+    folders = _dealt(at, most)
+    # from an RDD, so that Spark doesn't take the listing, or the contents, for as small as these rows
+    df = spark.createDataFrame(spark.sparkContext.parallelize(folders, min(len(folders), most)), "folder string, whole boolean")
+    df = df.mapInArrow(_listed, "path string, length bigint, modified_ms bigint")
+    return df.select("path", "length", F.timestamp_millis("modified_ms").alias("modificationTime")).where(_suffix_filter(suffixes))
+
+
+#: bytes of contents that a task hands to Spark at once (a longer file goes alone)
+READ_BYTES = 8 << 20
+
+
+def _content(path: str) -> bytes:
+    """A listed file's bytes, held against the sums that Hadoop keeps beside files it wrote."""
+    path = path.removeprefix("file:")
+    with open(path, "rb") as f:
+        content = f.read()
+    try:
+        with open(os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc"), "rb") as f:
+            sums = f.read()
+    except FileNotFoundError:
+        return content
+    if sums[:4] == b"crc\0":
+        n = int.from_bytes(sums[4:8], "big")
+        if sums[8:] != b"".join(zlib.crc32(content[i:i + n]).to_bytes(4, "big") for i in range(0, len(content), n)):
+            raise OSError(f"checksum error: {path}")
+    return content
+
+
+def _read_listed(spark: SparkSession, listing: DataFrame) -> DataFrame:
+    """The file rows of a ``_listing``, whose files are dealt to the tasks; contents
+    that aren't asked for aren't read."""
+    if "content" not in listing.columns:
+        spare_missing, spare_corrupt = (spark.conf.get(f"spark.sql.files.ignore{k}Files") == "true" for k in ("Missing", "Corrupt"))
+
+        def read(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            got, size = [], 0
+            for s in paths:
+                for path in s:
+                    try:
+                        content = _content(path)
+                    except OSError as e:
+                        if not (spare_missing if isinstance(e, FileNotFoundError) else spare_corrupt):
+                            raise
+                        content = None
+                    if got and size + len(content or b"") > READ_BYTES:
+                        yield pd.Series(got, dtype=object)
+                        got, size = [], 0
+                    got.append(content)
+                    size += len(content or b"")
+            if got:
+                yield pd.Series(got, dtype=object)
+
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        listing = listing.repartition(n, "path").withColumn("content", arrow_udf(read, T.BinaryType())("path"))
+        if spare_missing or spare_corrupt:
+            listing = listing.where(F.col("content").isNotNull())
+    return listing.select("path", file_name("path").alias("filename"), file_type("path").alias("file_type"), "length", "content")
 
 
 def discover_files(spark: SparkSession, folder: str, suffixes=SUPPORTED_SUFFIXES, max_bytes: int | None = None,
@@ -56,9 +199,7 @@ def discover_files(spark: SparkSession, folder: str, suffixes=SUPPORTED_SUFFIXES
     below the folder begins with ``_`` or ``.``) are in ``unreadable_files``.
     ``sort`` orders by path (a range shuffle; the pipeline itself does not need
     the order)."""
-    df = _listing(spark, folder, suffixes).where(F.col("length") <= _read_limit(spark, max_bytes)).select(
-        "path", file_name("path").alias("filename"), file_type("path").alias("file_type"), "length", "content"
-    )
+    df = _read_listed(spark, _listing(spark, folder, suffixes).where(F.col("length") <= _read_limit(spark, max_bytes)))
     return df.orderBy("path") if sort else df
 
 
@@ -76,12 +217,13 @@ def read_files(spark: SparkSession, folder: str, paths: DataFrame, suffixes=SUPP
     """``discover_files`` for the files ``paths`` (column ``path``) alone.  Up to
     MAX_PATHS names come to the driver, where the reader's listing stands anyway,
     and no other file is opened.  More of them, or names that the reader would take
-    for patterns, are found by reading the folder."""
+    for patterns, are found by listing the folder (by reading it, if it isn't mounted)."""
     some = [r[0] for r in paths.select("path").distinct().limit(MAX_PATHS + 1).collect()]
     if not some:
         return discover_files(spark, folder, suffixes, max_bytes).limit(0)
     if len(some) > MAX_PATHS or any(set(p) & set("*?[]{}\\") for p in some):
-        return discover_files(spark, folder, suffixes, max_bytes).join(paths.select("path").distinct(), "path", "left_semi")
+        listing = _listing(spark, folder, suffixes).where(F.col("length") <= _read_limit(spark, max_bytes))
+        return _read_listed(spark, listing.join(paths.select("path").distinct(), "path", "left_semi"))
     df = spark.read.format("binaryFile").load(some)
     return df.select("path", file_name("path").alias("filename"), file_type("path").alias("file_type"), "length", "content")
 
@@ -116,28 +258,31 @@ def discover_by_suffix(spark: SparkSession, folder: str, suffix: str = ".pdf") -
 
 
 #: folders that files are dealt to: their listing is spread over the tasks
-WRITE_FOLDERS = 64
+WRITE_FOLDERS = 1024
 
 
-def write_text_files(df: DataFrame, root: str, key: str, text: str) -> None:
+def write_text_files(df: DataFrame, root: str, key: str, text: str, flat: bool = False) -> None:
     """One text file for each value of ``key`` below ``root``, its rows' ``text`` as
-    lines, as Spark's text writer with ``partitionBy(key)`` leaves them.
+    lines, as Spark's text writer with ``partitionBy(key)`` leaves them: in a folder
+    ``key=value``, or with ``flat`` (on a mounted folder) as the file ``key=value.txt``,
+    since a folder takes as much disk as a short text.
 
     On a mounted (local) folder the tasks write the files themselves, each by one
     rename, so a repeated task changes nothing: Hadoop's local file system starts a
     process for the permissions of every file, which takes longer than all else."""
     rows = df.select(F.pmod(F.xxhash64(key), F.lit(WRITE_FOLDERS)).alias("folder"), F.col(key).alias(key), F.col(text).cast("string").alias("value"))
     rows = rows.repartition(key)
-    if "://" in root or not root.startswith("/"):
+    root_at = _mounted(df.sparkSession, root)
+    if root_at is None:
         return rows.write.partitionBy("folder", key).text(root)
 
     def write(batches):
-        name, out, n = None, None, 0
+        name, out, to, n = None, None, None, 0
 
         def finish():
             if out is not None:
                 out.close()
-                os.replace(out.name, os.path.join(os.path.dirname(out.name), "part-00000.txt"))
+                os.replace(out.name, to)
 
         try:
             for b in batches:
@@ -145,8 +290,10 @@ def write_text_files(df: DataFrame, root: str, key: str, text: str) -> None:
                     if name != (folder, value):
                         finish()
                         name, n = (folder, value), n + 1
-                        at = os.path.join(root, f"folder={folder}", f"{key}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+                        own = f"{key}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+                        at = os.path.join(root_at, f"folder={folder}", *([] if flat else [own]))
                         os.makedirs(at, exist_ok=True)
+                        to = os.path.join(at, f"{own}.txt" if flat else "part-00000.txt")
                         out = open(os.path.join(at, f".part-{uuid.uuid4().hex}"), "wb")  # noqa: SIM115 - closed by finish
                     out.write((line or "").encode() + b"\n")
             finish()
