@@ -372,3 +372,26 @@ def test_discovered_rows_stay_off_the_driver(spark, tmp_path):
     assert "binaryFile" not in plan.toString()
     assert plan.stats().sizeInBytes() > 1 << 40
     assert "read(path" in plan.toString() and "read(path" not in names.toString()  # contents that aren't asked for
+
+
+def test_texts_of_one_row_are_written_where_they_are(spark, tmp_path, monkeypatch):
+    """Only rows of repeated keys meet, whether these are few or many; each key has one file."""
+    def written(name, rows):
+        df = spark.createDataFrame(rows, "id long, text string").repartition(5)
+        src.write_text_files(df, str(tmp_path / name), "id", "text", flat=True)
+        found = src.discover_files(spark, str(tmp_path / name), (".txt",)).select("filename", "content").collect()
+        assert len({r.filename for r in found}) == len(found)
+        return {r.filename: bytes(r.content).decode() for r in found}
+
+    some = [(i, f"text {i}") for i in range(50)]
+    more = [(i % 4, f"b{i:02}") for i in range(20)] + [(None, "n2"), (None, "n1"), (7, None), (60, None), (60, "")]
+    want = {f"id={i}.txt": f"{t}\n" for i, t in some}
+    shuffled, real = [], type(spark.range(0)).repartition
+    monkeypatch.setattr(type(spark.range(0)), "repartition", lambda self, *a: (shuffled.append("id") if a == ("id",) else None, real(self, *a))[1])
+    assert written("single", some) == want and not shuffled
+    want |= {f"id={k}.txt": "".join(f"{x}\n" for x in (*(f"b{i:02}" for i in range(k, 20, 4)), f"text {k}")) for k in range(4)}
+    want |= {"id=7.txt": "\ntext 7\n", "id=60.txt": "\n\n", "id=__HIVE_DEFAULT_PARTITION__.txt": "n1\nn2\n"}
+    assert written("few", some + more) == want and len(shuffled) == 1
+    monkeypatch.setattr(src, "MAX_REPEATED", 3)
+    assert written("many", some + more) == want
+    assert written("none", []) == {}

@@ -260,21 +260,40 @@ def discover_by_suffix(spark: SparkSession, folder: str, suffix: str = ".pdf") -
 #: folders that files are dealt to: their listing is spread over the tasks
 WRITE_FOLDERS = 1024
 
+#: keys of several rows that are told to all tasks; beyond, all rows are shuffled by key
+MAX_REPEATED = 100_000
+
 
 def write_text_files(df: DataFrame, root: str, key: str, text: str, flat: bool = False) -> None:
     """One text file for each value of ``key`` below ``root``, its rows' ``text`` as
     lines, as Spark's text writer with ``partitionBy(key)`` leaves them: in a folder
     ``key=value``, or with ``flat`` (on a mounted folder) as the file ``key=value.txt``,
-    since a folder takes as much disk as a short text.
+    since a folder takes as much disk as a short text.  Only rows whose key others
+    have are shuffled: ``df`` is read for its keys first, so it must give the same
+    rows twice.
 
     On a mounted (local) folder the tasks write the files themselves, each by one
     rename, so a repeated task changes nothing: Hadoop's local file system starts a
     process for the permissions of every file, which takes longer than all else."""
     rows = df.select(F.pmod(F.xxhash64(key), F.lit(WRITE_FOLDERS)).alias("folder"), F.col(key).alias(key), F.col(text).cast("string").alias("value"))
-    rows = rows.repartition(key)
-    root_at = _mounted(df.sparkSession, root)
+    spark = df.sparkSession
+    root_at = _mounted(spark, root)
     if root_at is None:
-        return rows.write.partitionBy("folder", key).text(root)
+        return rows.repartition(key).write.partitionBy("folder", key).text(root)
+
+    os.makedirs(root_at, exist_ok=True)  # without rows too, as the writer leaves it
+
+    def together(some: DataFrame) -> DataFrame:
+        return some.repartition(key).sortWithinPartitions(key, "value")
+
+    repeated = [r[0] for r in rows.groupBy(key).count().where("count > 1").select(key).limit(MAX_REPEATED + 1).collect()]
+    if len(repeated) > MAX_REPEATED:
+        rows = together(rows)
+    elif repeated:
+        of = T.StructType([T.StructField("__repeated", rows.schema[key].dataType)])
+        keys = F.broadcast(spark.createDataFrame([(k,) for k in repeated], of))
+        same = rows[key].eqNullSafe(keys["__repeated"])
+        rows = rows.join(keys, same, "left_anti").unionByName(together(rows.join(keys, same, "left_semi")))
 
     def write(batches):
         name, out, to, n = None, None, None, 0
@@ -302,7 +321,7 @@ def write_text_files(df: DataFrame, root: str, key: str, text: str, flat: bool =
                 out.close()
         yield pa.RecordBatch.from_pydict({"files": pa.array([n], pa.int64())})
 
-    rows.sortWithinPartitions(key, "value").mapInArrow(write, "files bigint").agg(F.sum("files")).collect()  # one number
+    rows.mapInArrow(write, "files bigint").agg(F.sum("files")).collect()  # one number
 
 
 def files_from_table(df: DataFrame, path: Column, content: Column) -> DataFrame:
